@@ -7,43 +7,44 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Largest benchmark, in distinct windows, whose windows are broadcast (about 300 bytes each).  A larger one is
-#: joined by a shuffle on the window hash.
+from gridloom.llm.common import stored
+
+#: Up to so many distinct anchors, the set of their hashes is broadcast with the plan and looked up inside the scan,
+#: so that only hits become rows.  With more, every anchor of the documents is a row, joined on its hash.
+SET_ANCHORS = 20_000
+#: Up to so many windows (about 300 bytes each) the join broadcasts them; beyond it, both sides are shuffled.
 BROADCAST_WINDOWS = 500_000
+#: Both cases of A-Z belong to words here; a word of a text is lower-cased where it is compared.
+_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def low(text: Column) -> Column:
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def raw_words(text: Column) -> Column:
+    """The runs of digits, letters and non-ASCII characters, in the text's own case."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SEPARATORS), "")
 
 
-def bench_words(text: Column) -> Column:
-    """A-Z lower-cased, then the runs of digits, letters and non-ASCII characters."""
-    low = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.array_remove(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+def anchor_of(k: Column) -> Column:
+    """How many of a window's first words are hashed: the largest of 1, 2, 4 and 8 that it has."""
+    return F.when(k >= 8, 8).when(k >= 4, 4).when(k >= 2, 2).otherwise(1)
 
 
-def with_gram_hashes(df: DataFrame, words: str, lengths: list[int]) -> DataFrame:
-    """Add ``_g<k>``, the hashes of all windows of k words, for each k in ``lengths``.
+def with_anchor_hashes(df: DataFrame, words: str, largest: int) -> DataFrame:
+    """Add ``_g1``, ``_g2``, ... up to ``largest``: at each position the hash of so many words from there.
 
-    Windows of 1, 2, 4 and 8 words are hashed by joining the hashes of their halves; other lengths are put
-    together from these.  So the cost per word doesn't depend on the length of the window.
+    Each is joined from two hashes of half the length.  Words are hashed in full lower case, which never
+    separates words that are equal in A-Z lower case; what differs otherwise falls at the verification.
     """
-    made: dict[int, str] = {}
-
-    def joined(df: DataFrame, out: int, left: int, right: int) -> DataFrame:
-        n = F.greatest(F.size(f"_g{right}") - left, F.lit(0))
-        made[out] = f"_g{out}"
-        return df.withColumn(f"_g{out}", F.zip_with(F.slice(f"_g{left}", F.lit(1), n), F.slice(f"_g{right}", F.lit(left + 1), n), lambda a, b: F.xxhash64(a, b)))
-
-    df = df.withColumn("_g1", F.transform(words, lambda w: F.xxhash64(w)))
-    made[1] = "_g1"
-    for k in (2, 4, 8):
-        if max(lengths, default=0) >= k:
-            df = joined(df, k, k // 2, k // 2)
-    for k in lengths:
-        parts = [p for p in (8, 4, 2, 1) if k & p]
-        have = parts[0]
-        for p in parts[1:]:
-            if have + p not in made:
-                df = joined(df, have + p, have, p)
-            have += p
-    return df.drop(*[c for k, c in made.items() if k not in lengths])
+    df = df.withColumn("_g1", F.transform(words, lambda w: F.xxhash64(F.lower(w))))
+    k = 1
+    while 2 * k <= largest:
+        n = F.greatest(F.size(f"_g{k}") - k, F.lit(0))
+        df = df.withColumn(f"_g{2 * k}", F.zip_with(F.slice(f"_g{k}", F.lit(1), n), F.slice(f"_g{k}", F.lit(k + 1), n), lambda a, b: F.xxhash64(a, b)))
+        k *= 2
+    return df
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 13) -> DataFrame:
@@ -51,7 +52,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = 13) -> DataFrame:
 
     Items of fewer than ``n`` words, but not none, are one window.  Null texts have none.
     """
-    items = benchmark.select("item_id", bench_words(F.col("text")).alias("w")).filter(F.size("w") > 0).withColumn("k", F.least(F.size("w"), F.lit(n)))
+    items = benchmark.select("item_id", raw_words(low(F.col("text"))).alias("w")).filter(F.size("w") > 0).withColumn("k", F.least(F.size("w"), F.lit(n)))
     each = items.select("item_id", "k", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("k") + 1), lambda i: F.slice("w", i, F.col("k")))).alias("window"))
     return each.groupBy("k", "window").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
@@ -65,43 +66,34 @@ def scan_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     Null and empty texts have no words and no hits.  Repeated rows are judged once; rows with the same doc_id
     and different texts are judged apart.  An empty benchmark hits nothing.  Other columns are ignored.
     """
-    windows = benchmark_windows(benchmark, n)
-    lengths = {r["k"]: r["c"] for r in windows.groupBy("k").agg(F.count(F.lit(1)).alias("c")).collect()}  # n rows at most
-    ks = sorted(lengths)
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), bench_words(F.col("text")).alias("w"))
-    base = base.withColumn("n_words", F.size("w").cast("long"))
-    if not ks:
-        return base.select("doc_id", "text_hash", "n_words", F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"), F.lit(0).cast("long").alias("n_hit"), F.expr("cast(array() as array<bigint>)").alias("items")).dropDuplicates(["doc_id", "text_hash"])
-
-    # the hash of a window of the benchmark comes from the same expressions
-    hashed = with_gram_hashes(windows.withColumnRenamed("window", "w"), "w", ks)
-    h = F.lit(None).cast("long")
-    for k in ks:
-        h = F.when(F.col("k") == k, F.element_at(f"_g{k}", 1)).otherwise(h)
-    known = hashed.select(h.alias("_h"), F.col("w").alias("_window"), "items")
-    if sum(lengths.values()) <= BROADCAST_WINDOWS:
-        known = F.broadcast(known)
-
-    # all windows of a document in one array, those of each length after one another
-    grams = with_gram_hashes(base, "w", ks)
-    scanned = grams.select("doc_id", "text_hash", "n_words", "w", F.posexplode_outer(F.concat(*[F.col(f"_g{k}") for k in ks])).alias("_at", "_h"))
-    hit = scanned.join(known, "_h", "left")
-    bounds, before = [], F.lit(0).cast("long")
-    for k in ks:
-        end = before + F.greatest(F.col("n_words") - k + 1, F.lit(0))
-        bounds.append((k, before, end))
-        before = end
-    start, length = F.lit(None).cast("int"), F.lit(None).cast("int")
-    for k, lo, hi in bounds:
-        inside = (F.col("_at") >= lo) & (F.col("_at") < hi)
-        start = F.when(inside, (F.col("_at") - lo).cast("int")).otherwise(start)
-        length = F.when(inside, F.lit(k)).otherwise(length)
-    true = F.col("_window").isNotNull() & (F.slice("w", start + 1, F.coalesce(length, F.lit(1))) == F.col("_window"))
-    first = F.col("_at").isNull() | (F.col("_at") == 0)
+    anchors = with_anchor_hashes(benchmark_windows(benchmark, n), "window", 8).withColumn("_a", anchor_of(F.col("k")))
+    h = F.when(F.col("_a") == 8, F.element_at("_g8", 1)).when(F.col("_a") == 4, F.element_at("_g4", 1)).when(F.col("_a") == 2, F.element_at("_g2", 1)).otherwise(F.element_at("_g1", 1))
+    known, _ = stored(anchors.select("_a", h.alias("_h"), "k", "window", "items"))
+    counts = {r["_a"]: (r["n"], r["m"]) for r in known.groupBy("_a").agg(F.count_distinct("_h").alias("n"), F.count(F.lit(1)).alias("m")).collect()}  # four rows at most
+    small = sum(x for x, _ in counts.values()) <= SET_ANCHORS
+    sets = {a: [] for a in counts}
+    for r in known.select("_a", "_h").distinct().collect() if small else ():  # SET_ANCHORS rows at most
+        sets[r["_a"]].append(r["_h"])
+
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), raw_words(F.col("text")).alias("w"))
+    grams = with_anchor_hashes(base.withColumn("n_words", F.size("w").cast("long")), "w", max(counts, default=0))
+    # candidates of each anchor length: (position, hash)
+    found = [F.expr("cast(array() as array<struct<at:int,h:bigint>>)")]
+    for a in sorted(counts):
+        pairs = f"transform(_g{a}, (h, i) -> struct(i AS at, h AS h))"
+        if small:
+            among = "h IN (" + ",".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in sorted(sets[a])) + ")"
+            pairs = f"IF(exists(_g{a}, h -> {among}), filter({pairs}, x -> x.{among}), cast(array() as array<struct<at:int,h:bigint>>))"
+        found.append(F.expr(pairs))
+    scanned = grams.select("doc_id", "text_hash", "n_words", "w", F.posexplode_outer(F.concat(*found)).alias("_no", "_c"))
+    scanned = scanned.select("doc_id", "text_hash", "n_words", "w", "_no", F.col("_c.at").alias("_at"), F.col("_c.h").alias("_h"))
+    known = known.drop("_a")
+    hit = scanned.join(F.broadcast(known) if sum(m for _, m in counts.values()) <= BROADCAST_WINDOWS else known, "_h", "left")
+    true = F.coalesce(F.transform(F.slice("w", F.col("_at") + 1, F.col("k")), low) == F.col("window"), F.lit(False))
     # of each document the first row stays even without a hit, so that every document is there
-    kept = hit.filter(first | (F.col("_window").isNotNull() & true)).select(
+    kept = hit.filter(F.col("_no").isNull() | (F.col("_no") == 0) | true).select(
         "doc_id", "text_hash", "n_words",
-        F.when(true, F.struct(start.alias("start"), (start + length).alias("end"))).alias("span"),
+        F.when(true, F.struct(F.col("_at").alias("start"), (F.col("_at") + F.col("k")).alias("end"))).alias("span"),
         F.when(true, F.col("items")).alias("items"),
     )
     found = kept.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
