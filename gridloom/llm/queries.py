@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, mixing, sharding, urls
+from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, quality, sharding, tokens, urls, webp
 from gridloom.llm.common import table
 
 #: The conversation whose texts hold the template's own marks.
@@ -28,6 +28,21 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), 5, 0.75)
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    media = webp.to_media(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return webp.read_media(media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
     return urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
@@ -41,11 +56,25 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document's source, language and lines: a boundary token counts for the one it begins in."""
+    out = tokens.token_counts(table(spark, sf_dir, "documents"), ("source", "lang", "text"), "first")
+    return out.select(
+        "doc_id", "n_tokens", "n_chars", F.size("sections").cast("long").alias("n_sections"), "n_crossing",
+        F.transform("sections", lambda s: s["tokens"]).alias("section_tokens"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("slots")).cast("long").alias("taken"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = htmltext.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.scan_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
@@ -57,7 +86,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op5_url_filter, op6_sharding, op8_mixing, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_chat_format, op2_ngram_jaccard_join, op3_quality_classifier, op4_media_columns, op5_url_filter,
+    op6_sharding, op7_token_counts, op8_mixing, op9_html_extraction, op10_decontamination,
+)}
 
 #: Read together: these fixed strings are the template of op1 in SQL.
 _SQL_OP1 = r"""

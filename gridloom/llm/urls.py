@@ -33,8 +33,8 @@ class RuleTrie:
     shorter ones, then block over allow.
     """
 
-    def __init__(self, rules: Iterable[tuple[str, str, str]]) -> None:
-        self.root: dict = {}
+    def __init__(self, rules: Iterable[tuple[str, str, str]], root: dict | None = None) -> None:
+        self.root: dict = {} if root is None else root
         for host, path, verdict in rules:
             node = self.root
             for label in reversed([x for x in host.translate(_LOWER).split(".") if x]):
@@ -86,11 +86,11 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
             raise ValueError(f"not a rule: {(h, p, v)!r}")
     if sum(len(h) + len(p) for h, p, _ in rules) > MAX_RULE_CHARS:
         raise ValueError("too many rules to broadcast")
-    trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
+    trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules).root)
 
     @F.pandas_udf("host string, path string, rule string, verdict string")
     def judge(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        t = trie.value
+        t = RuleTrie((), trie.value)
         for urls in parts:
             rows = []
             for u in urls:
