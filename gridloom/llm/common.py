@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +42,30 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bit_table(df: DataFrame, column: str, bits: int):
+    """Broadcast a table of 2 ** ``bits`` bits, set at the hashes of a column's values; its size never grows."""
+    slot = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    words = df.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("v")).toPandas()
+    table = np.zeros((1 << bits) // 64, dtype=np.int64)
+    table[words["w"].to_numpy(dtype=np.int64)] = words["v"].to_numpy(dtype=np.int64)
+    return df.sparkSession.sparkContext.broadcast(table)
+
+
+def bits_at(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (table[slots >> 6].view(np.uint64) >> (slots & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def maybe_in(column: str, table, bits: int) -> Column:
+    """False for values that aren't in a ``bit_table``; true for all that are and for a few others."""
+
+    @F.pandas_udf("boolean")
+    def look(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for slots in parts:
+            yield pd.Series(bits_at(table.value, slots.to_numpy(dtype=np.int64)))
+
+    return look(F.pmod(F.xxhash64(column), F.lit(1 << bits)))
+
+
 def running_start(df: DataFrame, group: list[str], order: list[str], value: str | Column, out: str, buckets: int = 1024) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the same group that come before this one.
 
