@@ -259,10 +259,10 @@ _CELLS = r"""
     concat_ws(';', CASE WHEN min(conf) < 40 THEN 'low_conf' END, CASE WHEN sum(len(regexp_extract_all(text, '\d+(?:[,.]\d+)?'))) > 1 THEN 'multiple_numbers' END, CASE WHEN bool_or(crosses) THEN 'crosses_column_boundary' END) AS flags
   FROM sl GROUP BY doc_id, row, "column")"""
 _EV = r"""
-WITH e AS (SELECT *, epoch_us(ts)::DOUBLE / 1e6 AS at FROM events),
-g AS (SELECT *, at - lag(at) OVER (PARTITION BY user_id ORDER BY at) AS gap FROM e),
+WITH e AS (SELECT *, epoch_us(ts)::DOUBLE / 1e6 AS sec FROM events),
+g AS (SELECT *, sec - lag(sec) OVER (PARTITION BY user_id ORDER BY sec) AS gap FROM e),
 t AS (SELECT user_id, median(CASE WHEN gap > 0 THEN gap END) * 3.0::DOUBLE AS threshold FROM g GROUP BY user_id),
-k AS (SELECT g.*, 1 + sum(CASE WHEN gap > threshold THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_no FROM g JOIN t USING (user_id))"""
+k AS (SELECT g.*, 1 + sum(CASE WHEN gap > threshold THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY sec ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_no FROM g JOIN t USING (user_id))"""
 _MONTHS = "[" + ", ".join(f"'{m}'" for m in T.MONTHS) + "]"
 _ROUTE = r"""SELECT doc_id, CASE WHEN trim(text) = '' THEN 'no text' WHEN lang NOT IN ('en', 'de') THEN 'language' WHEN strpos(text, chr(10)) = 0 THEN 'one line'
   WHEN n_chars < 500 THEN 'short: ' || n_chars ELSE '' END AS reason FROM documents"""
