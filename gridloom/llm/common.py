@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +49,8 @@ def bit_table(df: DataFrame, column: str, bits: int):
     words = df.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("v")).toPandas()
     table = np.zeros((1 << bits) // 64, dtype=np.int64)
     table[words["w"].to_numpy(dtype=np.int64)] = words["v"].to_numpy(dtype=np.int64)
+    del words
+    pa.default_memory_pool().release_unused()
     return df.sparkSession.sparkContext.broadcast(table)
 
 

@@ -6,25 +6,23 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.shingles import bounded, column_bytes, mix, word_hashes
+from gridloom.llm.shingles import bounded, column_bytes, mix, word_hashes, word_shapes
 
 #: Hashed n-grams fall into this many features.
 FEATURE_BITS = 18
 #: The hinge-loss model is fitted on so many rows of each class at most; counts take all labelled rows.
-FIT_ROWS = 2000
-_SAME = np.uint64(0x5A17)
+FIT_ROWS = 1000
 
 
 def features(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, sorted distinct feature numbers of each row) for pieces of a column.
 
-    Features are runs of three bytes, words and pairs of words, where a word like the one before counts as the
-    same sign whatever the word.
+    Features are n-grams of 1 to 4 words by their shape (kinds of bytes, size, whether a word is the one before
+    it again), hashed.  Shapes say how a text is written whatever its language and subject.
     """
     shift = np.uint64(64 - FEATURE_BITS)
     for begin, rows in bounded(texts):
@@ -33,16 +31,14 @@ def features(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         again = np.zeros(len(words), dtype=bool)
         again[1:] = words[1:] == words[:-1]
         again[at[:-1][at[:-1] < len(words)]] = False
-        signs = np.where(again, _SAME, words)
-        b = data.astype(np.uint64)
-        three = b[:-2] | (b[1:-1] << np.uint64(8)) | (b[2:] << np.uint64(16)) if len(b) > 2 else b[:0]
-        three = (mix(three + np.uint64(1 << 40)) >> shift).astype(np.int32)
-        one = (mix(signs + np.uint64(1)) >> shift).astype(np.int32)
-        two = (mix(signs[:-1] * np.uint64(0x9E3779B97F4A7C15) + signs[1:]) >> shift).astype(np.int32)
+        signs = word_shapes(data, offsets) | (again.astype(np.uint64) << np.uint64(12))
+        grams, gram = [], np.zeros(len(words), dtype=np.uint64)
+        for n in range(1, 5):
+            gram = mix(gram[: max(0, len(words) - n + 1)] * np.uint64(0x9E3779B97F4A7C15) + signs[n - 1 :] + np.uint64(1))
+            grams.append((gram >> shift).astype(np.int32))
         found = []
-        for i in range(rows):
-            (p, q), (u, v) = offsets[i : i + 2], at[i : i + 2]
-            found.append(np.unique(np.concatenate([three[p : max(p, q - 2)], one[u:v], two[u : max(u, v - 1)]])))
+        for u, v in zip(at[:-1], at[1:], strict=True):
+            found.append(np.unique(np.concatenate([g[u : max(u, v - n)] for n, g in enumerate(grams)])))
         yield begin, found
 
 
@@ -51,21 +47,23 @@ class NbSvm:
     ratios: np.ndarray  # log-count ratio of each feature
     weights: np.ndarray  # ratio times the hinge model's weight
     bias: float
+    floor: float  # added to squared lengths, so that texts of few n-grams stay near the middle
     slope: float
     shift: float
 
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
-        margins = np.array([self.weights[x].sum() / (np.sqrt(np.square(self.ratios[x]).sum()) + 1e-9) if len(x) else 0.0 for x in rows])
+        margins = np.array([self.weights[x].sum() / np.sqrt(np.square(self.ratios[x]).sum() + self.floor) if len(x) else 0.0 for x in rows])
         return 1 / (1 + np.exp(-np.clip(self.slope * (margins + self.bias) + self.shift, -500, 500)))
 
 
-def fit_hinge(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, cost: float = 1.0, epochs: int = 20, seed: int = 5) -> NbSvm:
+def fit_hinge(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, prior: float = 0.5, cost: float = 1.0, epochs: int = 20, seed: int = 5) -> NbSvm:
     """Dual coordinate descent: each row's multiplier moves to its best value between 0 and its class's cost."""
     y = np.where(labels == 1, 1.0, -1.0)
-    values = [ratios[x] / (np.sqrt(np.square(ratios[x]).sum()) + 1e-9) for x in rows]
+    floor = float(np.median([np.square(ratios[x]).sum() for x in rows])) + 1e-9
+    values = [(ratios[x] / np.sqrt(np.square(ratios[x]).sum() + floor)).astype(np.float32) for x in rows]
     caps = np.where(y > 0, cost * len(y) / (2 * max(1, (y > 0).sum())), cost * len(y) / (2 * max(1, (y < 0).sum())))
     w, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(y))
-    norms = np.array([np.square(v).sum() + 1.0 for v in values])  # the bias is a feature of value 1
+    norms = np.array([np.square(v, dtype=np.float64).sum() + 1.0 for v in values])  # the bias is a feature of value 1
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in order.permutation(len(y)):
@@ -76,13 +74,13 @@ def fit_hinge(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, co
                 bias += (after - alpha[i]) * y[i]
                 alpha[i] = after
     margins = np.array([w[x] @ v for x, v in zip(rows, values, strict=True)]) + bias
-    # a logistic curve through the margins, classes weighed alike, with smoothed targets
-    share, slope, shift = caps / caps.sum() if len(caps) else caps, 1.0, 0.0
+    # a logistic curve through the margins, classes weighed as they occur, with smoothed targets
+    share, slope, shift = np.where(y > 0, prior / max(1, (y > 0).sum()), (1 - prior) / max(1, (y < 0).sum())), 1.0, 0.0
     goal = np.where(y > 0, ((y > 0).sum() + 1) / ((y > 0).sum() + 2), 1 / ((y < 0).sum() + 2))
     for _ in range(500):
         miss = share * (goal - 1 / (1 + np.exp(-np.clip(slope * margins + shift, -500, 500))))
         slope, shift = slope + 4 * (miss @ margins), shift + 4 * miss.sum()
-    return NbSvm(ratios, w * ratios, bias, float(slope), float(shift))
+    return NbSvm(ratios, w * ratios, bias, floor, float(slope), float(shift))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -117,26 +115,26 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     sums = np.zeros((2, (1 << FEATURE_BITS) + 1))
     sums[0, table["f"]], sums[1, table["f"]] = table["c0"], table["c1"]
     n0, n1 = sums[:, -1]
-    p, q = sums[1, :-1] + 1, sums[0, :-1] + 1
-    ratios = np.log(p / p.sum()) - np.log(q / q.sum())
     if not n0 or not n1:
         share = (n1 + 1) / (n0 + n1 + 2)
-        return NbSvm(ratios, np.zeros(len(ratios)), 0.0, 1.0, float(np.log(share / (1 - share))))
+        return NbSvm(np.zeros(1 << FEATURE_BITS), np.zeros(1 << FEATURE_BITS), 0.0, 1.0, 1.0, float(np.log(share / (1 - share))))
+    # smoothing follows the classes' sizes, so an n-gram that was never seen speaks for neither
+    smooth = 2 / min(n0, n1)
+    ratios = np.log(sums[1, :-1] / n1 + smooth) - np.log(sums[0, :-1] / n0 + smooth)
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             for begin, found in features(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(begin, len(found)), pa.array([x.tobytes() for x in found], pa.binary())], ["y", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(2).slice(begin, len(found)), batch.column(1).slice(begin, len(found)), pa.array([x.tobytes() for x in found], pa.binary())], ["doc_id", "y", "x"])
 
     chosen = None
     for c in (0, 1):
         ids = known.filter(F.col("_y") == c).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(fit_rows)
         chosen = ids if chosen is None else chosen.union(ids)
     some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    fit = some.select("text", "_y", "doc_id").mapInArrow(sets, "y int, x binary").toPandas()
-    digest = fit["x"].map(lambda x: (len(x), bytes(x)))
-    fit = fit.assign(_k=digest).sort_values(["y", "_k"], kind="stable")
-    return fit_hinge([np.frombuffer(x, np.int32) for x in fit["x"]], fit["y"].to_numpy(), ratios)
+    fit = some.select("text", "_y", "doc_id").mapInArrow(sets, "doc_id long, y int, x binary").toPandas().sort_values("doc_id")
+    pa.default_memory_pool().release_unused()
+    return fit_hinge([np.frombuffer(x, np.int32) for x in fit["x"]], fit["y"].to_numpy(), ratios, float(n1 / (n0 + n1)))
 
 
 def score_quality(docs: DataFrame, model: NbSvm) -> DataFrame:
@@ -144,14 +142,12 @@ def score_quality(docs: DataFrame, model: NbSvm) -> DataFrame:
 
     Only the text counts.  A null text is an empty one, whose score is that of no n-grams at all.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.ratios, model.weights, model.bias, model.slope, model.shift))
+    shared = docs.sparkSession.sparkContext.broadcast((model.ratios, model.weights, model.bias, model.floor, model.slope, model.shift))
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = NbSvm(*shared.value)
         for texts in parts:
-            out = np.zeros(len(texts))
-            for begin, found in features(pa.array(texts, pa.large_string(), from_pandas=True)):
-                out[begin : begin + len(found)] = NbSvm(*shared.value).scores(found)
-            yield pd.Series(out)
+            yield pa.array(np.concatenate([model.scores(found) for _, found in features(texts)] or [np.zeros(0)]))
 
     return docs.withColumn("score", score("text"))

@@ -33,19 +33,36 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_CLASS = np.full(256, 5, dtype=np.uint64)  # punctuation and control bytes
+_CLASS[48:58], _CLASS[65:91], _CLASS[97:123], _CLASS[128:] = 1, 2, 3, 4
+
+
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of words and the places of all bytes inside words."""
+    inside = ~_SPACE[data]
+    first = np.zeros(len(data), dtype=bool)
+    first[:1] = True
+    first[offsets[:-1][offsets[:-1] < len(data)]] = True
+    start = inside.copy()
+    start[1:] &= ~inside[:-1] | first[1:]
+    return np.flatnonzero(start), np.flatnonzero(inside)
+
+
+def word_shapes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """What kind of word each is: classes of its first, middle and last byte and its size up to 7, as a small number."""
+    at, kept = word_starts(data, offsets)
+    begin = np.searchsorted(kept, at)
+    size = np.diff(np.append(begin, len(kept)))
+    kinds = _CLASS[data]
+    return kinds[at] | (kinds[at + size // 2] << np.uint64(3)) | (kinds[at + size - 1] << np.uint64(6)) | (np.minimum(size, 7).astype(np.uint64) << np.uint64(9))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One hash a word (a run of bytes other than ASCII white space, A-Z lower-cased) and the rows' word offsets."""
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
-    first = np.zeros(n, dtype=bool)
-    first[0] = True
-    first[offsets[:-1][offsets[:-1] < n]] = True
-    start = inside.copy()
-    start[1:] &= ~inside[:-1] | first[1:]
-    at = np.flatnonzero(start)
-    kept = np.flatnonzero(inside)
+    at, kept = word_starts(data, offsets)
     begin = np.searchsorted(kept, at)
     lengths = np.diff(np.append(begin, len(kept)))
     place = np.arange(len(kept)) - np.repeat(begin, lengths)
@@ -75,7 +92,7 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[
     return mix(out), out_offsets
 
 
-def bounded(texts: pa.Array, most: int = 2_000_000):
+def bounded(texts: pa.Array, most: int = 500_000):
     """(first row, rows) pieces of a string column with at most ``most`` bytes each, or one row."""
     at, begin, size = 0, 0, 0
     lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0))
