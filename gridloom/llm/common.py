@@ -8,7 +8,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,11 +45,9 @@ def dropped(spark: SparkSession, *paths: str) -> None:
 def bit_table(df: DataFrame, column: str, bits: int):
     """Broadcast a table of 2 ** ``bits`` bits, set at the hashes of a column's values; its size never grows."""
     slot = F.pmod(F.xxhash64(column), F.lit(1 << bits))
-    words = df.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("v")).toPandas()
+    words = df.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("v")).toArrow()
     table = np.zeros((1 << bits) // 64, dtype=np.int64)
-    table[words["w"].to_numpy(dtype=np.int64)] = words["v"].to_numpy(dtype=np.int64)
-    del words
-    pa.default_memory_pool().release_unused()
+    table[words["w"].to_numpy()] = words["v"].to_numpy()
     return df.sparkSession.sparkContext.broadcast(table)
 
 

@@ -16,6 +16,8 @@ from gridloom.llm.shingles import bounded, column_bytes, mix, word_hashes, word_
 FEATURE_BITS = 18
 #: The hinge-loss model is fitted on so many rows of each class at most; counts take all labelled rows.
 FIT_ROWS = 1000
+#: Up to so many labels (some 50 MB) the join with texts broadcasts them; beyond it, both sides are shuffled.
+BROADCAST_LABELS = 1_000_000
 
 
 def features(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -95,7 +97,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     labels of one class only, or none, every text has the score of that class's share.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min(label).cast("int").alias("_y"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id")
+    small = known.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    rows = docs.select("doc_id", "text").join(F.broadcast(known) if small else known, "doc_id")
 
     def counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, sums = False, np.zeros((2, (1 << FEATURE_BITS) + 1), dtype=np.int64)
@@ -111,9 +114,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[0, at]), pa.array(sums[1, at])], ["f", "c0", "c1"])
 
     # at most 2 ** FEATURE_BITS + 1 rows, whatever the input
-    table = rows.select("text", "_y").mapInArrow(counts, "f long, c0 long, c1 long").groupBy("f").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toPandas()
+    table = rows.select("text", "_y").mapInArrow(counts, "f long, c0 long, c1 long").groupBy("f").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toArrow()
     sums = np.zeros((2, (1 << FEATURE_BITS) + 1))
-    sums[0, table["f"]], sums[1, table["f"]] = table["c0"], table["c1"]
+    sums[0, table["f"].to_numpy()], sums[1, table["f"].to_numpy()] = table["c0"].to_numpy(), table["c1"].to_numpy()
     n0, n1 = sums[:, -1]
     if not n0 or not n1:
         share = (n1 + 1) / (n0 + n1 + 2)
@@ -132,9 +135,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
         ids = known.filter(F.col("_y") == c).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(fit_rows)
         chosen = ids if chosen is None else chosen.union(ids)
     some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    fit = some.select("text", "_y", "doc_id").mapInArrow(sets, "doc_id long, y int, x binary").toPandas().sort_values("doc_id")
-    pa.default_memory_pool().release_unused()
-    return fit_hinge([np.frombuffer(x, np.int32) for x in fit["x"]], fit["y"].to_numpy(), ratios, float(n1 / (n0 + n1)))
+    fit = some.select("text", "_y", "doc_id").mapInArrow(sets, "doc_id long, y int, x binary").toArrow().sort_by("doc_id")
+    return fit_hinge([np.frombuffer(x, np.int32) for x in fit["x"].to_pylist()], fit["y"].to_numpy(), ratios, float(n1 / (n0 + n1)))
 
 
 def score_quality(docs: DataFrame, model: NbSvm) -> DataFrame:
