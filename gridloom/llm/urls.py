@@ -29,7 +29,7 @@ class RuleTrie:
     """Nodes are dicts: host labels from the right, then, below the key "/", whole path segments.
 
     A rule's last segment need not be whole: it is kept as a tail at the node of the segments before it, and
-    fits every segment run that starts with it.  More host labels win over fewer, then longer paths over
+    fits every segment run that starts with it.  A rule without a path is kept below "*".  More host labels win over fewer, then longer paths over
     shorter ones, then block over allow.
     """
 
@@ -40,6 +40,10 @@ class RuleTrie:
             for label in reversed([x for x in host.translate(_LOWER).split(".") if x]):
                 node = node.setdefault(label, {})
             node = node.setdefault("/", {})
+            if not path:
+                if node.get("*", ("", "allow"))[1] != "block":
+                    node["*"] = (f"{host.translate(_LOWER)}/", verdict)
+                continue
             *whole, tail = (path[1:] if path.startswith("/") else path).split("/")
             for segment in whole:
                 node = node.setdefault("/" + segment, {})
@@ -49,10 +53,10 @@ class RuleTrie:
 
     @staticmethod
     def _longest(node: dict | None, path: str) -> tuple[str, str] | None:
-        found, at = None, 1
+        found, at = node.get("*") if node else None, 1
         while node is not None:
             if tails := node.get(""):
-                fits = [t for t in tails if path.startswith(t, at) and (path or not t)]
+                fits = [t for t in tails if path.startswith(t, at)]
                 if fits:
                     found = tails[max(fits, key=len)]
             end = path.find("/", at)
@@ -77,7 +81,8 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
 
     ``rules`` are (host, path, "allow" or "block").  A rule fits its host and all subdomains if the url's path
     starts with the rule's.  A null url or one without ``://`` has an empty host and path, which no rule fits;
-    ``default`` is the verdict without a rule.  A rule with the path "/" fits a url without a path as well.
+    ``default`` is the verdict without a rule.  A rule with the path "/" fits no url without a path; one with an
+    empty path fits every url of its hosts.
     Repeated rows and rules change nothing.  The rules are broadcast; their size is checked.
     """
     rules = [(h, p, v) for h, p, v in rules]

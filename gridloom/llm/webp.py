@@ -12,6 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the format: the order in which code length code lengths are stored, and the (x, y) offsets
 # that the 120 shortest distance codes stand for.
@@ -496,5 +497,5 @@ def read_pixels(rows: DataFrame, media: str = "media") -> DataFrame:
             kept = [n for n in batch.schema.names if n not in ("width", "height", "argb")]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + own, [*kept, "width", "height", "argb"])
 
-    schema = rows.drop("width", "height", "argb").schema.add("width", "int").add("height", "int").add("argb", "array<long>")
+    schema = rows.drop("width", "height", "argb").schema.add("width", T.IntegerType()).add("height", T.IntegerType()).add("argb", T.ArrayType(T.LongType()))
     return rows.mapInArrow(pixels, schema)
