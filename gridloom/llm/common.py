@@ -66,7 +66,16 @@ def maybe_in(column: str, table, bits: int) -> Column:
     return look(F.pmod(F.xxhash64(column), F.lit(1 << bits)))
 
 
-def running_start(df: DataFrame, group: list[str], order: list[str], value: str | Column, out: str, buckets: int = 1024) -> DataFrame:
+def buckets_for(rows: int) -> int:
+    """Into how many buckets ``running_start`` should deal a group of so many rows: 32,768 rows make one."""
+    return max(1024, rows >> 15)
+
+
+def bucket_of(order: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*order, F.lit(17)), F.lit(buckets)).cast("int")
+
+
+def running_start(df: DataFrame, group: list[str], order: list[str], value: str | Column, out: str, buckets: int) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the same group that come before this one.
 
     Rows are ordered by (hash bucket of ``order``, ``order``), a reproducible shuffle.  A group, even one that
@@ -74,7 +83,7 @@ def running_start(df: DataFrame, group: list[str], order: list[str], value: str
     Adds ``bucket`` as well.
     """
     value = F.col(value) if isinstance(value, str) else value
-    df = df.withColumn("bucket", F.pmod(F.xxhash64(*order, F.lit(17)), F.lit(buckets)).cast("int"))
+    df = df.withColumn("bucket", bucket_of(order, buckets))
     key = [*group, "bucket"]
     before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     total = df.groupBy(*key).agg(F.sum(value).alias("_sum"))

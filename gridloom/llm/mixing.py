@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import running_start, stored
+from gridloom.llm.common import bucket_of, buckets_for, running_start, stored
 
 #: Fractional part of the golden ratio: its multiples modulo 1 fill the unit interval evenly.
 GOLDEN = 0.6180339887498949
+#: With so many sources at most (some 10 MB with their slots) the join with their plan broadcasts it; with more, a
+#: copy for each bucket of a source meets the rows where the running sum has already put them.
+BROADCAST_SOURCES = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -65,7 +68,7 @@ def slot_schedule(targets: DataFrame, slots: int) -> DataFrame:
     return grouped.select("source", "source_size", "weight", "target", F.when(F.size("slots") > 0, F.col("slots")).otherwise(middle).alias("slots"))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1.5, max_repeat: int = 2, slots: int = 16384, seed: int = 1, keep: Sequence[str] = ()) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1.5, max_repeat: int = 2, slots: int = 16384, seed: int = 1, keep: Sequence[str] = (), broadcast_sources: int = BROADCAST_SOURCES) -> DataFrame:
     """One row a row of ``docs``: doc_id, source, size (words), source_size, target, slots, and ``keep``.
 
     ``slots`` has the schedule slot of each copy that the mix takes, so its length says how often the document
@@ -83,11 +86,17 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: f
         *[F.col(c).alias(f"_keep_{c}") for c in keep],
     )
     narrow = base if keep else stored(base)[0]
-    totals = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = slot_schedule(source_targets(totals, weights, epochs, max_repeat), slots).withColumn("_null", F.col("source").isNull()).withColumn("_key", F.coalesce("source", F.lit("")))
-    rows = narrow.withColumn("_null", F.col("source").isNull()).withColumn("_key", F.coalesce("source", F.lit("")))
-    rows = running_start(rows, ["_key", "_null"], ["_shuffle", "doc_id"], "size", "_start")
-    rows = rows.join(plan.drop("source"), ["_key", "_null"])
+    totals, _ = stored(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")))
+    sources, largest = totals.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
+    keyed = lambda df: df.withColumn("_null", F.col("source").isNull()).withColumn("_key", F.coalesce("source", F.lit("")))
+    plan = keyed(slot_schedule(source_targets(totals.drop("n"), weights, epochs, max_repeat), slots)).drop("source")
+    order, buckets = ["_shuffle", "doc_id"], buckets_for(largest)
+    rows = running_start(keyed(narrow), ["_key", "_null"], order, "size", "_start", buckets)
+    if sources <= broadcast_sources:
+        rows = rows.join(F.broadcast(plan), ["_key", "_null"])
+    else:
+        met = keyed(narrow).select("_key", "_null", bucket_of(order, buckets).alias("bucket")).distinct()
+        rows = rows.join(met.join(plan, ["_key", "_null"]), ["_key", "_null", "bucket"])
     middle = F.col("_start") + F.col("size") / F.lit(2.0)
     copies = F.transform(F.array(*[F.lit(i) for i in range(max_repeat)]), lambda i: i * F.col("source_size") + middle)
     taken = F.filter(copies, lambda p: (p < F.col("target")) & (F.col("size") > 0))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import running_start
+from gridloom.llm.common import buckets_for, running_start
 
 
 def _round(x: np.ndarray, key: int) -> np.ndarray:
@@ -57,7 +57,7 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 1) -> DataFrame:
     """
     n = docs.count()
     rows = docs.drop("row_number", "shard", "slot").withColumn("_crc", F.crc32(F.col("text").cast("binary")))
-    rows = running_start(rows, [], ["doc_id", "_crc"], F.lit(1).cast("long"), "row_number")
+    rows = running_start(rows, [], ["doc_id", "_crc"], F.lit(1).cast("long"), "row_number", buckets_for(n))
 
     @F.pandas_udf("long")
     def place(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -391,6 +391,9 @@ def test_mix_meets_targets(spark):
         assert target[s] == pytest.approx(want[s]) and abs(taken[s] - target[s]) <= 40
     again = mixing.mix_sources(df.repartition(7)).collect()
     assert sorted(map(str, out)) == sorted(map(str, again))
+    # more sources than are broadcast
+    shuffled = mixing.mix_sources(df, broadcast_sources=0).collect()
+    assert sorted(map(str, out)) == sorted(map(str, shuffled))
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 
