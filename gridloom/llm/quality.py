@@ -62,20 +62,23 @@ def fit_hinge(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, pr
     """Dual coordinate descent: each row's multiplier moves to its best value between 0 and its class's cost."""
     y = np.where(labels == 1, 1.0, -1.0)
     floor = float(np.median([np.square(ratios[x]).sum() for x in rows])) + 1e-9
-    values = [(ratios[x] / np.sqrt(np.square(ratios[x]).sum() + floor)).astype(np.float32) for x in rows]
+    # a row's values are made from the ratios at each visit: kept, they would take as much memory as the rows again
+    lengths = [np.sqrt(np.square(ratios[x]).sum() + floor) for x in rows]
+    values = lambda i: ratios[rows[i]] / lengths[i]
     caps = np.where(y > 0, cost * len(y) / (2 * max(1, (y > 0).sum())), cost * len(y) / (2 * max(1, (y < 0).sum())))
     w, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(y))
-    norms = np.array([np.square(v, dtype=np.float64).sum() + 1.0 for v in values])  # the bias is a feature of value 1
+    norms = np.array([np.square(values(i)).sum() + 1.0 for i in range(len(y))])  # the bias is a feature of value 1
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in order.permutation(len(y)):
-            gradient = y[i] * (w[rows[i]] @ values[i] + bias) - 1
+            x, v = rows[i], values(i)
+            gradient = y[i] * (w[x] @ v + bias) - 1
             after = min(max(alpha[i] - gradient / norms[i], 0.0), caps[i])
             if after != alpha[i]:
-                w[rows[i]] += (after - alpha[i]) * y[i] * values[i]
+                w[x] += (after - alpha[i]) * y[i] * v
                 bias += (after - alpha[i]) * y[i]
                 alpha[i] = after
-    margins = np.array([w[x] @ v for x, v in zip(rows, values, strict=True)]) + bias
+    margins = np.array([w[x] @ values(i) for i, x in enumerate(rows)]) + bias
     # a logistic curve through the margins, classes weighed as they occur, with smoothed targets
     share, slope, shift = np.where(y > 0, prior / max(1, (y > 0).sum()), (1 - prior) / max(1, (y < 0).sum())), 1.0, 0.0
     goal = np.where(y > 0, ((y > 0).sum() + 1) / ((y > 0).sum() + 2), 1 / ((y < 0).sum() + 2))
@@ -136,7 +139,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
         chosen = ids if chosen is None else chosen.union(ids)
     some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     fit = some.select("text", "_y", "doc_id").mapInArrow(sets, "doc_id long, y int, x binary").toArrow().sort_by("doc_id")
-    return fit_hinge([np.frombuffer(x, np.int32) for x in fit["x"].to_pylist()], fit["y"].to_numpy(), ratios, float(n1 / (n0 + n1)))
+    # views of the Arrow buffers, no copies
+    found = [np.frombuffer(x.as_buffer(), np.int32) for x in fit["x"]]
+    return fit_hinge(found, fit["y"].to_numpy(), ratios, float(n1 / (n0 + n1)))
 
 
 def score_quality(docs: DataFrame, model: NbSvm) -> DataFrame:
