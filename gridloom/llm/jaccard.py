@@ -12,8 +12,11 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
 4. For a pair, set bits of one bitmap that the other lacks bound the overlap from above; what passes is
    decided by intersecting the sorted arrays.
 5. Each class is first compared with the first class of each of its tiles, which joins large groups of copies; then all pairs
-   of different components that share a tile are compared.  So no group is ever spread out into all its pairs,
-   and no link between different components is lost.
+   of different components that share a tile are compared.  That gives the components, without spreading any group
+   out into all its pairs.
+6. Where links are asked for, each of these first components is dealt into blocks, and every two blocks meet in one
+   cell, where all their pairs are tried by exact overlaps.  With the links between different components of step 5
+   these are all links, each once.
 """
 
 from __future__ import annotations
@@ -38,6 +41,9 @@ WANTED_BITS = 23
 #: One document of so many is counted for the levels, and a shingle seen so often among them is common.
 LEVEL_SAMPLE = 16
 COMMON = 3
+#: A block of a component has about so many classes and elements at most.
+BLOCK = 512
+BLOCK_ELEMENTS = 1 << 20
 
 
 def _sets(texts: pa.Array, k: int, levels: np.ndarray | None) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -71,6 +77,46 @@ def overlap_bound(a: bytes, b: bytes, n: int, m: int) -> int:
     return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``left`` shares with each of ``right``; elements of one side count for nothing."""
+    sizes = [len(s) for s in [*left, *right]]
+    ids = np.unique(np.concatenate([*left, *right]), return_inverse=True)[1]
+    cut = sum(sizes[: len(left)])
+    a, b = ids[:cut], ids[cut:]
+    rows, cols = np.repeat(np.arange(len(left)), sizes[: len(left)]), np.repeat(np.arange(len(right)), sizes[len(left) :])
+    na, nb = np.bincount(a, minlength=ids.max() + 1), np.bincount(b, minlength=ids.max() + 1)
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    # elements of many pairs by products of matrices, the others pair by pair
+    many = 100 * na * nb > out.size
+    wide = 1024
+    place = np.cumsum(many) - 1
+    a_many, b_many = many[a], many[b]
+    for begin in range(0, int(many.sum()), wide):
+        parts = []
+        for own, element, height, there in ((rows, a, len(left), a_many), (cols, b, len(right), b_many)):
+            at = place[element] - begin
+            take = there & (at >= 0) & (at < wide)
+            part = np.zeros((height, wide), dtype=np.float32)
+            part[own[take], at[take]] = 1
+            parts.append(part)
+        out += (parts[0] @ parts[1].T).astype(np.int64)
+    order = np.argsort(b, kind="stable")
+    first = np.cumsum(nb) - nb
+    few = np.flatnonzero(~a_many & (nb[a] > 0))
+    ends = np.cumsum(nb[a[few]])
+    begin, most = 0, 1 << 22
+    while begin < len(few):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + most, side="right")))
+        some = few[begin:end]
+        times = nb[a[some]]
+        inner = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        met = cols[order[np.repeat(first[a[some]], times) + inner]]
+        out += np.bincount(np.repeat(rows[some], times) * len(right) + met, minlength=out.size).reshape(out.shape)
+        begin = end
+    return out
+
+
 def levels_of(docs: DataFrame, k: int) -> np.ndarray:
     """A table by hash bucket: 0, or about the logarithm of the count of the bucket's most common shingle."""
     part = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(LEVEL_SAMPLE)) == 0).select("text")
@@ -144,8 +190,11 @@ def _enough(n: Column, m: Column, t: Fraction) -> Column:
     return F.ceil((F.lit(t.numerator) * (n + m)).cast("double") / F.lit(float(t.numerator + t.denominator)) - F.lit(1e-9)).cast("long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t: Fraction, levels) -> tuple[DataFrame, str]:
-    """The pairs (a, b) that are links: first by bitmaps, then by the sorted arrays of what is left."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t: Fraction, levels) -> tuple[DataFrame, str, DataFrame, str]:
+    """The pairs (a, b) that are links, and the sorted arrays (node, s) of what was compared, with their paths.
+
+    Bitmaps decide first, the sorted arrays what is left.
+    """
     num, den = t.numerator, t.denominator
     side = lambda x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
 
@@ -179,21 +228,93 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t:
 
     both = left.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     out, out_path = stored(both.filter(linked("sa", "sb")).select("a", "b"))
-    dropped(docs.sparkSession, path, sets_path)
-    return out, out_path
+    dropped(docs.sparkSession, path)
+    return out, out_path, sets, sets_path
+
+
+def _inside(near: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, t: Fraction, pairs: bool) -> DataFrame:
+    """All links between classes of one component of ``near``: as pairs (a, b), or counted by class (node, n_links).
+
+    A component is dealt into blocks by hash.  Every two blocks, and every block with itself, are a cell, so each
+    pair is tried in exactly one cell and no task sees more than two blocks.  A component of two is its only link.
+    """
+    num, den = t.numerator, t.denominator
+    member = roots.join(classes.select("node", "n"), "node")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS))).cast("int")
+    size = member.groupBy("root").agg(F.count(F.lit(1)).alias("m"), blocks.alias("blocks"))
+    dealt = member.join(size, "root").withColumn("own", F.pmod(F.xxhash64("node", F.lit(23)), F.col("blocks")).cast("int"))
+    cells = dealt.filter("m > 2").select("root", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "own").join(sets, "node")
+    names = ["a", "b"] if pairs else ["node", "n_links"]
+
+    def meet(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(key: tuple, rows: list) -> pa.RecordBatch:
+            sides = [[(node, np.frombuffer(s, np.uint64)) for node, own, s in rows if own == at] for at in key[1:]]
+            left, right = ([s for _, s in side] for side in sides)
+            a, b = (np.array([node for node, _ in side], dtype=np.int64) for side in sides)
+            if not left or not right:
+                return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names)
+            common = overlaps(left, right)
+            linked = den * common >= num * (np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right]) - common)
+            if key[1] == key[2]:
+                linked = np.triu(linked, 1)
+            if pairs:
+                i, j = np.nonzero(linked)
+                out = [a[i], b[j]]
+            else:
+                out = [np.concatenate([a, b]), np.concatenate([linked.sum(axis=1), linked.sum(axis=0)]).astype(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+
+        now, rows = None, []
+        for batch in parts:
+            for root, lo, hi, node, own, s in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (root, lo, hi) != now:
+                    if rows:
+                        yield links(now, rows)
+                    now, rows = (root, lo, hi), []
+                rows.append((node, own, s))
+        if rows:
+            yield links(now, rows)
+
+    ordered = cells.select("root", "lo", "hi", "node", "own", "s").repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
+    found = ordered.mapInArrow(meet, ", ".join(f"{c} long" for c in names))
+    two = near.join(dealt.filter("m = 2").select(F.col("node").alias("a")), "a", "left_semi").select("a", "b").distinct()
+    if pairs:
+        return found.union(two)
+    return found.union(two.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long")))
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, threshold: float = 0.75) -> DataFrame:
     """One row a row of ``docs``: doc_id, n_shingles, component_id, n_links.
 
-    component_id is the smallest doc_id that links lead to, its own included.  n_links counts the links of the
-    document's class with other classes that were verified, which connect the component; links inside one are not all tried.
+    component_id is the smallest doc_id that links lead to, its own included.  n_links counts all links of the
+    document's class with other classes; ``jaccard_links`` gives the links themselves.
 
     A null text is an empty one; texts without words link with nothing and are their own component.  A null
     doc_id counts for nothing in the minimum; a component of nulls only has a null component_id.  Rows with one
     doc_id and several texts are judged by their texts.  Other columns are ignored; an empty table gives an
     empty one.  Classes are told apart by 64-bit hashes of their sets.
     """
+    sig, member, links = _joined(docs, k, threshold, "counts")
+    out = member.select("node", "component_id").join(links, "node", "left")
+    return _labelled(sig, out).select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def jaccard_links(docs: DataFrame, k: int = 5, threshold: float = 0.75) -> DataFrame:
+    """One row a link between two classes of equal sets, each once: a, b (hashes of the sets), doc_a, doc_b (the smallest doc_id of each)."""
+    _, member, links = _joined(docs, k, threshold, "pairs")
+    side = lambda x: member.select(F.col("node").alias(x), F.col("first_id").alias(f"doc_{x}"))
+    return links.join(side("a"), "a").join(side("b"), "b").select("a", "b", "doc_a", "doc_b")
+
+
+def _labelled(sig: DataFrame, out: DataFrame) -> DataFrame:
+    """Each row of ``sig`` with what ``out`` says of its class; a text without words is its own component."""
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return sig.select("doc_id", "n", "node").join(out, "node", "left").withColumns({"n_shingles": F.col("n"), "component_id": component})
+
+
+def _joined(docs: DataFrame, k: int, threshold: float, want: str | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Signatures; (node, first_id, component_id) of classes; all links as ``want`` says: counts, pairs or none."""
     spark = docs.sparkSession
     t = Fraction(threshold).limit_denominator(1000)
     docs = docs.select("doc_id", "text")
@@ -233,8 +354,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: float = 0.75) ->
     stars = rows.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     sizes = classes.select(F.col("node").alias("a"), F.col("n").alias("na"))
     stars = stars.join(sizes, "a").join(sizes.toDF("b", "nb"), "b").filter((F.least("na", "nb") * den >= F.greatest("na", "nb") * num)).select("a", "b")
-    near, near_path = _verified(stars, classes, docs, k, t, levels)
+    near, near_path, sets, sets_path = _verified(stars, classes, docs, k, t, levels)
     roots = components(near)
+    inside = stored(_inside(near, roots, classes, sets, t, want == "pairs"))[0] if want else None
+    dropped(spark, sets_path)
 
     # what is in different components and shares a tile is compared; a component is its root
     placed = rows.drop("a").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).repartition("key")
@@ -249,20 +372,21 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: float = 0.75) ->
     fits &= (F.col("na") - F.col("pa") >= least) & (F.col("nb") - F.col("pb") >= least)
     rest = index.join(probe, ["key", "band"]).filter(fits).select("a", "b").distinct()
     # a node's place in the array bounds what can follow; equal sizes meet once, from the smaller node
-    more, more_path = _verified(rest, classes, docs, k, t, levels)
+    more, more_path, _, sets_path = _verified(rest, classes, docs, k, t, levels)
 
     edges, edges_path = stored(near.union(more).distinct())
     roots = components(edges)
     member = classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    links = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    out = member.join(lowest, "root").select("node", "component_id").join(links, "node", "left")
-    dropped(spark, near_path, more_path, rows_path, placed_path)
-    return sig.select("doc_id", "n", "node").join(out, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    member = member.join(lowest, "root").select("node", "first_id", "component_id")
+    links = None
+    if want == "pairs":  # ``more`` joins different components, so no link is in both
+        links = stored(inside.union(more.select("a", "b")))[0]
+    elif want:
+        ends = more.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n_links"))
+        links = stored(inside.union(ends).groupBy("node").agg(F.sum("n_links").alias("n_links")))[0]
+    dropped(spark, near_path, more_path, rows_path, placed_path, sets_path)
+    return sig, member, links
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: float = 0.75) -> DataFrame:
@@ -270,7 +394,8 @@ def keep_one(docs: DataFrame, k: int = 5, threshold: float = 0.75) -> DataFrame:
 
     Texts without words all stay, as do rows with a null doc_id; of repeated rows with the chosen doc_id one stays.
     """
-    found = jaccard_components(docs, k, threshold)
+    sig, member, _ = _joined(docs, k, threshold, None)
+    found = _labelled(sig, member)
     losers = found.filter("doc_id <> component_id").select("doc_id").distinct()
     columns = docs.columns
     kept = docs.join(losers, "doc_id", "left_anti")

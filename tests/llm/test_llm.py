@@ -88,6 +88,53 @@ def test_jaccard_equals_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
 
 
+def brute_links(rows, k=5):
+    """Links between distinct sets as pairs of the smallest ids, and the number of links of each id."""
+    sets = {}
+    for i, t in rows:
+        w = t.translate(LOW).split()
+        sets[i] = frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1))
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    links, own = set(), sorted(first.items(), key=lambda x: x[1])
+    for n, (a, i) in enumerate(own):
+        for b, j in own[n + 1 :]:
+            common = len(a & b)
+            if 100 * common >= 75 * (len(a) + len(b) - common):
+                links.add((i, j))
+    return links, {i: sum(first[s] in x for x in links) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize(("block", "sample"), [(7, 16), (512, 1)])
+def test_jaccard_counts_and_gives_all_links(spark, monkeypatch, block, sample):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "LEVEL_SAMPLE", sample)
+    rng = np.random.default_rng(8)
+    rows = [(n, " ".join(f"w{x}" for x in range(60)) + end) for n, end in enumerate((" 1", " 2", " 3"))]  # all three link
+    for size, copies in ((80, 60), (200, 30), (40, 2), (50, 3)):
+        base = [f"v{x}" for x in rng.integers(0, 10**6, size)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(int(rng.integers(0, 3))):
+                w[int(rng.integers(len(w)))] = f"x{int(rng.integers(10**6))}"
+            rows.append((len(rows), " ".join(w)))
+    chain = [f"c{x}" for x in range(160)]  # linked with neighbours only
+    rows += [(len(rows) + i, " ".join(chain[6 * i : 6 * i + 70])) for i in range(15)]
+    links, counts = brute_links(rows)
+    assert {(0, 1), (0, 2), (1, 2)} <= links
+    df = docs(spark, rows)
+    got = [tuple(sorted((r.doc_a, r.doc_b))) for r in jaccard.jaccard_links(df).collect()]
+    assert sorted(got) == sorted(links)
+    assert {r.doc_id: r.n_links for r in jaccard.jaccard_components(df).collect()} == counts
+
+
+def test_overlaps_equal_intersections():
+    rng = np.random.default_rng(5)
+    left, right = ([np.unique(np.append(rng.integers(0, top, n), 7).astype(np.uint64)) for n, top in zip(rng.integers(0, 60, k), rng.choice([50, 5000], k), strict=True)] for k in (150, 90))
+    assert (jaccard.overlaps(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
+
+
 def test_jaccard_null_ids_and_empty_table(spark):
     rows = [(None, "a b c d e f"), (7, "a b c d e f"), (None, "q w e r t y"), (None, "q w e r t y")]
     got = sorted(jaccard.jaccard_components(docs(spark, rows)).collect(), key=str)
