@@ -13,14 +13,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is never text of a page.
-_UNSEEN = frozenset("script style template noscript iframe svg canvas object head textarea select datalist audio video map math".split())
+#: Elements whose content is never text of a page; without an end tag the first two reach to the end of the page,
+#: head to the first tag that can't be in it, and the others to the end of their parent.
+_RAW = frozenset("script style".split())
+_UNSEEN = frozenset("template iframe svg canvas head textarea select datalist audio video".split())
+_IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template".split())
 #: Elements without an end tag.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements inside a line of text; all others begin and end blocks.
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input "
+    "object map math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mfenced mstyle mspace mpadded mtable mtr mtd semantics annotation".split()
 )
+#: Elements that end an open paragraph, even one with an unclosed unseen element in it.
+_ENDS_P = frozenset("p div section article main aside header footer nav h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote form figure hr details address fieldset".split())
 #: Elements that an element of the same group, opened inside their parent, ends.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -31,6 +37,11 @@ PATH_BUCKETS, WORD_BUCKETS = 1024, 1024
 PATH_SIZE, WORD_SIZE, SCALARS, HIDDEN = 16, 6, 5, 16
 
 
+@cache
+def _ending(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I)
+
+
 def blocks(page: str | None) -> list[tuple[list[str], str, int]]:
     """The leaves of a page in order: (tags, classes and ids above it, its text, characters inside links).
 
@@ -52,6 +63,10 @@ def blocks(page: str | None) -> list[tuple[list[str], str, int]]:
 
     def add(raw: str) -> None:
         nonlocal linked
+        if stack and stack[-1][0] == "head" and raw.strip():
+            stack.pop()
+        if any(tag in _UNSEEN for tag, _ in stack):
+            return
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
         if any(tag == "a" for tag, _ in stack):
@@ -80,21 +95,36 @@ def blocks(page: str | None) -> list[tuple[list[str], str, int]]:
         if tag == "br":
             parts.append(" ")
             continue
-        if tag in _UNSEEN:
-            if tag not in _INLINE:
-                end_block()
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            if not found[0].endswith("/>"):
+        if tag not in _IN_HEAD and any(t == "head" for t, _ in stack):
+            inner = [t for t, _ in stack]
+            if tag == "body" or "noscript" not in inner or not _ending("noscript").search(page, at):
+                del stack[inner.index("head") :]
+        if tag in _RAW or tag in _UNSEEN:
+            end_block()
+            if found[0].endswith("/>"):
+                continue
+            close = _ending(tag).search(page, at)
+            if tag in _RAW:
                 at = close.end() if close else len(page)
+                continue
+            # what ends before its parent does and has no other of its kind inside is passed over at once
+            parent = next((t for t, _ in reversed(stack) if t not in _INLINE), None)
+            if tag != "head" and close and not (parent and _ending(parent).search(page, at, close.start())) and not re.compile(rf"<{re.escape(tag)}\b", re.I).search(page, at, close.start()):
+                at = close.end()
+            else:
+                stack.append((tag, []))
             continue
         if tag not in _INLINE:
             end_block()
             # a new block ends an open paragraph and inline elements in it
+            unclosed = next((i for i, (t, _) in enumerate(stack) if t in _UNSEEN), len(stack))
+            if unclosed < len(stack) and (tag not in _ENDS_P or _ending(stack[unclosed][0]).search(page, at)):
+                unclosed = len(stack)
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
                     del stack[i:]
                     break
-                if stack[i][0] not in _INLINE:
+                if stack[i][0] not in _INLINE and i < unclosed:
                     break
             if tag in _ENDS:
                 for i in range(len(stack) - 1, -1, -1):

@@ -542,3 +542,19 @@ def test_driver_sees_all_eleven():
     names = set(e.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
     assert os.path.exists(os.path.join(os.path.dirname(e.__file__), "corpus_pipeline.py"))
+
+
+@pytest.mark.parametrize(("markup", "texts"), [
+    ("<html><head><title>x</title><body><article><p>one</p><p>two</p></article>", ["one", "two"]),
+    ("<head><title>x</title><meta a=b><p>one</p><p>two", ["one", "two"]),
+    ("<head><title>x</title></head><body><p>one", ["one"]),
+    ("<head><noscript><img src=a></noscript><title>x</title></head><p>one", ["one"]),
+    ("<article><noscript>a</noscript><p>b <math><mi>x</mi><mo>=</mo></math> c</p><object>d</object><map>e</map></article>", ["a", "b x= c", "de"]),
+    ("<p>a</p><script>b <p>c", ["a"]),
+    ("<div><template><div>x</div></template>a</div>", ["a"]),
+    *[(f"<div><div>a<{t}><b>x</b></div><p>b</p></div>", ["a", "b"]) for t in ("select", "textarea", "audio", "video", "svg", "template", "canvas")],
+    ("<p>a<select><option>x<p>b", ["a", "b"]),
+    ("<div>a<svg><svg>x</svg>y</svg>b</div>", ["a", "b"]),
+])
+def test_unclosed_elements_lose_no_text(markup, texts):
+    assert [t for _, t, _ in htmltext.blocks(markup)] == texts
