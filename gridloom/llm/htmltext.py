@@ -149,13 +149,14 @@ def _bucket(word: str, n: int) -> int:
     return zlib.crc32(word.encode()) % n
 
 
-def vectors(found: list[tuple[list[str], str, int]]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Of each block: buckets of its path's parts, of its first and last words, and a few numbers."""
+def vectors(found: list[tuple[list[str], str, int]]) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Of each block: buckets of its path's parts, buckets of all its words with their shares, and a few numbers."""
     paths, words, numbers = [], [], np.zeros((len(found), SCALARS))
     for i, (path, text, linked) in enumerate(found):
         paths.append(np.unique([_bucket(x, PATH_BUCKETS) for x in path] or [0]))
-        own = [w.lower() for w in _WORD.findall(text[:200])][:12]
-        words.append(np.array([zlib.crc32(w.encode()) % WORD_BUCKETS for w in own] or [0]))
+        counts = np.bincount([zlib.crc32(w.encode()) % WORD_BUCKETS for w in _WORD.findall(text.lower())] or [0])
+        used = np.flatnonzero(counts)
+        words.append((used, counts[used] / counts.sum()))
         n = len(text)
         numbers[i] = (np.log1p(n) / 6, min(1.0, linked / n), text[-1] in ".!?…", text.count(",") * 20 / (n + 20), 1.0 / (1 + i))
     return paths, words, numbers
@@ -180,9 +181,9 @@ def _inputs(w: dict, pages: list, longest: int) -> tuple[np.ndarray, np.ndarray]
     x = np.zeros((longest, len(pages), PATH_SIZE + WORD_SIZE + SCALARS))
     mask = np.zeros((longest, len(pages)))
     for p, (paths, words, numbers) in enumerate(pages):
-        for i, (a, b) in enumerate(zip(paths, words, strict=True)):
+        for i, (a, (b, share)) in enumerate(zip(paths, words, strict=True)):
             x[i, p, :PATH_SIZE] = w["path"][a].sum(axis=0)
-            x[i, p, PATH_SIZE : PATH_SIZE + WORD_SIZE] = w["word"][b].mean(axis=0)
+            x[i, p, PATH_SIZE : PATH_SIZE + WORD_SIZE] = share @ w["word"][b]
         x[: len(paths), p, PATH_SIZE + WORD_SIZE :] = numbers
         mask[: len(paths), p] = 1
     return x, mask
@@ -243,9 +244,9 @@ def _gradients(w: dict, pages: list, labels: list[np.ndarray]) -> dict[str, np.n
             dx[t] += gates @ w[f"x{d}"].T
             dh, dc = gates @ w[f"h{d}"].T + through, dfresh * f + dc * (1 - m)
     for p, (paths, words, _) in enumerate(pages):
-        for i, (a, b) in enumerate(zip(paths, words, strict=True)):
+        for i, (a, (b, share)) in enumerate(zip(paths, words, strict=True)):
             out["path"][a] += dx[i, p, :PATH_SIZE]
-            np.add.at(out["word"], b, dx[i, p, PATH_SIZE : PATH_SIZE + WORD_SIZE] / len(b))
+            out["word"][b] += share[:, None] * dx[i, p, PATH_SIZE : PATH_SIZE + WORD_SIZE]
     return out
 
 

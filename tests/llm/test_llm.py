@@ -558,3 +558,14 @@ def test_driver_sees_all_eleven():
 ])
 def test_unclosed_elements_lose_no_text(markup, texts):
     assert [t for _, t, _ in htmltext.blocks(markup)] == texts
+
+
+def test_all_words_of_a_block_count():
+    start = "word " * 60
+    same = [htmltext.vectors([(["p"], f"{start}{end}.", 0)])[1][0] for end in ("reply", "story")]
+    assert len(same[0][0]) == 2 and list(same[0][0]) != list(same[1][0])
+    assert sorted(same[0][1]) == pytest.approx([1 / 61, 60 / 61])
+    w = htmltext.new_weights()
+    w["word"] += np.arange(htmltext.WORD_BUCKETS)[:, None]
+    x = htmltext._inputs(w, [htmltext.vectors([(["p"], f"{start}reply.", 0)])], 1)[0][0, 0, htmltext.PATH_SIZE]
+    assert x == pytest.approx((60 * (zlib.crc32(b"word") % htmltext.WORD_BUCKETS) + zlib.crc32(b"reply") % htmltext.WORD_BUCKETS) / 61)
