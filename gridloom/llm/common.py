@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,22 +10,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridloom.sources.store import shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where that is unset (tests), a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.conf.get("spark.gridloom.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="gridloom-")
-        spark.conf.set("spark.gridloom.checkpoint.dir", found)
-    return found
-
-
 def stored(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/gridloom-{uuid.uuid4().hex}"

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.sources.store import shared_dir
+
 #: A sheet holds so many rows besides its header.
 SHEET_ROWS = 999_999
 
@@ -45,9 +49,13 @@ def numbered(rows: DataFrame, order: str, out: str = "no", pieces: int = 64) ->
     """Add row numbers from 1 over the whole table in the order of a unique column.
 
     Rows are dealt by ranges of the order; numbers inside a range and the counts of earlier ranges make them,
-    so no task sees the whole table.
+    so no task sees the whole table.  The dealt rows are written to the shared folder once: the bounds of ranges are
+    sampled, so dealing again for the counts could give other ranges.
     """
+    path = f"{shared_dir(rows.sparkSession)}/numbered-{uuid.uuid4().hex}"
     dealt = rows.repartitionByRange(pieces, order).withColumn("_p", F.spark_partition_id())
+    dealt.write.parquet(path)
+    dealt = rows.sparkSession.read.schema(dealt.schema).parquet(path)
     inside = dealt.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(order)))
     counts = inside.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range
     before = counts.withColumn("_b", F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

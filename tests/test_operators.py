@@ -202,3 +202,11 @@ def test_stream_reads_each_file_once(spark, tmp_path):
 
 def test_block_flags(spark):
     assert spark.range(1).select(cells.block_flags(F.lit(2), F.lit(0))).first()[0] == "unverified_geometry;no_stable_columns;short_block"
+
+
+def test_numbers_of_a_large_table_are_whole(spark):
+    from gridloom.operators.routing import numbered
+
+    rows = spark.range(0, 2_000_000, 1, 8).select((F.col("id") * 7_919 % 2_000_003).alias("id")).withColumn("text", F.concat(F.lit("t"), F.col("id").cast("string")))
+    out = numbered(rows, "id").agg(F.count_distinct("no"), F.min("no"), F.max("no"), F.count_distinct(F.when(F.col("text") == F.concat(F.lit("t"), F.col("id").cast("string")), F.col("id"))))
+    assert tuple(out.first()) == (2_000_000, 1, 2_000_000, 2_000_000)
