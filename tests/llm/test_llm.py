@@ -46,6 +46,20 @@ def test_chat_states_and_round_trip(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_chat_states_decide_losses(spark):
+    long = [(1, i, "user" if i % 2 == 0 else "assistant", f"t{i} " * (30_000 if i == 5 else 1)) for i in range(3 * chat.FOLD + 1)]
+    rows = [*long, (2, 0, "assistant", "x"), (2, 1, "assistant", "y"), (2, 2, "tool", "z")]
+    df = docs(spark, rows, "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r for r in chat.format_chats(df).collect()}
+    assert (out[1].state, out[1].valid, out[1].bad_turn) == ("asked", False, None)
+    assert [s.text for s in out[1].segments if s.loss] == [t for _, _, role, t in long if role == "assistant"]
+    assert (out[2].state, out[2].bad_turn) == ("bad", 1) and [s.text for s in out[2].segments if s.loss] == ["x", "y"]
+    # another machine, other losses
+    t = chat.ChatTemplate(moves={"start": {"user": "asked"}, "asked": {"assistant": "draft"}, "draft": {"assistant": "answered"}}, accepting=("answered",))
+    out = chat.format_chats(docs(spark, [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "assistant", "b")], "conv_id long, turn long, role string, text string"), t).first()
+    assert out.valid and [s.text for s in out.segments if s.loss] == ["b"]
+
+
 # ---- n-gram Jaccard join
 
 
