@@ -65,19 +65,22 @@ def bucket_of(order: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*order, F.lit(17)), F.lit(buckets)).cast("int")
 
 
-def running_start(df: DataFrame, group: list[str], order: list[str], value: str | Column, out: str, buckets: int) -> DataFrame:
+def running_start(df: DataFrame, group: list[str], order: list[str], value: str | Column, out: str, buckets: int, totals: DataFrame | None = None, plan: DataFrame | None = None) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows of the same group that come before this one.
 
     Rows are ordered by (hash bucket of ``order``, ``order``), a reproducible shuffle.  A group, even one that
     holds most rows, is spread over ``buckets`` tasks; only the bucket totals (``buckets`` a group) meet.
-    Adds ``bucket`` as well.
+    Adds ``bucket`` as well.  ``totals`` has the bucket totals (``_sum``) if they are known; ``plan`` has more
+    columns for each group, which come along with them.
     """
     value = F.col(value) if isinstance(value, str) else value
     df = df.withColumn("bucket", bucket_of(order, buckets))
     key = [*group, "bucket"]
     before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    total = df.groupBy(*key).agg(F.sum(value).alias("_sum"))
+    total = df.groupBy(*key).agg(F.sum(value).alias("_sum")) if totals is None else totals
     first = Window.partitionBy(*(group or [F.lit(0)])).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offset = total.select(*key, F.coalesce(F.sum("_sum").over(first), F.lit(0)).alias("_offset"))
+    if plan is not None:
+        offset = offset.join(plan, group)
     inside = df.withColumn("_inside", F.coalesce(F.sum(value).over(before(*key).orderBy(*order)), F.lit(0)))
     return inside.join(offset, key).withColumn(out, F.col("_offset") + F.col("_inside")).drop("_offset", "_inside")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,11 +10,8 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import bucket_of, buckets_for, running_start, stored
 
-#: Fractional part of the golden ratio: its multiples modulo 1 fill the unit interval evenly.
-GOLDEN = 0.6180339887498949
-#: With so many sources at most (some 10 MB with their slots) the join with their plan broadcasts it; with more, a
-#: copy for each bucket of a source meets the rows where the running sum has already put them.
-BROADCAST_SOURCES = 50_000
+#: A block of a source's stream has between half of this and this many words.
+BLOCK_WORDS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -47,59 +45,80 @@ def source_targets(totals: DataFrame, weights: Sequence[float], epochs: float, m
     return df.select("source", "source_size", "weight", target.alias("target"))
 
 
-def slot_schedule(targets: DataFrame, slots: int) -> DataFrame:
-    """Add ``slots``: the sorted schedule slots of each source.
+def cells_of(targets: DataFrame, bits: int) -> DataFrame:
+    """Add begin, end and block: the cells of each source on a grid of 2 ** ``bits``, and the words of its blocks.
 
-    Slot s is given to the source whose stretch of the cumulated targets holds the point frac(s * GOLDEN), so
-    every run of slots mirrors the shares closely.  A source too small to meet a point takes the slot in which
-    the middle of its stretch falls.
+    Slot t of the schedule plays the source whose stretch of the cumulated targets holds the van der Corput point
+    of t, whose bits are those of t in reverse.  The points of all slots are the grid's cells, each once, so a
+    source's slots are known by the cells of its stretch.  All blocks have the words of one cell.  A source whose
+    stretch holds no cell has the one around its middle, and a block of its target's words.
     """
-    spark = targets.sparkSession
     by_name = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
-    total = F.sum("target").over(Window.partitionBy(F.lit(0)))
-    lo = F.coalesce(F.sum("target").over(by_name.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) / total
-    hi = F.sum("target").over(by_name.rowsBetween(Window.unboundedPreceding, 0)) / total
-    span = targets.select("source", "source_size", "weight", "target", F.coalesce(lo, F.lit(0.0)).alias("_lo"), F.coalesce(hi, F.lit(0.0)).alias("_hi"))
-    points = spark.range(0, slots, 1, 8).select(F.col("id").alias("slot"), (F.col("id") * F.lit(GOLDEN)).alias("_x")).select("slot", (F.col("_x") - F.floor("_x")).alias("_u"))
-    # ``slots`` is a parameter that doesn't grow with the data, so the points can be broadcast
-    met = span.join(F.broadcast(points), (F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi")), "left")
-    grouped = met.groupBy("source", "source_size", "weight", "target", "_lo", "_hi").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
-    middle = F.array(F.floor((F.col("_lo") + F.col("_hi")) / 2 * F.lit(slots)).cast("long"))
-    return grouped.select("source", "source_size", "weight", "target", F.when(F.size("slots") > 0, F.col("slots")).otherwise(middle).alias("slots"))
-
-
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1.5, max_repeat: int = 2, slots: int = 16384, seed: int = 1, keep: Sequence[str] = (), broadcast_sources: int = BROADCAST_SOURCES) -> DataFrame:
-    """One row a row of ``docs``: doc_id, source, size (words), source_size, target, slots, and ``keep``.
-
-    ``slots`` has the schedule slot of each copy that the mix takes, so its length says how often the document
-    is taken.  A source's documents are shuffled (by a hash, the same in every run) into one stream; its target
-    is cut into as many equal-token blocks as it has slots, and block k plays in its k-th slot.  The stream
-    starts again after its end, up to ``max_repeat`` times.  A copy is taken if its middle lies before the
-    target, so a source's words miss its target by half a document at most.
+    whole = F.sum("target").over(Window.partitionBy(F.lit(0)))
+    size = F.lit(1 << bits)
+    reach = F.coalesce(F.try_divide(F.sum("target").over(by_name.rowsBetween(Window.unboundedPreceding, 0)), whole), F.lit(0.0))
+    df = targets.withColumns({"_whole": whole, "end": F.least(F.ceil(reach * size), size).cast("long")})
+    df = df.withColumn("begin", F.coalesce(F.lag("end").over(by_name), F.lit(0)).cast("long"))
+    small = (F.col("end") <= F.col("begin")) & (F.col("target") > 0)
+    middle = F.least(F.col("begin"), size - 1).cast("long")
+    return df.select(
+        "source", "source_size", "weight", "target",
+        F.when(small, middle).otherwise(F.col("begin")).alias("begin"), F.when(small, middle + 1).otherwise(F.col("end")).alias("end"),
+        F.when(small, F.col("target")).otherwise(F.try_divide(F.col("_whole"), size)).alias("block"),
+    )
+
+
+def slot_at(begin: Column, end: Column, rank: Column, bits: int) -> Column:
+    """The slot of this rank (from 0) among those whose points lie in the cells from ``begin`` up to ``end``.
+
+    Follows the slot's bits from the highest, which are the cell's from the lowest: at each, the cells of the
+    stretch with a 0 there are counted, and a rank beyond them goes to those with a 1.
+    """
+    upto = lambda x, rest, step: F.floor((x - 1 - rest) / step)
+
+    def descend(acc: Column, i: Column) -> Column:
+        step = F.call_function("shiftleft", F.lit(2).cast("long"), i)
+        zeros = (upto(end, acc["cell"], step) - upto(begin, acc["cell"], step)).cast("long")
+        one = acc["rank"] >= zeros
+        return F.struct(
+            (acc["cell"] + F.when(one, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))).alias("cell"),
+            (acc["rank"] - F.when(one, zeros).otherwise(F.lit(0).cast("long"))).alias("rank"),
+            (acc["slot"] * 2 + one.cast("long")).alias("slot"),
+        )
+
+    none = F.lit(0).cast("long")
+    return F.aggregate(F.sequence(F.lit(0), F.lit(bits - 1)), F.struct(none.alias("cell"), rank.cast("long").alias("rank"), none.alias("slot")), descend)["slot"]
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: float = 1.5, max_repeat: int = 2, seed: int = 1, rows: bool = False) -> DataFrame:
+    """One row a row of ``docs``: doc_id, source, size (words), source_size, target, slots; with ``rows``, row as well.
+
+    A source's documents are shuffled (by a hash, the same in every run) into one stream, which starts again after
+    its end, up to ``max_repeat`` times, and is cut into blocks of equally many words.  The schedule gives each
+    source its slots, and block k of the stream plays in its k-th slot: a copy of a document is taken if the block
+    that its middle lies in has a slot.  ``slots`` has the slot of each copy taken, so its length says how often.
+    ``row`` is the whole row of ``docs`` as a struct, whatever its columns are called.
 
     A null text has no words; documents without words are never taken nor needed.  A null source is a source.
     Rows with equal doc_id and text are interchangeable and count one by one.  A source without words has the
-    target 0.  An empty table gives an empty one.  Other columns of ``docs`` are ignored unless kept.
+    target 0; where no text has a word, all have and nothing is taken.  Texts are counted whole, however long.
+    An empty table gives an empty one.
     """
     base = docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", F.lit(seed)).alias("_shuffle"),
-        *[F.col(c).alias(f"_keep_{c}") for c in keep],
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []),
     )
-    narrow = base if keep else stored(base)[0]
-    totals, _ = stored(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")))
-    sources, largest = totals.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
+    narrow = base if rows else stored(base)[0]
     keyed = lambda df: df.withColumn("_null", F.col("source").isNull()).withColumn("_key", F.coalesce("source", F.lit("")))
-    plan = keyed(slot_schedule(source_targets(totals.drop("n"), weights, epochs, max_repeat), slots)).drop("source")
-    order, buckets = ["_shuffle", "doc_id"], buckets_for(largest)
-    rows = running_start(keyed(narrow), ["_key", "_null"], order, "size", "_start", buckets)
-    if sources <= broadcast_sources:
-        rows = rows.join(F.broadcast(plan), ["_key", "_null"])
-    else:
-        met = keyed(narrow).select("_key", "_null", bucket_of(order, buckets).alias("bucket")).distinct()
-        rows = rows.join(met.join(plan, ["_key", "_null"]), ["_key", "_null", "bucket"])
+    order, key, buckets = ["_shuffle", "doc_id"], ["_key", "_null"], buckets_for(narrow.count())
+    parts, _ = stored(keyed(narrow).groupBy("source", *key, bucket_of(order, buckets).alias("bucket")).agg(F.sum("size").alias("_sum")))
+    totals = parts.groupBy("source").agg(F.sum("_sum").alias("source_size"))
+    words = totals.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0] * float(epochs)
+    bits = max(4, math.ceil(math.log2(max(1.0, words) / BLOCK_WORDS)))
+    plan = keyed(cells_of(source_targets(totals, weights, epochs, max_repeat), bits)).drop("source")
+    placed = running_start(keyed(narrow), key, order, "size", "_start", buckets, parts.drop("source"), plan)
     middle = F.col("_start") + F.col("size") / F.lit(2.0)
-    copies = F.transform(F.array(*[F.lit(i) for i in range(max_repeat)]), lambda i: i * F.col("source_size") + middle)
-    taken = F.filter(copies, lambda p: (p < F.col("target")) & (F.col("size") > 0))
-    n = F.size("slots")
-    played = F.transform(taken, lambda p: F.element_at("slots", F.least(n, F.floor(p / F.col("target") * n).cast("int") + 1)))
-    return rows.select("doc_id", "source", "size", "source_size", "target", played.alias("slots"), *[F.col(f"_keep_{c}").alias(c) for c in keep if c not in ("doc_id", "source")])
+    number = lambda i: F.floor(F.try_divide(i * F.col("source_size") + middle, F.col("block"))).cast("long")
+    taken = F.filter(F.transform(F.array(*[F.lit(i) for i in range(max_repeat)]), number), lambda k: (k < F.col("end") - F.col("begin")) & (F.col("size") > 0))
+    slots = F.transform(taken, lambda k: slot_at(F.col("begin"), F.col("end"), k, bits))
+    return placed.select("doc_id", "source", "size", "source_size", "target", slots.alias("slots"), *(["row"] if rows else []))

@@ -69,7 +69,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("slots")).cast("long").alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("slots")).cast("long").alias("taken"), "slots")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

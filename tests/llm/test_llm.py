@@ -424,38 +424,87 @@ def test_token_counts(spark):
 # ---- mixing
 
 
-def test_mix_meets_targets(spark):
-    rng = np.random.default_rng(3)
-    rows = [(i, None if i % 50 == 0 else "w " * int(rng.integers(0, 40)), "s0" if i % 3 == 0 else None if i % 3 == 1 else f"s{i % 7}") for i in range(2000)]
-    df = docs(spark, rows, "doc_id long, text string, source string").withColumn("target", F.lit("clash"))
-    out = mixing.mix_sources(df).collect()
-    sizes, taken, target = {}, {}, {}
-    for r in out:
-        sizes[r.source] = sizes.get(r.source, 0) + r.size
-        taken[r.source] = taken.get(r.source, 0) + r.size * len(r.slots)
-        target[r.source] = r.target
-        assert len(r.slots) <= 2 and r.source_size >= r.size
-    names = sorted((s for s in sizes if s is not None)) + [None]
+def brute_targets(sizes, epochs=1.5, most=2.0):
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
-    want, free, left = {}, set(names), 1.5 * sum(sizes.values())
-    while True:
+    want, free, left = {}, set(names), epochs * sum(sizes.values())
+    while free:
         share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
-        over = [s for s in free if share[s] > 2 * sizes[s]]
+        over = [s for s in free if share[s] > most * sizes[s]]
         if not over:
             want |= share
             break
         for s in over:
-            want[s] = 2.0 * sizes[s]
+            want[s] = most * sizes[s]
             left -= want[s]
             free.discard(s)
+    return names, want
+
+
+def test_mix_by_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, None if i % 50 == 0 else "w " * int(rng.integers(0, 40)), "s0" if i % 3 == 0 else None if i % 3 == 1 else f"s{i % 7}") for i in range(2000)]
+    rows += [(5000, "one two", "tiny"), (5001, None, "wordless"), (5002, "x " * 20_000, "s1")]
+    df = docs(spark, rows, "doc_id long, text string, source string").withColumn("target", F.lit("clash"))
+    out = mixing.mix_sources(df).collect()
+    sizes = {}
+    for r in out:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+    names, want = brute_targets(sizes)
+    total = sum(want.values())
+    bits = max(4, int(np.ceil(np.log2(1.5 * sum(sizes.values()) / mixing.BLOCK_WORDS))))
+    owner, reach, ends = {}, 0.0, []
     for s in names:
-        assert target[s] == pytest.approx(want[s]) and abs(taken[s] - target[s]) <= 40
+        reach += want[s]
+        ends.append(int(np.ceil(reach / total * (1 << bits) - 1e-9)))
+    slots = {s: [] for s in names}
+    for t in range(1 << bits):  # each slot's point, looked up in the cumulated shares
+        cell = int(f"{t:0{bits}b}"[::-1], 2)
+        slots[names[int(np.searchsorted(ends, cell, side="right"))]].append(t)
+    taken = {s: 0 for s in names}
+    for r in out:
+        taken[r.source] += r.size * len(r.slots)
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source]) and len(r.slots) <= 2
+        assert set(r.slots) <= set(slots[r.source]) or not slots[r.source]
+    for s in names:
+        longest = max(r.size for r in out if r.source == s)
+        assert abs(taken[s] - want[s]) <= mixing.BLOCK_WORDS + longest / 2 + 1
+    # what is taken of a source are the blocks of its stream that have slots, in the order of its slots
+    block = total / (1 << bits)
+    for s in ("s0", "s1", None):
+        stream = sorted((x for r in out if r.source == s for x in r.slots))
+        used = [slots[s].index(x) for x in stream]
+        assert used == sorted(used) and max(used) >= len(slots[s]) - 2 - max(r.size for r in out if r.source == s) / block
     again = mixing.mix_sources(df.repartition(7)).collect()
     assert sorted(map(str, out)) == sorted(map(str, again))
-    # more sources than are broadcast
-    shuffled = mixing.mix_sources(df, broadcast_sources=0).collect()
-    assert sorted(map(str, out)) == sorted(map(str, shuffled))
     assert mixing.mix_sources(df.limit(0)).count() == 0
+    empty = mixing.mix_sources(docs(spark, [(1, None, "a"), (2, "", None), (2, "", None)], "doc_id long, text string, source string")).collect()
+    assert [(r.target, r.slots) for r in empty] == [(0.0, [])] * 3
+
+
+def test_slots_of_a_rank(spark):
+    bits = 6
+    rows = [(b, e, k) for b, e in ((0, 64), (5, 6), (17, 40), (63, 64)) for k in range(e - b)]
+    df = docs(spark, rows, "b long, e long, k long")
+    for r in df.withColumn("slot", mixing.slot_at(F.col("b"), F.col("e"), F.col("k"), bits)).collect():
+        assert r.slot == sorted(int(f"{c:06b}"[::-1], 2) for c in range(r.b, r.e))[r.k]
+
+
+def test_mix_query_by_brute_force(spark):
+    d = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    out = queries.op8_mixing(spark, FOLDER).collect()
+    count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert sorted((r.doc_id, r.size) for r in out) == sorted((r.doc_id, count(r.text)) for r in d)
+    source, sizes, taken = {r.doc_id: r.source for r in d}, {}, {}
+    for r in out:
+        sizes[source[r.doc_id]] = sizes.get(source[r.doc_id], 0) + r.size
+        taken[source[r.doc_id]] = taken.get(source[r.doc_id], 0) + r.taken
+        assert r.taken <= 2 * r.size
+    _, want = brute_targets(sizes)
+    for r in out:
+        assert r.target == pytest.approx(want[source[r.doc_id]]) and r.source_size == sizes[source[r.doc_id]]
+    for s in want:
+        assert abs(taken[s] - want[s]) <= 64 + max(r.size for r in out if source[r.doc_id] == s) / 2
 
 
 # ---- HTML extraction
