@@ -33,11 +33,13 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import bit_table, bits_at, dropped, maybe_in, stored
 from gridloom.llm.shingles import bounded, column_bytes, mix, shingle_hashes, word_hashes
 
-#: Sizes of the tables of levels, of shared prefix elements and of documents to intersect; they are broadcast and
-#: have these sizes whatever the input.
-LEVEL_BITS = 20
-SHARED_BITS = 25
-WANTED_BITS = 23
+#: The tables of levels, of shared prefix elements and of documents to intersect are broadcast.  Their sizes, as powers of
+#: two, follow the number of documents up to these (4, 32 and 8 MB); beyond it they sort out less, which costs work, not links.
+LEVEL_BITS = 22
+SHARED_BITS = 28
+WANTED_BITS = 26
+#: The classes that index one tile are dealt into chunks of about so many, and what meets the tile meets each chunk by itself.
+CHUNK = 256
 #: One document of so many is counted for the levels, and a shingle seen so often among them is common.
 LEVEL_SAMPLE = 16
 COMMON = 3
@@ -46,13 +48,23 @@ BLOCK = 512
 BLOCK_ELEMENTS = 1 << 20
 
 
+def _bits(rows: int, each: int, least: int, most: int) -> int:
+    """The power of two of a table with 2 ** ``each`` places for each of so many rows, within bounds."""
+    return min(most, max(least, max(1, rows).bit_length() + each))
+
+
+def _node(s: np.ndarray) -> int | None:
+    """The hash of a set, null for an empty one."""
+    return int((mix(s).sum(dtype=np.uint64) ^ mix(np.uint64([len(s)]))[0]).astype(np.int64)) if len(s) else None
+
+
 def _sets(texts: pa.Array, k: int, levels: np.ndarray | None) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, sorted distinct ordered shingles of each row) for pieces of a column."""
     for begin, rows in bounded(texts):
         hashes, offsets = shingle_hashes(*word_hashes(*column_bytes(texts.slice(begin, rows))), k)
         ordered = hashes >> np.uint64(8)
         if levels is not None:
-            ordered |= levels[(hashes >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
+            ordered |= levels[(hashes >> np.uint64(65 - len(levels).bit_length())).astype(np.int64)].astype(np.uint64) << np.uint64(56)
         yield begin, [np.unique(ordered[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
@@ -117,7 +129,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def levels_of(docs: DataFrame, k: int) -> np.ndarray:
+def levels_of(docs: DataFrame, k: int, bits: int) -> np.ndarray:
     """A table by hash bucket: 0, or about the logarithm of the count of the bucket's most common shingle."""
     part = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(LEVEL_SAMPLE)) == 0).select("text")
 
@@ -131,31 +143,31 @@ def levels_of(docs: DataFrame, k: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], ["h", "c"])
 
     counted = part.mapInArrow(spread, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= COMMON)
-    bucket = F.shiftrightunsigned("h", 64 - LEVEL_BITS).cast("int")
-    # at most 2 ** LEVEL_BITS rows, whatever the input
+    bucket = F.shiftrightunsigned("h", 64 - bits).cast("int")
+    # at most 2 ** bits rows, whatever the input
     rows = counted.groupBy(bucket.alias("b")).agg(F.floor(F.log2(F.max("c").cast("double"))).cast("int").alias("v")).toArrow()
-    out = np.zeros(1 << LEVEL_BITS, dtype=np.uint8)
+    out = np.zeros(1 << bits, dtype=np.uint8)
     out[rows["b"].to_numpy()] = np.minimum(rows["v"].to_numpy(), 120)
     return out
 
 
 def signatures(docs: DataFrame, k: int, threshold: Fraction, levels) -> DataFrame:
-    """One row a row of ``docs``: doc_id, n, node (hash of the set; null for an empty one), bits, keys (prefix)."""
+    """One row a row of ``docs``: doc_id, th (hash of the text), n, node (hash of the set; null for an empty one), bits, keys (prefix)."""
     num, den = threshold.numerator, threshold.denominator
 
     def sign(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts, own = batch.column(0), batch.column(1), batch.column(2)
             for begin, sets in _sets(texts, k, levels.value):
                 n = [len(s) for s in sets]
-                nodes = [int((mix(s).sum(dtype=np.uint64) ^ mix(np.uint64([len(s)]))[0]).astype(np.int64)) if len(s) else None for s in sets]
+                nodes = [_node(s) for s in sets]
                 keys = [s[: len(s) - -(-num * len(s) // den) + 1].view(np.int64) if len(s) else s.view(np.int64) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(begin, len(sets)), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array([_bitmap(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "node", "bits", "keys"],
+                    [ids.slice(begin, len(sets)), own.slice(begin, len(sets)), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array([_bitmap(s) if len(s) else None for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "th", "n", "node", "bits", "keys"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, "doc_id long, n long, node long, bits binary, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(sign, "doc_id long, th long, n long, node long, bits binary, keys array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -190,7 +202,7 @@ def _enough(n: Column, m: Column, t: Fraction) -> Column:
     return F.ceil((F.lit(t.numerator) * (n + m)).cast("double") / F.lit(float(t.numerator + t.denominator)) - F.lit(1e-9)).cast("long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t: Fraction, levels) -> tuple[DataFrame, str, DataFrame, str]:
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t: Fraction, levels, bits: int) -> tuple[DataFrame, str, DataFrame, str]:
     """The pairs (a, b) that are links, and the sorted arrays (node, s) of what was compared, with their paths.
 
     Bitmaps decide first, the sorted arrays what is left.
@@ -208,12 +220,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t:
     def arrays(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             for begin, sets in _sets(batch.column(1), k, levels.value):
-                nodes = [int((mix(s).sum(dtype=np.uint64) ^ mix(np.uint64([len(s)]))[0]).astype(np.int64)) for s in sets]
+                nodes = [_node(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(sets)), pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "own", "s"])
 
     # texts that nothing asks for are dropped before the shuffle
-    known = bit_table(wanted, "first_id", WANTED_BITS)
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").filter(maybe_in("_id", known, WANTED_BITS)).join(wanted, F.col("_id").eqNullSafe(F.col("first_id"))).select("node", "text")
+    known = bit_table(wanted, "first_id", bits)
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").filter(maybe_in("_id", known, bits)).join(wanted, F.col("_id").eqNullSafe(F.col("first_id"))).select("node", "text")
     sets, sets_path = stored(texts.mapInArrow(arrays, "node long, own long, s binary").filter("node = own").groupBy("node").agg(F.first("s").alias("s")))
 
     @F.pandas_udf("boolean")
@@ -292,12 +304,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, threshold: float = 0.75) ->
 
     A null text is an empty one; texts without words link with nothing and are their own component.  A null
     doc_id counts for nothing in the minimum; a component of nulls only has a null component_id.  Rows with one
-    doc_id and several texts are judged by their texts.  Other columns are ignored; an empty table gives an
-    empty one.  Classes are told apart by 64-bit hashes of their sets.
+    doc_id and several texts are judged by their texts.  Repeated rows are rows of one class.  Texts of any length
+    are taken whole.  Other columns are ignored; an empty table gives an empty one.  Classes are told apart by
+    64-bit hashes of their sets.
     """
     sig, member, links = _joined(docs, k, threshold, "counts")
     out = member.select("node", "component_id").join(links, "node", "left")
-    return _labelled(sig, out).select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return _labelled(sig.select("doc_id", "n", "node"), out).select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def jaccard_links(docs: DataFrame, k: int = 5, threshold: float = 0.75) -> DataFrame:
@@ -310,22 +323,24 @@ def jaccard_links(docs: DataFrame, k: int = 5, threshold: float = 0.75) -> DataF
 def _labelled(sig: DataFrame, out: DataFrame) -> DataFrame:
     """Each row of ``sig`` with what ``out`` says of its class; a text without words is its own component."""
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return sig.select("doc_id", "n", "node").join(out, "node", "left").withColumns({"n_shingles": F.col("n"), "component_id": component})
+    return sig.join(out, "node", "left").withColumns({"n_shingles": F.col("n"), "component_id": component})
 
 
 def _joined(docs: DataFrame, k: int, threshold: float, want: str | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Signatures; (node, first_id, component_id) of classes; all links as ``want`` says: counts, pairs or none."""
+    """Signatures; (node, first_id, root, component_id) of classes; all links as ``want`` says: counts, pairs or none."""
     spark = docs.sparkSession
     t = Fraction(threshold).limit_denominator(1000)
     docs = docs.select("doc_id", "text")
-    levels = spark.sparkContext.broadcast(levels_of(docs, k))
-    sig, sig_path = stored(signatures(docs, k, t, levels))
+    size = docs.count()
+    shared_bits, wanted_bits = _bits(size, 6, 18, SHARED_BITS), _bits(size, 5, 16, WANTED_BITS)
+    levels = spark.sparkContext.broadcast(levels_of(docs, k, _bits(size, 1, 16, LEVEL_BITS)))
+    sig, _ = stored(signatures(docs, k, t, levels))
 
     full = sig.filter("node is not null")
     classes, classes_path = stored(full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
     # prefix elements that more than one row has
-    shared = bit_table(full.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1"), "key", SHARED_BITS)
-    slots = full.select("node", "n", "keys", F.transform("keys", lambda x: F.pmod(F.xxhash64(x), F.lit(1 << SHARED_BITS)).cast("int")).alias("slots"))
+    shared = bit_table(full.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1"), "key", shared_bits)
+    slots = full.select("node", "n", "keys", F.transform("keys", lambda x: F.pmod(F.xxhash64(x), F.lit(1 << shared_bits)).cast("int")).alias("slots"))
     num, den = t.numerator, t.denominator
 
     def tiles(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,51 +369,56 @@ def _joined(docs: DataFrame, k: int, threshold: float, want: str | None) -> tupl
     stars = rows.filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     sizes = classes.select(F.col("node").alias("a"), F.col("n").alias("na"))
     stars = stars.join(sizes, "a").join(sizes.toDF("b", "nb"), "b").filter((F.least("na", "nb") * den >= F.greatest("na", "nb") * num)).select("a", "b")
-    near, near_path, sets, sets_path = _verified(stars, classes, docs, k, t, levels)
+    near, near_path, sets, sets_path = _verified(stars, classes, docs, k, t, levels, wanted_bits)
     roots = components(near)
-    inside = stored(_inside(near, roots, classes, sets, t, want == "pairs"))[0] if want else None
+    inside, inside_path = stored(_inside(near, roots, classes, sets, t, want == "pairs")) if want else (None, None)
     dropped(spark, sets_path)
 
     # what is in different components and shares a tile is compared; a component is its root
     placed = rows.drop("a").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).repartition("key")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    placed, placed_path = stored(placed.join(mixed, "key", "left_semi"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum(F.col("indexed").cast("long")).alias("m")).filter("lo <> hi")
+    placed, placed_path = stored(placed.join(mixed.select("key", F.ceil(F.col("m") / F.lit(CHUNK)).cast("int").alias("chunks")), "key").filter("chunks > 0"))
     band = lambda c: F.floor(F.log2(c.cast("double") + 0.5)).cast("int")
-    index = placed.filter("indexed").select("key", band(F.col("n")).alias("band"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"))
+    index = placed.filter("indexed").select("key", F.pmod(F.xxhash64("node", F.lit(29)), F.col("chunks")).cast("int").alias("chunk"), band(F.col("n")).alias("band"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"))
     lower = F.ceil(F.col("n") * num / F.lit(den))
-    probe = placed.select("key", F.explode(F.array_distinct(F.array(band(F.col("n")), band(lower)))).alias("band"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"))
+    probe = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("key", "chunk", F.explode(F.array_distinct(F.array(band(F.col("n")), band(lower)))).alias("band"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"))
     least = _enough(F.col("na"), F.col("nb"), t)
     fits = (F.col("ra") != F.col("rb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))) & (F.col("na") * den >= F.col("nb") * num)
     fits &= (F.col("na") - F.col("pa") >= least) & (F.col("nb") - F.col("pb") >= least)
-    rest = index.join(probe, ["key", "band"]).filter(fits).select("a", "b").distinct()
+    rest = index.join(probe, ["key", "chunk", "band"]).filter(fits).select("a", "b").distinct()
     # a node's place in the array bounds what can follow; equal sizes meet once, from the smaller node
-    more, more_path, _, sets_path = _verified(rest, classes, docs, k, t, levels)
+    more, more_path, _, sets_path = _verified(rest, classes, docs, k, t, levels, wanted_bits)
 
     edges, edges_path = stored(near.union(more).distinct())
     roots = components(edges)
     member = classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    member = member.join(lowest, "root").select("node", "first_id", "component_id")
+    member, _ = stored(member.join(lowest, "root").select("node", "first_id", "root", "component_id"))
     links = None
     if want == "pairs":  # ``more`` joins different components, so no link is in both
         links = stored(inside.union(more.select("a", "b")))[0]
     elif want:
         ends = more.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n_links"))
         links = stored(inside.union(ends).groupBy("node").agg(F.sum("n_links").alias("n_links")))[0]
-    dropped(spark, near_path, more_path, rows_path, placed_path, sets_path)
+    dropped(spark, near_path, more_path, rows_path, placed_path, sets_path, edges_path, classes_path, *([inside_path] if want else []))
     return sig, member, links
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: float = 0.75) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest doc_id, its columns as they were.
+    """``docs`` with one document of each component: of the smallest doc_id, its columns as they were.
 
-    Texts without words all stay, as do rows with a null doc_id; of repeated rows with the chosen doc_id one stays.
+    Rows are told apart by doc_id and text: of several texts of the smallest doc_id in one component one stays, a
+    text that links with nothing always stays.  Texts without words all stay, as do rows with a null doc_id; of
+    repeated rows with the chosen doc_id and text one stays.  An empty table gives an empty one.
     """
     sig, member, _ = _joined(docs, k, threshold, None)
-    found = _labelled(sig, member)
-    losers = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    columns = docs.columns
-    kept = docs.join(losers, "doc_id", "left_anti")
-    twice = found.filter("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(again).select(*columns)
+    found = sig.filter("node is not null and doc_id is not null").groupBy("node", "doc_id", "th").agg(F.count(F.lit(1)).alias("rows")).join(member.select("node", "root"), "node")
+    found, _ = stored(found.select("root", "doc_id", "th", "rows"))
+    best = found.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("best"))
+    judged = found.join(best, "root").select("doc_id", "th", "rows", (F.struct("doc_id", "th") == F.col("best")).alias("won"))
+    # most rows leave or stay by themselves; the few repeated ones among those that stay are brought together
+    repeated = judged.filter("won and rows > 1").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
+    gone = judged.filter("not won").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).union(repeated)
+    own = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_th"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    again = own.join(repeated, ["_id", "_th"]).groupBy("_id", "_th").agg(F.first("_row").alias("_row"))
+    return own.join(gone, ["_id", "_th"], "left_anti").unionByName(again).select("_row.*")

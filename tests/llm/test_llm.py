@@ -102,6 +102,27 @@ def test_jaccard_equals_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
 
 
+def test_keep_one_judges_by_text(spark):
+    text = lambda x, end="": " ".join(f"{x}{i}" for i in range(30)) + end
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (6, text("c")), (6, text("d")), (7, text("e")), (7, text("e")), (7, text("e", " z")), (8, text("e", " z"))]
+    rows += [(None, text("f"))] * 2 + [(9, "")] * 2 + [(10, None)]
+    out = [(r.doc_id, r.text) for r in jaccard.keep_one(docs(spark, rows).withColumn("_id", F.lit(1)).withColumn("root", F.lit("x"))).collect()]
+    one = [x for x in out if x[0] == 7]
+    assert len(one) == 1 and one[0] in rows
+    assert sorted(map(str, out)) == sorted(map(str, [rows[0], rows[2], rows[3], rows[4], one[0], *rows[9:]]))
+    assert jaccard.keep_one(docs(spark, [])).count() == 0
+
+
+def test_jaccard_hot_tiles_are_split(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "CHUNK", 3)
+    rng = np.random.default_rng(2)
+    shared = " ".join(f"s{x}" for x in range(40))  # most of each document, yet no two link by it alone
+    rows = [(i, f"{shared} " + " ".join(f"o{i}x{x}" for x in range(30))) for i in range(40)]
+    rows += [(100 + i, f"{shared} " + " ".join(f"o{i}x{x}" for x in range(30)) + f" z{int(rng.integers(9))}") for i in range(0, 40, 3)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs(spark, rows)).collect()}
+    assert got == brute_components(rows)
+
+
 def brute_links(rows, k=5):
     """Links between distinct sets as pairs of the smallest ids, and the number of links of each id."""
     sets = {}
