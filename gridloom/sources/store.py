@@ -8,11 +8,12 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where that is unset (tests), a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.conf.get("spark.gridloom.checkpoint.dir", None)
+    """The folder named in ``spark.checkpoint.dir``; where that is unset in a session of one machine (tests), a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.gridloom.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.gridloom.checkpoint.dir", found)
     return found
