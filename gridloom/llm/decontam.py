@@ -1,4 +1,9 @@
-"""Benchmark decontamination: a broadcast hash set of normalised test n-grams, verified word by word."""
+"""Benchmark decontamination: a broadcast hash set of normalised test n-grams, verified word by word.
+
+Each window of the benchmark has an anchor, the hash of its first words.  The scan of the documents hashes the words
+from every position, looks each hash up in the set and gives on only what is found there, with the words that a
+window could have; these meet the windows by hash and are compared.
+"""
 
 from __future__ import annotations
 
@@ -9,13 +14,16 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import stored
 
-#: Up to so many distinct anchors, the set of their hashes is broadcast with the plan and looked up inside the scan,
-#: so that only hits become rows.  With more, every anchor of the documents is a row, joined on its hash.
-SET_ANCHORS = 20_000
-#: Up to so many windows (about 300 bytes each) the join broadcasts them; beyond it, both sides are shuffled.
+#: The hash set of anchors is a table of two bits an anchor among 64 places for each, up to 2 ** this places (16 MB); with
+#: more than two million anchors it lets more candidates through, which are verified like all others.
+SET_BITS = 27
+#: Up to so many windows (about 300 bytes each) the join with candidates broadcasts them; beyond it, both sides are shuffled.
 BROADCAST_WINDOWS = 500_000
+#: Up to so many contaminated documents (16 bytes each) are broadcast to the rows that are to be cleaned.
+BROADCAST_HITS = 1_000_000
 #: Both cases of A-Z belong to words here; a word of a text is lower-cased where it is compared.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_RUN = r"[0-9A-Za-z[^\x00-\x7F]]+"
 
 
 def low(text: Column) -> Column:
@@ -57,46 +65,54 @@ def benchmark_windows(benchmark: DataFrame, n: int = 13) -> DataFrame:
     return each.groupBy("k", "window").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
-def scan_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
-    """One row a distinct (doc_id, text): doc_id, text_hash, n_words, spans, n_hit, items.
+def anchor_set(known: DataFrame, bits: int) -> DataFrame:
+    """One row: the set of the hashes ``_h`` as an array of 64-bit words, with 2 ** ``bits`` places."""
+    words = known.select(F.explode(F.array(*_places(F.col("_h"), bits))).alias("s"))
+    words = words.groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("s") % 64).cast("int"))).alias("v"))
+    whole = known.sparkSession.range(0, 1 << (bits - 6), 1, 4).select(F.col("id").alias("w")).join(words, "w", "left").select("w", F.coalesce("v", F.lit(0)).alias("v"))
+    # its size is fixed by ``bits``
+    return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x["v"]).alias("set"))
 
-    ``spans`` are the word spans (from 0, end excluded) of the windows found, sorted; ``n_hit`` counts the words
-    inside any; ``items`` are the benchmark items with a window in the document, sorted.
 
-    Null and empty texts have no words and no hits.  Repeated rows are judged once; rows with the same doc_id
-    and different texts are judged apart.  An empty benchmark hits nothing.  Other columns are ignored.
-    """
+def _places(h: Column, bits: int) -> list[Column]:
+    mask = F.lit((1 << bits) - 1).cast("long")
+    return [h.bitwiseAND(mask), F.shiftrightunsigned(h, 32).bitwiseAND(mask)]
+
+
+def _maybe(h: Column, table: DataFrame, bits: int) -> Column:
+    """False for hashes that aren't in the set; true for all that are and for a few others."""
+    words, out = table.scalar(), None
+    for s in _places(h, bits):
+        bit = F.call_function("shiftright", F.element_at(words, (F.shiftright(s, 6) + 1).cast("int")), (s % 64).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+        out = bit if out is None else out & bit
+    return out
+
+
+def found_windows(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
+    """One row a distinct (doc_id, text) with a hit: doc_id, text_hash, n_words, spans, n_hit, items."""
     anchors = with_anchor_hashes(benchmark_windows(benchmark, n), "window", 8).withColumn("_a", anchor_of(F.col("k")))
     h = F.when(F.col("_a") == 8, F.element_at("_g8", 1)).when(F.col("_a") == 4, F.element_at("_g4", 1)).when(F.col("_a") == 2, F.element_at("_g2", 1)).otherwise(F.element_at("_g1", 1))
     known, _ = stored(anchors.select("_a", h.alias("_h"), "k", "window", "items"))
-    counts = {r["_a"]: (r["n"], r["m"]) for r in known.groupBy("_a").agg(F.count_distinct("_h").alias("n"), F.count(F.lit(1)).alias("m")).collect()}  # four rows at most
-    small = sum(x for x, _ in counts.values()) <= SET_ANCHORS
-    sets = {a: [] for a in counts}
-    for r in known.select("_a", "_h").distinct().collect() if small else ():  # SET_ANCHORS rows at most
-        sets[r["_a"]].append(r["_h"])
+    counts = {r["_a"]: r["n"] for r in known.groupBy("_a").agg(F.count(F.lit(1)).alias("n")).collect()}  # four rows at most
+    windows, kinds = sum(counts.values()), sorted(counts) or [1]
+    bits = min(SET_BITS, max(12, (64 * windows).bit_length()))
+    table, _ = stored(anchor_set(known, bits))
 
     base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), raw_words(F.col("text")).alias("w"))
-    grams = with_anchor_hashes(base.withColumn("n_words", F.size("w").cast("long")), "w", max(counts, default=0))
-    # candidates of each anchor length: (position, hash)
-    found = [F.expr("cast(array() as array<struct<at:int,h:bigint>>)")]
-    for a in sorted(counts):
-        pairs = f"transform(_g{a}, (h, i) -> struct(i AS at, h AS h))"
-        if small:
-            among = "h IN (" + ",".join(f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)" for x in sorted(sets[a])) + ")"
-            pairs = f"IF(exists(_g{a}, h -> {among}), filter({pairs}, x -> x.{among}), cast(array() as array<struct<at:int,h:bigint>>))"
-        found.append(F.expr(pairs))
-    scanned = grams.select("doc_id", "text_hash", "n_words", "w", F.posexplode_outer(F.concat(*found)).alias("_no", "_c"))
-    scanned = scanned.select("doc_id", "text_hash", "n_words", "w", "_no", F.col("_c.at").alias("_at"), F.col("_c.h").alias("_h"))
+    grams = with_anchor_hashes(base, "w", kinds[-1])
+    # the hashes of all anchor lengths in one array; a place in it says the length and the position
+    each = grams.select("doc_id", "text_hash", "w", *[F.size(f"_g{a}").alias(f"_n{a}") for a in kinds], F.posexplode(F.concat(*[F.col(f"_g{a}") for a in kinds])).alias("_no", "_h"))
+    at, before = F.col("_no"), F.lit(0)
+    for a in kinds[:-1]:
+        before = before + F.col(f"_n{a}")
+        at = F.when(F.col("_no") >= before, F.col("_no") - before).otherwise(at)
+    near = each.filter(_maybe(F.col("_h"), table, bits)).select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), at.alias("_at"), "_h", F.slice("w", at + 1, F.lit(n)).alias("_s"))
     known = known.drop("_a")
-    hit = scanned.join(F.broadcast(known) if sum(m for _, m in counts.values()) <= BROADCAST_WINDOWS else known, "_h", "left")
-    true = F.coalesce(F.transform(F.slice("w", F.col("_at") + 1, F.col("k")), low) == F.col("window"), F.lit(False))
-    # of each document the first row stays even without a hit, so that every document is there
-    kept = hit.filter(F.col("_no").isNull() | (F.col("_no") == 0) | true).select(
-        "doc_id", "text_hash", "n_words",
-        F.when(true, F.struct(F.col("_at").alias("start"), (F.col("_at") + F.col("k")).alias("end"))).alias("span"),
-        F.when(true, F.col("items")).alias("items"),
+    met = near.join(F.broadcast(known) if windows <= BROADCAST_WINDOWS else known, "_h")
+    hit = met.filter(F.transform(F.slice("_s", F.lit(1), F.col("k")), low) == F.col("window")).select(
+        "doc_id", "text_hash", "n_words", F.struct(F.col("_at").alias("start"), (F.col("_at") + F.col("k")).alias("end")).alias("span"), "items"
     )
-    found = kept.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    found = hit.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     none = F.struct(F.lit(0).alias("covered"), F.lit(0).alias("reach"))
     covered = F.aggregate(
         "spans", none,
@@ -105,6 +121,25 @@ def scan_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     return found.select("doc_id", "text_hash", "n_words", "spans", covered.alias("n_hit"), "items")
 
 
+def scan_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
+    """One row a row of ``docs``: doc_id, text_hash, n_words, spans, n_hit, items.
+
+    ``spans`` are the word spans (from 0, end excluded) of the windows found, sorted; ``n_hit`` counts the words
+    inside any; ``items`` are the benchmark items with a window in the document, sorted.
+
+    Null and empty texts have no words and no hits.  Repeated rows are judged once and given each; rows with the
+    same doc_id, null or not, and different texts are judged apart.  Texts are scanned whole, however long.  An
+    empty benchmark, or one of null texts, hits nothing; an empty table gives an empty one.  Other columns are ignored.
+    """
+    hits, _ = stored(found_windows(docs, benchmark, n))
+    hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "spans", "n_hit", "items")
+    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce(F.regexp_count("text", F.lit(_RUN)), F.lit(0)).cast("long").alias("n_words"))
+    out = base.join(hits, base["doc_id"].eqNullSafe(hits["_id"]) & (base["text_hash"] == hits["_th"]), "left")
+    kinds = dict(hits.dtypes)
+    none = lambda c: F.coalesce(c, F.expr(f"cast(array() as {kinds[c]})")).alias(c)
+    return out.select("doc_id", "text_hash", "n_words", none("spans"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), none("items"))
+
+
 def contaminated(n_hit: Column, n_words: Column, share: int = 20) -> Column:
     """At least one hit, and hits in at least one of ``share`` words."""
     return (n_hit > 0) & (share * n_hit >= n_words)
@@ -115,19 +150,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
 
     mode "documents": contaminated documents go, all other rows stay as they are.  mode "spans": every document
     stays; from contaminated ones the hit words are cut, along with the separators between two of them.  Rows
-    keep all their columns; a null text stays null.
+    keep all their columns, whatever they are called; a null text stays null.  Repeated rows share one fate; rows of
+    one doc_id with different texts are judged apart.
     """
-    hits = scan_hits(docs, benchmark, n).filter(contaminated(F.col("n_hit"), F.col("n_words"), share))
-    rows = docs.withColumn("_th", F.xxhash64("text"))
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("spans").alias("_spans"))
-    same = rows["doc_id"].eqNullSafe(hits["_id"]) & (rows["_th"] == hits["_h"])
-    if mode == "documents":
-        return rows.join(hits, same, "left_anti").drop("_th")
-    if mode != "spans":
+    if mode not in ("documents", "spans"):
         raise ValueError(f"mode is documents or spans, not {mode!r}")
+    hits = found_windows(docs, benchmark, n).filter(contaminated(F.col("n_hit"), F.col("n_words"), share))
+    hits, _ = stored(hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("spans").alias("_spans")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.xxhash64("text").alias("_th"))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h"))
+    if mode == "documents":
+        keys = hits.select("_id", "_h")
+        return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_HITS else keys, same, "left_anti").select("_row.*")
     # words and separators alternate; a word goes if a span covers it, a separator if spans cover both neighbours
-    words = F.regexp_extract_all("text", F.lit(r"([0-9A-Za-z[^\x00-\x7F]]+)"), 1)
-    gaps = F.split("text", r"[0-9A-Za-z[^\x00-\x7F]]+")
+    words = F.regexp_extract_all("_row.text", F.lit(f"({_RUN})"), 1)
+    gaps = F.split("_row.text", _RUN)
     gone = lambda i: F.exists("_spans", lambda s: (s["start"] <= i) & (i < s["end"]))
     kept = F.concat_ws("", F.transform(gaps, lambda g, i: F.concat(F.when((i > 0) & gone(i - 1) & gone(i), "").otherwise(g), F.when(gone(i), "").otherwise(F.coalesce(F.get(words, i), F.lit(""))))))
-    return rows.join(hits, same, "left").withColumn("text", F.when(F.col("_spans").isNotNull(), kept).otherwise(F.col("text"))).select(*docs.columns)
+    cut = rows.join(hits, same, "left").withColumn("_cut", F.when(F.col("_spans").isNotNull(), kept).otherwise(F.col("_row.text")))
+    return cut.select(*[F.col("_cut").alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

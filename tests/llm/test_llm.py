@@ -582,16 +582,24 @@ def test_gradients_are_derivatives():
 # ---- decontamination
 
 
-def test_decontamination(spark):
-    bench = docs(spark, [(1, " ".join(f"b{i}" for i in range(20))), (2, "Short one"), (3, None), (4, "...")], "item_id long, text string")
+@pytest.mark.parametrize(("broadcast", "bits"), [(True, 27), (False, 12)])
+def test_decontamination(spark, monkeypatch, broadcast, bits):
+    if not broadcast:  # joins by shuffle, and a set so small that most candidates are false
+        monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+        monkeypatch.setattr(decontam, "BROADCAST_HITS", 0)
+        monkeypatch.setattr(decontam, "SET_BITS", 6)
+    bench = docs(spark, [(1, " ".join(f"b{i}" for i in range(20))), (2, "Short one"), (3, None), (4, "..."), (5, "five words are an item")], "item_id long, text string")
     hit = " ".join(f"B{i}" for i in range(3, 16))
-    rows = [(1, "x y " + hit + " z"), (2, "y " * 400 + hit), (3, "a short, ONE b"), (4, None), (5, ""), (6, hit.replace("B9", "q")), (1, "x y " + hit + " z")]
-    df = docs(spark, rows).withColumn("w", F.lit("clash"))
-    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontam.scan_hits(df, bench).collect()}
-    assert got == {1: (16, 13, [1]), 2: (413, 13, [1]), 3: (4, 2, [2]), 4: (0, 0, []), 5: (0, 0, []), 6: (13, 0, [])}
-    assert sorted(r.doc_id for r in decontam.decontaminate(df, bench).collect()) == [2, 4, 5, 6]
-    cut = {r.doc_id: r.text for r in decontam.decontaminate(df, bench, "spans").collect()}
-    assert cut[1] == "x y  z" and cut[3] == "a  b" and cut[6] == rows[5][1]
+    rows = [(1, "x y " + hit + " z"), (2, "y " * 400 + hit), (3, "a short, ONE b"), (4, None), (5, ""), (6, hit.replace("B9", "q")), (1, "x y " + hit + " z"), (7, "five words are an item " * 2), (None, hit), (8, "v " * 100_000 + hit)]
+    df = docs(spark, rows).withColumn("w", F.lit("clash")).withColumn("_h", F.lit(1))
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in decontam.scan_hits(df, bench).collect()), key=str)
+    want = [(1, 16, 13, [1]), (1, 16, 13, [1]), (2, 413, 13, [1]), (3, 4, 2, [2]), (4, 0, 0, []), (5, 0, 0, []), (6, 13, 0, []), (7, 10, 10, [5]), (None, 13, 13, [1]), (8, 100_013, 13, [1])]
+    assert got == sorted(want, key=str)
+    clean = decontam.decontaminate(df, bench)
+    assert clean.columns == df.columns and sorted(r.doc_id for r in clean.collect()) == [2, 4, 5, 6, 8]
+    spans = decontam.decontaminate(df, bench, "spans")
+    cut = {r.doc_id: r.text for r in spans.collect()}
+    assert spans.columns == df.columns and cut[1] == "x y  z" and cut[3] == "a  b" and cut[6] == rows[5][1]
     assert decontam.scan_hits(df.limit(0), bench).count() == 0
     assert all(r.n_hit == 0 for r in decontam.scan_hits(df, bench.limit(0)).collect())
 
