@@ -207,6 +207,61 @@ def test_quality_on_held_out_rows(spark):
     assert quality.score_quality(docs(spark, []), model).count() == 0
 
 
+def test_quality_counts_ratios_and_fit_by_brute_force(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(rng.choice(["good", "fine", "text", "and"] if i % 3 else ["BUY!!", "now", "$$", "text"], 6))) for i in range(120)]
+    marks = [(i, int(i % 3 > 0)) for i in range(100)] + [(3, 1), (None, 0), (7, None), (8, 5)]
+    model = quality.train(docs(spark, [*rows, rows[5]]), docs(spark, marks, "doc_id long, quality int"))
+    of = lambda t: next(quality.features(__import__("pyarrow").array([t])))[1][0]
+    used = {i: y for i, y in marks[:100] if zlib.crc32(str(i).encode()) % 4 != 2 and i != 3}
+    if zlib.crc32(b"3") % 4 != 2:
+        used[3] = 0
+    counts, n = np.zeros((2, 1 << quality.FEATURE_BITS)), [0, 0]
+    for i, t in [*rows, rows[5]]:
+        if i in used:
+            n[used[i]] += 1
+            for f in of(t):
+                counts[used[i], f] += 1
+    small = quality.SMOOTH / min(n)
+    want = np.log(counts[1] / n[1] + small) - np.log(counts[0] / n[0] + small)
+    assert model.ratios == pytest.approx(want)
+    # the fit's objective can't be bettered by small steps
+    ids = [i for i in used]
+    x, y = [of(rows[i][1]) for i in ids], np.array([2 * used[i] - 1 for i in ids])
+    sizes = [np.sqrt(np.square(want[f]).sum() + model.floor) for f in x]
+    caps = np.where(y > 0, quality.COST * len(y) / (2 * (y > 0).sum()), quality.COST * len(y) / (2 * (y < 0).sum()))
+    plain = np.divide(model.weights, want, out=np.zeros_like(want), where=want != 0)
+
+    def loss(w, b):
+        f = np.array([(w[k] * want[k]).sum() / s for k, s in zip(x, sizes)]) + b
+        return (np.square(w).sum() + b * b) / 2 + (caps * np.maximum(0, 1 - y * f)).sum()
+
+    at = loss(plain, model.bias)
+    for _ in range(20):
+        assert loss(plain + rng.normal(0, 0.02, len(plain)) * (plain != 0), model.bias + rng.normal(0, 0.02)) >= at - 1e-3
+    assert [r.score for r in quality.score_quality(docs(spark, rows), model).orderBy("doc_id").collect()] == pytest.approx(model.scores([of(t) for _, t in rows]).tolist())
+
+
+def test_features_of_words_and_shapes():
+    import pyarrow as pa
+
+    def sets(*texts, kind):
+        return [set(f.tolist()) for _, found in quality.features(pa.array(texts), (kind,)) for f in found]
+
+    a, b, c, d = sets("Big Red dog", "big rEd\tDOG", "big dog", "", kind=quality.WORDS)
+    assert a == b and len(a) == 5 and len(a & c) == 2 and not d
+    a, b = sets("cat dog", "sun hat", kind=quality.SHAPES)
+    assert a == b and len(a) == 2
+
+
+def test_quality_fits_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FIT_BYTES", 2000)
+    rows = [(i, ("good text " if i % 2 else "$$ !! ") * 20) for i in range(80)]
+    model = quality.train(docs(spark, rows), docs(spark, [(i, i % 2) for i in range(80)], "doc_id long, quality int"))
+    out = quality.score_quality(docs(spark, rows), model).collect()
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in out)
+
+
 def test_hinge_fit_separates():
     rng = np.random.default_rng(1)
     rows = [np.unique(np.append(rng.integers(0, 50, 9), 50 + (i % 2))).astype(np.int32) for i in range(200)]
