@@ -18,9 +18,8 @@ SHARDS = 40
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    columns = docs.columns
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).filter(F.col("score") >= LEAST_SCORE).select(*columns)
+    return docs.filter(quality.quality_score(docs, model)("text") >= LEAST_SCORE)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +33,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mixing.mix_sources(docs, keep=[c for c in docs.columns if c not in ("doc_id", "source")])
-    return mixed.withColumn("slots", F.explode("slots")).select(*docs.columns)
+    """Each document as often as the schedule's blocks take it.  The order of slots ends with this stage, as the next one permutes all rows."""
+    return mixing.mix_sources(docs, rows=True).select("row", F.explode("slots")).select("row.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; each result is written to the shared folder and read back by the next."""
+    """The stages over ``documents``; each result is written to the shared folder and read back by the next.
+
+    The tables may have more columns, of any names but row_number, shard and slot, which the last stage replaces.  An
+    empty table, and one of which nothing is kept, gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     top = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
