@@ -53,10 +53,11 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 1) -> DataFrame:
     permuted number p puts the row into shard p mod ``shards`` at slot p div ``shards``: shards differ by one
     row at most, slots have no gaps, and both can be computed from the row number alone.  Equal rows are
     interchangeable.  A null doc_id or text is hashed as null.  Columns named row_number, shard or slot are
-    replaced; all others stay.  An empty table gives an empty one.
+    replaced; all others stay.  Texts of any length count whole.  An empty table gives an empty one.
     """
     n = docs.count()
-    rows = docs.drop("row_number", "shard", "slot").withColumn("_crc", F.crc32(F.col("text").cast("binary")))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("row_number", "shard", "slot")]
+    rows = docs.select(F.struct(*kept).alias("_row"), "doc_id", F.crc32(F.col("text").cast("binary")).alias("_crc"))
     rows = running_start(rows, [], ["doc_id", "_crc"], F.lit(1).cast("long"), "row_number", buckets_for(n))
 
     @F.pandas_udf("long")
@@ -65,4 +66,4 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 1) -> DataFrame:
             yield pd.Series(permute(number.to_numpy(), n, seed), dtype="int64")
 
     rows = rows.withColumn("_p", place("row_number"))
-    return rows.withColumns({"shard": (F.col("_p") % shards).cast("int"), "slot": F.floor(F.col("_p") / shards).cast("long")}).drop("_p", "_crc", "bucket")
+    return rows.select("_row.*", "row_number", (F.col("_p") % shards).cast("int").alias("shard"), F.floor(F.col("_p") / shards).cast("long").alias("slot"))

@@ -2,10 +2,12 @@ import hashlib
 import os
 import re
 import string
+import struct
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from compare import both
 from pyspark.sql import functions as F
 
@@ -462,13 +464,39 @@ def test_permutation_is_one():
 
 def test_shards_are_even(spark):
     rows = [(i % 90, None if i % 7 == 0 else str(i % 5)) for i in range(203)] + [(None, "x")] * 3
-    out = sharding.shard_rows(docs(spark, rows).withColumn("slot", F.lit("clash")), 7).collect()
+    out = sharding.shard_rows(docs(spark, [*rows[:-1], (None, "x" * 300_000)]).withColumns({c: F.lit("clash") for c in ("slot", "bucket", "_crc")}), 7)
+    assert {"bucket", "_crc"} < set(out.columns)
+    out = out.collect()
     assert sorted((r.row_number for r in out)) == list(range(206))
     by = {s: sorted(r.slot for r in out if r.shard == s) for s in range(7)}
     assert all(v == list(range(len(v))) for v in by.values()) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
     assert sharding.shard_rows(docs(spark, []), 7).count() == 0
 
 
+def test_sharding_query_by_brute_force(spark):
+    d = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    n = len(d)
+
+    def chained(seed, *values):
+        for form, v in values:
+            seed = xxhash.xxh64(struct.pack(form, v), seed=seed).intdigest()
+        return seed
+
+    def order(doc_id, crc):
+        inner = zlib.crc32(str(crc).encode())  # of the text that the query hands on
+        h = chained(42, ("<q", doc_id), ("<q", inner), ("<i", 17))
+        return ((h - (1 << 64) if h >> 63 else h) % 1024, doc_id, inner)
+
+    raw = {r.doc_id: (r.text or "").encode() for r in d}
+    number = {x: i for i, x in enumerate(sorted(raw, key=lambda x: order(x, zlib.crc32(raw[x]))))}
+    placed = sharding.permute(np.arange(n), n, 1)
+    got = queries.op6_sharding(spark, FOLDER).collect()
+    assert len(got) == n
+    for r in got:
+        p = int(placed[number[r.doc_id]])
+        assert (r["size"], r.text_crc32, r.law, r.shard, r.slot, r.grown_shard) == (len(raw[r.doc_id]) + 16, zlib.crc32(raw[r.doc_id]), "rows", p % 40, p // 40, None)
+
+
 # ---- token counts
 
 
@@ -683,6 +711,25 @@ def test_pipeline_by_brute_force(spark):
     assert out.count() == mixed.count() and out.select("row_number").distinct().count() == out.count()
 
 
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    import corpus_pipeline as p
+
+    wide = DOC + ", size long, slots string, target double, score double, source_size long, _row int, `a.b` int"
+    extra = (1, "x", 0.5, 0.1, 2, 3, 4)
+    for name, rows in (("empty", []), ("wordless", [(1, None, "en", "a", 0, *extra), (2, "", "en", None, 0, *extra), (2, "", "en", None, 0, *extra)]), ("some", [(i, f"w{i} " * 30, "en", "a", 9, *extra) for i in range(4)])):
+        d = str(tmp_path / name)
+        spark.createDataFrame(rows, wide).write.parquet(f"{d}/documents.parquet")
+        docs(spark, [], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+        docs(spark, [], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        source = spark.read.parquet(f"{d}/documents.parquet")
+        for _, stage in p.STAGES[:-1]:  # each on the whole table, as the first may keep nothing
+            out = stage(spark, source, d)
+            assert out.columns == source.columns
+            assert out.count() <= 2 * len(rows)
+        assert p.sharding_stage(spark, source, d).count() == len(rows)
+    assert p.run(spark, str(tmp_path / "empty")).count() == 0
+
+
 def test_driver_sees_all_eleven():
     import __spark_entry__ as e
 
