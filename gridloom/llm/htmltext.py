@@ -5,8 +5,9 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
-from functools import cache
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ _INLINE = frozenset(
 _ENDS_P = frozenset("p div section article main aside header footer nav h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote form figure hr details address fieldset".split())
 #: Elements that an element of the same group, opened inside their parent, ends.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)(?:>|\Z)", re.S)
 _NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[^\W_]+")
 
@@ -42,34 +43,56 @@ def _ending(tag: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I)
 
 
-def blocks(page: str | None) -> list[tuple[list[str], str, int]]:
-    """The leaves of a page in order: (tags, classes and ids above it, its text, characters inside links).
+def path_of(names: Iterable[str], above: frozenset[int] = frozenset()) -> frozenset[int]:
+    """Buckets of tags, classes and ids with those above them; the same object if none is new."""
+    own = {_bucket(x, PATH_BUCKETS) for x in names}
+    return above if own <= above else above | own
 
-    White space runs become one space; blocks without text are left out.  Character references are decoded.
+
+def blocks(page: str | None) -> list[tuple[frozenset[int], str, int]]:
+    """The leaves of a page in order: (buckets of tags, classes and ids above it, its text, characters inside links).
+
+    White space runs become one space; blocks without text are left out.  Character references are decoded.  A
+    quote counts only after an equals sign.  Elements share the paths above them, so depth costs no copies.
     """
-    out: list[tuple[list[str], str, int]] = []
-    stack: list[tuple[str, list[str]]] = []
+    out: list[tuple[frozenset[int], str, int]] = []
+    stack: list[tuple[str, frozenset[int]]] = []
+    depth: Counter[str] = Counter()  # open elements by tag
+    unseen = 0  # open elements whose text isn't seen
     parts: list[str] = []
     linked = 0
 
+    def push(tag: str, names: Iterable[str] = ()) -> None:
+        nonlocal unseen
+        stack.append((tag, path_of((tag, *names), stack[-1][1] if stack else frozenset())))
+        depth[tag] += 1
+        unseen += tag in _UNSEEN
+
+    def cut(to: int) -> None:
+        nonlocal unseen
+        for tag, _ in stack[to:]:
+            depth[tag] -= 1
+            unseen -= tag in _UNSEEN
+        del stack[to:]
+
     def end_block() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(([x for tag, names in stack for x in (tag, *names)], text, linked))
+                out.append((stack[-1][1] if stack else frozenset(), text, linked))
             parts.clear()
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
         if stack and stack[-1][0] == "head" and raw.strip():
-            stack.pop()
-        if any(tag in _UNSEEN for tag, _ in stack):
+            cut(len(stack) - 1)
+        if unseen:
             return
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if any(tag == "a" for tag, _ in stack):
+        if depth["a"]:
             linked += len(text)
 
     page = page or ""
@@ -84,21 +107,23 @@ def blocks(page: str | None) -> list[tuple[list[str], str, int]]:
                 add(found[1])
             continue
         if found[2]:
-            if any(t == tag for t, _ in stack):
+            if depth[tag]:
                 if tag not in _INLINE:
                     end_block()
-                while stack.pop()[0] != tag:
-                    pass
+                at_tag = len(stack) - 1
+                while stack[at_tag][0] != tag:
+                    at_tag -= 1
+                cut(at_tag)
             elif tag not in _INLINE:
                 end_block()
             continue
         if tag == "br":
             parts.append(" ")
             continue
-        if tag not in _IN_HEAD and any(t == "head" for t, _ in stack):
+        if tag not in _IN_HEAD and depth["head"]:
             inner = [t for t, _ in stack]
             if tag == "body" or "noscript" not in inner or not _ending("noscript").search(page, at):
-                del stack[inner.index("head") :]
+                cut(inner.index("head"))
         if tag in _RAW or tag in _UNSEEN:
             end_block()
             if found[0].endswith("/>"):
@@ -112,24 +137,24 @@ def blocks(page: str | None) -> list[tuple[list[str], str, int]]:
             if tag != "head" and close and not (parent and _ending(parent).search(page, at, close.start())) and not re.compile(rf"<{re.escape(tag)}\b", re.I).search(page, at, close.start()):
                 at = close.end()
             else:
-                stack.append((tag, []))
+                push(tag)
             continue
         if tag not in _INLINE:
             end_block()
             # a new block ends an open paragraph and inline elements in it
-            unclosed = next((i for i, (t, _) in enumerate(stack) if t in _UNSEEN), len(stack))
+            unclosed = next((i for i, (t, _) in enumerate(stack) if t in _UNSEEN), len(stack)) if unseen else len(stack)
             if unclosed < len(stack) and (tag not in _ENDS_P or _ending(stack[unclosed][0]).search(page, at)):
                 unclosed = len(stack)
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i][0] not in _INLINE and i < unclosed:
                     break
             if tag in _ENDS:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in _ENDS[tag]:
-                        del stack[i:]
+                        cut(i)
                         break
                     if stack[i][0] in ("ul", "ol", "dl", "table", "menu") or tag in ("li", "dd", "dt") and stack[i][0] in ("div", "section", "article"):
                         break
@@ -138,22 +163,22 @@ def blocks(page: str | None) -> list[tuple[list[str], str, int]]:
             if found[4] and "=" in found[4]:
                 for key, a, b, c in _NAMED.findall(found[4]):
                     names += [w.lower() for w in _WORD.findall(a or b or c)] if key.lower() != "role" else [f"role:{(a or b or c).lower()}"]
-            stack.append((tag, names))
+            push(tag, names)
     add(page[at:])
     end_block()
     return out
 
 
-@cache
+@lru_cache(maxsize=1 << 16)
 def _bucket(word: str, n: int) -> int:
     return zlib.crc32(word.encode()) % n
 
 
-def vectors(found: list[tuple[list[str], str, int]]) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+def vectors(found: list[tuple[frozenset[int], str, int]]) -> tuple[list[np.ndarray], list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """Of each block: buckets of its path's parts, buckets of all its words with their shares, and a few numbers."""
     paths, words, numbers = [], [], np.zeros((len(found), SCALARS))
     for i, (path, text, linked) in enumerate(found):
-        paths.append(np.unique([_bucket(x, PATH_BUCKETS) for x in path] or [0]))
+        paths.append(np.array(sorted(path) or [0]))
         counts = np.bincount([zlib.crc32(w.encode()) % WORD_BUCKETS for w in _WORD.findall(text.lower())] or [0])
         used = np.flatnonzero(counts)
         words.append((used, counts[used] / counts.sum()))
@@ -383,8 +408,9 @@ def extract_text(pages: DataFrame, column: str = "html", weights: dict[str, np.n
     """Add ``text``, the main text of each page, to every row; a column of that name is replaced.
 
     Every leaf block of the whole page is classified; blocks of the main text are joined by line feeds in page
-    order.  A null or empty page has an empty text.  The labeller is fitted to made-up pages unless weights are
-    given; they have a fixed size and are broadcast.
+    order.  A null or empty page has an empty text; repeated rows are read each, pages of any length and depth whole,
+    and an empty table gives an empty one.  The labeller is fitted to made-up pages unless weights are given; they
+    have a fixed size and are broadcast.
     """
     shared = pages.sparkSession.sparkContext.broadcast(weights or train())
 

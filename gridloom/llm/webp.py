@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-import heapq
 import zlib
 from collections.abc import Iterator
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,7 @@ _NEAR = (
     (7, 3), (-7, 3), (5, 6), (-5, 6), (6, 5), (-6, 5), (8, 0), (4, 7), (-4, 7), (7, 4), (-7, 4), (8, 1), (8, 2), (6, 6), (-6, 6),
     (8, 3), (5, 7), (-5, 7), (7, 5), (-7, 5), (8, 4), (6, 7), (-6, 7), (7, 6), (-7, 6), (8, 5), (7, 7), (-7, 7), (8, 6), (8, 7),
 )
+_NEAR_X, _NEAR_Y = (np.array([p[i] for p in _NEAR]) for i in (0, 1))
 _TURNED = tuple(int(f"{i:04b}"[::-1], 2) for i in range(16))
 _CACHE_FACTOR = 0x1E35A7BD
 _OPAQUE = 0xFF000000
@@ -46,7 +47,7 @@ class Bits:
 
 
 class PrefixCode:
-    """A canonical prefix code as a table over the next 15 bits."""
+    """A canonical prefix code as a table over its longest code's bits."""
 
     def __init__(self, lengths: np.ndarray) -> None:
         used = np.flatnonzero(lengths)
@@ -54,14 +55,15 @@ class PrefixCode:
         if self.single is not None:
             self.top = 0
             return
-        self.top = int(lengths.max())
-        if (1 << self.top) != (1 << (self.top - lengths[used].astype(np.int64))).sum():
+        sizes = lengths[used]
+        self.top = int(sizes.max())
+        room = np.int64(1) << (self.top - sizes.astype(np.int64))
+        if (1 << self.top) != room.sum():
             raise ValueError("the prefix code isn't complete")
-        order = used[np.argsort(lengths[used], kind="stable")]
-        symbols = np.repeat(order, 1 << (self.top - lengths[order].astype(np.int64)))
-        spread = np.repeat(lengths[order], 1 << (self.top - lengths[order].astype(np.int64)))
-        reverse = reversed_bits(np.arange(1 << self.top), self.top)
-        self.symbols, self.lengths = symbols[reverse], spread[reverse]
+        order = np.argsort(sizes, kind="stable")
+        room, reverse = room[order], _reversal(self.top)
+        self.symbols = np.repeat(used[order].astype(np.int16), room)[reverse]
+        self.lengths = np.repeat(sizes[order], room)[reverse]
 
     def read(self, bits: Bits) -> int:
         if self.single is not None:
@@ -79,35 +81,65 @@ def reversed_bits(x: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+@cache
+def _reversal(n: int) -> np.ndarray:
+    """All numbers of ``n`` bits, 15 at most, with their bits in reverse."""
+    return reversed_bits(np.arange(1 << n), n)
+
+
+@lru_cache(maxsize=256)
+def _length_code(lengths: bytes) -> tuple[int | None, int, bytes, bytes]:
+    code = PrefixCode(np.frombuffer(lengths, np.uint8))
+    return code.single, code.top, *((b"", b"") if code.single is not None else (code.symbols.astype(np.uint8).tobytes(), code.lengths.tobytes()))
+
+
+@lru_cache(maxsize=256)
+def _code_of_one(symbol: int) -> PrefixCode:
+    return PrefixCode(np.bincount([symbol]))
+
+
 def read_code(bits: Bits, size: int) -> PrefixCode:
-    lengths = np.zeros(size, dtype=np.uint8)
-    if bits(1):
-        more, wide = bits(1), bits(1)
-        lengths[bits(8 if wide else 1)] = 1
-        if more:
-            lengths[bits(8)] = 1
+    data = bits.data
+    ahead = int.from_bytes(data[bits.at >> 3 : (bits.at >> 3) + 9], "little") >> (bits.at & 7)
+    if ahead & 1:
+        wide = 8 if ahead & 4 else 1
+        first = ahead >> 3 & ((1 << wide) - 1)
+        bits.at += 3 + wide
+        if not ahead & 2:
+            return _code_of_one(first)
+        lengths = np.zeros(size, dtype=np.uint8)
+        lengths[first] = lengths[bits(8)] = 1
         return PrefixCode(lengths)
-    of_lengths = np.zeros(19, dtype=np.uint8)
-    for i in range(4 + bits(4)):
-        of_lengths[_LENGTH_ORDER[i]] = bits(3)
-    code = PrefixCode(of_lengths)
+    stored = 4 + (ahead >> 1 & 15)
+    of_lengths = bytearray(19)
+    for i, s in enumerate(_LENGTH_ORDER[:stored]):
+        of_lengths[s] = ahead >> (5 + 3 * i) & 7
+    bits.at += 5 + 3 * stored
+    single, top, symbols, sizes = _length_code(bytes(of_lengths))
     left = size
     if bits(1):
         left = 2 + bits(2 + 2 * bits(3))
-    at, last = 0, 8
-    while at < size and left:
+    out, last, at, mask = bytearray(), 8, bits.at, (1 << top) - 1
+    while len(out) < size and left:
         left -= 1
-        s = code.read(bits)
+        ahead = int.from_bytes(data[at >> 3 : (at >> 3) + 4], "little") >> (at & 7)
+        if single is None:
+            s = symbols[ahead & mask]
+            n = sizes[ahead & mask]
+        else:
+            s, n = single, 0
         if s < 16:
-            lengths[at] = s
-            at, last = at + 1, s or last
+            out.append(s)
+            last = s or last
         else:
-            times, value = {16: lambda: (3 + bits(2), last), 17: lambda: (3 + bits(3), 0), 18: lambda: (11 + bits(7), 0)}[s]()
-            if at + times > size:
-                raise ValueError("too many code lengths")
-            lengths[at : at + times] = value
-            at += times
-    return PrefixCode(lengths)
+            extra, least, value = ((2, 3, last), (3, 3, 0), (7, 11, 0))[s - 16]
+            out += bytes((value,)) * (least + ((ahead >> n) & ((1 << extra) - 1)))
+            n += extra
+        at += n
+    bits.at = at
+    if len(out) > size:
+        raise ValueError("too many code lengths")
+    return PrefixCode(np.frombuffer(bytes(out).ljust(size, b"\0"), np.uint8))
 
 
 def _prefixed(symbol: int, bits: Bits) -> int:
@@ -117,37 +149,135 @@ def _prefixed(symbol: int, bits: Bits) -> int:
     return ((2 + (symbol & 1)) << extra) + bits(extra) + 1
 
 
-def _green_run(bits: Bits, code: PrefixCode, n: int) -> np.ndarray:
-    """``n`` symbols of one code in a row: looked up at every bit, then followed from one to the next."""
-    first = bits.at >> 3
-    data = np.frombuffer(bits.data, np.uint8)[first : first + (n * code.top + 7) // 8 + 4].astype(np.uint32)
-    data = np.append(data, np.zeros(3, np.uint32))
-    window = data[:-2] | (data[1:-1] << np.uint32(8)) | (data[2:] << np.uint32(16))
-    index = (window[:, None] >> np.arange(8, dtype=np.uint32)) & np.uint32((1 << code.top) - 1)
-    index = index.ravel()
-    at = bits.at & 7
-    if (code.lengths == code.top).all():
-        places = at + code.top * np.arange(n)
-        end = at + code.top * n
-    else:
-        # how far one symbol leads from each bit, then two, four and eight; the walk takes every eighth place
-        one = code.lengths[index]
-        there, eight = np.arange(len(one)), one
-        for _ in range(3):
-            eight = eight + eight[np.minimum(there + eight, len(one) - 1)]
-        steps, walk, place = eight.tobytes(), [], at
-        for _ in range(-(-n // 8)):
-            walk.append(place)
-            place += steps[place] if place < len(steps) else 0
-        places = np.empty((len(walk), 8), dtype=np.int64)
-        last = np.array(walk, dtype=np.int64)
-        for i in range(8):
-            places[:, i] = last = np.minimum(last, len(one) - 1)
-            last = last + one[last]
-        places = places.ravel()[:n]
-        end = int(places[-1]) + int(one[places[-1]])
-    bits.at += end - at
-    return code.symbols[index[places]]
+#: Extra bits of the length and distance symbols, and the value that each begins with.
+_EXTRA = np.array([0, 0, 0, 0, *[(s - 2) >> 1 for s in range(4, 40)]], dtype=np.int64)
+_BASE = np.array([1, 2, 3, 4, *[((2 + (s & 1)) << ((s - 2) >> 1)) + 1 for s in range(4, 40)]], dtype=np.int64)
+
+
+def _followed(src: np.ndarray) -> np.ndarray:
+    """Where each place of ``src`` leads to in the end; places lead back or to themselves."""
+    while True:
+        after = src[src]
+        if np.array_equal(after, src):
+            return src
+        src = after
+
+
+def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: int) -> np.ndarray | None:
+    """``n`` pixels of one group of codes, all at once; None for what is left to the plain loop.
+
+    What a token at each bit would be is looked up for all bits; from the first, one token leads to the next.  Each
+    pixel that is a copy or a cache entry points to an earlier one, and all pointers are followed together.
+    """
+    g, r, b, a, d = codes
+    begin = bits.at >> 3
+    data = np.frombuffer(bits.data, np.uint8)[begin : begin + n * 8 + 8].astype(np.uint32)
+    data = np.append(data, np.zeros(4, np.uint32))
+    window = data[:-3] | (data[1:-2] << np.uint32(8)) | (data[2:-1] << np.uint32(16)) | (data[3:] << np.uint32(24))
+    ahead = (window[:-1, None] >> np.arange(8, dtype=np.uint32)).ravel()  # 25 bits from every bit
+    total = len(ahead)
+    inside = lambda p: np.minimum(p, total - 1)
+
+    def look(code: PrefixCode, p: np.ndarray | slice) -> tuple[np.ndarray | int, np.ndarray | int]:
+        if code.single is not None:
+            return code.single, 0
+        i = ahead[p] & np.uint32((1 << code.top) - 1)
+        return code.symbols[i], code.lengths[i]
+
+    symbol, size = look(g, slice(None))
+    step = size.astype(np.int32)
+    place = np.arange(total, dtype=np.int32)
+    plain = symbol < 256
+    if any(c.single is None for c in (r, b, a)):
+        at = place + step
+        for c in (r, b, a):
+            if c.single is None:
+                at = at + c.lengths[ahead[inside(at)] & np.uint32((1 << c.top) - 1)]
+        step = np.where(plain, at - place, step)
+    copies = np.flatnonzero(~plain & (symbol < 280)) if g.symbols.max() >= 256 else np.zeros(0, np.int64)
+
+    def distance(q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of distances, where their extra bits begin, and those of the lengths."""
+        lengths_at = q + size[q]
+        at = inside(lengths_at + _EXTRA[symbol[q] - 256])
+        s, taken = look(d, at)
+        return (s if d.single is None else np.full(len(q), s)), at + taken, lengths_at
+
+    if len(copies):
+        s, at, _ = distance(copies)
+        step[copies] = at + _EXTRA[s] - copies
+    following = np.append(np.minimum(place + step, total), total).astype(np.int32)
+    far = following
+    for _ in range(4):
+        far = far[far]
+    leads, walk, p = memoryview(far), [], bits.at & 7
+    for _ in range(-(-n // 16)):
+        if p >= total:
+            break
+        walk.append(p)
+        p = leads[p]
+    tokens = np.empty((len(walk), 16), dtype=np.int64)
+    last = np.array(walk, dtype=np.int64)
+    for i in range(16):
+        tokens[:, i] = last
+        last = following[last]
+    tokens = tokens.ravel()
+    tokens = tokens[tokens < total]
+    kinds = symbol[tokens].astype(np.int64)
+    copied = (kinds >= 256) & (kinds < 280)
+    long = np.ones(len(tokens), dtype=np.int64)
+    field = lambda at, extra: (ahead[inside(at)] & ((np.int64(1) << extra) - 1).astype(np.uint32)).astype(np.int64)
+    if copied.any():
+        q = tokens[copied]
+        s, at, lengths_at = distance(q)
+        long[copied] = _BASE[kinds[copied] - 256] + field(lengths_at, _EXTRA[kinds[copied] - 256])
+        back = _BASE[s] + field(at, _EXTRA[s])
+    ends = np.cumsum(long)
+    used = int(np.searchsorted(ends, n)) + 1
+    if used > len(ends) or ends[used - 1] != n:
+        raise ValueError("the pixels end early or a back-reference leaves the image")
+    tokens, kinds, copied, long, ends = tokens[:used], kinds[:used], copied[:used], long[:used], ends[:used]
+    end = int(tokens[-1]) + int(step[tokens[-1]])
+    first = ends - long
+
+    out, src = np.zeros(n, dtype=np.uint32), np.arange(n)
+    plain = kinds < 256
+    at = tokens[plain]
+    colour = kinds[plain].astype(np.uint32) << np.uint32(8)
+    colour |= np.uint32(sum((c.single or 0) << shift for c, shift in ((r, 16), (b, 0), (a, 24))))
+    if any(c.single is None for c in (r, b, a)):
+        at = at + size[at]
+        for c, shift in ((r, 16), (b, 0), (a, 24)):
+            if c.single is None:
+                s, taken = look(c, inside(at))
+                colour |= s.astype(np.uint32) << np.uint32(shift)
+                at = at + taken
+    out[first[plain]] = colour
+    if copied.any():
+        back = back[: int(copied.sum())]
+        near = np.maximum(1, _NEAR_X + _NEAR_Y * width)
+        back = np.where(back > 120, back - 120, near[np.minimum(back, 120) - 1])
+        if (back > first[copied]).any():
+            raise ValueError("a back-reference leaves the image")
+        times = long[copied]
+        places = np.repeat(first[copied] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        src[places] = places - np.repeat(back, times)
+    cached = kinds >= 280
+    if cached.any():
+        slot = np.zeros(n, dtype=np.int64)
+        slot[first[plain]] = (colour * np.uint32(_CACHE_FACTOR)) >> np.uint32(32 - cache_bits)
+        asked = first[cached]
+        slot[asked] = kinds[cached] - 280
+        slot = slot[_followed(src)] if copied.any() else slot
+        order = np.argsort(slot, kind="stable")
+        before = np.full(n, -1)
+        same = slot[order[1:]] == slot[order[:-1]]
+        before[order[1:][same]] = order[:-1][same]
+        if (before[asked] < 0).any():  # an entry that nothing has set yet
+            return None
+        src[asked] = before[asked]
+    bits.at += end - (bits.at & 7)
+    return out[_followed(src)] if copied.any() or cached.any() else out
 
 
 def _pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
@@ -164,11 +294,23 @@ def _pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
     codes = [[read_code(bits, s) for s in sizes] for _ in range(groups)]
     n = width * height
     g, r, b, a, _ = codes[0]
-    if meta is None and not cache and r.single is not None and b.single is not None and a.single is not None:
-        if g.single is not None and g.single < 256:
-            return np.full(n, (a.single << 24) | (r.single << 16) | (g.single << 8) | b.single, dtype=np.uint32)
-        if g.single is None and g.symbols.max() < 256:
-            return (_green_run(bits, g, n).astype(np.uint32) << np.uint32(8)) | np.uint32((a.single << 24) | (r.single << 16) | b.single)
+    if meta is None and g.single is not None and g.single < 256 and r.single is not None and b.single is not None and a.single is not None:
+        return np.full(n, (a.single << 24) | (r.single << 16) | (g.single << 8) | b.single, dtype=np.uint32)
+    if meta is None and g.single is None and n < 512 and not cache and r.single is not None and b.single is not None and a.single is not None and g.symbols.max() < 256:
+        at = bits.at >> 3
+        ahead, shift, mask = int.from_bytes(bits.data[at : at + 2 * n + 2], "little"), bits.at & 7, (1 << g.top) - 1
+        symbols, sizes, few = g.symbols.astype(np.uint8).tobytes(), g.lengths.tobytes(), bytearray()
+        begin = shift
+        for _ in range(n):
+            i = (ahead >> shift) & mask
+            few.append(symbols[i])
+            shift += sizes[i]
+        bits.at += shift - begin
+        return (np.frombuffer(bytes(few), np.uint8).astype(np.uint32) << np.uint32(8)) | np.uint32((a.single << 24) | (r.single << 16) | b.single)
+    if meta is None and g.single is None and n >= 64:
+        found = _run(bits, codes[0], n, width, cache_bits)
+        if found is not None:
+            return found
     out: list[int] = []
     cached = 0
     while len(out) < n:
@@ -232,13 +374,61 @@ def _guess(mode: int, l: list[int], t: list[int], tr: list[int], tl: list[int])
     return [255, 0, 0, 0]
 
 
+_LOW, _HIGH = np.uint32(0x00FF00FF), np.uint32(0xFF00FF00)
+
+
+def _plus(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sums of ARGB numbers, each channel by itself modulo 256."""
+    return (((x & _LOW) + (y & _LOW)) & _LOW) | (((x & _HIGH) + (y & _HIGH)) & _HIGH)
+
+
+def _minus(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return (((x | _HIGH) - (y & _LOW)) & _LOW) | (((x | _LOW) - (y & _HIGH)) & _HIGH)
+
+
+def _summed(x: np.ndarray) -> np.ndarray:
+    """Running sums of ARGB numbers."""
+    return np.cumsum(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 4), axis=0, dtype=np.uint8).view(np.uint32).ravel()
+
+
 def predicted(image: np.ndarray, modes: np.ndarray, size_bits: int, invert: bool) -> np.ndarray:
-    """Undo (or, for tests, do) the predictor transform on an array of height x width ARGB numbers."""
+    """Undo (or do) the predictor transform on an array of height x width ARGB numbers."""
+    height, width = image.shape
+    kinds = (modes >> 8) & 0xF
+    kinds = np.where(kinds > 13, 0, kinds)
+    if not kinds.any():  # only borders have neighbours for their prediction
+        out = image.copy()
+        out[1:, 1:] = (_plus if invert else _minus)(image[1:, 1:], np.uint32(_OPAQUE))
+        out[:1, :1] = (_plus if invert else _minus)(image[:1, :1], np.uint32(_OPAQUE))
+        if invert:
+            out[0], out[:, 0] = _summed(out[0]), _summed(out[:, 0])
+        else:
+            out[0, 1:], out[1:, 0] = _minus(image[0, 1:], image[0, :-1]), _minus(image[1:, 0], image[:-1, 0])
+        return out
+    if kinds.max() > 4:
+        return _predicted_one_by_one(image, kinds, size_bits, invert)
+    # each pixel is predicted by one other, or by none
+    back = np.array([0, 1, width, width - 1, width + 1])[np.repeat(np.repeat(kinds, 1 << size_bits, axis=0)[:height], 1 << size_bits, axis=1)[:, :width]]
+    back[0], back[1:, 0], back[0, 0] = 1, width, 0
+    src = np.arange(height * width) - back.ravel()
+    alone, flat = back.ravel() == 0, image.ravel()
+    if not invert:
+        return _minus(flat, np.where(alone, np.uint32(_OPAQUE), flat[src])).reshape(height, width)
+    # sums along the ways to the pixels that none predicts: ways are doubled until all have ended
+    out = np.where(alone, _plus(flat, np.uint32(_OPAQUE)), flat)
+    end = height * width
+    src, out = np.append(np.where(alone, end, src), end), np.append(out, np.uint32(0))
+    while (src != end).any():
+        out, src = _plus(out, out[src]), src[src]
+    return out[:-1].reshape(height, width)
+
+
+def _predicted_one_by_one(image: np.ndarray, kinds: np.ndarray, size_bits: int, invert: bool) -> np.ndarray:
     height, width = image.shape
     given = _channels(image).reshape(-1, 4).tolist()
     full = [list(p) for p in given]
     out = full if invert else [list(p) for p in given]
-    wanted = ((modes >> 8) & 0xF).tolist()
+    wanted = kinds.tolist()
     for i in range(height * width):
         x, y = i % width, i // width
         if not i:
@@ -255,6 +445,8 @@ def predicted(image: np.ndarray, modes: np.ndarray, size_bits: int, invert: bool
 
 def cross_coloured(image: np.ndarray, factors: np.ndarray, size_bits: int, invert: bool) -> np.ndarray:
     """Undo (or do) the cross-colour transform."""
+    if not (factors & np.uint32(0xFFFFFF)).any():
+        return image
     c = _channels(image)
     y, x = np.indices(image.shape)
     f = _channels(factors[y >> size_bits, x >> size_bits])
@@ -293,11 +485,13 @@ def decode(file: bytes) -> np.ndarray:
             transforms.append((kind, 0, None, inner))
         else:
             n = bits(8) + 1
-            palette = np.cumsum(_channels(_pixels(bits, n, 1, False)), axis=0) & 0xFF
+            palette = _summed(_pixels(bits, n, 1, False))
             pack = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
-            transforms.append((kind, pack, _packed(palette), inner))
+            transforms.append((kind, pack, palette, inner))
             inner = -(-inner >> pack)
     image = _pixels(bits, inner, height, True).reshape(height, inner)
+    if bits.at > 8 * len(bits.data):
+        raise ValueError("the file ends early")
     for kind, size_bits, data, before in reversed(transforms):
         if kind == 0:
             image = predicted(image, data, size_bits, True)
@@ -307,37 +501,48 @@ def decode(file: bytes) -> np.ndarray:
             green = (image >> 8) & 0xFF
             image = (image & np.uint32(0xFF00FF00)) | ((((image >> 16) + green) & 0xFF) << 16) | ((image + green) & 0xFF)
         else:
-            x = np.arange(before)
-            each = 8 >> size_bits
-            index = ((image >> 8) & 0xFF)[:, x >> size_bits] >> ((x & ((1 << size_bits) - 1)) * each).astype(np.uint32) & np.uint32((1 << each) - 1)
+            index = (image >> np.uint32(8)) & np.uint32(0xFF)
+            if size_bits:
+                x, each = np.arange(before), 8 >> size_bits
+                index = index[:, x >> size_bits] >> ((x & ((1 << size_bits) - 1)) * each).astype(np.uint32) & np.uint32((1 << each) - 1)
             table = np.zeros(256, dtype=np.uint32)
             table[: len(data)] = data
             image = table[index]
-    out = _channels(image)
+    out = image.astype(">u4", order="C").view(np.uint8).reshape(height, width, 4)
     if not alpha:
         out[..., 0] = 255
-    return out.astype(np.uint8)
+    return out
 
 
 def code_lengths(counts: np.ndarray, most: int = 15) -> np.ndarray:
     """Lengths of a complete prefix code for the symbols that occur; rare symbols weigh more until none is too long."""
     out = np.zeros(len(counts), dtype=np.uint8)
-    weights = {int(i): int(counts[i]) for i in np.flatnonzero(counts)}
-    if len(weights) == 1:
-        weights[0 if 0 not in weights else 1] = 0
+    used = np.flatnonzero(counts)
+    if len(used) <= 1:
+        used = np.array([0, 1 if not len(used) else max(1, int(used[0]))]) if not len(used) or used[0] else np.array([0, 1])
+    weights = counts[used].astype(np.int64)
     while True:
-        heap = [(w, s, (s,)) for s, w in weights.items()]
-        heapq.heapify(heap)
-        depth = dict.fromkeys(weights, 0)
-        while len(heap) > 1:
-            (w, s, p), (v, _, q) = heapq.heappop(heap), heapq.heappop(heap)
-            for x in p + q:
-                depth[x] += 1
-            heapq.heappush(heap, (w + v, s, p + q))
-        if max(depth.values()) <= most:
-            out[list(depth)] = list(depth.values())
+        order = np.argsort(weights, kind="stable")
+        leaves, n = weights[order].tolist(), len(used)
+        inner, above = [], [0] * (2 * n - 1)  # leaves by weight, then what joins two, in the order of making
+        i = j = 0
+        for k in range(n - 1):
+            total = 0
+            for _ in range(2):
+                if j >= len(inner) or i < n and leaves[i] <= inner[j]:
+                    total, above[i] = total + leaves[i], n + k
+                    i += 1
+                else:
+                    total, above[n + j] = total + inner[j], n + k
+                    j += 1
+            inner.append(total)
+        depth = [0] * (2 * n - 1)
+        for k in range(2 * n - 3, -1, -1):
+            depth[k] = depth[above[k]] + 1
+        if max(depth[:n]) <= most:
+            out[used[order]] = depth[:n]
             return out
-        weights = {s: (w >> 1) + 1 for s, w in weights.items()}
+        weights = (weights >> 1) + 1
 
 
 def codes_of(lengths: np.ndarray) -> np.ndarray:
@@ -347,7 +552,7 @@ def codes_of(lengths: np.ndarray) -> np.ndarray:
     sizes = lengths[used].astype(np.int64)
     room = 1 << (15 - sizes)  # each code's share of the 15-bit space, whose start is the code
     out = np.zeros(len(lengths), dtype=np.int64)
-    out[used] = reversed_bits(np.cumsum(room) - room, 15)
+    out[used] = _reversal(15)[np.cumsum(room) - room]
     return out
 
 
@@ -360,64 +565,270 @@ class BitWriter:
         self.size += n
 
     def lengths(self, lengths: np.ndarray) -> None:
-        """A normal code.  Lengths up to 14 take four bits; 15 and the sign for 11 or more zeros take five."""
+        """A normal code.  Lengths up to 12 take four bits; the others and the signs for 3 or more zeros take five."""
         self(0, 1)
         self(15, 4)
         for s in _LENGTH_ORDER:
-            self(4 if s < 15 else 5 if s in (15, 18) else 0, 3)
+            self(4 if s < 13 else 5, 3)
         self(0, 1)
-        i = 0
-        while i < len(lengths):
-            n = int(lengths[i])
-            zeros = 0 if n else next((j for j in range(min(138, len(lengths) - i)) if lengths[i + j]), min(138, len(lengths) - i))
-            if zeros >= 11:
-                self(0b11111, 5)
-                self(zeros - 11, 7)
-                i += zeros
-            else:
-                self(*((0b01111, 5) if n == 15 else (_TURNED[n], 4)))
-                i += 1
+        value = size = last = 0
+        for i in [*np.flatnonzero(lengths).tolist(), len(lengths)]:
+            zeros, last = i - last, i + 1
+            while zeros >= 3:
+                part = min(zeros, 138)
+                code, extra, rest = (_FIVE[18], 7, part - 11) if part >= 11 else (_FIVE[17], 3, part - 3)
+                value |= (code | rest << 5) << size
+                size, zeros = size + 5 + extra, zeros - part
+            size += 4 * zeros  # the code of a zero is 0000
+            if i < len(lengths):
+                n = int(lengths[i])
+                value |= (_TURNED[n] if n < 13 else _FIVE[n]) << size
+                size += 4 if n < 13 else 5
+        self(value, size)
+
+
+#: The codes of the lengths and signs from 13 to 18 in ``BitWriter.lengths``: 11010 to 11111, lowest bit first.
+_FIVE = {13 + i: int(f"{26 + i:05b}"[::-1], 2) for i in range(6)}
+
+
+def _prefix_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, extra bits and their values of lengths or distance codes from 1."""
+    symbol = np.searchsorted(_BASE, v, side="right") - 1
+    return symbol, _EXTRA[symbol], v - _BASE[symbol]
+
+
+def _matches(px: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(place, pixels, distance) of copies of earlier pixels, from left to right, none overlapping the next."""
+    h = px.astype(np.uint64)
+    n, wide = len(px) - least + 1, 1
+    if n < 2:
+        return []
+    while wide < least:  # a hash of ``least`` pixels, a power of two, from each place
+        h = h[:-wide] * np.uint64(0x9E3779B97F4A7C15) + h[wide:] * np.uint64(0xD6E8FEB86659FD93) + (h[wide:] >> np.uint64(29))
+        wide *= 2
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    if not same.any():
+        return []
+    back = np.zeros(n + 1, dtype=np.int64)
+    back[order[1:][same]] = order[1:][same] - order[:-1][same]
+    turns = np.flatnonzero(back[1:] != back[:-1]) + 1  # stretches of one distance; the first pixel is no copy
+    found, at = [], 0
+    for begin, end, distance in zip(turns[:-1].tolist(), turns[1:].tolist(), back[turns[:-1]].tolist(), strict=True):
+        if distance:
+            begin, end = max(begin, at), end + least - 1
+            if end - begin >= least:
+                found.append((begin, end - begin, distance))
+                at = end
+    return found
+
+
+_NOTHING = np.zeros(280 + (1 << 11), np.uint64), np.zeros(280 + (1 << 11), np.int64)
+
+
+@cache
+def _only(symbol: int) -> np.ndarray:
+    return np.bincount([symbol], minlength=256)
+
+
+def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bits: int = 0, least: int = 0) -> bytes:
+    """Append an entropy-coded image: literals, cache entries and back-references of ``least`` pixels or more.
+
+    Returns all bytes of ``w`` with the image, of which ``w`` itself gets the codes alone if it is the main one.
+    """
+    n = len(px)
+    if not main and (px == px[0]).all():
+        w(0, 1)  # no cache
+        for s in (8, 16, 0, 24):
+            w(0b101 | (int(px[0]) >> s & 255) << 3, 11)
+        w(0b101, 11)
+        return b""
+    found = _matches(px, least) if least else []
+    if found:
+        at, length, back = (np.array(x, dtype=np.int64) for x in zip(*found, strict=True))
+        inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        places = np.repeat(at, length) + inner
+        if not np.array_equal(px[places], px[places - np.repeat(back, length)]):  # two hashes met
+            found = []
+    literal = np.ones(n, dtype=bool)
+    if found:
+        literal[places] = False
+        parts = -(-length // 4096)  # no copy is longer than that
+        number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        at, back, length = np.repeat(at, parts) + 4096 * number, np.repeat(back, parts), np.minimum(4096, np.repeat(length, parts) - 4096 * number)
+    slot = hit = None
+    if cache_bits:
+        slot = ((px * np.uint32(_CACHE_FACTOR)) >> np.uint32(32 - cache_bits)).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        hit = np.zeros(n, dtype=bool)
+        hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (px[order[1:]] == px[order[:-1]])
+    where = np.flatnonzero(literal)
+    value = px[where]
+    green = ((value >> np.uint32(8)) & np.uint32(255)).astype(np.int64)
+    plain: np.ndarray | slice = slice(None)
+    if hit is not None:
+        plain = ~hit[where]
+        green = np.where(plain, green, 280 + slot[where])
+    alone = px & np.uint32(0xFFFF00FF)
+    rest: list[np.ndarray] = []
+    alphabets = [np.bincount(green, minlength=280 + (1 << cache_bits if cache_bits else 0))]
+    if (alone == alone[0]).all():  # only green changes
+        alphabets += [_only(int(alone[0]) >> s & 255) for s in (16, 0, 24)]
+    else:
+        rest = [((value >> np.uint32(s)) & np.uint32(255)).astype(np.int64) for s in (16, 0, 24)]
+        alphabets += [np.bincount(x[plain], minlength=256) for x in rest]
+    alphabets.append(_only(0)[:40])
+    if found:
+        near = _near_codes(width)
+        codes = np.where(back < len(near), near[np.minimum(back, len(near) - 1)], back + 120)
+        ls, lx, lv = _prefix_of(length)
+        ds, dx, dv = _prefix_of(codes)
+        alphabets[0] = alphabets[0] + np.bincount(256 + ls, minlength=len(alphabets[0]))
+        alphabets[4] = np.bincount(ds, minlength=40)
+    w(1 if cache_bits else 0, 1)
+    if cache_bits:
+        w(cache_bits, 4)
+    if main:
+        w(0, 1)  # one group of codes
+    made = []
+    for counts in alphabets:
+        used = np.flatnonzero(counts)
+        if len(used) <= 1 and (not len(used) or used[0] < 256):  # one symbol, which takes no bits
+            w(0b101 | (int(used[0]) if len(used) else 0) << 3, 11)
+            made.append(_NOTHING)
+        else:
+            lengths = code_lengths(counts)
+            w.lengths(lengths)
+            made.append((codes_of(lengths).astype(np.uint64), lengths.astype(np.int64)))
+    token, size = made[0][0][green], made[0][1][green]
+    for (code, length_of), x in zip(made[1:4], rest, strict=False):
+        if length_of.any():
+            token[plain] |= code[x[plain]] << size[plain].astype(np.uint64)
+            size[plain] += length_of[x[plain]]
+    if found:
+        (gc, gl), (dc, dl) = made[0], made[4]
+        copy, wide = gc[256 + ls], gl[256 + ls]
+        for code, bits in ((lv.astype(np.uint64), lx), (dc[ds], dl[ds]), (dv.astype(np.uint64), dx)):
+            copy = copy | (code << wide.astype(np.uint64))
+            wide = wide + bits
+        order = np.argsort(np.concatenate([where, at]), kind="stable")
+        token, size = np.concatenate([token, copy])[order], np.concatenate([size, wide])[order]
+    if not main:
+        for v, k in zip(token.tolist(), size.tolist(), strict=True):
+            w(v, k)
+        return b""
+    return _joined(w, token, size)
+
+
+@cache
+def _near_codes(width: int) -> np.ndarray:
+    """By distance, the shortest distance code for it."""
+    reach = np.maximum(1, _NEAR_X + _NEAR_Y * width)
+    out = np.arange(reach.max() + 1) + 120
+    for code in range(120, 0, -1):
+        out[reach[code - 1]] = code
+    return out
+
+
+def _joined(w: BitWriter, token: np.ndarray, size: np.ndarray) -> bytes:
+    """The bits of ``w``, then tokens of up to 60 bits, as bytes."""
+    if size.max() > 32:
+        token = np.stack([token & np.uint64(0xFFFFFFFF), token >> np.uint64(32)], axis=1).ravel()
+        size = np.stack([np.minimum(size, 32), np.maximum(size - 32, 0)], axis=1).ravel()
+    ends = np.cumsum(size)
+    at = w.size + ends - size
+    total = -(-int(w.size + ends[-1]) // 8)
+    wide = (int(size.max()) + 14) // 8
+    body = np.zeros(total + wide, dtype=np.int64)
+    shifted = token << (at & 7).astype(np.uint64)
+    for i in range(wide):  # bits of different codes never meet, so sums are ors
+        body += np.bincount((at >> 3) + i, weights=(shifted >> np.uint64(8 * i)) & np.uint64(0xFF), minlength=total + wide).astype(np.int64)[: total + wide]
+    head = w.value.to_bytes(-(-w.size // 8), "little")
+    body[: len(head)] |= np.frombuffer(head, np.uint8)
+    return body[:total].astype(np.uint8).tobytes()
+
 
+def _by_tile(on: np.ndarray, size_bits: int) -> np.ndarray:
+    """In which tiles more than half of all places are set."""
+    height, width = on.shape
+    tile = 1 << size_bits
+    least = ((height - 1) % tile + 1) * ((width - 1) % tile + 1)
+    if 2 * np.count_nonzero(on) <= least:  # too few even for the smallest tile
+        return np.zeros((-(-height >> size_bits), -(-width >> size_bits)), dtype=bool)
+    rows, columns = np.arange(0, height, 1 << size_bits), np.arange(0, width, 1 << size_bits)
+    count = np.add.reduceat(np.add.reduceat(on.astype(np.int32), rows, axis=0), columns, axis=1)
+    return 2 * count > (np.minimum(rows + tile, height) - rows)[:, None] * (np.minimum(columns + tile, width) - columns)
 
-def encode_samples(samples: np.ndarray, width: int) -> bytes:
-    """A lossless WebP file whose green channel holds 8-bit samples; red and blue are 0 and alpha is 255."""
-    height = len(samples) // width
+
+def encode_pixels(image: np.ndarray, palette: bool, size_bits: int = 4, cache_bits: int = 0, least: int = 8) -> bytes:
+    """A lossless WebP file of height x width ARGB numbers.
+
+    With ``palette`` (256 colours at most), pixels become indices, several in one if there are few colours (the
+    palette of an opaque image has no alpha, as nothing reads it); else
+    red and blue lose green in the tiles where they mostly equal it.  Then pixels lose their left or upper
+    neighbour in the tiles where most equal it.  What remains is written as literals, entries of a cache of
+    2 ** ``cache_bits`` colours, and back-references of ``least`` pixels (a power of two) or more.
+    """
+    height, width = image.shape
     w = BitWriter()
     w(0x2F, 8)
     w(width - 1, 14)
     w(height - 1, 14)
-    w(0, 1)
+    w(int((image < np.uint32(_OPAQUE)).any()), 1)
     w(0, 3)
-    w(0, 1)  # no transform
-    w(0, 1)  # no colour cache
-    w(0, 1)  # one group of codes
-    lengths = code_lengths(np.bincount(samples, minlength=280))
-    w.lengths(lengths)
-    for value in (0, 0, 255, 0):  # red, blue, alpha, distance: one symbol each, which takes no bits
-        w(1, 1)
-        w(0, 1)
-        w(1, 1)
-        w(value, 8)
-    head = w.value.to_bytes(-(-w.size // 8), "little")
-    codes, sizes = codes_of(lengths)[samples], lengths[samples].astype(np.int64)
-    ends = np.cumsum(sizes)
-    at = w.size + ends - sizes
-    total = -(-int(w.size + ends[-1]) // 8)
-    body = np.zeros(total + 3, dtype=np.int64)
-    shifted = codes << (at & 7)
-    for i in range(3):  # bits of different codes never meet, so sums are ors
-        body += np.bincount((at >> 3) + i, weights=(shifted >> (8 * i)) & 0xFF, minlength=total + 3).astype(np.int64)[: total + 3]
-    body[: len(head)] |= np.frombuffer(head, np.uint8)
-    data = body[:total].astype(np.uint8).tobytes()
+    if palette:
+        if (image & np.uint32(0xFFFF00FF) == np.uint32(_OPAQUE)).all():
+            green = (image >> np.uint32(8)) & np.uint32(255)
+            there = np.bincount(green.ravel(), minlength=256) > 0
+            colours, index = np.flatnonzero(there).astype(np.uint32) << np.uint32(8), (np.cumsum(there) - 1).astype(np.uint32)[green]
+        else:
+            colours, index = np.unique(image, return_inverse=True)
+            index = index.reshape(height, width).astype(np.uint32)
+        n = len(colours)
+        pack = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
+        w(0b111, 3)
+        w(n - 1, 8)
+        _write_image(w, _minus(colours, np.append(np.uint32(0), colours[:-1])), n, False)
+        if pack:
+            each, inner = 8 >> pack, -(-width >> pack)
+            index = np.pad(index, ((0, 0), (0, (inner << pack) - width))).reshape(height, inner, 1 << pack)
+            index = np.bitwise_or.reduce(index << (np.arange(1 << pack, dtype=np.uint32) * np.uint32(each)), axis=2)
+        image = (index << np.uint32(8)) | np.uint32(_OPAQUE)
+    else:
+        red, green, blue = ((image >> np.uint32(s)) & np.uint32(255) for s in (16, 8, 0))
+        factors = np.where(_by_tile(red == green, size_bits), np.uint32(32), np.uint32(0)) | np.where(_by_tile(blue == green, size_bits), np.uint32(32 << 8), np.uint32(0)) | np.uint32(_OPAQUE)
+        w(0b011, 3)
+        w(size_bits - 2, 3)
+        _write_image(w, factors.ravel(), factors.shape[1], False)
+        image = cross_coloured(image, factors, size_bits, False)
+    left, top = np.zeros(image.shape, bool), np.zeros(image.shape, bool)
+    left[:, 1:], top[1:] = image[:, 1:] == image[:, :-1], image[1:] == image[:-1]
+    modes = np.where(_by_tile(top, size_bits), np.uint32(2 << 8), np.where(_by_tile(left, size_bits), np.uint32(1 << 8), np.uint32(0))) | np.uint32(_OPAQUE)
+    w(0b001, 3)
+    w(size_bits - 2, 3)
+    _write_image(w, modes.ravel(), modes.shape[1], False)
+    image = predicted(image, modes, size_bits, False)
+    w(0, 1)
+    data = _write_image(w, image.ravel(), image.shape[1], True, cache_bits, least)
     chunk = b"VP8L" + len(data).to_bytes(4, "little") + data + b"\0" * (len(data) & 1)
     return b"RIFF" + (4 + len(chunk)).to_bytes(4, "little") + b"WEBP" + chunk
 
 
+#: Payloads below this size are stored a byte a pixel.
+LARGE = 8192
+
+
 def store_bytes(payload: bytes) -> bytes:
-    """Bytes, a positive multiple of 64, as lossless images of 64 columns, one file after another."""
-    piece = 64 * MAX_SIDE
+    """Bytes, a positive multiple of 64, as lossless images, one file after another.
+
+    A small payload is one image of 64 columns, a byte a pixel in its green channel, with a palette of the bytes
+    that occur.  A large one has four bytes a pixel, alpha to blue, in images of 16 columns, with a colour cache.
+    """
     samples = np.frombuffer(payload, np.uint8)
-    return b"".join(encode_samples(samples[i : i + piece], 64) for i in range(0, len(samples), piece))
+    if len(samples) < LARGE:
+        return encode_pixels((samples.astype(np.uint32) << np.uint32(8) | np.uint32(_OPAQUE)).reshape(-1, 64), True, 6)
+    piece = 64 * MAX_SIDE
+    return b"".join(encode_pixels(samples[i : i + piece].view(">u4").astype(np.uint32).reshape(-1, 16), False, 4, 9, 4) for i in range(0, len(samples), piece))
 
 
 def stored_images(media: bytes) -> Iterator[np.ndarray]:
@@ -425,10 +836,17 @@ def stored_images(media: bytes) -> Iterator[np.ndarray]:
     at = 0
     while at < len(media):
         end = at + 8 + int.from_bytes(media[at + 4 : at + 8], "little")
+        if end > len(media):
+            raise ValueError("the file ends early")
         yield decode(media[at:end])
         at = end
 
 
+def stored_samples(image: np.ndarray) -> np.ndarray:
+    """The bytes of a payload in the pixels of one of its images."""
+    return image[..., 2].ravel() if image.shape[1] == 64 else image.ravel()
+
+
 def padded(text: bytes) -> bytes:
     return text + b"\0" * (max(64, -(-len(text) // 64) * 64) - len(text))
 
@@ -437,7 +855,8 @@ def to_media(docs: DataFrame) -> DataFrame:
     """Add media (binary) and n_bytes to every row of ``docs``: the text's UTF-8 as lossless WebP.
 
     A null text is an empty one; each payload is padded with zero bytes to a positive multiple of 64.  Equal
-    texts have equal media.  Columns of those names are replaced; others stay.
+    texts have equal media; texts of any length are stored whole.  Columns of those names are replaced; others stay.
+    An empty table gives an empty one.
     """
 
     @F.pandas_udf("media binary, n_bytes long")
@@ -453,29 +872,31 @@ def to_media(docs: DataFrame) -> DataFrame:
 def read_media(rows: DataFrame) -> DataFrame:
     """Features of a media column, from the stored bytes alone; ``rows`` keeps its columns, without media.
 
-    Adds payload_bytes, payload_sha256, tail_crc32 (last 64 bytes), media_bytes, media_sha256 and feature: width,
-    height, mean and variance of the samples and the share of each quarter of their range.  A null media has
-    null features.
+    Adds payload_bytes, payload_sha256, tail_crc32 (last 64 bytes), media_bytes, media_sha256, feature (columns,
+    rows, mean and variance of the samples and the share of each quarter of their range) and error.  A null media
+    has nulls; one that can't be read has null features and its error.  Repeated rows are read each, columns of
+    those names are replaced, and an empty table gives an empty one.
     """
-    kinds = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    kinds = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
+
+    def features(m: bytes) -> tuple:
+        try:
+            images = list(stored_images(m))
+            samples = np.concatenate([stored_samples(i) for i in images])
+        except (ValueError, IndexError) as e:
+            return None, None, None, len(m), hashlib.sha256(m).hexdigest(), None, str(e) or type(e).__name__
+        payload = samples.tobytes()
+        counts = np.bincount(samples, minlength=256)
+        n, total, squares = len(samples), int(counts @ np.arange(256)), int(counts @ np.arange(256) ** 2)
+        quarters = ",".join(f"{x / n:.4f}" for x in counts.reshape(4, 64).sum(axis=1))
+        feature = f"w={images[0].shape[1]};h={sum(i.shape[0] for i in images)};mean={total / n:.4f};var={squares / n - (total / n) ** 2:.4f};q={quarters}"
+        return n, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(m), hashlib.sha256(m).hexdigest(), feature, None
 
     @F.pandas_udf(kinds)
     def read(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in kinds.split(", ")]
         for media in parts:
-            out = []
-            for m in media:
-                if m is None:
-                    out.append((None,) * 6)
-                    continue
-                images = list(stored_images(m))
-                samples = np.concatenate([i[..., 2].ravel() for i in images])
-                payload = samples.tobytes()
-                counts = np.bincount(samples, minlength=256)
-                n, total, squares = len(samples), int(counts @ np.arange(256)), int(counts @ np.arange(256) ** 2)
-                quarters = ",".join(f"{x / n:.4f}" for x in counts.reshape(4, 64).sum(axis=1))
-                feature = f"w={images[0].shape[1]};h={sum(i.shape[0] for i in images)};mean={total / n:.4f};var={squares / n - (total / n) ** 2:.4f};q={quarters}"
-                out.append((n, hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(m), hashlib.sha256(m).hexdigest(), feature))
+            out = [(None,) * 7 if m is None else features(bytes(m)) for m in media]
             yield pd.DataFrame(out, columns=names).astype({"payload_bytes": "Int64", "tail_crc32": "Int64", "media_bytes": "Int64"})
 
     added = [x.split()[0] for x in kinds.split(", ")]
@@ -484,18 +905,29 @@ def read_media(rows: DataFrame) -> DataFrame:
 
 
 def read_pixels(rows: DataFrame, media: str = "media") -> DataFrame:
-    """Add width, height and argb (array<long>, row by row) of the WebP file in a binary column; null where it is null."""
+    """Add width, height, argb (array<long>, row by row) and error of the WebP file in a binary column.
+
+    All are null where it is null; what can't be read has its error and nulls.  Columns of those names are replaced.
+    """
+    added = ("width", "height", "argb", "error")
+
+    def opened(m: bytes | None) -> tuple[np.ndarray | None, str | None]:
+        try:
+            return (None if m is None else decode(m)), None
+        except (ValueError, IndexError) as e:
+            return None, str(e) or type(e).__name__
 
     def pixels(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            images = [None if m is None else decode(m) for m in batch.column(media).to_pylist()]
+            found = [opened(m) for m in batch.column(media).to_pylist()]
             own = [
-                pa.array([None if i is None else i.shape[1] for i in images], pa.int32()),
-                pa.array([None if i is None else i.shape[0] for i in images], pa.int32()),
-                pa.array([None if i is None else _packed(i.reshape(-1, 4)).astype(np.int64) for i in images], pa.list_(pa.int64())),
+                pa.array([None if i is None else i.shape[1] for i, _ in found], pa.int32()),
+                pa.array([None if i is None else i.shape[0] for i, _ in found], pa.int32()),
+                pa.array([None if i is None else _packed(i.reshape(-1, 4)).astype(np.int64) for i, _ in found], pa.list_(pa.int64())),
+                pa.array([e for _, e in found], pa.string()),
             ]
-            kept = [n for n in batch.schema.names if n not in ("width", "height", "argb")]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + own, [*kept, "width", "height", "argb"])
+            kept = [n for n in batch.schema.names if n not in added]
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + own, [*kept, *added])
 
-    schema = rows.drop("width", "height", "argb").schema.add("width", T.IntegerType()).add("height", T.IntegerType()).add("argb", T.ArrayType(T.LongType()))
+    schema = rows.drop(*added).schema.add("width", T.IntegerType()).add("height", T.IntegerType()).add("argb", T.ArrayType(T.LongType())).add("error", T.StringType())
     return rows.mapInArrow(pixels, schema)

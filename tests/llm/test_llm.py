@@ -276,17 +276,77 @@ def test_hinge_fit_separates():
 
 
 def test_media_round_trip(spark):
-    texts = [None, "", "a", "é" * 31 + "ab", "x" * 64, "x" * 65, string.printable * 50, "y" * (64 * webp.MAX_SIDE + 5), "x" * 64]
+    texts = [None, "", "a", "é" * 31 + "ab", "x" * 64, "x" * 65, string.printable * 50, "y" * (64 * webp.MAX_SIDE + 5), "x" * 64, ("=" * 64 + "\n") * 300, "".join(chr(32 + i * i % 90) for i in range(9000))]
     rows = webp.to_media(docs(spark, list(enumerate(texts))).withColumn("media", F.lit(1)))
     out = webp.read_media(rows).orderBy("doc_id").collect()
     for r, t in zip(out, texts, strict=True):
         payload = webp.padded((t or "").encode())
-        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((t or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.error) == (len((t or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), None)
     assert out[0].media_sha256 == out[1].media_sha256 and out[4].feature == out[8].feature
     assert webp.read_media(docs(spark, [(1, None)], "doc_id long, media binary")).first().payload_bytes is None
     assert webp.to_media(docs(spark, [])).count() == 0
 
 
+def test_corrupt_media_are_reported(spark):
+    good = webp.store_bytes(webp.padded(string.printable.encode() * 40))
+    large = webp.store_bytes(webp.padded(string.printable.encode() * 300))
+    bad = [b"", b"RIFF", b"junk" * 30, good[:40], good[:-20], good[:12] + b"XXXX" + good[16:], large[:500]]
+    short = bytearray(good[:-30])  # sizes that fit, yet too few bits
+    short[4:8], short[16:20] = (len(short) - 8).to_bytes(4, "little"), (len(short) - 20).to_bytes(4, "little")
+    rows = docs(spark, [(i, bytearray(m)) for i, m in enumerate([good, *bad, short])], "doc_id long, media binary")
+    out = webp.read_media(rows).orderBy("doc_id").collect()
+    assert out[0].error is None and out[0].payload_bytes == len(string.printable) * 40 // 64 * 64 + 64 * (len(string.printable) * 40 % 64 > 0)
+    assert all(r.error and r.payload_sha256 is None and r.feature is None for r in out[1:])
+    assert [r.error is None for r in webp.read_pixels(rows).orderBy("doc_id").collect()] == [True] + [False] * 8
+
+
+def test_media_query_by_brute_force(spark):
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    out = queries.op4_media_columns(spark, FOLDER).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        raw = texts[r.doc_id]
+        payload = raw + bytes(max(64, (len(raw) + 63) // 64 * 64) - len(raw))
+        media = webp.store_bytes(payload)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
+        mean = sum(payload) / len(payload)
+        found = dict(x.split("=") for x in r.feature.split(";"))
+        assert int(found["w"]) * int(found["h"]) * (4 if len(payload) >= webp.LARGE else 1) == len(payload)
+        assert float(found["mean"]) == pytest.approx(mean, abs=1e-4) and float(found["var"]) == pytest.approx(sum((x - mean) ** 2 for x in payload) / len(payload), rel=1e-4, abs=1e-3)
+        assert [float(x) for x in found["q"].split(",")] == pytest.approx([sum(q <= x // 64 < q + 1 for x in payload) / len(payload) for q in range(4)], abs=1e-4)
+
+
+def test_stored_media_use_all_of_the_format(monkeypatch):
+    """What the writer stores must be undone by every transform, copies and cache entries on the way back."""
+    met = set()
+    for name in ("predicted", "cross_coloured"):
+        plain = getattr(webp, name)
+
+        def noted(image, data, size_bits, invert, name=name, plain=plain):
+            if invert and (data & np.uint32(0xFFFFFF)).any():
+                met.add(name)
+            return plain(image, data, size_bits, invert)
+
+        monkeypatch.setattr(webp, name, noted)
+    plain_write = webp._write_image
+
+    def write(w, px, width, main, cache_bits=0, least=0):
+        out = plain_write(w, px, width, main, cache_bits, least)
+        if least and webp._matches(px, least):
+            met.add("copies")
+        if cache_bits and len(out) < len(plain_write(webp.BitWriter(), px, width, True, 0, least)):
+            met.add("cache")
+        return out
+
+    monkeypatch.setattr(webp, "_write_image", write)
+    words = np.random.default_rng(1).choice(["spark ", "table ", "shuffle ", "of ", "a "], 4000)
+    for text in ("x" * 64 * 40, "".join(words)[:4000], "".join(words), "=" * 20_000, "ab" * 40 + "\n"):
+        payload = webp.padded(text.encode())
+        assert b"".join(webp.stored_samples(i).tobytes() for i in webp.stored_images(webp.store_bytes(payload))) == payload
+    assert met == {"predicted", "cross_coloured", "copies", "cache"}
+
+
 class Writer(webp.BitWriter):
     """Writes images with literals, copies and cache entries, each with codes made for it."""
 
@@ -379,6 +439,47 @@ def test_webp_literals_cache_and_copies():
             same(w.file(), image)
 
 
+def test_webp_groups_of_codes():
+    image, w = noise(12, 9, 60, seed=4), Writer().start(12, 9)
+    tiles = (np.arange(9).reshape(3, 3) % 2).astype(np.uint32)
+    w(0, 1)
+    w(0, 1)
+    w(1, 1)
+    w(0, 3)
+    w.image((tiles << 8).ravel(), 3, False)
+    of = tiles[np.arange(9)[:, None] >> 2, np.arange(12) >> 2]
+    codes = {}
+    for group in (0, 1):
+        px = image[of == group]
+        lengths = [webp.code_lengths(np.bincount((px >> s & 255).astype(int), minlength=280 if s == 8 else 256)) for s in (8, 16, 0, 24)] + [webp.code_lengths(np.bincount([0], minlength=40))]
+        for x in lengths:
+            w.lengths(x)
+        codes[group] = [(webp.codes_of(x), x) for x in lengths]
+    for p, group in zip(image.ravel().tolist(), of.ravel().tolist(), strict=True):
+        for (c, x), s in zip(codes[group], (8, 16, 0, 24), strict=False):
+            w(int(c[p >> s & 255]), int(x[p >> s & 255]))
+    same(w.file(), image)
+
+
+@pytest.mark.parametrize("size", [(1, 1), (1, 40), (70, 1), (64, 30), (33, 27)])
+def test_webp_writer_and_reader(size):
+    rng = np.random.default_rng(size[0])
+    for colours in (1, 2, 5, 40, 300):
+        image = rng.integers(0, 2**32, colours, dtype=np.uint64).astype(np.uint32)[rng.integers(0, colours, size)]
+        image[size[0] // 2 :] = np.resize(image[0], image[size[0] // 2 :].shape)
+        for palette in (False, True)[: 1 + (colours <= 256)]:
+            for cache_bits, least in ((0, 0), (0, 4), (6, 8), (11, 2)):
+                same(webp.encode_pixels(image, palette, 2 + size[1] % 5, cache_bits, least), image)
+
+
+def test_predictor_by_single_neighbours_equals_the_plain_loop():
+    image = noise(21, 17, seed=8)
+    for modes in (np.zeros((5, 6), np.uint32), (noise(6, 5, seed=1) % np.uint32(5)) << np.uint32(8)):
+        done = webp.predicted(image, modes, 2, False)
+        assert (done == webp._predicted_one_by_one(image, modes >> 8, 2, False)).all()
+        assert (webp.predicted(done, modes, 2, True) == image).all()
+
+
 def test_webp_transforms():
     image = noise(21, 17, seed=2)
     for mode in range(14):
@@ -432,7 +533,7 @@ def test_webp_palette(colours):
 
 
 def test_webp_pixels_of_a_column(spark):
-    rows = docs(spark, [(1, bytearray(webp.encode_samples(np.arange(128, dtype=np.uint8), 16))), (2, None)], "doc_id long, media binary")
+    rows = docs(spark, [(1, bytearray(webp.encode_pixels((np.arange(128, dtype=np.uint32) << 8 | np.uint32(0xFF000000)).reshape(8, 16), True))), (2, None)], "doc_id long, media binary")
     out = {r.doc_id: r for r in webp.read_pixels(rows).collect()}
     assert (out[1].width, out[1].height, out[1].argb[5]) == (16, 8, 0xFF000500) and out[2].argb is None
 
@@ -615,7 +716,7 @@ def test_mix_query_by_brute_force(spark):
 
 
 def test_main_text_of_pages(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "html").limit(60).collect()
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "html").collect()
     edge = [(None, None), (-1, ""), (-2, "<"), (-3, "<p>" * 3000), (-4, "<nav><a href=x>menu</a></nav>")]
     df = docs(spark, [(r.page_id, r.html) for r in rows] + edge, "page_id long, html string").withColumn("text", F.lit(1))
     got = {r.page_id: r.text for r in htmltext.extract_text(df).collect()}
@@ -754,12 +855,32 @@ def test_unclosed_elements_lose_no_text(markup, texts):
     assert [t for _, t, _ in htmltext.blocks(markup)] == texts
 
 
+@pytest.mark.parametrize(("markup", "texts"), [
+    ("<p title=it's>A</p><p>I don't..</p><p>The end</p>", ["A", "I don't..", "The end"]),
+    ('<p class="a"">one</p><p>two</p>', ["one", "two"]),
+    ("<p title='a>b'>x</p><p title = \"c>d\">y</p>", ["x", "y"]),
+    ('<p title="open>x</p><p>y', ["x", "y"]),
+])
+def test_quotes_count_after_an_equals_sign(markup, texts):
+    assert [t for _, t, _ in htmltext.blocks(markup)] == texts
+
+
+def test_deep_pages_share_their_paths():
+    import time
+
+    began = time.process_time()
+    found = htmltext.blocks("".join(f'<div class="c{i}">t{i}' for i in range(4000)))
+    assert [t for _, t, _ in found] == [f"t{i}" for i in range(4000)] and time.process_time() - began < 3
+    assert len(found[-1][0]) <= htmltext.PATH_BUCKETS and found[0][0] < found[9][0]
+    assert found[3990][0] is found[3999][0] or len(found[3990][0]) < htmltext.PATH_BUCKETS
+
+
 def test_all_words_of_a_block_count():
     start = "word " * 60
-    same = [htmltext.vectors([(["p"], f"{start}{end}.", 0)])[1][0] for end in ("reply", "story")]
+    same = [htmltext.vectors([(htmltext.path_of(["p"]), f"{start}{end}.", 0)])[1][0] for end in ("reply", "story")]
     assert len(same[0][0]) == 2 and list(same[0][0]) != list(same[1][0])
     assert sorted(same[0][1]) == pytest.approx([1 / 61, 60 / 61])
     w = htmltext.new_weights()
     w["word"] += np.arange(htmltext.WORD_BUCKETS)[:, None]
-    x = htmltext._inputs(w, [htmltext.vectors([(["p"], f"{start}reply.", 0)])], 1)[0][0, 0, htmltext.PATH_SIZE]
+    x = htmltext._inputs(w, [htmltext.vectors([(htmltext.path_of(["p"]), f"{start}reply.", 0)])], 1)[0][0, 0, htmltext.PATH_SIZE]
     assert x == pytest.approx((60 * (zlib.crc32(b"word") % htmltext.WORD_BUCKETS) + zlib.crc32(b"reply") % htmltext.WORD_BUCKETS) / 61)
