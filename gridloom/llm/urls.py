@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rules with more characters than this in all are refused: the trie is broadcast whole.
-MAX_RULE_CHARS = 200_000_000
+#: Rules with up to so many characters in all are broadcast as a trie; more of them are joined with the urls.
+MAX_RULE_CHARS = 50_000_000
 _LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
@@ -28,8 +28,8 @@ def split_url(url: str | None) -> tuple[str, str]:
 class RuleTrie:
     """Nodes are dicts: host labels from the right, then, below the key "/", whole path segments.
 
-    A rule's last segment need not be whole: it is kept as a tail at the node of the segments before it, and
-    fits every segment run that starts with it.  A rule without a path is kept below "*".  More host labels win over fewer, then longer paths over
+    A rule's last segment need not be whole: it is kept as a tail at the node of the segments before it, with the
+    sizes of all tails there, and fits every segment run that starts with it.  A rule without a path is kept below "*".  More host labels win over fewer, then longer paths over
     shorter ones, then block over allow.
     """
 
@@ -48,6 +48,8 @@ class RuleTrie:
             for segment in whole:
                 node = node.setdefault("/" + segment, {})
             tails = node.setdefault("", {})
+            if len(tail) not in (sizes := node.setdefault("#", [])):
+                sizes.append(len(tail))
             if tails.get(tail, ("", "allow"))[1] != "block":
                 tails[tail] = (f"{host.translate(_LOWER)}/{path.removeprefix('/')}", verdict)
 
@@ -56,9 +58,9 @@ class RuleTrie:
         found, at = node.get("*") if node else None, 1
         while node is not None:
             if tails := node.get(""):
-                fits = [t for t in tails if path.startswith(t, at)]
-                if fits:
-                    found = tails[max(fits, key=len)]
+                fits = max((n for n in node["#"] if path[at : at + n] in tails and at + n <= len(path)), default=None)
+                if fits is not None:
+                    found = tails[path[at : at + fits]]
             end = path.find("/", at)
             if end < 0:
                 return found
@@ -83,14 +85,16 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
     starts with the rule's.  A null url or one without ``://`` has an empty host and path, which no rule fits;
     ``default`` is the verdict without a rule.  A rule with the path "/" fits no url without a path; one with an
     empty path fits every url of its hosts.
-    Repeated rows and rules change nothing.  The rules are broadcast; their size is checked.
+    Repeated rows and rules change nothing; urls of any length are judged whole, and an empty table gives an empty
+    one.  Rules beyond ``MAX_RULE_CHARS`` are joined instead of broadcast, with the same verdicts.
     """
-    rules = [(h, p, v) for h, p, v in rules]
+    rules = sorted({(h, p, v) for h, p, v in rules})
     for h, p, v in rules:
         if v not in ("allow", "block") or not h:
             raise ValueError(f"not a rule: {(h, p, v)!r}")
+    rest = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     if sum(len(h) + len(p) for h, p, _ in rules) > MAX_RULE_CHARS:
-        raise ValueError("too many rules to broadcast")
+        return _joined(pages, pages.sparkSession.createDataFrame(rules, "host string, path string, verdict string"), max(p.count("/") for _, p, _ in rules), default, url).select(*rest, "_judged.*")
     trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules).root)
 
     @F.pandas_udf("host string, path string, rule string, verdict string")
@@ -103,5 +107,24 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default
                 rows.append((host, path, *(t.match(host, path) or (None, default))))
             yield pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"])
 
-    rest = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     return pages.withColumn("_judged", judge(url)).select(*rest, "_judged.*")
+
+
+def _joined(pages: DataFrame, rules: DataFrame, deepest: int, default: str, url: str) -> DataFrame:
+    """``pages`` with ``_judged``: each distinct url meets the rules of its host suffixes and of the folders above its path, as deep as rules go."""
+    lower = lambda c: F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
+    folder = lambda c: F.regexp_extract(c, r"(?s)\A(.*/)", 1)
+    trimmed = lambda c: F.array_join(F.array_remove(F.split(c, r"\."), ""), ".")
+    rules = rules.select(lower(trimmed(F.col("host"))).alias("_h"), lower("host").alias("_shown"), F.col("path").alias("_p"), folder(F.col("path")).alias("_f"), F.col("verdict").alias("_v"))
+    at = F.instr(F.coalesce(F.col("_u"), F.lit("")), "://")
+    rest = F.when(at > 0, F.regexp_extract(F.substr(F.col("_u"), at + 3), r"(?s)\A([^?#]*)", 1)).otherwise("")
+    known = pages.select(F.col(url).alias("_u")).distinct().withColumn("_rest", rest)
+    known = known.select("_u", lower(F.regexp_extract("_rest", r"(?s)\A([^/]*)", 1)).alias("host"), F.regexp_extract("_rest", r"(?s)\A[^/]*(/.*)\z", 1).alias("path"))
+    labels, steps = F.split("host", r"\."), F.split("path", "/")
+    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.lit(1 << 30)), "."))
+    folders = F.transform(F.sequence(F.lit(0), F.least(F.size(steps) - 1, F.lit(deepest))), lambda i: F.when(i == 0, "").otherwise(F.concat(F.array_join(F.slice(steps, F.lit(1), i), "/"), F.lit("/"))))
+    asked = known.select("*", F.explode(hosts).alias("_h")).select("*", F.explode(folders).alias("_f"))
+    rank = F.struct(F.size(F.split("_h", r"\.")), F.length("_p"), F.col("_v") == "block", F.concat("_shown", F.lit("/"), F.regexp_replace("_p", r"\A/", "")).alias("rule"), F.col("_v").alias("verdict"))
+    best = asked.join(rules, ["_h", "_f"]).filter(F.startswith("path", "_p")).groupBy("_u").agg(F.max(rank).alias("_b")).withColumnRenamed("_u", "_w")
+    judged = known.join(best, F.col("_u") == F.col("_w"), "left").select("_u", F.struct("host", "path", F.col("_b.rule").alias("rule"), F.coalesce("_b.verdict", F.lit(default)).alias("verdict")).alias("_judged"))
+    return pages.join(judged, pages[url].eqNullSafe(judged["_u"]), "left").drop("_u")

@@ -541,18 +541,22 @@ def test_webp_pixels_of_a_column(spark):
 # ---- URL filter
 
 
-def test_url_rules(spark):
+@pytest.mark.parametrize("most", [urls.MAX_RULE_CHARS, 0])
+def test_url_rules(spark, monkeypatch, most):
+    monkeypatch.setattr(urls, "MAX_RULE_CHARS", most)  # 0: by a join
     rules = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "", "block"), ("org", "/", "block"), ("a.net", "/x", "block"), ("a.net", "/x", "allow")]
     cases = {
         "http://EXAMPLE.com/en/71": ("example.com/en/7", "allow"), "https://m.example.com/en/7?q": ("example.com/en/7", "allow"), "http://x.com/en/": ("com/en/", "block"),
         "http://x.com/en": (None, "allow"), "http://b.a.net/xyz#t": ("a.net/x", "block"), "http://net": ("net/", "block"), "http://org": (None, "allow"), "http://org/": ("org/", "block"), "http://notnet/": (None, "allow"), "": (None, "allow"),
-        None: (None, "allow"), "x.com/en/1": (None, "allow"), "http://x.com:80/en/": (None, "allow"), "http://c" + "/" * 100_000: (None, "allow"),
+        None: (None, "allow"), "x.com/en/1": (None, "allow"), "http://x.com:80/en/": (None, "allow"), "http://c" + "/" * 100_000: (None, "allow"), "http://c/" + "x" * 100_000: (None, "allow"),
     }
     df = docs(spark, list(enumerate(cases)), "page_id long, url string").withColumn("rule", F.lit("clash"))
     assert [(r.rule, r.verdict) for r in urls.filter_urls(df, rules).orderBy("page_id").collect()] == list(cases.values())
     assert urls.filter_urls(df.limit(0), rules).count() == 0
     with pytest.raises(ValueError):
         urls.filter_urls(df, [("com", "/", "maybe")])
+    t = urls.RuleTrie([("com", f"/a/{i}", "block") for i in range(100_000)])
+    assert t.match("x.com", "/a/99999z") == ("com/a/99999", "block") and t.match("x.com", "/a/") is None
 
 
 # ---- sharding
