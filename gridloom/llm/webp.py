@@ -50,7 +50,7 @@ class PrefixCode:
     """A canonical prefix code as a table over its longest code's bits."""
 
     def __init__(self, lengths: np.ndarray) -> None:
-        used = np.flatnonzero(lengths)
+        used = lengths.nonzero()[0]
         self.single = int(used[0]) if len(used) == 1 else 0 if not len(used) else None
         if self.single is not None:
             self.top = 0
@@ -60,10 +60,10 @@ class PrefixCode:
         room = np.int64(1) << (self.top - sizes.astype(np.int64))
         if (1 << self.top) != room.sum():
             raise ValueError("the prefix code isn't complete")
-        order = np.argsort(sizes, kind="stable")
+        order = sizes.argsort(kind="stable")
         room, reverse = room[order], _reversal(self.top)
-        self.symbols = np.repeat(used[order].astype(np.int16), room)[reverse]
-        self.lengths = np.repeat(sizes[order], room)[reverse]
+        self.symbols = used[order].astype(np.int16).repeat(room)[reverse]
+        self.lengths = sizes[order].repeat(room)[reverse]
 
     def read(self, bits: Bits) -> int:
         if self.single is not None:
@@ -157,8 +157,8 @@ _BASE = np.array([1, 2, 3, 4, *[((2 + (s & 1)) << ((s - 2) >> 1)) + 1 for s in r
 def _followed(src: np.ndarray) -> np.ndarray:
     """Where each place of ``src`` leads to in the end; places lead back or to themselves."""
     while True:
-        after = src[src]
-        if np.array_equal(after, src):
+        after = src.take(src)
+        if (after == src).all():
             return src
         src = after
 
@@ -185,8 +185,8 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
         return code.symbols[i], code.lengths[i]
 
     symbol, size = look(g, slice(None))
-    step = size.astype(np.int32)
-    place = np.arange(total, dtype=np.int32)
+    step = size.astype(np.int64)
+    place = np.arange(total)
     plain = symbol < 256
     if any(c.single is None for c in (r, b, a)):
         at = place + step
@@ -194,7 +194,7 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
             if c.single is None:
                 at = at + c.lengths[ahead[inside(at)] & np.uint32((1 << c.top) - 1)]
         step = np.where(plain, at - place, step)
-    copies = np.flatnonzero(~plain & (symbol < 280)) if g.symbols.max() >= 256 else np.zeros(0, np.int64)
+    copies = (~plain & (symbol < 280)).nonzero()[0] if g.symbols.max() >= 256 else np.zeros(0, np.int64)
 
     def distance(q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols of distances, where their extra bits begin, and those of the lengths."""
@@ -206,10 +206,12 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
     if len(copies):
         s, at, _ = distance(copies)
         step[copies] = at + _EXTRA[s] - copies
-    following = np.append(np.minimum(place + step, total), total).astype(np.int32)
+    following = np.empty(total + 1, dtype=np.int64)
+    np.minimum(place + step, total, out=following[:-1])
+    following[-1] = total
     far = following
     for _ in range(4):
-        far = far[far]
+        far = far.take(far)
     leads, walk, p = memoryview(far), [], bits.at & 7
     for _ in range(-(-n // 16)):
         if p >= total:
@@ -220,7 +222,7 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
     last = np.array(walk, dtype=np.int64)
     for i in range(16):
         tokens[:, i] = last
-        last = following[last]
+        last = following.take(last)
     tokens = tokens.ravel()
     tokens = tokens[tokens < total]
     kinds = symbol[tokens].astype(np.int64)
@@ -232,8 +234,8 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
         s, at, lengths_at = distance(q)
         long[copied] = _BASE[kinds[copied] - 256] + field(lengths_at, _EXTRA[kinds[copied] - 256])
         back = _BASE[s] + field(at, _EXTRA[s])
-    ends = np.cumsum(long)
-    used = int(np.searchsorted(ends, n)) + 1
+    ends = long.cumsum()
+    used = int(ends.searchsorted(n)) + 1
     if used > len(ends) or ends[used - 1] != n:
         raise ValueError("the pixels end early or a back-reference leaves the image")
     tokens, kinds, copied, long, ends = tokens[:used], kinds[:used], copied[:used], long[:used], ends[:used]
@@ -259,9 +261,17 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
         back = np.where(back > 120, back - 120, near[np.minimum(back, 120) - 1])
         if (back > first[copied]).any():
             raise ValueError("a back-reference leaves the image")
+        if 16 * len(back) < n and (kinds < 280).all():  # few copies are made one by one
+            for begin, times, far_back in zip(first[copied].tolist(), long[copied].tolist(), back.tolist(), strict=True):
+                if far_back >= times:
+                    out[begin : begin + times] = out[begin - far_back : begin - far_back + times]
+                else:
+                    out[begin : begin + times] = np.resize(out[begin - far_back : begin], times)
+            bits.at += end - (bits.at & 7)
+            return out
         times = long[copied]
-        places = np.repeat(first[copied] - np.cumsum(times) + times, times) + np.arange(times.sum())
-        src[places] = places - np.repeat(back, times)
+        places = (first[copied] - times.cumsum() + times).repeat(times) + np.arange(times.sum())
+        src[places] = places - back.repeat(times)
     cached = kinds >= 280
     if cached.any():
         slot = np.zeros(n, dtype=np.int64)
@@ -269,7 +279,7 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
         asked = first[cached]
         slot[asked] = kinds[cached] - 280
         slot = slot[_followed(src)] if copied.any() else slot
-        order = np.argsort(slot, kind="stable")
+        order = slot.argsort(kind="stable")
         before = np.full(n, -1)
         same = slot[order[1:]] == slot[order[:-1]]
         before[order[1:][same]] = order[:-1][same]
@@ -395,7 +405,7 @@ def predicted(image: np.ndarray, modes: np.ndarray, size_bits: int, invert: bool
     """Undo (or do) the predictor transform on an array of height x width ARGB numbers."""
     height, width = image.shape
     kinds = (modes >> 8) & 0xF
-    kinds = np.where(kinds > 13, 0, kinds)
+    kinds[kinds > 13] = 0
     if not kinds.any():  # only borders have neighbours for their prediction
         out = image.copy()
         out[1:, 1:] = (_plus if invert else _minus)(image[1:, 1:], np.uint32(_OPAQUE))
@@ -517,12 +527,12 @@ def decode(file: bytes) -> np.ndarray:
 def code_lengths(counts: np.ndarray, most: int = 15) -> np.ndarray:
     """Lengths of a complete prefix code for the symbols that occur; rare symbols weigh more until none is too long."""
     out = np.zeros(len(counts), dtype=np.uint8)
-    used = np.flatnonzero(counts)
+    used = counts.nonzero()[0]
     if len(used) <= 1:
         used = np.array([0, 1 if not len(used) else max(1, int(used[0]))]) if not len(used) or used[0] else np.array([0, 1])
     weights = counts[used].astype(np.int64)
     while True:
-        order = np.argsort(weights, kind="stable")
+        order = weights.argsort(kind="stable")
         leaves, n = weights[order].tolist(), len(used)
         inner, above = [], [0] * (2 * n - 1)  # leaves by weight, then what joins two, in the order of making
         i = j = 0
@@ -547,12 +557,12 @@ def code_lengths(counts: np.ndarray, most: int = 15) -> np.ndarray:
 
 def codes_of(lengths: np.ndarray) -> np.ndarray:
     """The canonical codes in the order in which their bits are stored."""
-    used = np.flatnonzero(lengths)
-    used = used[np.argsort(lengths[used], kind="stable")]
+    used = lengths.nonzero()[0]
+    used = used[lengths[used].argsort(kind="stable")]
     sizes = lengths[used].astype(np.int64)
     room = 1 << (15 - sizes)  # each code's share of the 15-bit space, whose start is the code
     out = np.zeros(len(lengths), dtype=np.int64)
-    out[used] = _reversal(15)[np.cumsum(room) - room]
+    out[used] = _reversal(15)[room.cumsum() - room]
     return out
 
 
@@ -572,7 +582,7 @@ class BitWriter:
             self(4 if s < 13 else 5, 3)
         self(0, 1)
         value = size = last = 0
-        for i in [*np.flatnonzero(lengths).tolist(), len(lengths)]:
+        for i in [*lengths.nonzero()[0].tolist(), len(lengths)]:
             zeros, last = i - last, i + 1
             while zeros >= 3:
                 part = min(zeros, 138)
@@ -606,13 +616,15 @@ def _matches(px: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     while wide < least:  # a hash of ``least`` pixels, a power of two, from each place
         h = h[:-wide] * np.uint64(0x9E3779B97F4A7C15) + h[wide:] * np.uint64(0xD6E8FEB86659FD93) + (h[wide:] >> np.uint64(29))
         wide *= 2
-    order = np.argsort(h, kind="stable")
-    same = h[order[1:]] == h[order[:-1]]
+    # few pixels are sorted by a part of the hash, which is faster and may miss a copy, but finds no wrong one
+    order = ((h >> np.uint64(48)).astype(np.uint16) if n < 1 << 14 else h).argsort(kind="stable")
+    ranked = h[order]
+    same = ranked[1:] == ranked[:-1]
     if not same.any():
         return []
     back = np.zeros(n + 1, dtype=np.int64)
     back[order[1:][same]] = order[1:][same] - order[:-1][same]
-    turns = np.flatnonzero(back[1:] != back[:-1]) + 1  # stretches of one distance; the first pixel is no copy
+    turns = (back[1:] != back[:-1]).nonzero()[0] + 1  # stretches of one distance; the first pixel is no copy
     found, at = [], 0
     for begin, end, distance in zip(turns[:-1].tolist(), turns[1:].tolist(), back[turns[:-1]].tolist(), strict=True):
         if distance:
@@ -646,23 +658,23 @@ def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bit
     found = _matches(px, least) if least else []
     if found:
         at, length, back = (np.array(x, dtype=np.int64) for x in zip(*found, strict=True))
-        inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-        places = np.repeat(at, length) + inner
-        if not np.array_equal(px[places], px[places - np.repeat(back, length)]):  # two hashes met
+        places = (at - length.cumsum() + length).repeat(length) + np.arange(length.sum())
+        if (px[places] != px[places - back.repeat(length)]).any():  # two hashes met
             found = []
     literal = np.ones(n, dtype=bool)
     if found:
         literal[places] = False
-        parts = -(-length // 4096)  # no copy is longer than that
-        number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        at, back, length = np.repeat(at, parts) + 4096 * number, np.repeat(back, parts), np.minimum(4096, np.repeat(length, parts) - 4096 * number)
+        if length.max() > 4096:  # no copy is longer than that
+            parts = -(-length // 4096)
+            number = np.arange(parts.sum()) - (parts.cumsum() - parts).repeat(parts)
+            at, back, length = at.repeat(parts) + 4096 * number, back.repeat(parts), np.minimum(4096, length.repeat(parts) - 4096 * number)
     slot = hit = None
     if cache_bits:
         slot = ((px * np.uint32(_CACHE_FACTOR)) >> np.uint32(32 - cache_bits)).astype(np.int64)
         order = np.argsort(slot, kind="stable")
         hit = np.zeros(n, dtype=bool)
         hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (px[order[1:]] == px[order[:-1]])
-    where = np.flatnonzero(literal)
+    where = literal.nonzero()[0]
     value = px[where]
     green = ((value >> np.uint32(8)) & np.uint32(255)).astype(np.int64)
     plain: np.ndarray | slice = slice(None)
@@ -692,12 +704,12 @@ def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bit
         w(0, 1)  # one group of codes
     made = []
     for counts in alphabets:
-        used = np.flatnonzero(counts)
+        used = counts.nonzero()[0]
         if len(used) <= 1 and (not len(used) or used[0] < 256):  # one symbol, which takes no bits
             w(0b101 | (int(used[0]) if len(used) else 0) << 3, 11)
             made.append(_NOTHING)
         else:
-            lengths = code_lengths(counts)
+            lengths = code_lengths(counts, 12 if main and len(made) < 4 else 9)  # short codes keep the reader's tables small
             w.lengths(lengths)
             made.append((codes_of(lengths).astype(np.uint64), lengths.astype(np.int64)))
     token, size = made[0][0][green], made[0][1][green]
@@ -711,7 +723,7 @@ def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bit
         for code, bits in ((lv.astype(np.uint64), lx), (dc[ds], dl[ds]), (dv.astype(np.uint64), dx)):
             copy = copy | (code << wide.astype(np.uint64))
             wide = wide + bits
-        order = np.argsort(np.concatenate([where, at]), kind="stable")
+        order = np.concatenate([where, at]).argsort(kind="stable")
         token, size = np.concatenate([token, copy])[order], np.concatenate([size, wide])[order]
     if not main:
         for v, k in zip(token.tolist(), size.tolist(), strict=True):
@@ -732,20 +744,11 @@ def _near_codes(width: int) -> np.ndarray:
 
 def _joined(w: BitWriter, token: np.ndarray, size: np.ndarray) -> bytes:
     """The bits of ``w``, then tokens of up to 60 bits, as bytes."""
-    if size.max() > 32:
-        token = np.stack([token & np.uint64(0xFFFFFFFF), token >> np.uint64(32)], axis=1).ravel()
-        size = np.stack([np.minimum(size, 32), np.maximum(size - 32, 0)], axis=1).ravel()
-    ends = np.cumsum(size)
-    at = w.size + ends - size
-    total = -(-int(w.size + ends[-1]) // 8)
-    wide = (int(size.max()) + 14) // 8
-    body = np.zeros(total + wide, dtype=np.int64)
-    shifted = token << (at & 7).astype(np.uint64)
-    for i in range(wide):  # bits of different codes never meet, so sums are ors
-        body += np.bincount((at >> 3) + i, weights=(shifted >> np.uint64(8 * i)) & np.uint64(0xFF), minlength=total + wide).astype(np.int64)[: total + wide]
-    head = w.value.to_bytes(-(-w.size // 8), "little")
-    body[: len(head)] |= np.frombuffer(head, np.uint8)
-    return body[:total].astype(np.uint8).tobytes()
+    head = np.unpackbits(np.frombuffer(w.value.to_bytes(-(-w.size // 8), "little"), np.uint8), bitorder="little")[: w.size]
+    ends = size.cumsum()
+    inner = np.arange(ends[-1]) - (ends - size).repeat(size)
+    bits = (token.repeat(size) >> inner.astype(np.uint64)).astype(np.uint8) & np.uint8(1)
+    return np.packbits(np.concatenate([head, bits]), bitorder="little").tobytes()
 
 
 def _by_tile(on: np.ndarray, size_bits: int) -> np.ndarray:
