@@ -10,12 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters that alone make a word noise, the months of textual dates, the form of a number.
-NOISE_CHARACTERS = "\"'`‘’“”|¦!¡=+_~—–-.,:;\\/()[]{}<>*#"
+NOISE_CHARACTERS = "'\"`‘’“”|¦!¡=+_~—–-.,:;\\/()[]{}<>*#"
 MONTHS = {
     "января": 1, "февраля": 2, "марта": 3, "апреля": 4, "мая": 5, "июня": 6,
     "июля": 7, "августа": 8, "сентября": 9, "октября": 10, "ноября": 11, "декабря": 12,
 }
-NUMBER = r"\d+(?:[,.]\d+)?"
+NUMBER = r"\p{Nd}+(?:[,.]\p{Nd}+)?"
 #: White space as Python strips it, for Java's regular expressions.
 SPACE = r"[\s\x1C-\x1F\x85\p{Z}]"
 
@@ -63,7 +63,7 @@ def number_candidates(c: Column) -> Column:
 
 def ru_date(c: Column) -> Column:
     """The first "5 марта 2021" in a text as 05.03.2021; empty without one or for an unknown month.  The day isn't checked."""
-    form = r"(?iu)(\d{1,2})\s+([а-яё]+)\s+(\d{4})"
+    form = rf"(?iu)(\p{{Nd}}{{1,2}}){SPACE}+([а-яё]+){SPACE}+(\p{{Nd}}{{4}})"
     month = F.lit(None).cast("int")
     name = F.lower(F.regexp_extract(c, form, 2))
     for word, number in MONTHS.items():

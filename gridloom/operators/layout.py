@@ -75,9 +75,9 @@ def block_threshold(gaps: DataFrame, keys: Sequence[str], factor: float, typical
     return found.select(*keys, step.alias("step"), F.greatest(F.col("_t") * 2.5, step * factor).alias("threshold"))
 
 
-def split_blocks(rows: DataFrame, keys: Sequence[str], order: str, factor: float, typical: str | None = None) -> DataFrame:
-    """Add block_no (from 1): a new block begins where the gap to the row before is above the threshold."""
-    along = Window.partitionBy(*keys).orderBy(order)
+def split_blocks(rows: DataFrame, keys: Sequence[str], order: str, factor: float, typical: str | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """Add block_no (from 1): a new block begins where the gap to the row before is above the threshold.  ``ties`` order equal rows."""
+    along = Window.partitionBy(*keys).orderBy(order, *ties)
     gapped = rows.withColumn("gap", F.col(order) - F.lag(order).over(along))
     limits = block_threshold(gapped, keys, factor, F.col(typical) if typical else None)
     placed = gapped.join(limits, list(keys))
@@ -87,15 +87,20 @@ def split_blocks(rows: DataFrame, keys: Sequence[str], order: str, factor: float
 def find_blocks(tokens: DataFrame, keys: Sequence[str], factor: float = 3.0) -> DataFrame:
     """Tokens of ``find_rows`` with block_no and row_no, both from 1."""
     rows = tokens.groupBy(*keys, "row").agg(F.first("row_cy").alias("row_cy"), F.first("typical").alias("typical"))
-    rows = split_blocks(rows, keys, "row_cy", factor, "typical")
+    rows = split_blocks(rows, keys, "row_cy", factor, "typical", ["row"])
     numbered = rows.withColumn("row_no", F.row_number().over(Window.partitionBy(*keys, "block_no").orderBy("row")))
     return tokens.join(numbered.select(*keys, "row", "block_no", "row_no"), [*keys, "row"])
 
 
+def along_row(tokens: DataFrame) -> list[str]:
+    """The order of a row's words: by left edge, equal ones by centre, then as they were read."""
+    return ["x", *(["cy"] if "cy" in tokens.columns else []), "seq"]
+
+
 def row_gaps(tokens: DataFrame, keys: Sequence[str], row: str = "row", typical: Column | None = None) -> DataFrame:
     """Gaps of at least the typical height between neighbours of a row, narrowed by a fifth of it on either side: keys, row, lo, hi."""
     t = F.lit(32.0) if typical is None else typical
-    next_x = F.lead("x").over(Window.partitionBy(*keys, row).orderBy("x", "seq"))
+    next_x = F.lead("x").over(Window.partitionBy(*keys, row).orderBy(*along_row(tokens)))
     gaps = tokens.withColumn("_next", next_x).filter(F.col("_next") - F.col("r") >= t)
     return gaps.select(*keys, row, (F.col("r") + t * F.lit(0.2)).alias("lo"), (F.col("_next") - t * F.lit(0.2)).alias("hi"))
 
@@ -125,7 +130,7 @@ def gutter_segments(tokens: DataFrame, keys: Sequence[str], row: str = "row", su
     steps = steps.withColumns({"hi": F.lead("lo").over(along), "support": F.sum("d").over(along.rowsBetween(Window.unboundedPreceding, 0))}).filter("hi is not null")
     free = steps.join(rows, keys).filter(F.col("support") >= needed_support(F.col("n_rows"), support))
 
-    reach = Window.partitionBy(*keys, row).orderBy("x", "seq")
+    reach = Window.partitionBy(*keys, row).orderBy(*along_row(tokens))
     islands = tokens.withColumn("_far", F.max("r").over(reach.rowsBetween(Window.unboundedPreceding, -1)))
     islands = islands.withColumn("_i", F.sum((F.col("_far").isNull() | (F.col("x") >= F.col("_far"))).cast("int")).over(reach.rowsBetween(Window.unboundedPreceding, 0)))
     islands = islands.groupBy(*keys, row, "_i").agg(F.min("x").cast("double").alias("x"), F.max("r").cast("double").alias("r"))

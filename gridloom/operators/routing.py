@@ -26,10 +26,15 @@ def done_paths(*parts: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def routed(records: DataFrame, error: str = "error") -> DataFrame:
-    """status errors where there is an error; such rows have no reason."""
-    bad = F.col(error).isNotNull()
-    return records.withColumns({"status": F.when(bad, "errors").otherwise(F.col("status")), "reason": F.when(bad, "").otherwise(F.col("reason"))})
+#: Fixed value: the reason of a document that isn't there.
+NOT_FOUND = "файл не найден по пути из CSV"
+
+
+def routed(records: DataFrame, error: str = "error", found: str = "found") -> DataFrame:
+    """status errors where there is an error, such rows have no reason; skipped where nothing was found."""
+    bad, gone = F.col(error).isNotNull(), ~F.coalesce(F.col(found), F.lit(True)) if found in records.columns else F.lit(False)
+    status = F.when(bad, "errors").when(gone, "skipped").otherwise(F.col("status"))
+    return records.withColumns({"status": status, "reason": F.when(bad, "").when(gone, NOT_FOUND).otherwise(F.col("reason"))}).drop(found)
 
 
 def three_ways(records: DataFrame) -> dict[str, DataFrame]:

@@ -73,7 +73,7 @@ def tg_cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tg_wide(spark: SparkSession, d: str) -> DataFrame:
-    return C.wide_grid(C.cells(_slotted(spark, d), KEYS, candidates=False), ROW, 8)
+    return C.wide_grid(C.cells(_slotted(spark, d), KEYS, candidates=False), ROW)
 
 
 def tg_crossing(spark: SparkSession, d: str) -> DataFrame:
@@ -186,7 +186,7 @@ def sheet_no(spark: SparkSession, d: str) -> DataFrame:
 
 
 def safe_cell(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages").select("page_id", T.safe_cell(F.col("html"), 3270).alias("cell"))
+    return table(spark, d, "pages").select("page_id", T.safe_cell(F.col("html")).alias("cell"))
 
 
 def folder_uid(spark: SparkSession, d: str) -> DataFrame:
@@ -229,7 +229,7 @@ of AS (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id, row O
 tk AS (
   SELECT doc_id, row, seq, 'T' || row || '.' || seq AS token_id, text, 40 * o AS x, 54 * row AS y, 40 * (o + length(text)) AS r, 54 * row + 32 AS b, (54 * row + 16)::DOUBLE AS cy,
     (30 + (5 * length(text) + 7 * seq) % 70)::DOUBLE AS conf,
-    regexp_full_match(text, '["''`‘’“”|¦!¡=+_~—–\-.,:;\\/()\[\]{}<>*#\s]+') AS noise
+    regexp_full_match(text, '[''"`‘’“”|¦!¡=+_~—–\-.,:;\\/()\[\]{}<>*#\s]+') AS noise
   FROM of WHERE trim(text) <> '')"""
 _GAPS = r"""
 , gp AS (
@@ -291,7 +291,7 @@ ORACLE_SQL = {
     + r""", w AS (SELECT doc_id, max(r) AS width FROM tk GROUP BY doc_id), c AS (SELECT doc_id, [0.25::DOUBLE * width, 0.5::DOUBLE * width, 0.75::DOUBLE * width] AS cuts FROM w)
 SELECT doc_id, row, seq, len(list_filter(cuts, lambda c: (tk.x + tk.r) / 2 >= c)) + 1 AS "column", len(list_filter(cuts, lambda c: tk.x < c AND c < tk.r)) > 0 AS crosses FROM tk JOIN c USING (doc_id)""",
     "tg_cells": _TO_SLOTS + _CELLS + " SELECT * FROM ce",
-    "tg_wide": _TO_SLOTS + _CELLS + " SELECT doc_id, row, " + ", ".join(f"coalesce(max(CASE WHEN \"column\" = {i} THEN cell_raw END), '') AS C{i:02d}" for i in range(1, 9)) + " FROM ce GROUP BY doc_id, row",
+    "tg_wide": _TO_SLOTS + _CELLS + " SELECT doc_id, row, " + ", ".join(f"coalesce(max(CASE WHEN \"column\" = {i} THEN cell_raw END), '') AS C{i:02d}" for i in range(1, C.WIDE_COLUMNS + 1)) + " FROM ce GROUP BY doc_id, row",
     "tg_crossing": _TO_SLOTS + " SELECT doc_id, row, CASE WHEN bool_or(crosses) THEN 'crosses_column_boundary' ELSE '' END AS flags FROM sl GROUP BY doc_id, row",
     "tg_assign": _TO_SLOTS + ' SELECT doc_id, row, seq, noise, CASE WHEN NOT noise THEN "column" END AS "column" FROM sl',
     "ev_blocks": _EV + " SELECT event_id, user_id, block_no::INT AS block_no FROM k",
@@ -300,7 +300,7 @@ SELECT doc_id, row, seq, len(list_filter(cuts, lambda c: (tk.x + tk.r) / 2 >= c)
     "doc_number_offsets": r"""WITH m AS (SELECT doc_id, text, regexp_extract_all(text, '\d+(?:[,.]\d+)?') AS m, string_split_regex(text, '\d+(?:[,.]\d+)?') AS s FROM documents)
 SELECT doc_id, i - 1 AS no, m[i] AS raw, replace(m[i], ',', '.') AS value, (list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::INT AS "offset" FROM m, unnest(range(1, (len(m) + 1)::BIGINT)) AS t(i)""",
     "doc_noise": r"""WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '[ \n]')) AS w FROM documents)
-SELECT doc_id, count(*) AS n_words, sum(CASE WHEN regexp_full_match(w, '["''`‘’“”|¦!¡=+_~—–\-.,:;\\/()\[\]{}<>*#\s]+') THEN 1 ELSE 0 END)::BIGINT AS n_noise FROM w WHERE w <> '' GROUP BY doc_id""",
+SELECT doc_id, count(*) AS n_words, sum(CASE WHEN regexp_full_match(w, '[''"`‘’“”|¦!¡=+_~—–\-.,:;\\/()\[\]{}<>*#\s]+') THEN 1 ELSE 0 END)::BIGINT AS n_noise FROM w WHERE w <> '' GROUP BY doc_id""",
     "median_default": "SELECT l_orderkey, coalesce(median(CASE WHEN l_quantity BETWEEN 6 AND 30 THEN l_quantity END), 32.0)::DOUBLE AS typical FROM lineitem GROUP BY l_orderkey",
     "page_fields": r"""SELECT page_id, regexp_extract(html, '(?i)<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<a href="([^"]*)"', 1) AS first_link FROM pages""",
     "url_tail": r"SELECT page_id, regexp_extract(url, '([0-9A-Za-z_-]+)[^0-9A-Za-z_-]*$', 1) AS tail FROM pages",
@@ -315,7 +315,7 @@ SELECT o_orderkey, lpad(p[1], 2, '0') || '.' || lpad(list_position({_MONTHS}, p[
     "final_report": """WITH d AS (SELECT doc_id, source, quality FROM documents JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) USING (doc_id))
 SELECT row_number() OVER (ORDER BY doc_id) AS no, doc_id, source, '' AS error FROM d WHERE quality = 1 UNION ALL SELECT NULL, doc_id, '', 'low quality' FROM d WHERE quality = 0""",
     "sheet_no": "SELECT o_orderkey, no, (no - 1) // 999 + 1 AS sheet_no FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS no FROM orders)",
-    "safe_cell": r"SELECT page_id, left(regexp_replace(html, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), 3270) AS cell FROM pages",
+    "safe_cell": r"SELECT page_id, left(regexp_replace(html, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), 32700) AS cell FROM pages",
     "folder_uid": "SELECT page_id, left(sha1(url), 8) AS uid FROM pages",
     "run_counts": f"SELECT CASE WHEN reason = '' THEN 'success' ELSE 'skipped' END AS status, count(*) AS n FROM ({_ROUTE}) GROUP BY ALL",
     "block_flags": _TO_CUTS + _FLAGS + " SELECT * FROM bf",

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.text import strip
 
-# Column names of the work-list and the caches.
+# Column names of the work-list and the caches; what stands before the cause of an error.
 PATH, FILE = "путь", "файл"
+READ_ERROR = "ошибка чтения: "
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
@@ -49,9 +50,9 @@ def read_caches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, worklist: DataFrame, root: str, glob: str = "*") -> DataFrame:
-    """path, seq, full_text and error of each listed file below ``root``: text files as they are, PDFs page by page.
+    """path, seq, found, full_text and error of each listed file below ``root``: text files as they are, PDFs page by page.
 
-    A file that isn't there has the error ``not found``.  PDF pages are joined by line feeds; this needs the
+    A file that isn't there isn't found and has neither text nor error.  PDF pages are joined by line feeds; this needs the
     optional pdfplumber, without which PDFs have an error.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
@@ -66,8 +67,8 @@ def read_texts(spark: SparkSession, worklist: DataFrame, root: str, glob: str =
             for name, content in zip(names, contents, strict=True):
                 try:
                     if content is None:
-                        raise FileNotFoundError("not found")
-                    if bytes(content[:5]) == b"%PDF-":
+                        rows.append((None, None))
+                    elif bytes(content[:5]) == b"%PDF-":
                         import pdfplumber
 
                         with pdfplumber.open(io.BytesIO(content)) as pdf:
@@ -75,10 +76,10 @@ def read_texts(spark: SparkSession, worklist: DataFrame, root: str, glob: str =
                     else:
                         rows.append((bytes(content).decode("utf-8-sig", "replace"), None))
                 except Exception as e:
-                    rows.append((None, str(e) or type(e).__name__))
+                    rows.append((None, f"{READ_ERROR}{str(e) or type(e).__name__}"))
             yield pd.DataFrame(rows, columns=["full_text", "error"])
 
-    return wanted.join(files, "full", "left").withColumn("_t", text_of("full", "content")).select("path", "seq", "_t.*")
+    return wanted.join(files, "full", "left").withColumn("_t", text_of("full", "content")).select("path", "seq", F.col("content").isNotNull().alias("found"), "_t.*")
 
 
 def page_images(spark: SparkSession, root: str) -> DataFrame:

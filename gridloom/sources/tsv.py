@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import folder_uid, is_noise, strip
@@ -29,7 +29,7 @@ def read_words(spark: SparkSession, root: str) -> Words:
     one ``tsv_error`` in review; a line that can't be parsed is one ``bad_tsv_line`` there ("line: why").  Lines
     of other levels and words without text are passed over.  token_id is T and the physical line.
     """
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="page*_result.tsv").withColumn("path", F.col("_metadata.file_path"))
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="page*_result.tsv").withColumn("path", plain_path(F.col("_metadata.file_path")))
     name = F.element_at(F.split("path", "/"), -1)
     folder = F.regexp_replace("path", r"/[^/]*\z", "")
     files = files.filter(name.rlike(r"\Apage\d+_result\.tsv\z")).select(
@@ -46,7 +46,7 @@ def read_words(spark: SparkSession, root: str) -> Words:
     field = lambda i: strip(F.get("p", F.lit(i)))
     parsed = parts.select(
         *page, "line_no", F.size("p").alias("fields"),
-        *[F.when(field(i).rlike(r"\A[+-]?\d+\z"), field(i).try_cast("int")).alias(n) for i, n in ((0, "level"), (6, "x"), (7, "y"), (8, "w"), (9, "h"))],
+        *[F.when(field(i).rlike(r"\A[+-]?\d+\z"), field(i).try_cast("long")).alias(n) for i, n in ((0, "level"), (6, "x"), (7, "y"), (8, "w"), (9, "h"))],
         F.when(~field(10).rlike(r"(?i)[df]\z"), field(10).try_cast("double")).alias("conf"),
         strip(F.get("p", F.lit(11))).alias("text"),
     )
@@ -65,6 +65,11 @@ def read_words(spark: SparkSession, root: str) -> Words:
     return Words(tokens, pages, broken.unionByName(bad))
 
 
+def plain_path(uri: Column) -> Column:
+    """The path of a file's URI: characters as they are, and no scheme for local files."""
+    return F.regexp_replace(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), r"\Afile:/+", "/")
+
+
 def box_columns() -> list:
     """x, y, w, h with the right and lower edges and the vertical centre."""
     return ["x", "y", "w", "h", (F.col("x") + F.col("w")).alias("r"), (F.col("y") + F.col("h")).alias("b"), (F.col("y") + F.col("h") / F.lit(2.0)).alias("cy")]

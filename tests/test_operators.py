@@ -74,6 +74,15 @@ def test_gutters_equal_brute_force(spark):
         assert [(round(a, 6), round(b, 6), c, d) for a, b, c, d in got] == [(round(a, 6), round(b, 6), c, d) for a, b, c, d in want]
 
 
+def test_words_of_equal_x_follow_their_centres(spark):
+    rows = spark.createDataFrame([(1, 0, 0, 0, 100, 20.0), (1, 0, 1, 0, 300, 10.0), (1, 0, 2, 400, 500, 15.0)], "k int, row int, seq int, x int, r int, cy double")
+    assert [(r.lo, r.hi) for r in layout.row_gaps(rows, ["k"], typical=F.lit(30.0)).collect()] == [(106.0, 394.0)]
+
+
+def test_digits_of_all_scripts(spark):
+    assert one(spark, T.numbers, "x ٣٤,٥") == ["٣٤,٥"]
+
+
 def test_columns_golden(spark):
     rows = spark.createDataFrame([(98, 100), (99, 101), (150, 250), (90, 110), (100, 150)], "x int, r int").withColumn("cuts", F.array(F.lit(100.0), F.lit(200.0)))
     got = [(r.column, r.crosses) for r in layout.to_columns(rows).collect()]
@@ -174,14 +183,18 @@ def test_registry_end_to_end(spark, tmp_path):
     root.mkdir()
     (root / "a.txt").write_text(TEXT.format(kind="Помещение", address="ул. 1, кв. 2"), encoding="utf-8")
     (root / "b.txt").write_text("  ", encoding="utf-8")
-    (tmp_path / "work.csv").write_text("﻿n;путь\n1;a.txt\n2;b.txt\n3; \n4;gone.txt\n5;./a.txt\n", encoding="utf-8")
+    (root / "bad.pdf").write_bytes(b"%PDF-broken")
+    (tmp_path / "work.csv").write_text("﻿n;путь\n1;a.txt\n2;b.txt\n3; \n4;gone.txt\n5;./a.txt\n6;bad.pdf\n7;папка 1/gone+.txt\n", encoding="utf-8")
     results = str(tmp_path / "results")
     run = lambda: {r.status: r.n for r in registry.run_registry(spark, str(tmp_path / "work.csv"), str(root), results).collect()}
-    assert run() == {"success": 2, "skipped": 1, "errors": 1}
-    assert run() == {"success": 2, "skipped": 1, "errors": 1}
+    assert run() == {"success": 2, "skipped": 3, "errors": 1}
+    assert run() == {"success": 2, "skipped": 3, "errors": 1}
+    reasons = {r.path: (r.status, r.reason, r.error) for r in spark.read.parquet(results).collect()}
+    assert reasons["gone.txt"] == reasons["папка 1/gone+.txt"] == ("skipped", "файл не найден по пути из CSV", None)
+    assert reasons["bad.pdf"][0] == "errors" and reasons["bad.pdf"][2].startswith("ошибка чтения: ")
     report, skipped = registry.reports(spark.read.parquet(results))
     assert len(report.columns) == 17 and sorted(str(r[0]) for r in report.collect()) == ["1", "2", "None"]
-    assert skipped.count() == 1
+    assert skipped.count() == 3
     with pytest.raises(ValueError):
         sources.read_worklist(spark, str(root / "a.txt"))
     assert sources.read_caches(spark, [str(tmp_path / "none.csv")]).count() == 0
