@@ -9,17 +9,18 @@ from gridloom.operators import cells as C
 from gridloom.operators import layout as L
 from gridloom.params import GridParams
 from gridloom.sources import sinks
-from gridloom.sources.tsv import read_words
+from gridloom.sources.store import kept
+from gridloom.sources.tsv import page_folders, read_words
 
 PAGE = ["document", "folder_uid", "page"]
 
 
-def grid_tables(spark: SparkSession, root: str, params: GridParams = GridParams()) -> dict[str, DataFrame]:
-    """blocks, grid_long, grid_wide, tokens and review of all pages below a folder."""
-    words = read_words(spark, root)
+def grid_tables(spark: SparkSession, root: str, params: GridParams = GridParams(), folders: DataFrame | None = None) -> dict[str, DataFrame]:
+    """blocks, grid_long, grid_wide, tokens and review of all pages below a folder, or of those in ``folders`` (folder_uid)."""
+    words = read_words(spark, root, folders)
     block = [*PAGE, "block"]
     placed = L.find_blocks(L.find_rows(words.tokens, PAGE, params.row_tolerance), PAGE, params.block_gap)
-    name = F.concat(F.lit("P"), F.lpad(F.col("page").cast("string"), 4, "0"), F.lit("B"), F.lpad(F.col("block_no").cast("string"), 3, "0"))
+    name = F.format_string("P%04dB%03d", "page", "block_no")
     placed = placed.withColumn("block", name)
     boxes = C.block_boxes(placed, block, "row_no")
     if params.column_cuts:
@@ -49,12 +50,49 @@ def page_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return tables["tokens"].groupBy(*PAGE).agg(F.count(F.lit(1)).alias("tokens"), F.count_distinct("block", "row_no").alias("rows"), F.count_distinct("block").alias("blocks"))
 
 
-def run_grid(spark: SparkSession, root: str, out: str, params: GridParams = GridParams()) -> str:
-    """Write all tables below ``out``: ok, or cached if they are there and ``overwrite`` isn't set."""
-    if sinks.completed(spark, f"{out}/grid_long") and not params.overwrite:
-        return "cached"
-    tables = grid_tables(spark, root, params)
-    for name in ("blocks", "tokens", "review", "grid_wide", "grid_long"):  # the one that marks a finished run comes last
-        sinks.write_csv(tables[name], f"{out}/{name}")
+SUMMARY = "folder string, folder_uid string, status string, output string, error string"
+
+
+def run_grid(spark: SparkSession, root: str, out: str, params: GridParams = GridParams()) -> DataFrame:
+    """Write the tables of all folders below ``root``, split by folder_uid, and run_summary: folder, folder_uid, status, output, error.
+
+    A folder that an earlier run has finished is cached, unless ``overwrite`` is set; new ones below the same root
+    are done.  All others are handled in one go.  If that fails they are halved, and each half is tried again,
+    until folders that fail stand alone: these have the status error and what went wrong, the others are ok.  A
+    folder's rows replace what a cut-off run left of it.  Fails if there is no page below ``root``.
+    """
+    found = page_folders(spark, root).withColumn("output", F.lit(out))
+    if found.isEmpty():
+        raise ValueError(f"no page<digits>_result.tsv below {root}")
+    done = spark.createDataFrame([], "folder_uid string")
+    if sinks.completed(spark, f"{out}/run_summary") and not params.overwrite:
+        done = spark.read.schema(SUMMARY).parquet(f"{out}/run_summary").filter("status in ('ok', 'cached')").select("folder_uid").distinct()
+    todo = kept(found.join(done, "folder_uid", "left_anti"))
+    columns = [c.split()[0] for c in SUMMARY.split(", ")]
+    parts = [found.join(done, "folder_uid", "left_semi").withColumns({"status": F.lit("cached"), "error": F.lit("")}).select(*columns)]
+
+    def attempt(share: DataFrame, salt: int) -> None:
+        n = share.count()
+        if not n:
+            return
+        try:
+            tables = grid_tables(spark, root, params, share.select("folder_uid"))
+            for name in ("blocks", "tokens", "review", "grid_wide", "grid_long"):
+                sinks.write_parts(tables[name], f"{out}/{name}", "folder_uid")
+            parts.append(share.withColumns({"status": F.lit("ok"), "error": F.lit("")}).select(*columns))
+        except Exception as e:
+            if n == 1:
+                parts.append(share.withColumns({"status": F.lit("error"), "error": F.lit(str(e)[:10_000] or type(e).__name__)}).select(*columns))
+                return
+            side = F.pmod(F.xxhash64("folder_uid", F.lit(salt)), F.lit(2))
+            for i in (0, 1):
+                attempt(share.filter(side == i), salt + 1)
+
+    attempt(todo, 0)
+    summary = parts[0]
+    for part in parts[1:]:
+        summary = summary.unionByName(part)
+    summary = kept(summary)
+    summary.write.mode("overwrite" if params.overwrite else "append").parquet(f"{out}/run_summary")
     sinks.write_settings(spark, f"{out}/settings", root, params.__dict__)
-    return "ok"
+    return summary

@@ -23,6 +23,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
+def write_parts(df: DataFrame, path: str, by: str) -> None:
+    """CSV as in ``write_csv``, split by a column; only the parts that ``df`` has are replaced."""
+    flat(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
 def append_results(records: DataFrame, path: str) -> None:
     """Append rows to a table that is split by status; a run that ends early leaves no part of its rows."""
     records.write.mode("append").partitionBy("status").parquet(path)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,3 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
         found = "file://" + tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.gridloom.checkpoint.dir", found)
     return found
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A table as it is now: written to the shared folder and read back."""
+    path = f"{shared_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,18 +22,30 @@ class Words:
     review: DataFrame
 
 
-def read_words(spark: SparkSession, root: str) -> Words:
-    """All ``page<digits>_result.tsv`` files below a folder.
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    """path, folder, folder_uid, name and value (the whole text) of all page files below a folder."""
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="page*_result.tsv").withColumn("path", plain_path(F.col("_metadata.file_path")))
+    files = files.withColumns({"name": F.element_at(F.split("path", "/"), -1), "folder": F.regexp_replace("path", r"/[^/]*\z", "")})
+    return files.withColumn("folder_uid", folder_uid(F.col("folder")))
+
+
+def page_folders(spark: SparkSession, root: str) -> DataFrame:
+    """folder and folder_uid of all folders with files named ``page*_result.tsv`` below a folder, each once."""
+    return _files(spark, root).select("folder", "folder_uid").distinct()
+
+
+def read_words(spark: SparkSession, root: str, folders: DataFrame | None = None) -> Words:
+    """All ``page<digits>_result.tsv`` files below a folder, or of those in ``folders`` (folder_uid).
 
     A page is named by document (its folder's name), folder_uid and page number.  A file with another header is
     one ``tsv_error`` in review; a line that can't be parsed is one ``bad_tsv_line`` there ("line: why").  Lines
     of other levels and words without text are passed over.  token_id is T and the physical line.
     """
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="page*_result.tsv").withColumn("path", plain_path(F.col("_metadata.file_path")))
-    name = F.element_at(F.split("path", "/"), -1)
-    folder = F.regexp_replace("path", r"/[^/]*\z", "")
+    files, name = _files(spark, root), F.col("name")
+    if folders is not None:
+        files = files.join(folders, "folder_uid", "left_semi")
     files = files.filter(name.rlike(r"\Apage\d+_result\.tsv\z")).select(
-        F.element_at(F.split(folder, "/"), -1).alias("document"), folder_uid(folder).alias("folder_uid"),
+        F.element_at(F.split("folder", "/"), -1).alias("document"), "folder_uid",
         F.regexp_extract(name, r"\d+", 0).cast("long").alias("page"),
         F.split(F.regexp_replace("value", r"\A\x{FEFF}|(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n").alias("lines"),
     )

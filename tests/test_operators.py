@@ -1,8 +1,10 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom import cli
 from gridloom.functions import text as T
 from gridloom.operators import cells, fields, layout, routing
 from gridloom.params import GridParams, RegistryParams
@@ -150,7 +152,7 @@ def word(x, y, text, conf="90", w=80, h=32, level=5):
     return f"{level}\t1\t1\t1\t1\t1\t{x}\t{y}\t{w}\t{h}\t{conf}\t{text}"
 
 
-def test_grid_end_to_end(spark, tmp_path):
+def test_grid_end_to_end(spark, tmp_path, monkeypatch):
     lines = [word(0, 0, "", w=1000, h=1400, level=1)]
     for i in range(4):
         lines += [word(10, 100 + 50 * i, f'"a{i}'), word(500, 100 + 50 * i, f"{i},5 7")]
@@ -173,7 +175,28 @@ def test_grid_end_to_end(spark, tmp_path):
     assert wide["1", 1].C02 == "0,5 7" and wide["1", 1].C03 == ""
     assert {r.mode for r in grid.grid_tables(spark, str(tmp_path), GridParams(column_cuts=(0.4,)))["blocks"].collect()} == {"manual"}
     out = str(tmp_path / "out")
-    assert [grid.run_grid(spark, str(tmp_path / "doc"), out) for _ in range(2)] == ["ok", "cached"]
+    status = lambda df: sorted((r.folder.rsplit("/", 1)[1], r.status) for r in df.collect())
+    assert status(grid.run_grid(spark, str(tmp_path / "doc"), out)) == [("doc", "ok")]
+    page(tmp_path / "doc" / "папка 1+", "page0001_result.tsv", lines)
+    page(tmp_path / "doc" / "bad", "page0001_result.tsv", lines)
+    plain = grid.grid_tables
+
+    def failing(spark, root, params, folders):
+        if any(r.folder_uid == hashlib.sha1(str(tmp_path / "doc" / "bad").encode()).hexdigest()[:8] for r in folders.collect()):
+            raise OSError("the folder can't be read")
+        return plain(spark, root, params, folders)
+
+    monkeypatch.setattr(grid, "grid_tables", failing)
+    second = grid.run_grid(spark, str(tmp_path / "doc"), out)
+    assert status(second) == [("bad", "error"), ("doc", "cached"), ("папка 1+", "ok")]
+    assert [r.error for r in second.collect() if r.status == "error"] == ["the folder can't be read"]
+    monkeypatch.undo()
+    assert cli.main(["grid", str(tmp_path / "doc"), "--outdir", out]) == 0
+    assert {r.folder_uid for r in spark.read.option("header", True).csv(f"{out}/grid_long").select("folder_uid").distinct().collect()} == {hashlib.sha1(str(tmp_path / "doc" / x).encode()).hexdigest()[:8] for x in ("bad", "папка 1+")} | {hashlib.sha1(str(tmp_path / "doc").encode()).hexdigest()[:8]}
+    with pytest.raises(SystemExit):
+        cli.main(["grid", str(tmp_path / "out" / "settings"), "--outdir", out])
+    with pytest.raises(SystemExit):
+        cli.main(["grid", str(tmp_path), "--support", "2"])
     shapes = sinks.overlay_shapes(t["blocks"].withColumn("block_id", F.col("block")), t["blocks"].withColumn("cy", F.col("y0")), t["tokens"], grid.PAGE)
     assert {r.colour for r in shapes.collect()} == {"blue", "red", "green", "orange"}
 
