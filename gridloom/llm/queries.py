@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, quality, sharding, tokens, urls, webp
+from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, quality, repair, sharding, tokens, urls, webp
 from gridloom.llm.common import table
 
 #: The conversation whose texts hold the template's own marks.
@@ -88,9 +88,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations, damaged by a hash of each row's place, then repaired."""
+    null = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", null("role").alias("role"), null("text").alias("text"), (F.crc32(F.concat_ws(":", null("conv_id"), null("turn")).cast("binary")) % 20).alias("_h"))
+    h = F.col("_h")
+    hurt = rows.withColumns({"role": F.when(h == 4, "user").otherwise(F.col("role")), "text": F.when(h == 1, "").when(h == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))})
+    hurt = hurt.withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.when(h == 0, 0).when(h == 3, 2).otherwise(1)))).drop("_h", "_again")
+    found, turns = repair.repair_conversations(hurt)
+    shown = found.join(repair.digests(turns).toDF("_id", "digest"), F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    every = rows.select(F.col("conv_id").cast("long").alias("_id")).distinct()
+    out = every.join(shown, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    longs = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("_id").alias("conv_id"), *longs, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_ngram_jaccard_join, op3_quality_classifier, op4_media_columns, op5_url_filter,
     op6_sharding, op7_token_counts, op8_mixing, op9_html_extraction, op10_decontamination,
+    op12_conversation_repair,
 )}
 
 #: Read together: these fixed strings are the template of op1 in SQL.
@@ -153,4 +169,50 @@ SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_chat_format": _SQL_OP1, "op5_url_filter": _SQL_OP5, "op10_decontamination": _SQL_OP10}
+#: The table of CRC-32, and the checksum of a column k of ASCII.
+_SQL_CRC = "tb AS (SELECT list(list_reduce(range(8), lambda c, j: xor(c >> 1, 3988292384 * (c & 1)), i) ORDER BY i) AS t FROM range(256) r(i))"
+_CRC = "xor(list_reduce(list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+_SQL_OP12 = rf"""
+WITH RECURSIVE {_SQL_CRC},
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+h AS (SELECT raw.*, {_CRC} % 20 AS h FROM raw, tb),
+d AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS n(again)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (
+  SELECT *, left(role, 1) AS ini, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS short, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+mv(ini, a, b, role) AS (VALUES ('s', 0, 1, 'system'), ('u', 0, 2, 'user'), ('u', 1, 2, 'user'), ('u', 3, 2, 'user'), ('a', 2, 3, 'assistant')),
+pre AS (
+  SELECT p, p AS m, 0 AS cost, '' AS audit, '' AS lines FROM range(4) r(p)
+  UNION ALL SELECT a, b, 5, 'I', chr(10) || role || ':' FROM mv WHERE ini <> 's'),
+x AS (
+  SELECT p, m AS q, NULL::VARCHAR AS ini, 'D' AS act, cost + 2 AS cost, audit || 'D' AS audit, lines, NULL::VARCHAR AS role FROM pre
+  UNION ALL SELECT p, b, ini, 'K', cost, audit || 'K', lines, NULL::VARCHAR FROM pre JOIN mv ON a = m
+  UNION ALL SELECT p, b, NULL::VARCHAR, 'R', cost + 1, audit || 'R', lines, role FROM pre JOIN mv ON a = m WHERE ini <> 's'),
+s AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, 0::BIGINT AS state, {{'cost': 0::BIGINT, 'audit': '', 'lines': ''}} AS w FROM f
+  UNION ALL
+  SELECT s.conv_id, f.i, x.q::BIGINT, min({{'cost': s.w.cost + x.cost + CASE WHEN x.act <> 'D' AND f.short THEN 5 ELSE 0 END, 'audit': s.w.audit || x.audit,
+    'lines': s.w.lines || x.lines || CASE x.act WHEN 'K' THEN chr(10) || f.role || ':' || f.text WHEN 'R' THEN chr(10) || x.role || ':' || f.text ELSE '' END}})
+  FROM s JOIN f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i + 1
+    JOIN x ON x.p = s.state AND (x.act = 'D' OR NOT (f.blank OR f.again) AND (x.act = 'R' OR x.ini = f.ini))
+  GROUP BY s.conv_id, f.i, x.q),
+z(state, cost, audit, lines) AS (VALUES (0, 0, '', ''), (3, 0, '', ''), (2, 5, 'I', chr(10) || 'assistant:'), (1, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+g AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+    count(*) FILTER (short AND NOT again AND NOT blank) AS truncated, count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+best AS (
+  SELECT g.*, w FROM g JOIN (
+    SELECT s.conv_id, s.i, min({{'cost': s.w.cost + z.cost, 'audit': s.w.audit || z.audit, 'lines': s.w.lines || z.lines}}) AS w FROM s JOIN z USING (state) GROUP BY ALL) y
+  ON y.conv_id IS NOT DISTINCT FROM g.conv_id AND y.i = g.n),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w.cost, 0)::BIGINT AS cost, coalesce(w.audit, '') AS audit, sha256(coalesce(substr(w.lines, 2), '')) AS repaired_sha256
+FROM every LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
+ORACLE_SQL = {"op1_chat_format": _SQL_OP1, "op5_url_filter": _SQL_OP5, "op10_decontamination": _SQL_OP10, "op12_conversation_repair": _SQL_OP12}
