@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, quality, repair, sharding, tokens, urls, webp
+from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, packing, quality, repair, sharding, tokens, urls, webp
 from gridloom.llm.common import table
 
 #: The conversation whose texts hold the template's own marks.
@@ -103,10 +103,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("_id").alias("conv_id"), *longs, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in sequences of 4096 tokens or a smaller power of two."""
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_ngram_jaccard_join, op3_quality_classifier, op4_media_columns, op5_url_filter,
     op6_sharding, op7_token_counts, op8_mixing, op9_html_extraction, op10_decontamination,
-    op12_conversation_repair,
+    op12_conversation_repair, op13_packing,
 )}
 
 #: Read together: these fixed strings are the template of op1 in SQL.
