@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, packing, quality, repair, sharding, tokens, urls, webp
+from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, packing, quality, repair, sharding, spelling, tokens, urls, webp
 from gridloom.llm.common import table
 
 #: The conversation whose texts hold the template's own marks.
@@ -88,6 +90,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts, a letter left out of one of 199 by a hash, with their forms."""
+    # shorter runs can't give words of six letters
+    run = F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z\u00C0-\u00FF]{6,})"), 1))
+    runs = table(spark, sf_dir, "documents").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_d"), run.alias("_r"))
+    plain = F.octet_length("_r") == F.char_length("_r")
+    low = F.when(plain, F.lower("_r")).otherwise(F.translate("_r", string.ascii_uppercase, string.ascii_lowercase))
+    hashed = runs.select("_d", low.alias("_r")).withColumn("_h", F.crc32(F.concat_ws(":", "_d", "_r").cast("binary")))
+    at = (F.col("_h") % F.char_length("_r")).cast("int")
+    short = F.concat(F.substring("_r", F.lit(1), at), F.substring("_r", at + 2, F.char_length("_r")))
+    return spelling.spelling_forms(hashed.select(F.when(F.col("_h") % 199 == 0, short).otherwise(F.col("_r")).alias("word")), 6, 5, 5)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations, damaged by a hash of each row's place, then repaired."""
     null = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -111,7 +126,7 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_ngram_jaccard_join, op3_quality_classifier, op4_media_columns, op5_url_filter,
     op6_sharding, op7_token_counts, op8_mixing, op9_html_extraction, op10_decontamination,
-    op12_conversation_repair, op13_packing,
+    op11_spelling_variants, op12_conversation_repair, op13_packing,
 )}
 
 #: Read together: these fixed strings are the template of op1 in SQL.
@@ -178,6 +193,27 @@ FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 _SQL_CRC = "tb AS (SELECT list(list_reduce(range(8), lambda c, j: xor(c >> 1, 3988292384 * (c & 1)), i) ORDER BY i) AS t FROM range(256) r(i))"
 _CRC = "xor(list_reduce(list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
 
+_SQL_OP11 = rf"""
+WITH RECURSIVE {_SQL_CRC},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
+many AS (SELECT d, r, count(*) AS c FROM runs GROUP BY d, r),
+bytes AS (SELECT *, flatten(list_transform(string_split(d || ':' || r, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [192 + (ord(x) >> 6)::BIGINT, 128 + (ord(x) & 63)::BIGINT] END)) AS b FROM many),
+h AS (SELECT r, c, xor(list_reduce(b, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM bytes, tb),
+hurt AS (SELECT CASE WHEN h % 199 = 0 THEN left(r, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word, c FROM h),
+v AS (SELECT word, sum(c)::BIGINT AS n FROM hurt WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+p AS (SELECT word, i, left(word, i::INT) || '_' || substr(word, i::INT + 2) AS hole, left(word, i::INT) || substr(word, i::INT + 2) AS gone FROM v, unnest(range(length(word))) AS r(i)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM p a JOIN p b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT p.word, v.word FROM p JOIN v ON p.gone = v.word
+  UNION SELECT v.word, p.word FROM p JOIN v ON p.gone = v.word),
+best AS (SELECT pairs.word, count(*) AS n_near, min({{'m': -v.n, 'near': near}}) AS b FROM pairs JOIN v ON v.word = near GROUP BY pairs.word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 5 * v.n THEN b.near END AS form, CASE WHEN -b.m >= 5 * v.n THEN -b.m END AS form_n FROM v LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS root, form FROM f UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON f.word = up.form)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up ON up.word = f.word AND up.form IS NULL
+"""
+
 _SQL_OP12 = rf"""
 WITH RECURSIVE {_SQL_CRC},
 raw AS (
@@ -220,4 +256,4 @@ SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIG
 FROM every LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
 """
 
-ORACLE_SQL = {"op1_chat_format": _SQL_OP1, "op5_url_filter": _SQL_OP5, "op10_decontamination": _SQL_OP10, "op12_conversation_repair": _SQL_OP12}
+ORACLE_SQL = {"op1_chat_format": _SQL_OP1, "op5_url_filter": _SQL_OP5, "op10_decontamination": _SQL_OP10, "op11_spelling_variants": _SQL_OP11, "op12_conversation_repair": _SQL_OP12}
