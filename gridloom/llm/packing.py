@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +32,18 @@ BUCKET = 1 << 22
 STEP = 1 << 16
 #: The id that ends a document.
 END = 2
-#: Texts are encoded in parts of about so many characters; words remembered have so many at most.
-PART = 1 << 21
+#: Texts are encoded in parts of about so many bytes; words remembered have so many at most.
+PART = 1 << 23
 REMEMBERED = 1 << 23
 
 
+def byte_letters() -> dict[int, str]:
+    """Letters of Latin-1 beyond ASCII as byte-level vocabularies write their UTF-8 bytes: printable ones as themselves, the others from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in shown)}
+    return {c: "".join(chr(others.get(b, b)) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 @cache
 def tokenizer(path: str | None):
     """The tokenizer in a file; without a path that of ``word_bpe_49k.json``, wherever it lies on this machine."""
@@ -55,69 +63,98 @@ class Encoder:
     control characters that one side takes for white space and the other doesn't, are encoded whole.
     """
 
-    ODD = re.compile("[\x1c-\x1f]|<\\|")
+    ODD = r"[\x1c-\x1f]|<\|"
+    #: A word with signs behind it: the vocabulary's model takes the word as it is.
+    WORD = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\\[-`{-~]*)")
+    LETTERS = byte_letters()
 
     def __init__(self, path: str | None) -> None:
         self.tokenizer = tokenizer(path)
+        self.model = self.tokenizer.model
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {"": 0}
+        self.cores: dict[str, tuple[int, ...]] = {}
+        self.signs: dict[str, tuple[int, ...]] = {"": ()}
         self.size = 0
-        self.ids, self.begins = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.ids, self.begins = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def learn(self, words: list[str]) -> None:
-        parts, counts = [self.ids], [np.zeros(0, np.int64)]
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
+        match, tokenize, signs, letters, cores = self.WORD.fullmatch, self.model.tokenize, self.signs, self.LETTERS, self.cores
+        ids, counts, others = [], [], []
+        for word in words:
+            found = match(word)
+            if not found:
+                others.append(word)
+                continue
+            core, sign = found.groups()
+            core = core.lower()
+            own = cores.get(core)
+            if own is None:
+                own = cores[core] = tuple([t.id for t in tokenize(core if core.isascii() else core.translate(letters))])
+            if sign:
+                if sign not in signs:
+                    signs[sign] = tuple(self.whole(sign))
+                own = own + signs[sign]
+            ids += own
+            counts.append(len(own))
+            self.known[word] = len(self.known)
+        parts, sizes = [self.ids, np.array(ids, dtype=np.uint32)], [np.array(counts, dtype=np.int64)]
+        for at in range(0, len(others), 4096):
+            some = others[at : at + 4096]
             found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             parts.append(np.array(found.ids, dtype=np.uint32))
-            counts.append(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(some)))
-        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(np.concatenate(counts))])
+            sizes.append(np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(some)))
+            for word in some:
+                self.known[word] = len(self.known)
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(np.concatenate(sizes))])
         self.ids = np.concatenate(parts)
-        for word in words:
-            self.known[word] = len(self.known)
-            self.size += len(word)
+        self.size += sum(map(len, words))
 
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, whose characters together are few enough to be split at once."""
         if self.size > REMEMBERED:
             self.forget()
-        odd = [bool(self.ODD.search(t)) for t in texts]
-        split = [[] if o else t.split() for o, t in zip(odd, texts, strict=True)]
-        flat = list(chain.from_iterable(split))
-        known = self.known
-        new = [w for w in dict.fromkeys(flat) if w not in known]
+        split = pc.utf8_split_whitespace(texts)
+        coded = pc.dictionary_encode(split.flatten())
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
         if new:
             self.learn(new)
-        codes = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
-        counts = self.begins[codes + 1] - self.begins[codes]
+        codes = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
+        begins = self.begins[codes]
+        counts = self.begins[codes + 1] - begins
         ends = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.ids[np.repeat(self.begins[codes] - ends[:-1], counts) + np.arange(ends[-1])]
-        bounds = ends[np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)]
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.uint32) if o else ids[a:b] for o, t, a, b in zip(odd, texts, bounds[:-1], bounds[1:], strict=True)]
+        ids = self.ids[np.repeat(begins - ends[:-1], counts) + np.arange(ends[-1])]
+        places = np.asarray(split.offsets).astype(np.int64)
+        bounds = ends[places - places[0]]
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
-    def documents(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+    def documents(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each document, with the one that ends it."""
         end = np.array([END], dtype=np.uint32)
-        some: list[str] = []
-        held = 0
-
-        def out() -> Iterator[np.ndarray]:
-            for ids in self.encode(some):
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, self.ODD).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+        alone = odd | (sizes > PART)
+        total, at = np.cumsum(sizes), 0
+        while at < len(texts):
+            if alone[at]:
+                text = texts[at].as_py()
+                found = [np.array(self.whole(text), dtype=np.uint32)] if odd[at] else chain.from_iterable(self.encode(pa.array([p])) for p in parted(text))
+                yield np.concatenate([*found, end])
+                at += 1
+                continue
+            stop = int(np.searchsorted(total, total[at] - sizes[at] + PART, side="right"))
+            later = np.flatnonzero(alone[at:stop])
+            stop = at + int(later[0]) if len(later) else max(stop, at + 1)
+            for ids in self.encode(texts.slice(at, stop - at)):
                 yield np.concatenate([ids, end])
-
-        for text in texts:
-            text = text or ""
-            if held + len(text) > PART and some:
-                yield from out()
-                some, held = [], 0
-            if len(text) > PART and not self.ODD.search(text):
-                yield np.concatenate([*chain.from_iterable(self.encode([p]) for p in parted(text)), end])
-            else:
-                some.append(text)
-                held += len(text)
-        yield from out()
+            at = stop
 
 
 def parted(text: str) -> Iterator[str]:
@@ -240,7 +277,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, sizes: Sequence[int
         tokens: list[np.ndarray] = []
         held = 0
         for batch in parts:
-            for one, found in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1).to_pylist()), strict=True):
+            for one, found in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1)), strict=True):
                 ids.append(one)
                 tokens.append(found)
                 held += len(found)
