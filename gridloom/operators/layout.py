@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections.abc import Sequence
+import traceback
+from bisect import insort
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from gridloom.functions.text import median_or
+from pyspark.sql.types import StructType
 
 #: A new word looks at so many of the latest rows.
 LOOKBACK = 12
@@ -40,25 +41,68 @@ def cluster_rows(cy: Sequence[float], height: Sequence[float], tolerance: float)
     return out
 
 
+def _rows_of(words: pa.Table) -> pa.Table:
+    """Add sub (row inside its island), row_cy and problem to whole islands, whose words follow each other by centre."""
+    first, loose = (words.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("_first", "_loose"))
+    cy, h, limit, middle = (words.column(c).to_numpy(zero_copy_only=False) for c in ("cy", "h", "_limit", "_middle"))
+    sub, centre = np.zeros(len(words), np.int32), middle.astype(np.float64).copy()
+    problem: list[str | None] = [None] * len(words)
+    begins = np.flatnonzero(first)
+    ends = np.append(begins[1:], len(words))
+    for begin, end in zip(begins, ends, strict=True):
+        if not loose[begin]:
+            continue
+        try:
+            own = np.array(cluster_rows(cy[begin:end].tolist(), h[begin:end].tolist(), float(limit[begin])))
+            sub[begin:end] = own
+            for row in range(int(own.max()) + 1):
+                members = own == row
+                centre[begin:end][members] = _middle(cy[begin:end][members].tolist())
+        except Exception:
+            problem[begin:end] = [traceback.format_exc()] * (end - begin)
+    return words.append_column("sub", pa.array(sub)).append_column("row_cy", pa.array(centre)).append_column("problem", pa.array(problem, pa.string()))
+
+
+def _cluster(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of islands; what a batch leaves of its last island waits for the next ones."""
+    held: list[pa.RecordBatch] = []
+    for batch in parts:
+        begins = np.flatnonzero(batch.column("_first").to_numpy(zero_copy_only=False))
+        if len(begins) and begins[-1]:
+            held.append(batch.slice(0, int(begins[-1])))
+            batch = batch.slice(int(begins[-1]))
+        if len(begins) and held:
+            yield from _rows_of(pa.Table.from_batches(held)).combine_chunks().to_batches()
+            held = []
+        held.append(batch)
+    if held:
+        yield from _rows_of(pa.Table.from_batches(held)).combine_chunks().to_batches()
+
+
 def find_rows(tokens: DataFrame, keys: Sequence[str], row_tolerance: float = 0.45) -> DataFrame:
-    """Tokens that aren't noise, with typical (height), row (from 0 by centre) and row_cy.
+    """Tokens that aren't noise, with typical (height), row (from 0 by centre), row_cy and problem.
 
-    Clustering looks at one word after the other, so a page is one group; pages are dealt over the cluster.
+    Clustering looks at one word after the other, but never across a gap between sorted centres that is wider than the tolerance: such gaps
+    part a page into islands.  An island all of whose words reach across it is one row, which windows tell; only the others are
+    gone through word by word, as a stream, so that no page is gathered.  What fails there is the ``problem`` of
+    its words, which have one row then; else it is null.  Words without a centre have no row and are left out.
     """
-    useful = tokens.filter(~F.col("noise") & (F.col("h") > 0))
-    kinds = {f.name: f.dataType.simpleString() for f in tokens.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in tokens.columns) + ", typical double, row int, row_cy double"
-
-    def cluster(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(["cy", "x", "seq"], kind="stable")
-        heights = page.h[(page.h >= 6) & (page.h <= 120)]
-        typical = float(heights.median()) if len(heights) else 32.0
-        row = pd.Series(cluster_rows(page.cy.tolist(), page.h.tolist(), max(3.0, typical * row_tolerance)), index=page.index)
-        centre = page.groupby(row).cy.median()
-        order = {r: i for i, r in enumerate(sorted(centre.index, key=lambda r: (centre[r], r)))}
-        return page.assign(typical=typical, row=row.map(order).astype("int32"), row_cy=row.map(centre))
-
-    return useful.groupBy(*keys).applyInPandas(cluster, schema)
+    keys = list(keys)
+    page, order = Window.partitionBy(*keys), ["cy", "x", "seq"]
+    along = page.orderBy(*order)
+    found = tokens.filter(~F.col("noise") & (F.col("h") > 0) & F.col("cy").isNotNull()).withColumn("cy", F.col("cy").cast("double"))
+    found = found.withColumn("typical", F.coalesce(F.median(F.when(F.col("h").between(6, 120), F.col("h"))).over(page), F.lit(32.0)))
+    found = found.withColumn("_limit", F.greatest(F.lit(3.0), F.col("typical") * F.lit(float(row_tolerance))))
+    gap = F.col("cy") - F.lag("cy").over(along)
+    found = found.withColumn("_first", F.coalesce(gap > F.col("_limit"), F.lit(True)))
+    found = found.withColumn("_island", F.sum(F.col("_first").cast("long")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    island = Window.partitionBy(*keys, "_island")
+    reach = F.least(F.col("_limit"), F.greatest(F.lit(3.0), F.col("h") * F.lit(0.65)))
+    found = found.withColumns({"_loose": (F.max("cy").over(island) - F.min("cy").over(island)) > F.min(reach).over(island), "_middle": F.median("cy").over(island)})
+    schema = StructType([*found.schema.fields]).add("sub", "integer").add("row_cy", "double").add("problem", "string")
+    placed = found.sortWithinPartitions(*keys, *order).mapInArrow(_cluster, schema)
+    number = F.dense_rank().over(page.orderBy("row_cy", "_island", "sub")) - 1
+    return placed.withColumn("row", number.cast("int")).select(*tokens.columns, "typical", "row", "row_cy", "problem")
 
 
 def block_threshold(gaps: DataFrame, keys: Sequence[str], factor: float, typical: Column | None = None) -> DataFrame:

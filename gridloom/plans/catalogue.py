@@ -296,6 +296,20 @@ SELECT doc_id, row, seq, len(list_filter(cuts, lambda c: (tk.x + tk.r) / 2 >= c)
     "tg_assign": _TO_SLOTS + ' SELECT doc_id, row, seq, noise, CASE WHEN NOT noise THEN "column" END AS "column" FROM sl',
     "ev_blocks": _EV + " SELECT event_id, user_id, block_no::INT AS block_no FROM k",
     "ev_block_box": _EV + " SELECT user_id, block_no::INT AS block_no, count(*) AS n_rows, min(ts) AS t0, max(ts) AS t1, min(value) AS v0, max(value) AS v1 FROM k GROUP BY ALL",
+    "ev_row_cluster": r"""
+WITH RECURSIVE w AS (SELECT event_id, user_id, value::DOUBLE AS cy, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS i FROM events WHERE value IS NOT NULL),
+s AS (
+  SELECT DISTINCT user_id, 0::BIGINT AS i, []::DOUBLE[][] AS rows, 0::BIGINT AS pick FROM w
+  UNION ALL
+  SELECT user_id, i, CASE WHEN pick > len(rows) THEN list_append(rows, [cy]) ELSE list_concat(list_append(rows[1:pick - 1], list_append(rows[pick], cy)), rows[pick + 1:]) END, pick
+  FROM (
+    SELECT s.user_id, w.i, w.cy, s.rows, coalesce(list_sort(list_filter(list_transform(range(greatest(1, len(s.rows) - 11), len(s.rows) + 1),
+      lambda k: {'d': abs(w.cy - (s.rows[k][(len(s.rows[k]) + 1) // 2] + s.rows[k][len(s.rows[k]) // 2 + 1]) / 2), 'k': k}), lambda c: c.d <= 32 * 0.45::DOUBLE))[1].k, len(s.rows) + 1)::BIGINT AS pick
+    FROM s JOIN w ON w.user_id IS NOT DISTINCT FROM s.user_id AND w.i = s.i + 1)),
+z AS (SELECT user_id, arg_max(rows, i) AS rows FROM s GROUP BY user_id),
+c AS (SELECT user_id, k, (rows[k][(len(rows[k]) + 1) // 2] + rows[k][len(rows[k]) // 2 + 1]) / 2 AS row_cy FROM z, unnest(range(1, (len(rows) + 1)::BIGINT)) AS r(k)),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY row_cy, k) - 1 AS row FROM c)
+SELECT w.event_id, w.user_id, n.row::INT AS row, n.row_cy FROM w JOIN s ON s.user_id IS NOT DISTINCT FROM w.user_id AND s.i = w.i JOIN n ON n.user_id IS NOT DISTINCT FROM w.user_id AND n.k = s.pick""",
     "doc_numbers": r"SELECT doc_id, i - 1 AS no, m[i] AS raw, replace(m[i], ',', '.') AS value FROM (SELECT doc_id, regexp_extract_all(text, '\d+(?:[,.]\d+)?') AS m FROM documents), unnest(range(1, (len(m) + 1)::BIGINT)) AS t(i)",
     "doc_number_offsets": r"""WITH m AS (SELECT doc_id, text, regexp_extract_all(text, '\d+(?:[,.]\d+)?') AS m, string_split_regex(text, '\d+(?:[,.]\d+)?') AS s FROM documents)
 SELECT doc_id, i - 1 AS no, m[i] AS raw, replace(m[i], ',', '.') AS value, (list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::INT AS "offset" FROM m, unnest(range(1, (len(m) + 1)::BIGINT)) AS t(i)""",

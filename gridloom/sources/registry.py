@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator, Sequence
+import os
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import strip
+from gridloom.sources.files import decoded, listed, local, opened
 
 # Column names of the work-list and the caches; what stands before the cause of an error.
 PATH, FILE = "путь", "файл"
@@ -49,42 +50,32 @@ def read_caches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return out.filter("path <> ''").distinct()
 
 
-def read_texts(spark: SparkSession, worklist: DataFrame, root: str, glob: str = "*") -> DataFrame:
-    """path, seq, found, full_text and error of each listed file below ``root``: text files as they are, PDFs page by page.
+def text_of(data: bytes) -> str:
+    """A text file as it is; a PDF page by page, joined by line feeds, which needs the optional pdfplumber."""
+    if data[:5] != b"%PDF-":
+        return decoded(data)
+    import pdfplumber
 
-    A file that isn't there isn't found and has neither text nor error.  PDF pages are joined by line feeds; this needs the
-    optional pdfplumber, without which PDFs have an error.
+    with pdfplumber.open(io.BytesIO(data)) as pdf:
+        return "\n".join(p.extract_text() or "" for p in pdf.pages)
+
+
+def read_texts(spark: SparkSession, worklist: DataFrame, root: str = ".") -> DataFrame:
+    """path, seq, found, full_text and error of each listed file, opened by its path; relative ones lie below ``root``.
+
+    Paths may lead anywhere, have ``..`` or names that begin with _ or .; nothing that isn't listed is opened.  A file that isn't
+    there isn't found and has neither text nor error.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    top = root.rstrip("/") + "/"
-    files = files.select(F.expr("regexp_replace(path, '^file:/+', '/')").alias("full"), "content")
-    wanted = worklist.withColumn("full", F.when(F.col("path").startswith("/"), F.col("path")).otherwise(F.concat(F.lit(top), "path")))
-
-    @F.pandas_udf("full_text string, error string")
-    def text_of(paths: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for names, contents in paths:
-            rows = []
-            for name, content in zip(names, contents, strict=True):
-                try:
-                    if content is None:
-                        rows.append((None, None))
-                    elif bytes(content[:5]) == b"%PDF-":
-                        import pdfplumber
-
-                        with pdfplumber.open(io.BytesIO(content)) as pdf:
-                            rows.append(("\n".join(p.extract_text() or "" for p in pdf.pages), None))
-                    else:
-                        rows.append((bytes(content).decode("utf-8-sig", "replace"), None))
-                except Exception as e:
-                    rows.append((None, f"{READ_ERROR}{str(e) or type(e).__name__}"))
-            yield pd.DataFrame(rows, columns=["full_text", "error"])
-
-    return wanted.join(files, "full", "left").withColumn("_t", text_of("full", "content")).select("path", "seq", F.col("content").isNotNull().alias("found"), "_t.*")
+    top = os.path.abspath(local(root)) if local(root) is not None else root
+    whole = F.col("path").rlike(r"\A(/|[A-Za-z][A-Za-z0-9+.-]+:/)")
+    wanted = worklist.select("path", "seq", F.when(whole, F.col("path")).otherwise(F.concat(F.lit(top.rstrip("/") + "/"), "path")).alias("_full"))
+    out = opened(wanted, "_full", text_of, "full_text")
+    return out.select("path", "seq", "found", "full_text", F.concat(F.lit(READ_ERROR), "error").alias("error"))
 
 
 def page_images(spark: SparkSession, root: str) -> DataFrame:
-    """document folder, page and path of prepared page images (``control/page<4 digits>_prepared.png``), the first of each."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "page*_prepared.png").load(root).select("path")
-    form = r"/([^/]+)/control/page(\d{4,})_prepared\.png$"
-    found = files.filter(F.col("path").rlike(form)).select(F.regexp_extract("path", form, 1).alias("document"), F.regexp_extract("path", form, 2).cast("long").alias("page"), F.col("path").alias("image"))
-    return found.groupBy("document", "page").agg(F.min("image").alias("image"))
+    """folder, document (its name), page and path of prepared page images (``control/page<4 digits>_prepared.png``), found by name."""
+    form = r"page(\d{4,})_prepared\.png"
+    files = listed(spark, root, form).filter(F.col("folder").rlike(r"/control\z"))
+    folder = F.regexp_replace("folder", r"/control\z", "")
+    return files.select(folder.alias("folder"), F.element_at(F.split(folder, "/"), -1).alias("document"), F.regexp_extract("name", form, 1).cast("long").alias("page"), F.concat_ws("/", "folder", "name").alias("image"))

@@ -1,13 +1,19 @@
-"""OCR word tables: one tab-separated file a page, quotes literal, bad lines kept aside."""
+"""OCR word tables: one tab-separated file a page, quotes literal, bad lines kept aside.
+
+Folders are found from names alone; the files of pages are opened by path, once for all that is made of them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import folder_uid, is_noise, strip
+from gridloom.sources.files import decoded, listed, opened
+from gridloom.sources.store import kept
 
 # The header that every file must have.
 HEADER = "level page_num block_num par_num line_num word_num left top width height conf text".split()
@@ -22,36 +28,47 @@ class Words:
     review: DataFrame
 
 
+NAME = r"page.*_result\.tsv"
+PAGE = ["document", "folder_uid", "page"]
+
+
 def _files(spark: SparkSession, root: str) -> DataFrame:
-    """path, folder, folder_uid, name and value (the whole text) of all page files below a folder."""
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="page*_result.tsv").withColumn("path", plain_path(F.col("_metadata.file_path")))
-    files = files.withColumns({"name": F.element_at(F.split("path", "/"), -1), "folder": F.regexp_replace("path", r"/[^/]*\z", "")})
-    return files.withColumn("folder_uid", folder_uid(F.col("folder")))
+    """folder, folder_uid, name and path of all files below a folder that are named like pages; none is opened."""
+    return with_uid(listed(spark, root, NAME))
+
+
+def with_uid(files: DataFrame) -> DataFrame:
+    return files.withColumns({"folder_uid": folder_uid(F.col("folder")), "path": F.concat_ws("/", "folder", "name")})
 
 
 def page_folders(spark: SparkSession, root: str) -> DataFrame:
-    """folder and folder_uid of all folders with files named ``page*_result.tsv`` below a folder, each once."""
+    """folder and folder_uid of all folders with files named ``page*_result.tsv`` below a folder, each once; no file is opened."""
     return _files(spark, root).select("folder", "folder_uid").distinct()
 
 
-def read_words(spark: SparkSession, root: str, folders: DataFrame | None = None) -> Words:
+def read_words(spark: SparkSession, root: str, folders: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept) -> Words:
     """All ``page<digits>_result.tsv`` files below a folder, or of those in ``folders`` (folder_uid).
 
-    A page is named by document (its folder's name), folder_uid and page number.  A file with another header is
+    A page is named by document (its folder's name), folder_uid and page number.  A file that can't be read, or has another header, is
     one ``tsv_error`` in review; a line that can't be parsed is one ``bad_tsv_line`` there ("line: why").  Lines
-    of other levels and words without text are passed over.  token_id is T and the physical line.
+    of other levels and words without text are passed over.  token_id is T and the physical line.  ``keep`` stores the
+    parsed lines, so each file is opened once.
     """
-    files, name = _files(spark, root), F.col("name")
+    files = _files(spark, root)
     if folders is not None:
         files = files.join(folders, "folder_uid", "left_semi")
-    files = files.filter(name.rlike(r"\Apage\d+_result\.tsv\z")).select(
-        F.element_at(F.split("folder", "/"), -1).alias("document"), "folder_uid",
-        F.regexp_extract(name, r"\d+", 0).cast("long").alias("page"),
-        F.split(F.regexp_replace("value", r"\A\x{FEFF}|(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n").alias("lines"),
-    )
-    page = ["document", "folder_uid", "page"]
-    right = F.slice(F.split(F.element_at("lines", 1), "\t"), 1, 12) == F.array(*[F.lit(x) for x in HEADER])
-    broken = files.filter(~right).select(*page, F.lit("").alias("block"), F.lit("tsv_error").alias("code"), F.lit("unknown TSV header").alias("detail"))
+    return parsed_words(opened(files.filter(F.col("name").rlike(r"\Apage\d+_result\.tsv\z")), "path", decoded), keep)
+
+
+def parsed_words(files: DataFrame, keep: Callable[[DataFrame], DataFrame] = kept) -> Words:
+    """Words, pages and review of files: folder, folder_uid, name, value (the whole text) and error."""
+    files = keep(files.select(
+        F.element_at(F.split("folder", "/"), -1).alias("document"), "folder_uid", F.regexp_extract("name", r"\d+", 0).cast("long").alias("page"), "error",
+        F.split(F.regexp_replace(F.coalesce("value", F.lit("")), r"\A\x{FEFF}|(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n").alias("lines"),
+    ))
+    page = PAGE
+    right = F.col("error").isNull() & (F.slice(F.split(F.element_at("lines", 1), "\t"), 1, 12) == F.array(*[F.lit(x) for x in HEADER]))
+    broken = files.filter(~right).select(*page, F.lit("").alias("block"), F.lit("tsv_error").alias("code"), F.coalesce("error", F.lit("unknown TSV header")).alias("detail"))
 
     lines = files.filter(right).select(*page, F.posexplode("lines").alias("at", "line")).filter("at > 0")
     parts = lines.select(*page, (F.col("at") + 1).alias("line_no"), F.split("line", "\t", 12).alias("p"))
@@ -77,11 +94,6 @@ def read_words(spark: SparkSession, root: str, folders: DataFrame | None = None)
     return Words(tokens, pages, broken.unionByName(bad))
 
 
-def plain_path(uri: Column) -> Column:
-    """The path of a file's URI: characters as they are, and no scheme for local files."""
-    return F.regexp_replace(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), r"\Afile:/+", "/")
-
-
 def box_columns() -> list:
     """x, y, w, h with the right and lower edges and the vertical centre."""
     return ["x", "y", "w", "h", (F.col("x") + F.col("w")).alias("r"), (F.col("y") + F.col("h")).alias("b"), (F.col("y") + F.col("h") / F.lit(2.0)).alias("cy")]
