@@ -10,6 +10,7 @@ from gridloom.operators import cells as C
 from gridloom.operators import layout as L
 from gridloom.operators import routing as R
 from gridloom.operators.fields import extract_fields
+from gridloom.plans import tsvpages
 from gridloom.plans.textgrid import KEYS, text_tokens
 
 ROW = ["doc_id", "row"]
@@ -220,7 +221,7 @@ _ALL = (
     doc_number_offsets, doc_noise, median_default, page_fields, url_tail, ru_date, ws_collapse, route, registry_fields, resume, done_union, final_report, sheet_no, safe_cell,
     folder_uid, run_counts, block_flags, review, page_counts,
 )
-QUERIES = {f.__name__: f for f in _ALL}
+QUERIES = {f.__name__: f for f in _ALL} | tsvpages.QUERIES
 
 _TK = r"""
 WITH ln AS (SELECT doc_id, i - 1 AS row, lines[i] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), unnest(range(1, (len(lines) + 1)::BIGINT)) AS t(i)),
@@ -335,4 +336,4 @@ SELECT row_number() OVER (ORDER BY doc_id) AS no, doc_id, source, '' AS error FR
     "block_flags": _TO_CUTS + _FLAGS + " SELECT * FROM bf",
     "review": _TO_CUTS + _FLAGS + " SELECT doc_id, 'geometry_hypothesis' AS code, flags AS detail FROM bf UNION ALL SELECT doc_id, 'bad_tsv_line', 'line ' || row FROM tk GROUP BY doc_id, row HAVING count(*) = 1",
     "page_counts": _TK + " SELECT doc_id, count(*) AS tokens, count(DISTINCT row) AS rows FROM tk GROUP BY doc_id",
-}
+} | tsvpages.ORACLE_SQL

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,17 +12,30 @@ from gridloom.operators import cells as C
 from gridloom.operators import layout as L
 from gridloom.params import GridParams
 from gridloom.sources import sinks
-from gridloom.sources.store import kept
-from gridloom.sources.tsv import page_folders, read_words
+from gridloom.sources.store import Scratch, kept, versions
+from gridloom.sources.tsv import PAGE, Words, page_folders, read_words
+
+#: The tables of a run.
+TABLES = ("blocks", "tokens", "review", "grid_wide", "grid_long")
+
 
-PAGE = ["document", "folder_uid", "page"]
+def grid_tables(spark: SparkSession, root: str, params: GridParams = GridParams(), folders: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept) -> dict[str, DataFrame]:
+    """The tables of all pages below a folder, or of those in ``folders`` (folder_uid), and failures (folder_uid, error).
+
+    Files are opened and rows found once; all tables come from what ``keep`` has stored then.  A folder with a page that fails has
+    no rows but the one in failures.
+    """
+    words = read_words(spark, root, folders, keep)
+    return tables_of(words, params, keep)
 
 
-def grid_tables(spark: SparkSession, root: str, params: GridParams = GridParams(), folders: DataFrame | None = None) -> dict[str, DataFrame]:
-    """blocks, grid_long, grid_wide, tokens and review of all pages below a folder, or of those in ``folders`` (folder_uid)."""
-    words = read_words(spark, root, folders)
+def tables_of(words: Words, params: GridParams = GridParams(), keep: Callable[[DataFrame], DataFrame] = kept) -> dict[str, DataFrame]:
+    """The tables of words, pages and review; see ``grid_tables``."""
     block = [*PAGE, "block"]
-    placed = L.find_blocks(L.find_rows(words.tokens, PAGE, params.row_tolerance), PAGE, params.block_gap)
+    found = keep(L.find_rows(words.tokens, PAGE, params.row_tolerance))
+    failures = keep(found.filter("problem is not null").groupBy("folder_uid").agg(F.min("problem").alias("error")))
+    fine = lambda df: df.join(failures, "folder_uid", "left_anti")
+    placed = keep(L.find_blocks(fine(found.drop("problem")), PAGE, params.block_gap))
     name = F.format_string("P%04dB%03d", "page", "block_no")
     placed = placed.withColumn("block", name)
     boxes = C.block_boxes(placed, block, "row_no")
@@ -37,11 +53,11 @@ def grid_tables(spark: SparkSession, root: str, params: GridParams = GridParams(
     long = C.cells(slotted, block, "row_no", params.review_conf)
     centres = placed.groupBy(*block, "row_no").agg(F.bround(F.first("row_cy"), 1).alias("y"))
     wide = C.wide_grid(long, [*block, "row_no"]).join(centres, [*block, "row_no"]).join(C.row_flags(slotted, [*block, "row_no"]), [*block, "row_no"])
-    tokens = C.assign_tokens(words.tokens, slotted, [*PAGE, "token_id"], ["block", "row_no", "column"])
+    tokens = C.assign_tokens(fine(words.tokens), slotted, [*PAGE, "token_id"], ["block", "row_no", "column"])
     hypotheses = blocks.select(*PAGE, "block", F.lit("geometry_hypothesis").alias("code"), F.col("flags").alias("detail"))
     return {
         "blocks": blocks, "grid_long": long.withColumn("column", C.slot_name(F.col("column"))), "grid_wide": wide,
-        "tokens": tokens, "review": words.review.unionByName(hypotheses),
+        "tokens": tokens, "failures": failures, "review": fine(words.review).unionByName(hypotheses),
     }
 
 
@@ -50,49 +66,52 @@ def page_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return tables["tokens"].groupBy(*PAGE).agg(F.count(F.lit(1)).alias("tokens"), F.count_distinct("block", "row_no").alias("rows"), F.count_distinct("block").alias("blocks"))
 
 
-SUMMARY = "folder string, folder_uid string, status string, output string, error string"
+SUMMARY = "folder string, folder_uid string, status string, output string, error string, run string"
+
+
+def last_summary(spark: SparkSession, out: str) -> tuple[DataFrame, int]:
+    """The latest finished summary below ``out`` and its version; an empty one and 0 before the first."""
+    known = versions(spark, f"{out}/summary")
+    if not known:
+        return spark.createDataFrame([], SUMMARY), 0
+    return spark.read.schema(SUMMARY).parquet(f"{out}/summary/v={known[-1]:08d}"), known[-1]
+
+
+def read_grid(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables below ``out`` and run_summary, as the latest finished run left them: of each folder the rows of the run that the summary names."""
+    summary, _ = last_summary(spark, out)
+    chosen = summary.filter("run is not null").select("run", "folder_uid")
+    return {n: sinks.read_parts(spark, f"{out}/{n}", ("run", "folder_uid")).join(chosen, ["run", "folder_uid"], "left_semi") for n in TABLES} | {"run_summary": summary}
 
 
 def run_grid(spark: SparkSession, root: str, out: str, params: GridParams = GridParams()) -> DataFrame:
-    """Write the tables of all folders below ``root``, split by folder_uid, and run_summary: folder, folder_uid, status, output, error.
+    """Write the tables of all folders below ``root`` and return run_summary: folder, folder_uid, status, output, error, run.
 
-    A folder that an earlier run has finished is cached, unless ``overwrite`` is set; new ones below the same root
-    are done.  All others are handled in one go.  If that fails they are halved, and each half is tried again,
-    until folders that fail stand alone: these have the status error and what went wrong, the others are ok.  A
-    folder's rows replace what a cut-off run left of it.  Fails if there is no page below ``root``.
+    A folder that an earlier run has finished is cached, unless ``overwrite`` is set.  All others are handled in one pass: a folder that
+    fails says so in its own task and has the status error, with the whole traceback, the others are ok.  Rows go to
+    ``<table>/run=<run>/folder_uid=<uid>`` and stay unseen until the last step, one new version of the summary, which is also the manifest that
+    ``read_grid`` follows.  A run that ends before leaves the result as it was.  Fails if there is no page below ``root``.
     """
-    found = page_folders(spark, root).withColumn("output", F.lit(out))
-    if found.isEmpty():
-        raise ValueError(f"no page<digits>_result.tsv below {root}")
-    done = spark.createDataFrame([], "folder_uid string")
-    if sinks.completed(spark, f"{out}/run_summary") and not params.overwrite:
-        done = spark.read.schema(SUMMARY).parquet(f"{out}/run_summary").filter("status in ('ok', 'cached')").select("folder_uid").distinct()
-    todo = kept(found.join(done, "folder_uid", "left_anti"))
-    columns = [c.split()[0] for c in SUMMARY.split(", ")]
-    parts = [found.join(done, "folder_uid", "left_semi").withColumns({"status": F.lit("cached"), "error": F.lit("")}).select(*columns)]
-
-    def attempt(share: DataFrame, salt: int) -> None:
-        n = share.count()
-        if not n:
-            return
-        try:
-            tables = grid_tables(spark, root, params, share.select("folder_uid"))
-            for name in ("blocks", "tokens", "review", "grid_wide", "grid_long"):
-                sinks.write_parts(tables[name], f"{out}/{name}", "folder_uid")
-            parts.append(share.withColumns({"status": F.lit("ok"), "error": F.lit("")}).select(*columns))
-        except Exception as e:
-            if n == 1:
-                parts.append(share.withColumns({"status": F.lit("error"), "error": F.lit(str(e)[:10_000] or type(e).__name__)}).select(*columns))
-                return
-            side = F.pmod(F.xxhash64("folder_uid", F.lit(salt)), F.lit(2))
-            for i in (0, 1):
-                attempt(share.filter(side == i), salt + 1)
-
-    attempt(todo, 0)
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    summary = kept(summary)
-    summary.write.mode("overwrite" if params.overwrite else "append").parquet(f"{out}/run_summary")
-    sinks.write_settings(spark, f"{out}/settings", root, params.__dict__)
-    return summary
+    with Scratch(spark) as scratch:
+        found = scratch.keep(page_folders(spark, root))
+        if found.isEmpty():
+            raise ValueError(f"no page<digits>_result.tsv below {root}")
+        last, version = last_summary(spark, out)
+        done = last.filter(F.col("status").isin("ok", "cached") & F.lit(not params.overwrite)).select("folder_uid", "output", "run")
+        todo = scratch.keep(found.join(done, "folder_uid", "left_anti"))
+        run = f"{version + 1:08d}-{uuid.uuid4().hex[:8]}"
+        tables = grid_tables(spark, root, params, todo.select("folder_uid"), scratch.keep)
+        for name in TABLES:
+            sinks.write_parts(tables[name], f"{out}/{name}/run={run}", "folder_uid")
+        columns = [c.split()[0] for c in SUMMARY.split(", ")]
+        cached = found.join(done, "folder_uid").withColumns({"status": F.lit("cached"), "error": F.lit("")})
+        place = F.concat(F.lit(f"{out}/*/run={run}/folder_uid="), "folder_uid")
+        judged = todo.join(tables["failures"], "folder_uid", "left")
+        bad = F.col("error").isNotNull()
+        new = judged.select("folder", "folder_uid", F.when(bad, "error").otherwise("ok").alias("status"), place.alias("output"), F.coalesce("error", F.lit("")).alias("error"), F.when(~bad, F.lit(run)).alias("run"))
+        # folders of other roots stay as they are
+        others = last.join(found, "folder_uid", "left_anti")
+        sinks.write_settings(spark, f"{out}/settings", root, params.__dict__)
+        path = f"{out}/summary/v={version + 1:08d}"
+        cached.select(*columns).unionByName(new).unionByName(others).write.mode("overwrite").parquet(path)
+    return spark.read.schema(SUMMARY).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,17 @@ def write_parts(df: DataFrame, path: str, by: str) -> None:
     flat(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
+def read_parts(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
+    """CSV below a path with the columns ``by`` as its folders ``<column>=<value>`` say, as text; of a table without files these alone."""
+    try:
+        rows = spark.read.option("recursiveFileLookup", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path, header=True)
+    except AnalysisException as e:
+        if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in by))
+    return rows.withColumns({c: F.regexp_extract(F.col("_metadata.file_path"), f"/{c}=([^/]+)/", 1) for c in by})
+
+
 def append_results(records: DataFrame, path: str) -> None:
     """Append rows to a table that is split by status; a run that ends early leaves no part of its rows."""
     records.write.mode("append").partitionBy("status").parquet(path)
@@ -45,12 +57,6 @@ def write_sheets(df: DataFrame, path: str, order: str) -> None:
     flat(sheets(df, order)).write.mode("overwrite").partitionBy("sheet_no").option("header", True).csv(path)
 
 
-def completed(spark: SparkSession, path: str) -> bool:
-    """Whether a finished result is at a path of any file system that Spark knows."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def write_settings(spark: SparkSession, path: str, source: str, args: dict) -> None:
     """Source and parameters of a run as one small JSON text file."""
     text = json.dumps({"source": source, "args": {k: str(v) for k, v in args.items()}, "note": "Columns are positional hypotheses."}, ensure_ascii=False)

@@ -25,3 +25,43 @@ def kept(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables that a job keeps for as long as it runs: ``keep`` stores one, the end of the block removes them all."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        removed(self.spark, *self.paths)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/kept-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's path and its file system, of any kind that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        p, system = file_system(spark, path)
+        system.delete(p, True)
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The finished versions below a path, ascending: folders ``v=<number>`` that Spark has marked as whole."""
+    p, system = file_system(spark, path)
+    if not system.exists(p):
+        return []
+    names = [s.getPath().getName() for s in system.listStatus(p) if s.isDirectory()]
+    return sorted(int(n[2:]) for n in names if n[:2] == "v=" and n[2:].isdigit() and system.exists(file_system(spark, f"{path}/{n}/_SUCCESS")[0]))

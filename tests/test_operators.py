@@ -179,20 +179,39 @@ def test_grid_end_to_end(spark, tmp_path, monkeypatch):
     assert status(grid.run_grid(spark, str(tmp_path / "doc"), out)) == [("doc", "ok")]
     page(tmp_path / "doc" / "папка 1+", "page0001_result.tsv", lines)
     page(tmp_path / "doc" / "bad", "page0001_result.tsv", lines)
-    plain = grid.grid_tables
+    plain = layout.cluster_rows
 
-    def failing(spark, root, params, folders):
-        if any(r.folder_uid == hashlib.sha1(str(tmp_path / "doc" / "bad").encode()).hexdigest()[:8] for r in folders.collect()):
-            raise OSError("the folder can't be read")
-        return plain(spark, root, params, folders)
+    def failing(cy, h, tolerance):
+        if 77.0 in cy:
+            raise OSError("the page can't be read")
+        return plain(cy, h, tolerance)
 
-    monkeypatch.setattr(grid, "grid_tables", failing)
+    page(tmp_path / "doc" / "bad", "page0003_result.tsv", [word(0, 61, "a"), word(0, 75, "b", h=2), word(0, 80, "c", h=2)])
+    monkeypatch.setattr(layout, "cluster_rows", failing)
     second = grid.run_grid(spark, str(tmp_path / "doc"), out)
     assert status(second) == [("bad", "error"), ("doc", "cached"), ("папка 1+", "ok")]
-    assert [r.error for r in second.collect() if r.status == "error"] == ["the folder can't be read"]
+    assert [("the page can't be read" in r.error, "Traceback" in r.error, r.run) for r in second.collect() if r.status == "error"] == [(True, True, None)]
+    uid = {x: hashlib.sha1(str(tmp_path / "doc" / x).encode()).hexdigest()[:8] for x in ("bad", "папка 1+")} | {"doc": hashlib.sha1(str(tmp_path / "doc").encode()).hexdigest()[:8]}
+    seen = lambda: {n: {r.folder_uid for r in df.select("folder_uid").distinct().collect()} for n, df in grid.read_grid(spark, out).items() if n != "run_summary"}
+    assert set(map(frozenset, seen().values())) == {frozenset({uid["doc"], uid["папка 1+"]})}
+    monkeypatch.undo()
+    # a run that ends between two tables leaves the result as it was
+    before = seen()
+    write = sinks.write_parts
+
+    def ending(df, path, by):
+        if "/review/" in path:
+            raise KeyboardInterrupt
+        write(df, path, by)
+
+    monkeypatch.setattr(sinks, "write_parts", ending)
+    with pytest.raises(KeyboardInterrupt):
+        grid.run_grid(spark, str(tmp_path / "doc"), out, GridParams(overwrite=True))
+    assert seen() == before
     monkeypatch.undo()
     assert cli.main(["grid", str(tmp_path / "doc"), "--outdir", out]) == 0
-    assert {r.folder_uid for r in spark.read.option("header", True).csv(f"{out}/grid_long").select("folder_uid").distinct().collect()} == {hashlib.sha1(str(tmp_path / "doc" / x).encode()).hexdigest()[:8] for x in ("bad", "папка 1+")} | {hashlib.sha1(str(tmp_path / "doc").encode()).hexdigest()[:8]}
+    assert set(map(frozenset, seen().values())) == {frozenset(uid.values())}
+    assert len(grid.read_grid(spark, out)["tokens"].filter(F.col("folder_uid") == uid["doc"]).collect()) == 11
     with pytest.raises(SystemExit):
         cli.main(["grid", str(tmp_path / "out" / "settings"), "--outdir", out])
     with pytest.raises(SystemExit):
