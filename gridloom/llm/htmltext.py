@@ -36,6 +36,8 @@ _WORD = re.compile(r"[^\W_]+")
 
 PATH_BUCKETS, WORD_BUCKETS = 1024, 1024
 PATH_SIZE, WORD_SIZE, SCALARS, HIDDEN = 16, 6, 5, 16
+#: Blocks that are read at a time, padding included, but for a single longer page.
+CELLS = 1 << 13
 
 
 @cache
@@ -244,6 +246,24 @@ def forward(w: dict, pages: list) -> tuple[np.ndarray, tuple]:
     return joined @ w["out"] + w["bias"], (x, mask, joined, {"f": ka, "b": kb})
 
 
+def scores(w: dict, pages: list) -> np.ndarray:
+    """The logits of ``forward`` alone: no states are kept, so memory is what the batch's inputs and two numbers a block take."""
+    n, longest = HIDDEN, max(len(p[0]) for p in pages)
+    x, mask = _inputs(w, pages, longest)
+    out = x @ w["out"][2 * n :] + w["bias"]
+    for d, own in (("f", w["out"][:n]), ("b", w["out"][n : 2 * n])):
+        h, c = np.zeros((len(pages), n)), np.zeros((len(pages), n))
+        for t in range(longest) if d == "f" else range(longest - 1, -1, -1):
+            gates = x[t] @ w[f"x{d}"] + w[f"c{d}"] + h @ w[f"h{d}"]
+            i, f, o = _sigmoid(gates[:, :n]), _sigmoid(gates[:, n : 2 * n]), _sigmoid(gates[:, 2 * n : 3 * n])
+            m = mask[t][:, None]
+            fresh = f * c + i * np.tanh(gates[:, 3 * n :])
+            c = m * fresh + (1 - m) * c
+            h = m * (o * np.tanh(fresh)) + (1 - m) * h
+            out[t] += h @ own
+    return out
+
+
 def _gradients(w: dict, pages: list, labels: list[np.ndarray]) -> dict[str, np.ndarray]:
     logits, (x, mask, joined, kept) = forward(w, pages)
     y = np.zeros_like(logits)
@@ -391,16 +411,21 @@ def train(pages: int = 900, epochs: int = 8, seed: int = 11) -> dict[str, np.nda
     return w
 
 
-def main_texts(pages: list[str | None], w: dict[str, np.ndarray], batch: int = 64) -> list[str]:
+def main_texts(pages: list[str | None], w: dict[str, np.ndarray], batch: int = 64, cells: int = CELLS) -> list[str]:
+    """The main text of each page.  Up to ``batch`` pages of like length are read together, as far as they, padded to the longest, have ``cells`` blocks."""
     found = [blocks(p) for p in pages]
     out = [""] * len(pages)
-    # pages of like length share a batch, so that little of it is padding
     order = sorted((i for i in range(len(pages)) if found[i]), key=lambda i: len(found[i]))
-    for at in range(0, len(order), batch):
-        some = order[at : at + batch]
-        logits, _ = forward(w, [vectors(found[i]) for i in some])
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < min(len(order), at + batch) and (end + 1 - at) * len(found[order[end]]) <= cells:
+            end += 1
+        some = order[at:end]
+        logits = scores(w, [vectors(found[i]) for i in some])
         for p, i in enumerate(some):
             out[i] = "\n".join(text for (_, text, _), z in zip(found[i], logits[:, p], strict=False) if z > 0)
+        at = end
     return out
 
 

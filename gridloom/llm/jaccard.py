@@ -215,7 +215,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t:
         return pd.Series([(num + den) * overlap_bound(x, y, i, j) >= num * (i + j) for x, y, i, j in zip(a, b, n, m, strict=True)], dtype=bool)
 
     left, path = stored(pairs.join(side("a"), "a").join(side("b"), "b").filter(may("bitsa", "bitsb", "na", "nb")).select("a", "b"))
-    wanted = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().join(classes.select("node", "first_id"), "node")
+    wanted = left.select(F.col("a").alias("node")).union(left.select("b")).distinct().join(classes.select("node", "first_id", "first_th", F.xxhash64("first_id", "first_th").alias("first")), "node")
 
     def arrays(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -223,9 +223,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t:
                 nodes = [_node(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(sets)), pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "own", "s"])
 
-    # texts that nothing asks for are dropped before the shuffle
-    known = bit_table(wanted, "first_id", bits)
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").filter(maybe_in("_id", known, bits)).join(wanted, F.col("_id").eqNullSafe(F.col("first_id"))).select("node", "text")
+    # texts that nothing asks for are dropped before the shuffle; one row has a class's id and text, or equal ones do
+    known = bit_table(wanted, "first", bits)
+    own = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_th"), "text").withColumn("_first", F.xxhash64("_id", "_th"))
+    same = (F.col("_first") == F.col("first")) & F.col("_id").eqNullSafe(F.col("first_id")) & (F.col("_th") == F.col("first_th"))
+    texts = own.filter(maybe_in("_first", known, bits)).join(wanted, same).select("node", "text")
     sets, sets_path = stored(texts.mapInArrow(arrays, "node long, own long, s binary").filter("node = own").groupBy("node").agg(F.first("s").alias("s")))
 
     @F.pandas_udf("boolean")
@@ -337,7 +339,7 @@ def _joined(docs: DataFrame, k: int, threshold: float, want: str | None) -> tupl
     sig, _ = stored(signatures(docs, k, t, levels))
 
     full = sig.filter("node is not null")
-    classes, classes_path = stored(full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
+    classes, classes_path = stored(full.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))["th"].alias("first_th"), F.first("n").alias("n"), F.first("bits").alias("bits")))
     # prefix elements that more than one row has
     shared = bit_table(full.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1"), "key", shared_bits)
     slots = full.select("node", "n", "keys", F.transform("keys", lambda x: F.pmod(F.xxhash64(x), F.lit(1 << shared_bits)).cast("int")).alias("slots"))

@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     whose hashed doc_id is smallest, as far as their texts fit ``FIT_BYTES`` and ``FIT_TEXT``.  Rows with a null id
     or a label other than 0 and 1 are passed over; an id with several labels has the smallest.  Of repeated rows,
     or several texts, of one id all count, and one text, of the smallest hash, is fitted.  With labels of one class
-    only, or none, or empty tables, every text has the score of that class's share.
+    only, or none, or empty tables, or if all texts of a class are too long to be fitted, every text has the score of that class's share.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min(label).cast("int").alias("_y"))
     small = known.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
@@ -135,9 +135,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     sums = np.zeros((2, (1 << FEATURE_BITS) + 1))
     sums[0, table["f"].to_numpy()], sums[1, table["f"].to_numpy()] = table["c0"].to_numpy(), table["c1"].to_numpy()
     n0, n1 = sums[:, -1]
+    share = (n1 + 1) / (n0 + n1 + 2)
+    flat = NbSvm(np.zeros(1 << FEATURE_BITS), np.zeros(1 << FEATURE_BITS), 0.0, 1.0, 1.0, float(np.log(share / (1 - share))))
     if not n0 or not n1:
-        share = (n1 + 1) / (n0 + n1 + 2)
-        return NbSvm(np.zeros(1 << FEATURE_BITS), np.zeros(1 << FEATURE_BITS), 0.0, 1.0, 1.0, float(np.log(share / (1 - share))))
+        return flat
     # smoothing follows the classes' sizes, so an n-gram that was never seen speaks for neither
     smooth = SMOOTH / min(n0, n1)
     ratios = np.log(sums[1, :-1] / n1 + smooth) - np.log(sums[0, :-1] / n0 + smooth)
@@ -159,7 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows:
     fit = some.select("text", "_y", "doc_id").mapInArrow(sets, "doc_id long, y int, x binary").toArrow().sort_by("doc_id")
     # views of the Arrow buffers, no copies
     found = [np.frombuffer(x.as_buffer(), np.int32) for x in fit["x"]]
-    return fit_hinge(found, fit["y"].to_numpy(), ratios, float(n1 / (n0 + n1)))
+    y = fit["y"].to_numpy()
+    return fit_hinge(found, y, ratios, float(n1 / (n0 + n1))) if len(set(y.tolist())) == 2 else flat
 
 
 def quality_score(docs: DataFrame, model: NbSvm) -> Callable[[str], Column]:

@@ -608,7 +608,7 @@ def test_sharding_query_by_brute_force(spark):
 def test_token_counts(spark):
     rows = [(1, "a", "hello world\n\nnext line"), (2, None, None), (3, "b", "é😀 x"), (4, "b", "\n"), (5, "c", "w" * 30_000), (5, "c", "w" * 30_000)]
     df = docs(spark, rows, "doc_id long, source string, text string").withColumn("n_tokens", F.lit("clash"))
-    encoding, lengths = tokens.tokenizer(tokens.PATH, tokens.PATTERN)
+    encoding, lengths = tokens.tokenizer(None, tokens.PATTERN)
     for rule in tokens.RULES:
         for r in tokens.token_counts(df, ("source", "text"), rule).collect():
             _, source, text = rows[r.doc_id - 1]
