@@ -28,6 +28,8 @@ def parser() -> argparse.ArgumentParser:
     registry.add_argument("--sep", default=";")
     registry.add_argument("--root", default=".")
     registry.add_argument("--results", default="registry_results")
+    registry.add_argument("--cache-dir", help="folder of result caches (*_cache.csv) of earlier runs; their documents are done")
+    registry.add_argument("--portion", type=int, default=RegistryParams.portion)
     registry.add_argument("--out", default="registry_report")
     registry.add_argument("--skipped-out", default="registry_skipped")
     return top
@@ -36,7 +38,7 @@ def parser() -> argparse.ArgumentParser:
 def main(args: Sequence[str] | None = None) -> int:
     """0, or 1 if a folder failed; faulty parameters end with a message, as they do for any command line."""
     from gridloom.plans import grid, registry
-    from gridloom.sources import sinks
+    from gridloom.sources import files
 
     top = parser()
     a = top.parse_args(args)
@@ -44,7 +46,7 @@ def main(args: Sequence[str] | None = None) -> int:
         if a.kind == "grid":
             params = GridParams(a.row_tolerance, a.block_gap, a.support, a.max_cols, GridParams.cuts_of(a.column_cuts), a.review_conf, a.overwrite)
         else:
-            params = RegistryParams(sep=a.sep)
+            params = RegistryParams(sep=a.sep, portion=a.portion)
     except ValueError as e:
         top.error(str(e))
     spark = SparkSession.builder.appName(f"gridloom {a.kind}").getOrCreate()
@@ -55,10 +57,8 @@ def main(args: Sequence[str] | None = None) -> int:
             top.error(str(e))
         counts = {r["status"]: r["count"] for r in summary.groupBy("status").count().collect()}
     else:
-        counts = {r["status"]: r["n"] for r in registry.run_registry(spark, a.csv, a.root, a.results, params).collect()}
-        report, skipped = registry.reports(spark.read.parquet(a.results))
-        sinks.write_csv(report, a.out)
-        sinks.write_csv(skipped, a.skipped_out)
+        caches = sorted(files.joined(a.cache_dir, n) for n, inner in files.names_in(a.cache_dir) if not inner and n.endswith("_cache.csv")) if a.cache_dir else []
+        counts = {r["status"]: r["n"] for r in registry.run_and_report(spark, a.csv, a.root, a.results, a.out, a.skipped_out, params, caches).collect()}
     print(", ".join(f"{k}: {v}" for k, v in sorted(counts.items())))
     return int(a.kind == "grid" and "error" in counts)
 

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,16 +45,19 @@ def numbers(c: Column) -> Column:
 def number_candidates(c: Column) -> Column:
     """array<struct<raw, value, offset>>: numbers with a decimal dot and their places in code points.
 
-    Regular expressions of the JVM count UTF-16 units and give no places of all matches, so this runs in Python.
+    A number's place are the lengths of all that stands before it: of the parts between numbers and of the numbers.  A null text has none.
     """
+    text = F.coalesce(c, F.lit(""))
+    pairs = F.arrays_zip(numbers(text).alias("raw"), F.split(text, NUMBER, -1).alias("gap"))
+    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<raw: string, value: string, offset: int>>)").alias("found"))
 
-    @F.pandas_udf("array<struct<raw: string, value: string, offset: int>>")
-    def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        form = regex.compile(NUMBER)
-        for texts in parts:
-            yield pd.Series([[(m[0], m[0].replace(",", "."), m.start()) for m in form.finditer(t or "")] for t in texts], dtype=object)
+    def step(state: Column, pair: Column) -> Column:
+        raw, at = pair["raw"], state["at"] + F.char_length(pair["gap"])
+        one = F.struct(raw.alias("raw"), F.replace(raw, F.lit(","), F.lit(".")).alias("value"), at.alias("offset"))
+        return F.struct((at + F.char_length(raw)).alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
 
-    return find(c)
+    # the last part has no number behind it
+    return F.aggregate(F.filter(pairs, lambda p: p["raw"].isNotNull()), start, step, lambda state: state["found"])
 
 
 def ru_date(c: Column) -> Column:

@@ -25,7 +25,7 @@ def cells(tokens: DataFrame, keys: Sequence[str], row: str = "row", review_conf:
     """One row a cell that has words: text and token ids from left to right, box, mean confidence, flags.
 
     ``tokens`` has column and crosses.  numeric_candidates are the numbers of all words; without ``candidates``
-    only their count goes into the flags, which stays in the JVM.
+    only their count goes into the flags.
     """
     keys = [*keys, row, "column"]
     if candidates:

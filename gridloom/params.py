@@ -41,13 +41,17 @@ class GridParams:
 class RegistryParams:
     """The work-list's delimiter, the day written to new records (dd.MM.yyyy; None: today), and the address rule.
 
-    strict_units: a unit word counts in an address only at a word boundary; off by default, as the plain rule is.
+    strict_units: a unit word counts in an address only at a word boundary; off by default, as the plain rule is.  portion: documents that are
+    stored together.
     """
 
     sep: str = ";"
     loaded_on: str | None = None
     strict_units: bool = False
+    portion: int = 100_000
 
     def __post_init__(self) -> None:
         if len(self.sep) != 1:
             raise ValueError("the delimiter is one character")
+        if self.portion < 1:
+            raise ValueError("a portion is a document at least")

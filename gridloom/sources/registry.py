@@ -6,6 +6,7 @@ import io
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from gridloom.functions.text import strip
 from gridloom.sources.files import decoded, listed, local, opened
 
 # Column names of the work-list and the caches; what stands before the cause of an error.
-PATH, FILE = "путь", "файл"
+PATH, FILE, REASON, ERROR = "путь", "файл", "причина", "ошибка"
 READ_ERROR = "ошибка чтения: "
 _CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -35,19 +36,38 @@ def read_worklist(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
 
 def read_caches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Distinct paths of all result caches that exist, under either column name."""
-    out = spark.createDataFrame([], "path string")
+    return cached_records(spark, paths).select("path").distinct()
+
+
+#: The columns of records that caches have, besides the fields of ``headings``.
+CACHED = ("path", "status", "reason", "error")
+
+
+def cached_records(spark: SparkSession, paths: Sequence[str], headings: dict[str, str] | None = None) -> DataFrame:
+    """The records in result caches (CSV files): path, status, reason, error and the fields that ``headings`` names in the files.
+
+    A cache with reasons has skipped documents, one with errors has failed ones, any other has successes.  Files that aren't there are passed over,
+    as are rows without a path.
+    """
+    headings = headings or {}
+    out = spark.createDataFrame([], ", ".join(f"{c} string" for c in (*CACHED, *headings)))
     for path in paths:
         try:
             rows = spark.read.csv(path, **_CSV)
-        except Exception as e:  # a cache that isn't there yet is empty
-            if "PATH_NOT_FOUND" not in str(e):
+        except AnalysisException as e:  # a cache that isn't there yet is empty
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             continue
-        names = {c.lstrip("\ufeff"): c for c in rows.columns}
-        found = [F.col(f"`{names[c]}`") for c in (PATH, FILE) if c in names]
-        if found:
-            out = out.union(rows.select(F.coalesce(*[F.when(c != "", c) for c in found]).alias("path")))
-    return out.filter("path <> ''").distinct()
+        names = {c.lstrip("\ufeff"): F.col(f"`{c}`") for c in rows.columns}
+        if not {PATH, FILE} & set(names):
+            continue
+        status = "skipped" if REASON in names else "errors" if ERROR in names else "success"
+        key = F.coalesce(*[F.when(names[c] != "", names[c]) for c in (PATH, FILE) if c in names])
+        none = F.lit("")
+        fields = [F.coalesce(names.get(h, none), none).alias(f) for f, h in headings.items()]
+        bad = names.get(ERROR, F.lit(None)) if status == "errors" else F.lit(None)
+        out = out.unionByName(rows.select(key.alias("path"), F.lit(status).alias("status"), F.coalesce(names.get(REASON, none), none).alias("reason"), bad.cast("string").alias("error"), *fields))
+    return out.filter("path <> ''")
 
 
 def text_of(data: bytes) -> str:
