@@ -23,6 +23,8 @@ def parser() -> argparse.ArgumentParser:
     grid.add_argument("--max-cols", type=int, default=20)
     grid.add_argument("--column-cuts", default="", help="shares of the page width, separated by commas")
     grid.add_argument("--review-conf", type=float, default=40.0)
+    grid.add_argument("--overlays", action="store_true", help="draw on control/page<number>_prepared.png")
+    grid.add_argument("--workbooks", action="store_true", help="write the tables as workbooks, too")
     registry = kinds.add_parser("registry", help="a work-list of texts to fields and reports")
     registry.add_argument("--csv", required=True)
     registry.add_argument("--sep", default=";")
@@ -44,7 +46,7 @@ def main(args: Sequence[str] | None = None) -> int:
     a = top.parse_args(args)
     try:
         if a.kind == "grid":
-            params = GridParams(a.row_tolerance, a.block_gap, a.support, a.max_cols, GridParams.cuts_of(a.column_cuts), a.review_conf, a.overwrite)
+            params = GridParams(a.row_tolerance, a.block_gap, a.support, a.max_cols, GridParams.cuts_of(a.column_cuts), a.review_conf, a.overwrite, a.overlays, a.workbooks)
         else:
             params = RegistryParams(sep=a.sep, portion=a.portion)
     except ValueError as e:

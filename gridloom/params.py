@@ -12,7 +12,8 @@ class GridParams:
     row_tolerance: vertical tolerance of a row as a share of the typical height.  block_gap: gap between blocks
     as a multiple of the typical step.  support: share of rows that must have a gutter.  max_cols: columns of a
     block at most.  column_cuts: manual boundaries as shares of the page width; they replace the found ones.
-    review_conf: a cell with a word below it is flagged.
+    review_conf: a cell with a word below it is flagged.  overlays, workbooks: whether a run
+    draws on prepared page images and writes its tables as workbooks, too.
     """
 
     row_tolerance: float = 0.45
@@ -22,6 +23,8 @@ class GridParams:
     column_cuts: tuple[float, ...] = ()
     review_conf: float = 40.0
     overwrite: bool = False
+    overlays: bool = False
+    workbooks: bool = False
 
     def __post_init__(self) -> None:
         if not 0 < self.support <= 1 or not 1 <= self.max_cols <= 64 or self.row_tolerance <= 0 or self.block_gap <= 0:

@@ -12,15 +12,22 @@ from gridloom.operators import cells as C
 from gridloom.operators import layout as L
 from gridloom.params import GridParams
 from gridloom.sources import sinks
+from gridloom.sources.overlay import write_overlays
+from gridloom.sources.registry import page_images
 from gridloom.sources.store import Scratch, kept, versions
 from gridloom.sources.tsv import PAGE, Words, page_folders, read_words
 
 #: The tables of a run.
 TABLES = ("blocks", "tokens", "review", "grid_wide", "grid_long")
+#: What the rows of their workbooks are ordered by.
+ORDER = {
+    "blocks": [*PAGE, "block"], "tokens": [*PAGE, "token_id"], "review": [*PAGE, "block", "code", "detail"],
+    "grid_wide": [*PAGE, "block", "row_no"], "grid_long": [*PAGE, "block", "row_no", "column"],
+}
 
 
 def grid_tables(spark: SparkSession, root: str, params: GridParams = GridParams(), folders: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept) -> dict[str, DataFrame]:
-    """The tables of all pages below a folder, or of those in ``folders`` (folder_uid), and failures (folder_uid, error).
+    """The tables of all pages below a folder, or of those in ``folders`` (folder_uid), failures (folder_uid, error) and rows (their centres and blocks' edges).
 
     Files are opened and rows found once; all tables come from what ``keep`` has stored then.  A folder with a page that fails has
     no rows but the one in failures.
@@ -53,11 +60,12 @@ def tables_of(words: Words, params: GridParams = GridParams(), keep: Callable[[D
     long = C.cells(slotted, block, "row_no", params.review_conf)
     centres = placed.groupBy(*block, "row_no").agg(F.bround(F.first("row_cy"), 1).alias("y"))
     wide = C.wide_grid(long, [*block, "row_no"]).join(centres, [*block, "row_no"]).join(C.row_flags(slotted, [*block, "row_no"]), [*block, "row_no"])
+    lines = placed.groupBy(*block, "row_no").agg(F.first("row_cy").alias("cy")).join(boxes.select(*block, "x0", "x1"), block)
     tokens = C.assign_tokens(fine(words.tokens), slotted, [*PAGE, "token_id"], ["block", "row_no", "column"])
     hypotheses = blocks.select(*PAGE, "block", F.lit("geometry_hypothesis").alias("code"), F.col("flags").alias("detail"))
     return {
         "blocks": blocks, "grid_long": long.withColumn("column", C.slot_name(F.col("column"))), "grid_wide": wide,
-        "tokens": tokens, "failures": failures, "review": fine(words.review).unionByName(hypotheses),
+        "tokens": tokens, "failures": failures, "rows": lines, "review": fine(words.review).unionByName(hypotheses),
     }
 
 
@@ -90,7 +98,8 @@ def run_grid(spark: SparkSession, root: str, out: str, params: GridParams = Grid
     A folder that an earlier run has finished is cached, unless ``overwrite`` is set.  All others are handled in one pass: a folder that
     fails says so in its own task and has the status error, with the whole traceback, the others are ok.  Rows go to
     ``<table>/run=<run>/folder_uid=<uid>`` and stay unseen until the last step, one new version of the summary, which is also the manifest that
-    ``read_grid`` follows.  A run that ends before leaves the result as it was.  Fails if there is no page below ``root``.
+    ``read_grid`` follows.  A run that ends before leaves the result as it was.  ``params`` may ask for workbooks
+    and overlays of the run as well; an image that can't be drawn on is a row of review.  Fails if there is no page below ``root``.
     """
     with Scratch(spark) as scratch:
         found = scratch.keep(page_folders(spark, root))
@@ -101,6 +110,14 @@ def run_grid(spark: SparkSession, root: str, out: str, params: GridParams = Grid
         todo = scratch.keep(found.join(done, "folder_uid", "left_anti"))
         run = f"{version + 1:08d}-{uuid.uuid4().hex[:8]}"
         tables = grid_tables(spark, root, params, todo.select("folder_uid"), scratch.keep)
+        if params.overlays:
+            shapes = sinks.overlay_shapes(tables["blocks"], tables["rows"], tables["tokens"], PAGE)
+            drawn = scratch.keep(write_overlays(shapes, page_images(spark, root), PAGE, f"{out}/overlays/run={run}"))
+            issues = drawn.filter("error is not null").select(*PAGE, F.lit("").alias("block"), F.lit("overlay_error").alias("code"), F.col("error").alias("detail"))
+            tables["review"] = tables["review"].unionByName(issues)
+        if params.workbooks:
+            for name in TABLES:
+                sinks.write_workbooks(tables[name], f"{out}/workbooks/run={run}", name, F.struct(*ORDER[name]))
         for name in TABLES:
             sinks.write_parts(tables[name], f"{out}/{name}/run={run}", "folder_uid")
         columns = [c.split()[0] for c in SUMMARY.split(", ")]

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
@@ -65,22 +67,30 @@ def content(path: str) -> bytes | None:
         return f.read()
 
 
-def write_file(path: str, data: bytes) -> None:
-    """A file in whole: written beside its place and moved there, so a task that runs again replaces it."""
+@contextmanager
+def whole_file(path: str) -> Iterator:
+    """A stream to a file that has its name once it is whole, so a task that runs again replaces it."""
     own = local(path)
     if own is None:
         system, inner = fs.FileSystem.from_uri(path)
         system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(inner) as f:
-            f.write(data)
+        aside = f"{inner}.{uuid.uuid4().hex}.tmp"
+        with system.open_output_stream(aside) as f:
+            yield f
+        system.move(aside, inner)
         return
     os.makedirs(os.path.dirname(own), exist_ok=True)
-    aside = f"{own}.{os.getpid()}.tmp"
+    aside = f"{own}.{uuid.uuid4().hex}.tmp"
     with open(aside, "wb") as f:
-        f.write(data)
+        yield f
     os.replace(aside, own)
 
 
+def write_file(path: str, data: bytes) -> None:
+    with whole_file(path) as f:
+        f.write(data)
+
+
 def listed(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     """folder and name of all files below a folder whose whole name fits ``pattern``; no file is opened.
 

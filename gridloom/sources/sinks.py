@@ -1,16 +1,22 @@
-"""Writers: tables as CSV or Parquet, sheets of bounded size, append-only results, settings, optional workbooks and overlays."""
+"""Writers: tables as CSV or Parquet, sheets of bounded size, append-only results, settings, workbooks, shapes of overlays."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import zipfile
+from collections.abc import Iterator, Sequence
+from itertools import groupby
+from xml.sax.saxutils import escape
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import safe_cell
-from gridloom.operators.routing import numbered, sheet_number
+from gridloom.operators.routing import SHEET_ROWS, numbered, sheet_number
+from gridloom.sources.files import joined, whole_file
+from gridloom.sources.store import kept
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -63,21 +69,67 @@ def write_settings(spark: SparkSession, path: str, source: str, args: dict) -> N
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_workbook(tables: dict[str, DataFrame], path: str, order: dict[str, str]) -> None:
-    """A workbook with a sheet for each table, for reports that fit one; needs the optional openpyxl."""
-    from openpyxl import Workbook
-
-    book = Workbook(write_only=True)
-    for name, df in tables.items():
-        sheet, no = None, 0
-        for row in flat(sheets(df, order[name]).orderBy("sheet_no", order[name])).toLocalIterator():
-            if int(row["sheet_no"]) != no:
-                no = int(row["sheet_no"])
-                sheet = book.create_sheet(name if no == 1 else f"{name}_{no}")
-                sheet.freeze_panes = "F2"
-                sheet.append(df.columns)
-            sheet.append([row[c] for c in df.columns])
-    book.save(path)
+# The parts of a workbook with one sheet.
+_TYPES = '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>'
+_RELS = '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/{kind}" Target="{target}"/></Relationships>'
+_BOOK = '<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="{name}" sheetId="1" r:id="rId1"/></sheets></workbook>'
+_SHEET = '<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetViews><sheetView workbookViewId="0"><pane xSplit="5" ySplit="1" topLeftCell="F2" activePane="bottomRight" state="frozen"/></sheetView></sheetViews><cols>{cols}</cols><sheetData>'
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def cell_xml(c: Column, kind: str) -> Column:
+    """A spreadsheet cell: numbers as numbers, flags as flags, all else as text that no program takes for a formula; nulls are empty."""
+    if kind in _NUMBERS or kind[:7] == "decimal":
+        held = c.isNotNull() if kind not in ("float", "double") else c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+        return F.when(held, F.concat(F.lit("<c><v>"), c.cast("string"), F.lit("</v></c>"))).otherwise("<c/>")
+    if kind == "boolean":
+        return F.when(c.isNotNull(), F.concat(F.lit('<c t="b"><v>'), c.cast("int").cast("string"), F.lit("</v></c>"))).otherwise("<c/>")
+    text = safe_cell(c if kind == "string" else F.to_json(c) if kind[:5] in ("array", "struc", "map<s") else c.cast("string"))
+    # characters that XML doesn't have become U+FFFD
+    text = F.regexp_replace(text, r"[\uFFFE\uFFFF]", "\uFFFD")
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        text = F.replace(text, F.lit(sign), F.lit(name))
+    return F.when(c.isNotNull(), F.concat(F.lit('<c t="inlineStr"><is><t xml:space="preserve">'), text, F.lit("</t></is></c>"))).otherwise("<c/>")
+
+
+def write_workbooks(df: DataFrame, path: str, name: str, order: str | Column, rows: int = SHEET_ROWS) -> DataFrame:
+    """A workbook for each sheet of ``rows`` rows and a header, ``<path>/<name>_<number>.xlsx``; returns (sheet_no, file, rows).
+
+    Rows are in the order of a column, unique but for rows whose order doesn't matter.  Cells are made in the JVM; a task streams the rows of its sheets into their files, which are
+    moved to their names when they are whole.  A table without rows gives one sheet.
+    """
+    kinds = dict(df.dtypes)
+    dealt = numbered(df.withColumn("_order", F.col(order) if isinstance(order, str) else order), "_order", "_no").withColumn("sheet_no", sheet_number(F.col("_no"), rows))
+    body = F.concat(F.lit("<row>"), *[cell_xml(F.col(f"`{c}`"), kinds[c]) for c in df.columns], F.lit("</row>"))
+    lines = dealt.select("sheet_no", F.col("_no").cast("long").alias("_no"), body.alias("line"))
+    # the first sheet is there even without rows
+    lines = lines.unionByName(df.sparkSession.range(1).select(F.lit(1).cast("long").alias("sheet_no"), F.lit(0).cast("long").alias("_no"), F.lit(None).cast("string").alias("line")))
+    header = "<row>" + "".join(f'<c t="inlineStr"><is><t xml:space="preserve">{escape(c)}</t></is></c>' for c in df.columns) + "</row>"
+    cols = "".join(f'<col min="{i}" max="{i}" width="{20 if i < 6 else 18}" customWidth="1"/>' for i in range(1, len(df.columns) + 1))
+
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sheet(number: int, lines: Iterator[str | None]) -> pa.RecordBatch:
+            place, count = joined(path, f"{name}_{number:04d}.xlsx"), 0
+            with whole_file(place) as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("[Content_Types].xml", _TYPES)
+                z.writestr("_rels/.rels", _RELS.format(kind="officeDocument", target="xl/workbook.xml"))
+                z.writestr("xl/_rels/workbook.xml.rels", _RELS.format(kind="worksheet", target="worksheets/sheet1.xml"))
+                z.writestr("xl/workbook.xml", _BOOK.format(name=escape((name if number == 1 else f"{name}_{number}")[:31])))
+                with z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as part:
+                    part.write((_SHEET.format(cols=cols) + header).encode())
+                    for line in lines:
+                        if line is not None:
+                            part.write(line.encode())
+                            count += 1
+                    part.write(b"</sheetData></worksheet>")
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([place]), pa.array([count], pa.int64())], ["sheet_no", "file", "rows"])
+
+        rows = ((n, line) for batch in parts for n, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        for number, own in groupby(rows, key=lambda r: r[0]):
+            yield sheet(number, (line for _, line in own))
+
+    spread = lines.repartition("sheet_no").sortWithinPartitions("sheet_no", "_no").select("sheet_no", "line")
+    return kept(spread.mapInArrow(write, "sheet_no long, file string, rows long"))
 
 
 def overlay_shapes(blocks: DataFrame, rows: DataFrame, tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
