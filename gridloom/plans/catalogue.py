@@ -9,8 +9,8 @@ from gridloom.functions import text as T
 from gridloom.operators import cells as C
 from gridloom.operators import layout as L
 from gridloom.operators import routing as R
-from gridloom.operators.fields import extract_fields
-from gridloom.plans import tsvpages
+from gridloom.operators.fields import extract_fields, first
+from gridloom.plans import grid, tsvpages
 from gridloom.plans.textgrid import KEYS, text_tokens
 
 ROW = ["doc_id", "row"]
@@ -127,11 +127,11 @@ def median_default(spark: SparkSession, d: str) -> DataFrame:
 
 def page_fields(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages")
-    return pages.select("page_id", F.regexp_extract("html", r"(?i)<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", r'<a href="([^"]*)"', 1).alias("first_link"))
+    return pages.select("page_id", first(F.col("html"), r"<title>([^<]*)</title>").alias("title"), first(F.col("html"), r'<a href="([^"]*)"', flags="u").alias("first_link"))
 
 
 def url_tail(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages").select("page_id", F.regexp_extract("url", r"([0-9A-Za-z_-]+)[^0-9A-Za-z_-]*$", 1).alias("tail"))
+    return table(spark, d, "pages").select("page_id", first(F.col("url"), r"([0-9A-Za-z_-]+)[^0-9A-Za-z_-]*\z", flags="u").alias("tail"))
 
 
 def ru_date(spark: SparkSession, d: str) -> DataFrame:
@@ -149,21 +149,36 @@ def route(spark: SparkSession, d: str) -> DataFrame:
     """First reason that holds, as registry texts are routed."""
     docs = table(spark, d, "documents")
     reason = F.when(F.trim("text") == "", "no text").when(~F.col("lang").isin("en", "de"), "language").when(~F.col("text").contains("\n"), "one line").when(F.col("n_chars") < 500, F.concat(F.lit("short: "), F.col("n_chars").cast("string"))).otherwise("")
-    return docs.select("doc_id", reason.alias("reason")).withColumn("status", F.when(F.col("reason") == "", "success").otherwise("skipped"))
+    judged = docs.select("doc_id", reason.alias("reason"), F.when(F.col("n_chars") % 17 == 0, F.concat(F.lit("ошибка чтения: "), F.col("doc_id").cast("string"))).alias("error"), (F.col("n_chars") % 13 != 0).alias("found"))
+    return R.routed(judged.withColumn("status", F.when(F.col("reason") == "", "success").otherwise("skipped"))).select("doc_id", "status", "reason", "error")
+
+
+def registry_texts(spark: SparkSession, d: str) -> DataFrame:
+    """A registry text for each order: kinds, purposes, units, dates and rights vary, and parts are missing, by the order's number."""
+    o = table(spark, d, "orders").filter("o_orderkey is not null")
+    k, n = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    kind = F.when(k % 5 == 0, "Машино-место").when(k % 7 == 0, "Здание").otherwise("Помещение")
+    months = F.array(*[F.lit(m) for m in T.MONTHS])
+    day = F.concat_ws(" ", (k % 28 + 1).cast("string"), F.element_at(months, (k % 12 + 1).cast("int")), (2000 + k % 25).cast("string"), F.lit("г."))
+    purpose = F.when(k % 3 == 0, "Нежилое").when(k % 11 == 0, "Иное").otherwise("Жилое")
+    address = F.when(k % 19 == 0, F.concat(F.lit("кв "), n)).otherwise(F.concat(F.lit("г. Пример,  ул. Новая,\nд. 1, "), F.when(k % 5 == 0, "м/м ").otherwise("кв. "), n))
+    text = F.concat(
+        F.lit("Выписка\n"), kind, F.lit("\nвид объекта недвижимости\n"), day, F.when(k % 17 == 0, "").otherwise(F.concat(F.lit("\nКадастровый номер: 77:01:0001001:"), n)),
+        F.lit("\nАдрес: "), address, F.lit("\nПлощадь, м2: "), F.coalesce("o_custkey", F.lit(0)).cast("string"), F.lit(".5\nНазначение: "), purpose,
+        F.when(k % 13 == 0, "\nПрочее").otherwise(""), F.lit("\nНаименование: Квартира\nЭтаж № "), F.when(k % 6 == 0, "-1").otherwise("3"),
+        F.when(k % 2 == 0, F.concat(F.lit("\nрегистрации 2.1 Собственность\nправа: 77-"), n, F.lit("\n01.02.2020\n")))
+        .otherwise(F.concat(F.lit("\nКадастровые номера иных объектов недвижимости, в пределах: 77:01:0001001:"), n, F.lit("2\n"))),
+    )
+    return o.select("o_orderkey", F.when(k % 29 == 0, " \n").otherwise(text).alias("full_text"))
 
 
 def registry_fields(spark: SparkSession, d: str) -> DataFrame:
-    """The registry rules over a registry text made from each order."""
-    o = table(spark, d, "orders")
-    n = F.col("o_orderkey").cast("string")
-    kind = F.when(F.col("o_orderkey") % 5 == 0, "Машино-место").when(F.col("o_orderkey") % 7 == 0, "Здание").otherwise("Помещение")
-    text = F.concat(
-        F.lit("Выписка\n"), kind, F.lit("\nвид объекта недвижимости\n5 марта 2021 г.\nКадастровый номер: 77:01:0001001:"), n,
-        F.lit("\nАдрес: г. Пример,  ул. Новая,\nд. 1, кв. "), n, F.lit("\nПлощадь, м2: "), F.col("o_custkey").cast("string"), F.lit(".5\nНазначение: "),
-        F.when(F.col("o_orderkey") % 3 == 0, "Нежилое").when(F.col("o_orderkey") % 11 == 0, "Иное").otherwise("Жилое"), F.lit("\nНаименование: Квартира\nЭтаж № 3\n"),
+    """The registry rules over the texts of all orders."""
+    out = extract_fields(registry_texts(spark, d))
+    return out.select(
+        "o_orderkey", "status", "reason", "kind", "purpose", "name", "cadastral_no", "extract_date", "address", "object_no", "area", "floor",
+        "right_type", "registration_no", "ownership_date", "house_cadastral_no",
     )
-    out = extract_fields(o.select("o_orderkey", text.alias("full_text")))
-    return out.select("o_orderkey", "status", "reason", "kind", "purpose", "name", "cadastral_no", "extract_date", "address", "object_no", "area", "floor")
 
 
 def resume(spark: SparkSession, d: str) -> DataFrame:
@@ -213,7 +228,8 @@ def review(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _tokens(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("tokens"), F.count_distinct("row").alias("rows"))
+    tokens = _tokens(spark, d).withColumns({"row_no": F.col("row"), "block": F.lit("B001")})
+    return grid.page_counts({"tokens": tokens}, KEYS)
 
 
 _ALL = (
@@ -265,15 +281,29 @@ g AS (SELECT *, sec - lag(sec) OVER (PARTITION BY user_id ORDER BY sec) AS gap F
 t AS (SELECT user_id, median(CASE WHEN gap > 0 THEN gap END) * 3.0::DOUBLE AS threshold FROM g GROUP BY user_id),
 k AS (SELECT g.*, 1 + sum(CASE WHEN gap > threshold THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY sec ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block_no FROM g JOIN t USING (user_id))"""
 _MONTHS = "[" + ", ".join(f"'{m}'" for m in T.MONTHS) + "]"
-_ROUTE = r"""SELECT doc_id, CASE WHEN trim(text) = '' THEN 'no text' WHEN lang NOT IN ('en', 'de') THEN 'language' WHEN strpos(text, chr(10)) = 0 THEN 'one line'
-  WHEN n_chars < 500 THEN 'short: ' || n_chars ELSE '' END AS reason FROM documents"""
-_REGISTRY = r"""
+_ROUTE = r"""
+SELECT doc_id, CASE WHEN n_chars % 17 = 0 THEN 'errors' WHEN n_chars % 13 = 0 OR r <> '' THEN 'skipped' ELSE 'success' END AS status,
+  CASE WHEN n_chars % 17 = 0 THEN '' WHEN n_chars % 13 = 0 THEN 'файл не найден по пути из CSV' ELSE r END AS reason, CASE WHEN n_chars % 17 = 0 THEN 'ошибка чтения: ' || doc_id END AS error
+FROM (SELECT *, CASE WHEN trim(text) = '' THEN 'no text' WHEN lang NOT IN ('en', 'de') THEN 'language' WHEN strpos(text, chr(10)) = 0 THEN 'one line' WHEN n_chars < 500 THEN 'short: ' || n_chars ELSE '' END AS r FROM documents)"""
+_REGISTRY = rf"""
 WITH o AS (
-  SELECT o_orderkey AS n, o_custkey AS c, CASE WHEN n % 5 = 0 THEN 'Машино-место' WHEN n % 7 = 0 THEN 'Здание' ELSE 'Помещение' END AS kind,
-    CASE WHEN n % 3 = 0 THEN 'Нежилое' WHEN n % 11 = 0 THEN 'Иное' ELSE 'Жилое' END AS purpose FROM orders),
-r AS (SELECT *, CASE WHEN kind = 'Здание' THEN 'вид объекта недвижимости не «Помещение» и не «Машино-место»' WHEN kind <> 'Машино-место' AND purpose = 'Иное' THEN 'назначение не «Жилое» и не «Нежилое»: «Иное»' ELSE '' END AS reason FROM o)
-SELECT n AS o_orderkey, CASE WHEN reason = '' THEN 'success' ELSE 'skipped' END AS status, reason, kind, purpose, 'Квартира' AS name, '77:01:0001001:' || n AS cadastral_no, '05.03.2021' AS extract_date,
-  'г. Пример, ул. Новая, д. 1' AS address, n::VARCHAR AS object_no, c || '.5' AS area, '3' AS floor FROM r"""
+  SELECT o_orderkey AS n, coalesce(o_custkey, 0) AS c, n % 29 = 0 AS blank, n % 5 = 0 AS parking, CASE WHEN n % 5 = 0 THEN 'Машино-место' WHEN n % 7 = 0 THEN 'Здание' ELSE 'Помещение' END AS k,
+    CASE WHEN n % 3 = 0 THEN 'Нежилое' WHEN n % 11 = 0 THEN 'Иное' ELSE 'Жилое' END AS p FROM orders WHERE o_orderkey IS NOT NULL),
+r AS (
+  SELECT *, CASE WHEN blank THEN 'PDF без извлекаемого текста (вероятно скан)'
+    WHEN k = 'Здание' THEN 'вид объекта недвижимости не «Помещение» и не «Машино-место»'
+    WHEN n % 13 = 0 AND NOT parking THEN 'не найден блок «Назначение / Наименование»'
+    WHEN p = 'Иное' AND NOT parking THEN 'назначение не «Жилое» и не «Нежилое»: «Иное»'
+    WHEN n % 17 = 0 AND n % 19 = 0 THEN 'не найдены ключевые поля: кадастровый номер, адрес'
+    WHEN n % 17 = 0 THEN 'не найдены ключевые поля: кадастровый номер'
+    WHEN n % 19 = 0 THEN 'не найдены ключевые поля: адрес' ELSE '' END AS reason FROM o)
+SELECT n AS o_orderkey, CASE WHEN reason = '' THEN 'success' ELSE 'skipped' END AS status, reason, CASE WHEN blank THEN '' ELSE k END AS kind, CASE WHEN blank THEN '' ELSE p END AS purpose,
+  CASE WHEN blank THEN '' ELSE 'Квартира' END AS name, CASE WHEN blank OR n % 17 = 0 THEN '' ELSE '77:01:0001001:' || n END AS cadastral_no,
+  CASE WHEN blank THEN '' ELSE lpad((n % 28 + 1)::VARCHAR, 2, '0') || '.' || lpad((n % 12 + 1)::VARCHAR, 2, '0') || '.' || (2000 + n % 25) END AS extract_date,
+  CASE WHEN blank OR n % 19 = 0 THEN '' ELSE 'г. Пример, ул. Новая, д. 1' END AS address, CASE WHEN blank THEN '' ELSE n::VARCHAR END AS object_no,
+  CASE WHEN blank THEN '' ELSE c || '.5' END AS area, CASE WHEN blank THEN '' WHEN n % 6 = 0 THEN '-1' ELSE '3' END AS floor,
+  CASE WHEN blank OR n % 2 = 1 THEN '' ELSE 'Собственность' END AS right_type, CASE WHEN blank OR n % 2 = 1 THEN '' ELSE '77-' || n END AS registration_no,
+  CASE WHEN blank OR n % 2 = 1 THEN '' ELSE '01.02.2020' END AS ownership_date, CASE WHEN blank OR n % 2 = 0 THEN '' ELSE '77:01:0001001:' || n || '2' END AS house_cadastral_no FROM r"""
 _FLAGS = r"""
 , bf AS (
   SELECT doc_id, min(x) AS x0, min(y) AS y0, max(r) AS x1, max(b) AS y1, count(DISTINCT row) AS rows, coalesce(any_value(k), 0) + 1 AS columns,
@@ -323,7 +353,7 @@ SELECT doc_id, count(*) AS n_words, sum(CASE WHEN regexp_full_match(w, '[''"`‘
 p AS (SELECT o_orderkey, string_split(w, ' ') AS p FROM w)
 SELECT o_orderkey, lpad(p[1], 2, '0') || '.' || lpad(list_position({_MONTHS}, p[2])::VARCHAR, 2, '0') || '.' || p[3] AS day FROM p""",
     "ws_collapse": r"SELECT page_id, trim(regexp_replace(html, '[\s\x1C-\x1F\x{85}\p{Z}]+', ' ', 'g')) AS collapsed FROM pages",
-    "route": f"SELECT *, CASE WHEN reason = '' THEN 'success' ELSE 'skipped' END AS status FROM ({_ROUTE})",
+    "route": _ROUTE,
     "registry_fields": _REGISTRY,
     "resume": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
     "done_union": "SELECT doc_id AS id FROM labels UNION SELECT doc_id FROM documents UNION SELECT item_id::BIGINT FROM benchmark",
@@ -332,8 +362,8 @@ SELECT row_number() OVER (ORDER BY doc_id) AS no, doc_id, source, '' AS error FR
     "sheet_no": "SELECT o_orderkey, no, (no - 1) // 999 + 1 AS sheet_no FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS no FROM orders)",
     "safe_cell": r"SELECT page_id, left(regexp_replace(html, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), 32700) AS cell FROM pages",
     "folder_uid": "SELECT page_id, left(sha1(url), 8) AS uid FROM pages",
-    "run_counts": f"SELECT CASE WHEN reason = '' THEN 'success' ELSE 'skipped' END AS status, count(*) AS n FROM ({_ROUTE}) GROUP BY ALL",
+    "run_counts": f"SELECT status, count(*) AS n FROM ({_ROUTE}) GROUP BY ALL",
     "block_flags": _TO_CUTS + _FLAGS + " SELECT * FROM bf",
     "review": _TO_CUTS + _FLAGS + " SELECT doc_id, 'geometry_hypothesis' AS code, flags AS detail FROM bf UNION ALL SELECT doc_id, 'bad_tsv_line', 'line ' || row FROM tk GROUP BY doc_id, row HAVING count(*) = 1",
-    "page_counts": _TK + " SELECT doc_id, count(*) AS tokens, count(DISTINCT row) AS rows FROM tk GROUP BY doc_id",
+    "page_counts": _TK + " SELECT doc_id, count(*) AS tokens, count(DISTINCT row) AS rows, 1 AS blocks FROM tk GROUP BY doc_id",
 } | tsvpages.ORACLE_SQL

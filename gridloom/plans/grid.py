@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,9 +69,9 @@ def tables_of(words: Words, params: GridParams = GridParams(), keep: Callable[[D
     }
 
 
-def page_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def page_counts(tables: dict[str, DataFrame], keys: Sequence[str] = PAGE) -> DataFrame:
     """Tokens, rows and blocks of each page."""
-    return tables["tokens"].groupBy(*PAGE).agg(F.count(F.lit(1)).alias("tokens"), F.count_distinct("block", "row_no").alias("rows"), F.count_distinct("block").alias("blocks"))
+    return tables["tokens"].groupBy(*keys).agg(F.count(F.lit(1)).alias("tokens"), F.count_distinct("block", "row_no").alias("rows"), F.count_distinct("block").alias("blocks"))
 
 
 SUMMARY = "folder string, folder_uid string, status string, output string, error string, run string"
