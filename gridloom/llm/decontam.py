@@ -21,6 +21,8 @@ SET_BITS = 27
 BROADCAST_WINDOWS = 500_000
 #: Up to so many contaminated documents (16 bytes each) are broadcast to the rows that are to be cleaned.
 BROADCAST_HITS = 1_000_000
+#: Of either, in bytes: ids and words have no largest size.
+BROADCAST_BYTES = 1 << 26
 #: Both cases of A-Z belong to words here; a word of a text is lower-cased where it is compared.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _RUN = r"[0-9A-Za-z[^\x00-\x7F]]+"
@@ -93,8 +95,9 @@ def found_windows(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFra
     anchors = with_anchor_hashes(benchmark_windows(benchmark, n), "window", 8).withColumn("_a", anchor_of(F.col("k")))
     h = F.when(F.col("_a") == 8, F.element_at("_g8", 1)).when(F.col("_a") == 4, F.element_at("_g4", 1)).when(F.col("_a") == 2, F.element_at("_g2", 1)).otherwise(F.element_at("_g1", 1))
     known, _ = stored(anchors.select("_a", h.alias("_h"), "k", "window", "items"))
-    counts = {r["_a"]: r["n"] for r in known.groupBy("_a").agg(F.count(F.lit(1)).alias("n")).collect()}  # four rows at most
-    windows, kinds = sum(counts.values()), sorted(counts) or [1]
+    # four rows at most
+    counts = known.groupBy("_a").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct("window", "items"))).cast("long")).alias("bytes")).collect()
+    windows, held, kinds = sum(r["n"] for r in counts), sum(r["bytes"] for r in counts), sorted(r["_a"] for r in counts) or [1]
     bits = min(SET_BITS, max(12, (64 * windows).bit_length()))
     table, _ = stored(anchor_set(known, bits))
 
@@ -108,7 +111,7 @@ def found_windows(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFra
         at = F.when(F.col("_no") >= before, F.col("_no") - before).otherwise(at)
     near = each.filter(_maybe(F.col("_h"), table, bits)).select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), at.alias("_at"), "_h", F.slice("w", at + 1, F.lit(n)).alias("_s"))
     known = known.drop("_a")
-    met = near.join(F.broadcast(known) if windows <= BROADCAST_WINDOWS else known, "_h")
+    met = near.join(F.broadcast(known) if windows <= BROADCAST_WINDOWS and held <= BROADCAST_BYTES else known, "_h")
     hit = met.filter(F.transform(F.slice("_s", F.lit(1), F.col("k")), low) == F.col("window")).select(
         "doc_id", "text_hash", "n_words", F.struct(F.col("_at").alias("start"), (F.col("_at") + F.col("k")).alias("end")).alias("span"), "items"
     )
@@ -151,7 +154,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     mode "documents": contaminated documents go, all other rows stay as they are.  mode "spans": every document
     stays; from contaminated ones the hit words are cut, along with the separators between two of them.  Rows
     keep all their columns, whatever they are called; a null text stays null.  Repeated rows share one fate; rows of
-    one doc_id with different texts are judged apart.
+    one doc_id with different texts are judged apart.  Texts are scanned whole, however long; an empty table gives an empty one, an
+    empty benchmark takes nothing away.
     """
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode is documents or spans, not {mode!r}")
@@ -161,7 +165,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_h"))
     if mode == "documents":
         keys = hits.select("_id", "_h")
-        return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_HITS else keys, same, "left_anti").select("_row.*")
+        size = keys.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.col("_id").cast("string")).cast("long")), F.lit(0)).alias("bytes")).first()
+        return rows.join(F.broadcast(keys) if size["n"] <= BROADCAST_HITS and size["bytes"] <= BROADCAST_BYTES else keys, same, "left_anti").select("_row.*")
     # words and separators alternate; a word goes if a span covers it, a separator if spans cover both neighbours
     words = F.regexp_extract_all("_row.text", F.lit(f"({_RUN})"), 1)
     gaps = F.split("_row.text", _RUN)

@@ -8,7 +8,7 @@ import tracemalloc
 import numpy as np
 from pyspark.sql import functions as F
 
-from gridloom.llm import htmltext, jaccard, quality, tokens
+from gridloom.llm import decontam, htmltext, jaccard, quality, tokens
 
 
 def test_long_white_space_is_encoded(spark, monkeypatch):
@@ -74,3 +74,15 @@ def test_one_id_with_many_texts(spark):
     rows = [(7, " ".join(f"d{d}w{i}" for i in range(40)) + (" end" if c else "")) for d in range(150) for c in range(2)]
     out = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 0.75).collect()
     assert len(out) == 300 and {(r.component_id, r.n_links) for r in out} == {(7, 1)}
+
+
+def test_large_windows_are_joined_by_shuffles(spark, monkeypatch):
+    """Words have no largest size, so windows are broadcast by their bytes; beyond them the result is the same."""
+    words = [f"word{i}" for i in range(40)]
+    bench = spark.createDataFrame([("i1", " ".join(words[:20])), ("i2", "漢" * 5000)], "item_id string, text string")
+    df = spark.createDataFrame([(i, " ".join(words[i % 30 :]) + (" " + "漢" * 5000 if i % 7 == 0 else "")) for i in range(60)], "doc_id long, text string")
+    rows = lambda: sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in decontam.scan_hits(df, bench).collect())
+    kept = lambda: sorted(r.doc_id for r in decontam.decontaminate(df, bench).collect())
+    before = rows(), kept()
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
+    assert (rows(), kept()) == before and any(r[2] for r in before[0]) and 0 < len(before[1]) < 60
