@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, packing, quality, repair, sharding, spelling, tokens, urls, webp
+from gridloom.llm import chat, decontam, hashsql, htmltext, jaccard, mixing, packing, quality, repair, sharding, spelling, tokens, urls, webp
 from gridloom.llm.common import table
 
 #: The conversation whose texts hold the template's own marks.
@@ -256,4 +256,83 @@ SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIG
 FROM every LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
 """
 
-ORACLE_SQL = {"op1_chat_format": _SQL_OP1, "op5_url_filter": _SQL_OP5, "op10_decontamination": _SQL_OP10, "op11_spelling_variants": _SQL_OP11, "op12_conversation_repair": _SQL_OP12}
+_SQL_OP2 = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, (len(w) - 3)::BIGINT), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s FROM w),
+k AS MATERIALIZED (SELECT s, min(r) AS c, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT c, n, unnest(s) AS g FROM k),
+pairs AS (SELECT x.c AS a, y.c AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS shared FROM e x JOIN e y ON x.g = y.g AND x.c < y.c GROUP BY x.c, y.c),
+links AS MATERIALIZED (SELECT a, b FROM pairs WHERE 100 * shared >= 75 * (na + nb - shared)),
+ends AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT c, c AS d FROM k UNION SELECT reach.c, b FROM reach JOIN ends ON a = d),
+docs AS (SELECT r, doc_id, len(s) AS n, c FROM s LEFT JOIN k USING (s)),
+least AS (SELECT c, min(doc_id) AS doc_id FROM docs WHERE c IS NOT NULL GROUP BY c),
+low AS (SELECT reach.c, min(doc_id) AS component_id FROM reach JOIN least ON d = least.c GROUP BY reach.c),
+counted AS (SELECT a AS c, count(*) AS n_links FROM ends GROUP BY a)
+SELECT doc_id, n::BIGINT AS n_shingles, CASE WHEN c IS NULL THEN doc_id ELSE component_id END AS component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM docs LEFT JOIN low USING (c) LEFT JOIN counted USING (c)
+"""
+
+#: Bytes of a column ``text``, in hexadecimal, as numbers.
+_BYTES = "list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT)"
+_BUCKET = hashsql.pmod("h", "greatest(1024, n // 32768)")
+_KEYED = hashsql.chain("(SELECT *, 42::UHUGEINT AS h FROM crc)", hashsql.of_long("doc_id") + hashsql.of_long("c2") + hashsql.of_int(17))
+_SQL_OP6 = rf"""
+WITH RECURSIVE {_SQL_CRC},
+{hashsql.permutation("SELECT count(*) AS n FROM documents")},
+d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, {_BYTES.replace("text", "coalesce(text, '')")} AS b FROM documents),
+c AS (SELECT doc_id, size, xor(list_reduce(b, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32 FROM d, tb),
+k AS (SELECT *, text_crc32::VARCHAR AS k FROM c),
+crc AS (SELECT doc_id, size, text_crc32, {_CRC} AS c2, (SELECT count(*) FROM documents) AS n FROM k, tb),
+dealt AS (SELECT *, {_BUCKET} AS bucket FROM {_KEYED}),
+numbered AS (SELECT *, row_number() OVER (ORDER BY bucket, doc_id NULLS FIRST, c2) - 1 AS x FROM dealt)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (p % 40)::INT AS shard, p // 40 AS slot, NULL::INT AS grown_shard FROM numbered JOIN placed USING (x)
+"""
+
+_SHUFFLED = hashsql.chain(hashsql.of_text(hashsql.chain("(SELECT *, 42::UHUGEINT AS h FROM d)", hashsql.of_long("doc_id")), "text"), hashsql.of_int(1))
+_DEALT = hashsql.chain("(SELECT *, 42::UHUGEINT AS h FROM shuffled)", hashsql.of_long("shuffle") + hashsql.of_long("doc_id") + hashsql.of_int(17))
+#: Slots are listed one by one here: each slot's van der Corput point is its number's bits in reverse.
+_SQL_OP8 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, source, text, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+shuffled AS MATERIALIZED (SELECT doc_id, source, size, {hashsql.signed("h")} AS shuffle, (SELECT count(*) FROM documents) AS n FROM {_SHUFFLED}),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS row_number, coalesce(sum(size) OVER (PARTITION BY source ORDER BY bucket, shuffle, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM (SELECT *, {_BUCKET} AS bucket FROM {_DEALT})),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, list_extract([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE], ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT) AS weight, source_size * 2.0::DOUBLE AS cap FROM totals),
+room AS (SELECT *, least(sum(source_size) OVER () * 1.5::DOUBLE, sum(cap) OVER ()) AS everything FROM w),
+-- shares are dealt again, without those at their caps, until none is above
+deal AS (
+  SELECT 0 AS step, source, source_size, weight, cap, everything, false AS full_up FROM room
+  UNION ALL
+  SELECT * FROM (
+    WITH now AS (SELECT *, (everything - coalesce(sum(CASE WHEN full_up THEN cap END) OVER (), 0)) / sum(CASE WHEN full_up THEN 0 ELSE weight END) OVER () AS line FROM deal)
+    SELECT step + 1, source, source_size, weight, cap, everything, full_up OR cap < line * weight FROM now
+    WHERE (SELECT count(*) FROM now WHERE NOT full_up AND cap < line * weight) > 0)),
+last AS (SELECT * FROM deal WHERE step = (SELECT max(step) FROM deal)),
+target AS (
+  SELECT source, source_size, weight, CASE WHEN full_up OR least(cap, line * weight) IS NULL THEN cap ELSE least(cap, line * weight) END AS target
+  FROM (SELECT *, (everything - coalesce(sum(CASE WHEN full_up THEN cap END) OVER (), 0)) / nullif(sum(CASE WHEN full_up THEN 0 ELSE weight END) OVER (), 0) AS line FROM last)),
+grid AS (SELECT greatest(4, ceil(log2(greatest(1.0::DOUBLE, sum(source_size) * 1.5::DOUBLE) / 64)))::INT AS bits FROM totals),
+reach AS (
+  SELECT *, sum(target) OVER () AS whole, least(ceil(coalesce(sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) / nullif(sum(target) OVER (), 0), 0) * (1 << bits)), 1 << bits)::BIGINT AS stop
+  FROM target, grid),
+lagged AS (SELECT *, coalesce(lag(stop) OVER (ORDER BY source NULLS LAST), 0) AS start FROM reach),
+cells AS (
+  SELECT source, source_size, target, bits, CASE WHEN few THEN least(start, (1 << bits) - 1) ELSE start END AS begin_cell, CASE WHEN few THEN least(start, (1 << bits) - 1) + 1 ELSE stop END AS end_cell,
+    CASE WHEN few THEN target ELSE whole / (1 << bits) END AS block
+  FROM (SELECT *, stop <= start AND target > 0 AS few FROM lagged)),
+points AS (SELECT slot, list_reduce(range(bits), lambda c, j: c * 2 + ((slot >> j) & 1), 0) AS point FROM (SELECT bits, unnest(range(1 << bits)) AS slot FROM grid)),
+slots AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS k FROM points JOIN cells ON point >= begin_cell AND point < end_cell),
+copies AS (
+  SELECT p.doc_id, p.source, p.shuffle, row_number, i, floor((i * source_size + start + size / 2.0::DOUBLE) / block)::BIGINT AS k
+  FROM placed p JOIN cells c ON p.source IS NOT DISTINCT FROM c.source, range(2) r(i) WHERE size > 0),
+taken AS (SELECT row_number, list(slot ORDER BY i) AS slots FROM copies c JOIN slots s ON c.source IS NOT DISTINCT FROM s.source AND c.k = s.k GROUP BY row_number)
+SELECT doc_id, size, source_size, target, (size * coalesce(len(slots), 0))::BIGINT AS taken, coalesce(slots, []::BIGINT[]) AS slots
+FROM placed p JOIN cells c ON p.source IS NOT DISTINCT FROM c.source LEFT JOIN taken USING (row_number)
+"""
+
+ORACLE_SQL = {"op1_chat_format": _SQL_OP1, "op2_ngram_jaccard_join": _SQL_OP2, "op5_url_filter": _SQL_OP5, "op6_sharding": _SQL_OP6, "op8_mixing": _SQL_OP8, "op10_decontamination": _SQL_OP10, "op11_spelling_variants": _SQL_OP11, "op12_conversation_repair": _SQL_OP12}

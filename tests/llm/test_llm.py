@@ -244,6 +244,32 @@ def test_quality_counts_ratios_and_fit_by_brute_force(spark):
     assert [r.score for r in quality.score_quality(docs(spark, rows), model).orderBy("doc_id").collect()] == pytest.approx(model.scores([of(t) for _, t in rows]).tolist())
 
 
+def test_quality_query_by_brute_force(spark):
+    """Counts, ratios and scores by plain loops over the tables; the fit itself is tested above."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    of = lambda t: next(quality.features(__import__("pyarrow").array([t or ""])))[1][0]
+    sets = {i: of(t) for i, t in texts.items()}
+    used = sorted(i for i in texts if marks.get(i) in (0, 1) and zlib.crc32(str(i).encode()) % 4 != 2)
+    n = [sum(marks[i] == y for i in used) for y in (0, 1)]
+    assert 0 < min(n) and max(n) <= quality.FIT_ROWS
+    counts = [np.zeros(1 << quality.FEATURE_BITS) for _ in n]
+    for i in used:
+        for f in sets[i]:
+            counts[marks[i]][f] += 1
+    small = quality.SMOOTH / min(n)
+    ratios = np.log(counts[1] / n[1] + small) - np.log(counts[0] / n[0] + small)
+    model = quality.fit_hinge([sets[i] for i in used], np.array([marks[i] for i in used]), ratios, n[1] / sum(n))
+    got = queries.op3_quality_classifier(spark, FOLDER).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        x = sets[r.doc_id]
+        margin = sum(model.weights[f] for f in x) / (sum(ratios[f] ** 2 for f in x) + model.floor) ** 0.5 if len(x) else 0.0
+        want = 1 / (1 + np.exp(-(model.slope * (margin + model.bias) + model.shift)))
+        assert r.score == pytest.approx(want, abs=1e-9) and r.predicted == (r.score >= 0.7)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
 def test_features_of_words_and_shapes():
     import pyarrow as pa
 
@@ -630,6 +656,29 @@ def test_token_counts(spark):
     assert tokens.token_counts(df.limit(0), ("source", "text")).count() == 0
 
 
+def test_token_query_by_brute_force(spark):
+    """Each token goes to the section in which its first byte lies, found byte by byte."""
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    encoding, lengths = tokens.tokenizer(None, tokens.PATTERN)
+    got = queries.op7_token_counts(spark, FOLDER).collect()
+    assert sorted(r.doc_id for r in got) == sorted(rows)
+    for r in got:
+        d = rows[r.doc_id]
+        lines = (d.text or "").split("\n")
+        sections = [(d.source or "") + "\n", (d.lang or "") + "\n", *[x + "\n" for x in lines[:-1]], lines[-1]]
+        owner = [i for i, x in enumerate(sections) for _ in x.encode()]
+        whole = "".join(sections)
+        ids = encoding.encode_ordinary(whole)
+        want, crossing, at = [0] * len(sections), 0, 0
+        for i in ids:
+            end = at + int(lengths[i])
+            want[owner[at]] += 1
+            crossing += owner[at] != owner[end - 1]
+            at = end
+        assert at == len(owner)
+        assert (r.n_tokens, r.n_chars, r.n_sections, r.n_crossing, r.section_tokens) == (len(ids), len(whole), len(sections), crossing, want)
+
+
 # ---- mixing
 
 
