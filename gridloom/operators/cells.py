@@ -21,6 +21,11 @@ def joined_flags(*flags: tuple[str, Column]) -> Column:
     return F.array_join(F.filter(F.array(*[F.when(on, F.lit(name)) for name, on in flags]), lambda x: x.isNotNull()), ";")
 
 
+def hypotheses(blocks: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A review row for each block: its columns are a guess from geometry; the detail is its flags."""
+    return blocks.select(*columns, F.lit("geometry_hypothesis").alias("code"), F.col("flags").alias("detail"))
+
+
 def cells(tokens: DataFrame, keys: Sequence[str], row: str = "row", review_conf: float = 40.0, candidates: bool = True) -> DataFrame:
     """One row a cell that has words: text and token ids from left to right, box, mean confidence, flags.
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.sources.store import shared_dir
+from gridloom.sources.store import fresh_path
 
 #: A sheet holds so many rows besides its header.
 SHEET_ROWS = 999_999
@@ -57,7 +55,7 @@ def numbered(rows: DataFrame, order: str, out: str = "no", pieces: int = 64) ->
     so no task sees the whole table.  The dealt rows are written to the shared folder once: the bounds of ranges are
     sampled, so dealing again for the counts could give other ranges.
     """
-    path = f"{shared_dir(rows.sparkSession)}/numbered-{uuid.uuid4().hex}"
+    path = fresh_path(rows.sparkSession, "numbered")
     dealt = rows.repartitionByRange(pieces, order).withColumn("_p", F.spark_partition_id())
     dealt.write.parquet(path)
     dealt = rows.sparkSession.read.schema(dealt.schema).parquet(path)

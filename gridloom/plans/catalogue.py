@@ -12,6 +12,7 @@ from gridloom.operators import routing as R
 from gridloom.operators.fields import extract_fields, first
 from gridloom.plans import grid, tsvpages
 from gridloom.plans.textgrid import KEYS, text_tokens
+from gridloom.sources.tsv import page_extent
 
 ROW = ["doc_id", "row"]
 #: Manual boundaries that the queries use, as shares of the page width.
@@ -46,7 +47,7 @@ def tg_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tg_extent(spark: SparkSession, d: str) -> DataFrame:
-    return _tokens(spark, d).groupBy("doc_id").agg(F.max("r").alias("width"), F.max("b").alias("height"))
+    return page_extent(_tokens(spark, d).withColumn("level", F.lit(5)), KEYS)
 
 
 def tg_gaps(spark: SparkSession, d: str) -> DataFrame:
@@ -222,7 +223,7 @@ def block_flags(spark: SparkSession, d: str) -> DataFrame:
 
 def review(spark: SparkSession, d: str) -> DataFrame:
     """Union of the review codes of texts: a hypothesis for each, an issue for each line of one word."""
-    flags = block_flags(spark, d).select("doc_id", F.lit("geometry_hypothesis").alias("code"), F.col("flags").alias("detail"))
+    flags = C.hypotheses(block_flags(spark, d), KEYS)
     lines = _tokens(spark, d).groupBy("doc_id", "row").count().filter("count = 1").select("doc_id", F.lit("bad_tsv_line").alias("code"), F.concat(F.lit("line "), F.col("row").cast("string")).alias("detail"))
     return flags.unionByName(lines)
 

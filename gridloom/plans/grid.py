@@ -62,10 +62,9 @@ def tables_of(words: Words, params: GridParams = GridParams(), keep: Callable[[D
     wide = C.wide_grid(long, [*block, "row_no"]).join(centres, [*block, "row_no"]).join(C.row_flags(slotted, [*block, "row_no"]), [*block, "row_no"])
     lines = placed.groupBy(*block, "row_no").agg(F.first("row_cy").alias("cy")).join(boxes.select(*block, "x0", "x1"), block)
     tokens = C.assign_tokens(fine(words.tokens), slotted, [*PAGE, "token_id"], ["block", "row_no", "column"])
-    hypotheses = blocks.select(*PAGE, "block", F.lit("geometry_hypothesis").alias("code"), F.col("flags").alias("detail"))
     return {
         "blocks": blocks, "grid_long": long.withColumn("column", C.slot_name(F.col("column"))), "grid_wide": wide,
-        "tokens": tokens, "failures": failures, "rows": lines, "review": fine(words.review).unionByName(hypotheses),
+        "tokens": tokens, "failures": failures, "rows": lines, "review": fine(words.review).unionByName(C.hypotheses(blocks, block)),
     }
 
 

@@ -82,9 +82,10 @@ def run_and_report(spark: SparkSession, worklist: str, root: str, results: str,
     finally:
         stored = stored_results(spark, results)
         if stored is not None:
-            report, skipped = reports(stored)
-            write_csv(report, out)
-            write_csv(skipped, skipped_out)
+            with Scratch(spark):
+                report, skipped = reports(stored)
+                write_csv(report, out)
+                write_csv(skipped, skipped_out)
     return counts
 
 

@@ -25,14 +25,20 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[(F.to_json(c) if kinds[c][:5] in ("array", "struc", "map<s") else F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in df.columns])
 
 
+def marked(df: DataFrame, *apart: str) -> DataFrame:
+    """``flat``, with a byte order mark before the first column's name (but those ``apart``), so that each file begins with it."""
+    first = next((c for c in df.columns if c not in apart), None)
+    return flat(df).withColumnsRenamed({first: "\ufeff" + first} if first else {})
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """UTF-8 with a header; the committer publishes a file set at once and marks it with _SUCCESS."""
-    flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """UTF-8 with a byte order mark and a header; the committer publishes a file set at once and marks it with _SUCCESS."""
+    marked(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_parts(df: DataFrame, path: str, by: str) -> None:
     """CSV as in ``write_csv``, split by a column; only the parts that ``df`` has are replaced."""
-    flat(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    marked(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def read_parts(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
@@ -43,6 +49,7 @@ def read_parts(spark: SparkSession, path: str, by: Sequence[str]) -> DataFrame:
         if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             raise
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in by))
+    rows = rows.withColumnsRenamed({c: c.lstrip("\ufeff") for c in rows.columns})
     return rows.withColumns({c: F.regexp_extract(F.col("_metadata.file_path"), f"/{c}=([^/]+)/", 1) for c in by})
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,30 +21,45 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: The innermost open ``Scratch``.
+_OPEN: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder; inside a ``Scratch`` its end removes what is there."""
+    path = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    if scratch := _OPEN.get():
+        scratch.paths.append(path)
+    return path
+
+
 def kept(df: DataFrame) -> DataFrame:
     """A table as it is now: written to the shared folder and read back."""
-    path = f"{shared_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, "kept")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Scratch:
-    """Tables that a job keeps for as long as it runs: ``keep`` stores one, the end of the block removes them all."""
+    """Tables that a job keeps for as long as it runs: the end of the block removes all that were stored in it.
+
+    ``keep`` stores one; operators store theirs in the shared folder as well.  Their results read such tables, so
+    write a result inside the block: ``with Scratch(spark): operator(df).write.parquet(path)``.
+    """
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.paths = spark, []
 
     def __enter__(self) -> Scratch:
+        self._before = _OPEN.set(self)
         return self
 
     def __exit__(self, *failure) -> None:
+        _OPEN.reset(self._before)
         removed(self.spark, *self.paths)
 
     def keep(self, df: DataFrame) -> DataFrame:
-        path = f"{shared_dir(self.spark)}/kept-{uuid.uuid4().hex}"
-        self.paths.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return kept(df)
 
 
 def file_system(spark: SparkSession, path: str):

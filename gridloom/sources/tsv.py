@@ -5,7 +5,7 @@ Folders are found from names alone; the files of pages are opened by path, once
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,14 +86,18 @@ def parsed_words(files: DataFrame, keep: Callable[[DataFrame], DataFrame] = kept
     good = parsed.filter("why is null")
     tokens = good.filter((F.col("level") == 5) & (F.col("text") != "")).select(*page, F.col("line_no").alias("seq"), F.concat(F.lit("T"), "line_no").alias("token_id"), *box_columns(), "conf", "text")
     tokens = tokens.withColumn("noise", is_noise(F.col("text")))
-    extent = good.filter((F.col("level") == 1) | ((F.col("level") == 5) & (F.col("text") != ""))).groupBy(*page).agg(
-        F.greatest(F.coalesce(F.max(F.when(F.col("level") == 1, F.col("x") + F.col("w"))), F.lit(0)), F.coalesce(F.max(F.when(F.col("level") == 5, F.col("x") + F.col("w"))), F.lit(1))).alias("width"),
-        F.greatest(F.coalesce(F.max(F.when(F.col("level") == 1, F.col("y") + F.col("h"))), F.lit(0)), F.coalesce(F.max(F.when(F.col("level") == 5, F.col("y") + F.col("h"))), F.lit(1))).alias("height"),
-    )
+    extent = page_extent(good.filter((F.col("level") == 1) | (F.col("text") != "")).select(*page, "level", *box_columns()), page)
     pages = files.filter(right).select(*page).join(extent, page, "left").fillna(1, ["width", "height"])
     return Words(tokens, pages, broken.unionByName(bad))
 
 
+def page_extent(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """width and height of each page: as far as its own line (level 1) or its words (level 5) reach; without words 1 at least."""
+    reach = lambda level, c: F.max(F.when(F.col("level") == level, F.col(c)))
+    far = lambda c: F.greatest(F.coalesce(reach(1, c), F.lit(0)), F.coalesce(reach(5, c), F.lit(1)))
+    return lines.filter(F.col("level").isin(1, 5)).groupBy(*keys).agg(far("r").alias("width"), far("b").alias("height"))
+
+
 def box_columns() -> list:
     """x, y, w, h with the right and lower edges and the vertical centre."""
     return ["x", "y", "w", "h", (F.col("x") + F.col("w")).alias("r"), (F.col("y") + F.col("h")).alias("b"), (F.col("y") + F.col("h") / F.lit(2.0)).alias("cy")]

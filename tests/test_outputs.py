@@ -1,5 +1,6 @@
 """Overlays and workbooks, read back."""
 
+import os
 import random
 import struct
 import zipfile
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 from test_operators import page, word
 
 from gridloom import cli
+from gridloom.operators.routing import numbered
 from gridloom.plans import grid
 from gridloom.sources import overlay, sinks
+from gridloom.sources.store import Scratch, kept, shared_dir
 
 NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
@@ -128,3 +131,30 @@ def test_two_million_rows_give_three_sheets(spark, tmp_path):
     for r in files:
         with zipfile.ZipFile(r.file) as z, z.open("xl/worksheets/sheet1.xml") as f:
             assert sum(1 for _, e in ElementTree.iterparse(f) if e.tag == f"{NS}row" and not e.clear()) == r.rows + 1
+
+
+def test_each_csv_file_begins_with_a_mark(spark, tmp_path):
+    rows = spark.range(40).select((F.col("id") % 2).alias("by"), F.concat(F.lit('п "'), F.col("id").cast("string"), F.lit("\n;")).alias("имя"), "id").repartition(3)
+    sinks.write_csv(rows, str(tmp_path / "whole"))
+    sinks.write_parts(rows, str(tmp_path / "parts"), "by")
+    files = [*(tmp_path / "whole").glob("part-*.csv"), *(tmp_path / "parts").glob("by=*/part-*.csv")]
+    assert len(files) >= 4 and all(f.read_bytes().startswith(b"\xef\xbb\xbf") for f in files)
+    back = sinks.read_parts(spark, str(tmp_path / "parts"), ("by",))
+    assert set(back.columns) == {"имя", "id", "by"}
+    assert {(r["by"], r["имя"], r["id"]) for r in back.collect()} == {(str(i % 2), f'п "{i}\n;', str(i)) for i in range(40)}
+    sinks.write_csv(rows.limit(0), str(tmp_path / "none"))
+
+
+def test_a_scratch_removes_what_operators_store(spark, tmp_path):
+    def names():
+        return {x for x in os.listdir(shared_dir(spark).removeprefix("file://")) if x.startswith(("kept-", "numbered-"))}
+
+    before = names()
+    with Scratch(spark) as outer:
+        with Scratch(spark):
+            numbered(outer.keep(spark.range(10)), "id").write.parquet(str(tmp_path / "out"))
+            assert len(names() - before) == 2
+        table = kept(spark.range(3))
+        assert table.count() == 3
+    assert names() == before
+    assert [r.no for r in spark.read.parquet(str(tmp_path / "out")).orderBy("id").collect()] == list(range(1, 11))

@@ -26,7 +26,7 @@ def worklist(tmp_path, name, paths):
 
 
 def rows(path):
-    return [r for f in sorted(path.glob("part-*.csv")) for r in csv.DictReader(f.open(encoding="utf-8"))]
+    return [r for f in sorted(path.glob("part-*.csv")) for r in csv.DictReader(f.open(encoding="utf-8-sig"))]
 
 
 def test_a_stopped_run_reports_and_goes_on(spark, tmp_path, monkeypatch):
