@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontam, jaccard, mixing, quality, sharding
-from gridloom.llm.common import shared_dir, table
+from gridloom.llm.common import table
+from gridloom.sources.store import Scratch, removed, shared_dir
 
 #: Documents that score lower are rejected.
 LEAST_SCORE = 0.7
@@ -57,15 +58,20 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``; each result is written to the shared folder and read back by the next.
 
+    What a stage stored on its way goes when its result is written, and so does the result before; the last stage
+    is worked out when its rows are asked for, so what it reads stays.
+
     The tables may have more columns, of any names but row_number, shard and slot, which the last stage replaces.  An
     empty table, and one of which nothing is kept, gives no rows.
     """
     docs = table(spark, sf_dir, "documents")
     top = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
         if i + 1 == len(STAGES):
-            return out
-        out.write.parquet(f"{top}/{i}")
+            return stage(spark, docs, sf_dir)
+        with Scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{top}/{i}")
         docs = spark.read.parquet(f"{top}/{i}")
+        if i:
+            removed(spark, f"{top}/{i - 1}")
     return docs

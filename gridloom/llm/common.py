@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.sources.store import shared_dir
+from gridloom.sources.store import fresh_path, removed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,18 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame) -> tuple[DataFrame, str]:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/gridloom-{uuid.uuid4().hex}"
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    Results read such tables, so they stay; ``with Scratch(spark):`` around an operator and the writing of its result removes them.
+    """
+    path = fresh_path(df.sparkSession, "gridloom")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def dropped(spark: SparkSession, *paths: str) -> None:
     """Remove tables of ``stored`` that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    removed(spark, *paths)
 
 
 def bit_table(df: DataFrame, column: str, bits: int):

@@ -102,7 +102,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), epochs: f
     A null text has no words; documents without words are never taken nor needed.  A null source is a source.
     Rows with equal doc_id and text are interchangeable and count one by one.  A source without words has the
     target 0; where no text has a word, all have and nothing is taken.  Texts are counted whole, however long.
-    An empty table gives an empty one.
+    An empty table gives an empty one.  Shares depend on all sources, so one task works on a row for each of them,
+    some 100 bytes: sources are meant to be thousands at most, not as many as documents.
     """
     base = docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", F.lit(seed)).alias("_shuffle"),

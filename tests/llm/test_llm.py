@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import chat, decontam, htmltext, jaccard, mixing, quality, queries, sharding, tokens, urls, webp
 from gridloom.llm.common import bit_table, maybe_in
+from gridloom.sources.store import shared_dir
 
 FOLDER = "/root/testdata/sf0.001"
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -290,6 +291,14 @@ def test_quality_fits_a_bounded_sample(spark, monkeypatch):
     assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in out)
 
 
+def test_many_labels_are_joined_by_a_shuffle(spark, monkeypatch):
+    d, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    small = quality.train(d, labels)
+    monkeypatch.setattr(quality, "BROADCAST_LABELS", 0)
+    large = quality.train(d, labels)
+    assert large.ratios.tolist() == small.ratios.tolist() and large.weights == pytest.approx(small.weights)
+
+
 def test_hinge_fit_separates():
     rng = np.random.default_rng(1)
     rows = [np.unique(np.append(rng.integers(0, 50, 9), 50 + (i % 2))).astype(np.int32) for i in range(200)]
@@ -882,6 +891,18 @@ def test_pipeline_stages_on_odd_tables(spark, tmp_path):
             assert out.count() <= 2 * len(rows)
         assert p.sharding_stage(spark, source, d).count() == len(rows)
     assert p.run(spark, str(tmp_path / "empty")).count() == 0
+    # without labels every score is 0.5, so nothing of a table with rows is kept
+    assert p.run(spark, str(tmp_path / "some")).count() == 0
+
+
+def test_the_pipeline_keeps_only_what_its_last_stage_reads(spark):
+    import corpus_pipeline as p
+
+    top = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(top))
+    out = p.run(spark, FOLDER)
+    (left,) = set(os.listdir(top)) - before
+    assert os.listdir(f"{top}/{left}") == [str(len(p.STAGES) - 2)] and out.count() > 0
 
 
 def test_driver_sees_all_eleven():
