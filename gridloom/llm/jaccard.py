@@ -14,9 +14,9 @@ Two documents link when the Jaccard similarity of their shingle sets reaches a t
 5. Each class is first compared with the first class of each of its tiles, which joins large groups of copies; then all pairs
    of different components that share a tile are compared.  That gives the components, without spreading any group
    out into all its pairs.
-6. Where links are asked for, each of these first components is dealt into blocks, and every two blocks meet in one
-   cell, where all their pairs are tried by exact overlaps.  With the links between different components of step 5
-   these are all links, each once.
+6. Where links are asked for, each of these first components is cut into tiles by size band, and tiles into blocks.  Two blocks
+   of one band or of bands whose sizes can link meet in one cell, where sizes and bit counts rule out pairs and exact
+   overlaps decide the rest.  With the links between different components of step 5 these are all links, each once.
 """
 
 from __future__ import annotations
@@ -43,9 +43,10 @@ CHUNK = 256
 #: One document of so many is counted for the levels, and a shingle seen so often among them is common.
 LEVEL_SAMPLE = 16
 COMMON = 3
-#: A block of a component has about so many classes and elements at most.
+#: A block of a component's tile has about so many classes, up to 16 times as many in large tiles, and so many elements at
+#: most (16 MB), so a task holds two such blocks.
 BLOCK = 512
-BLOCK_ELEMENTS = 1 << 20
+BLOCK_ELEMENTS = 1 << 21
 
 
 def _bits(rows: int, each: int, least: int, most: int) -> int:
@@ -197,6 +198,11 @@ def components(edges: DataFrame) -> DataFrame:
     return here.select(F.col("u").alias("node"), F.col("v").alias("root")).union(here.select("v", "v").distinct())
 
 
+def _band(n: Column) -> Column:
+    """The size band of a set of n elements: sizes from one power of two up to the next."""
+    return F.floor(F.log2(n.cast("double") + 0.5)).cast("int")
+
+
 def _enough(n: Column, m: Column, t: Fraction) -> Column:
     """The least overlap of linked sets of n and m elements: num * (n + m) / (num + den), rounded up."""
     return F.ceil((F.lit(t.numerator) * (n + m)).cast("double") / F.lit(float(t.numerator + t.denominator)) - F.lit(1e-9)).cast("long")
@@ -246,49 +252,121 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t:
     return out, out_path, sets, sets_path
 
 
+def bit_rows(sets: list[np.ndarray], width: int) -> np.ndarray:
+    """The bitmaps of sets, all of one width, as rows of 64-bit words."""
+    flat = np.zeros((len(sets), width), dtype=np.uint8)
+    sizes = [len(s) for s in sets]
+    flat[np.repeat(np.arange(len(sets)), sizes), (mix(np.concatenate(sets)) & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(flat, axis=1, bitorder="little").view(np.uint64)
+
+
+def bounds(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """``overlap_bound`` for each row of ``left`` (of n elements each) with each row of ``right`` (of m)."""
+    common = np.zeros((len(left), len(right)), dtype=np.int64)
+    if left.shape[1] < len(left):
+        for x, y in zip(left.T, right.T, strict=True):
+            common += np.bitwise_count(x[:, None] & y)
+    else:
+        for out, row in zip(common, left, strict=True):
+            out[:] = np.bitwise_count(row & right).sum(axis=1, dtype=np.int64)
+    spare, others = (size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64) for size, bits in ((n, left), (m, right)))
+    return common + np.minimum(spare[:, None], others[None, :])
+
+
+def linked_pairs(left: list[np.ndarray], right: list[np.ndarray], t: Fraction, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) in two lists of sets of all pairs that link; of one list with itself (``same``) each pair once.
+
+    Both lists are taken by size, a part of each at a time.  Sizes rule out whole parts, bit counts rule out pairs, and
+    what is left is decided by exact overlaps: pair by pair where few are left, of all sets that have a pair left otherwise.
+    """
+    num, den = t.numerator, t.denominator
+    width = max(64, 1 << max(map(len, [*left, *right])).bit_length())
+    sides = []
+    for sets in (left, right):
+        n = np.array([len(s) for s in sets])
+        order = np.argsort(n, kind="stable")
+        sides.append((order, n[order], bit_rows([sets[i] for i in order], width)))
+    (by_left, n, x), (by_right, m, y) = sides
+    for i in range(0, len(n), BLOCK):
+        for j in range(i if same else 0, len(m), BLOCK):
+            ni, mj = n[i : i + BLOCK], m[j : j + BLOCK]
+            if den * ni[-1] < num * mj[0] or den * mj[-1] < num * ni[0]:
+                continue
+            may = (num + den) * bounds(x[i : i + BLOCK], y[j : j + BLOCK], ni, mj) >= num * (ni[:, None] + mj[None, :])
+            if same and i == j:
+                may = np.triu(may, 1)
+            rows, cols = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+            if not len(rows):
+                continue
+            if 64 * may.sum() < len(rows) * len(cols):
+                at, to = np.nonzero(may)
+                common = np.array([len(np.intersect1d(left[by_left[i + p]], right[by_right[j + q]], assume_unique=True)) for p, q in zip(at, to, strict=True)])
+                found = den * common >= num * (ni[at] + mj[to] - common)
+                at, to = at[found], to[found]
+            else:
+                common = overlaps([left[by_left[i + p]] for p in rows], [right[by_right[j + q]] for q in cols])
+                found = may[np.ix_(rows, cols)] & (den * common >= num * (ni[rows][:, None] + mj[cols][None, :] - common))
+                at, to = np.nonzero(found)
+                at, to = rows[at], cols[to]
+            yield by_left[i + at], by_right[j + to]
+
+
 def _inside(near: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, t: Fraction, pairs: bool) -> DataFrame:
     """All links between classes of one component of ``near``: as pairs (a, b), or counted by class (node, n_links).
 
-    A component is dealt into blocks by hash.  Every two blocks, and every block with itself, are a cell, so each
-    pair is tried in exactly one cell and no task sees more than two blocks.  A component of two is its only link.
+    A tile is a component and a size band, dealt into blocks by hash.  Every two blocks of one band or of bands whose sizes
+    can link, and every block with itself, are a cell, so each pair is tried in exactly one cell and no task sees more
+    than two blocks at a time.  Blocks grow with the tile up to a bound, so that a set has few copies.  A component of two is its only link.
     """
-    num, den = t.numerator, t.denominator
-    member = roots.join(classes.select("node", "n"), "node")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS))).cast("int")
-    size = member.groupBy("root").agg(F.count(F.lit(1)).alias("m"), blocks.alias("blocks"))
-    dealt = member.join(size, "root").withColumn("own", F.pmod(F.xxhash64("node", F.lit(23)), F.col("blocks")).cast("int"))
-    cells = dealt.filter("m > 2").select("root", "node", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    reach = 0
+    while t * 2**reach < 1:
+        reach += 1
+    member = roots.join(classes.select("node", "n"), "node").withColumn("band", _band(F.col("n")))
+    rows = F.count(F.lit(1))
+    block = F.least(F.lit(16 * BLOCK), F.greatest(F.lit(BLOCK), rows / 16))
+    blocks = F.greatest(F.ceil(rows / block), F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS))).cast("int")
+    tile = member.groupBy("root", "band").agg(rows.alias("m"), blocks.alias("blocks"))
+    # sizes are below 2 ** 63, so a component has at most 63 bands
+    plan = tile.groupBy("root").agg(F.sum("m").alias("m"), F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("plan"))
+    name = lambda band, place: F.shiftleft(band.cast("long"), 32) + place
+    dealt = member.join(plan, "root").withColumn("own", name(F.col("band"), F.pmod(F.xxhash64("node", F.lit(23)), F.try_element_at("plan", F.col("band")))))
+
+    def others(band: Column) -> Column:
+        n = F.try_element_at("plan", band)
+        return F.when(n.isNull(), F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), lambda place: name(band, place)))
+
+    bands = F.sequence(F.col("band") - reach, F.col("band") + reach)
+    cells = dealt.filter("m > 2").select("root", "node", "own", F.explode(F.flatten(F.transform(bands, others))).alias("other"))
     cells = cells.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "own").join(sets, "node")
     names = ["a", "b"] if pairs else ["node", "n_links"]
 
     def meet(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(key: tuple, rows: list) -> pa.RecordBatch:
+        def links(key: tuple, rows: list) -> Iterator[pa.RecordBatch]:
             sides = [[(node, np.frombuffer(s, np.uint64)) for node, own, s in rows if own == at] for at in key[1:]]
             left, right = ([s for _, s in side] for side in sides)
             a, b = (np.array([node for node, _ in side], dtype=np.int64) for side in sides)
             if not left or not right:
-                return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, names)
-            common = overlaps(left, right)
-            linked = den * common >= num * (np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right]) - common)
-            if key[1] == key[2]:
-                linked = np.triu(linked, 1)
-            if pairs:
-                i, j = np.nonzero(linked)
-                out = [a[i], b[j]]
-            else:
-                out = [np.concatenate([a, b]), np.concatenate([linked.sum(axis=1), linked.sum(axis=0)]).astype(np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+                return
+            counts = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+            for i, j in linked_pairs(left, right, t, key[1] == key[2]):
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[j])], names)
+                else:
+                    counts[0][:] += np.bincount(i, minlength=len(a))
+                    counts[1][:] += np.bincount(j, minlength=len(b))
+            if not pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, b])), pa.array(np.concatenate(counts))], names)
 
         now, rows = None, []
         for batch in parts:
             for root, lo, hi, node, own, s in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if (root, lo, hi) != now:
                     if rows:
-                        yield links(now, rows)
+                        yield from links(now, rows)
                     now, rows = (root, lo, hi), []
                 rows.append((node, own, s))
         if rows:
-            yield links(now, rows)
+            yield from links(now, rows)
 
     ordered = cells.select("root", "lo", "hi", "node", "own", "s").repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
     found = ordered.mapInArrow(meet, ", ".join(f"{c} long" for c in names))
@@ -380,10 +458,9 @@ def _joined(docs: DataFrame, k: int, threshold: float, want: str | None) -> tupl
     placed = rows.drop("a").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).repartition("key")
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum(F.col("indexed").cast("long")).alias("m")).filter("lo <> hi")
     placed, placed_path = stored(placed.join(mixed.select("key", F.ceil(F.col("m") / F.lit(CHUNK)).cast("int").alias("chunks")), "key").filter("chunks > 0"))
-    band = lambda c: F.floor(F.log2(c.cast("double") + 0.5)).cast("int")
-    index = placed.filter("indexed").select("key", F.pmod(F.xxhash64("node", F.lit(29)), F.col("chunks")).cast("int").alias("chunk"), band(F.col("n")).alias("band"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"))
+    index = placed.filter("indexed").select("key", F.pmod(F.xxhash64("node", F.lit(29)), F.col("chunks")).cast("int").alias("chunk"), _band(F.col("n")).alias("band"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("root").alias("ra"))
     lower = F.ceil(F.col("n") * num / F.lit(den))
-    probe = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("key", "chunk", F.explode(F.array_distinct(F.array(band(F.col("n")), band(lower)))).alias("band"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"))
+    probe = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("key", "chunk", F.explode(F.sequence(_band(lower), _band(F.col("n")))).alias("band"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("root").alias("rb"))
     least = _enough(F.col("na"), F.col("nb"), t)
     fits = (F.col("ra") != F.col("rb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))) & (F.col("na") * den >= F.col("nb") * num)
     fits &= (F.col("na") - F.col("pa") >= least) & (F.col("nb") - F.col("pb") >= least)

@@ -4,6 +4,7 @@ import re
 import string
 import struct
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -167,6 +168,53 @@ def test_jaccard_counts_and_gives_all_links(spark, monkeypatch, block, sample):
     assert {r.doc_id: r.n_links for r in jaccard.jaccard_components(df).collect()} == counts
 
 
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.75])
+def test_jaccard_links_over_many_size_bands(spark, monkeypatch, threshold):
+    """One text that grows by steps crosses bands; at low thresholds sets link over more than one band."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    words = [f"g{x}" for x in range(400)]
+    rows = [(n, " ".join(words[:size])) for n, size in enumerate(int(8 * 1.13**x) for x in range(32))]
+    rows += [(100 + n, " ".join([*words[10 * n : 10 * n + 60], f"e{n}"])) for n in range(20)]
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    want = [(i, j) for i in sets for j in sets if i < j and sets[i] != sets[j] and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9]
+    first = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets}
+    want = sorted({tuple(sorted((first[i], first[j]))) for i, j in want})
+    got = sorted(tuple(sorted((r.doc_a, r.doc_b))) for r in jaccard.jaccard_links(docs(spark, rows), 5, threshold).collect())
+    assert got == want
+
+
+@pytest.mark.parametrize("edits", [0, 6, 20, 90])
+def test_linked_pairs_equal_exact_overlaps(edits):
+    """Whether all, some or no pairs are left after bit counts, the pairs are those of exact intersections."""
+    rng = np.random.default_rng(edits)
+    base = rng.integers(0, 2**62, 200).astype(np.uint64)
+
+    def near(count):
+        for _ in range(count):
+            s = base.copy()
+            s[rng.integers(0, 200, edits)] = rng.integers(0, 2**62, edits).astype(np.uint64)
+            yield np.unique(s[: int(rng.integers(20, 201))])
+
+    left, right = list(near(530)), list(near(90))
+    for t in (Fraction(3, 4), Fraction(1, 3)):
+        for a, b, same in ((left, right, False), (right, left, False), (right, right, True)):
+            common = jaccard.overlaps(a, b)
+            want = t.denominator * common >= t.numerator * (np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b]) - common)
+            got = [(int(x), int(y)) for i, j in jaccard.linked_pairs(a, b, t, same) for x, y in zip(i, j, strict=True)]
+            assert len(got) == len(set(got))
+            seen = {tuple(sorted(p)) for p in got} if same else set(got)
+            assert seen == {(int(x), int(y)) for x, y in np.argwhere(np.triu(want, 1) if same else want)}
+
+
+def test_bounds_never_below_the_overlap():
+    rng = np.random.default_rng(1)
+    for size, width, count in ((60, 128, 40), (3000, 8192, 5)):
+        sets = [np.unique(rng.integers(0, 2 * size, size).astype(np.uint64)) for _ in range(count)]
+        bits, n = jaccard.bit_rows(sets, width), np.array([len(s) for s in sets])
+        most, real = jaccard.bounds(bits, bits, n, n), jaccard.overlaps(sets, sets)
+        assert (most >= real).all() and (np.diag(most) == n).all()
+
+
 def test_overlaps_equal_intersections():
     rng = np.random.default_rng(5)
     left, right = ([np.unique(np.append(rng.integers(0, top, n), 7).astype(np.uint64)) for n, top in zip(rng.integers(0, 60, k), rng.choice([50, 5000], k), strict=True)] for k in (150, 90))
