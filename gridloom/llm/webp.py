@@ -55,15 +55,27 @@ class PrefixCode:
             self.top = 0
             return
         sizes = lengths[used]
-        self.top = int(sizes.max())
-        room = np.int64(1) << (self.top - sizes.astype(np.int64))
+        self.top = max(sizes.tolist())
+        self.mask = (1 << self.top) - 1
+        if len(used) <= 24 and used[-1] < 256:  # few steps
+            symbols, taken, code, reverse = bytearray(1 << self.top), bytearray(1 << self.top), 0, _reversals()
+            for n, symbol in sorted(zip(sizes.tolist(), used.tolist(), strict=True)):
+                if code == 1 << 15:
+                    raise ValueError("the prefix code isn't complete")
+                at, room = reverse[code], 1 << (self.top - n)
+                code += 1 << (15 - n)
+                symbols[at :: 1 << n], taken[at :: 1 << n] = bytes((symbol,)) * room, bytes((n,)) * room
+            if code != 1 << 15:
+                raise ValueError("the prefix code isn't complete")
+            self.symbols, self.lengths = np.frombuffer(symbols, np.uint8), np.frombuffer(taken, np.uint8)
+            return
+        order = sizes.argsort(kind="stable")
+        sizes = sizes[order].astype(np.int64)
+        room = np.int64(1) << (self.top - sizes)
         if (1 << self.top) != room.sum():
             raise ValueError("the prefix code isn't complete")
-        order = sizes.argsort(kind="stable")
-        room, reverse = room[order], _reversal(self.top)
-        self.symbols = used[order].astype(np.int16).repeat(room)[reverse]
-        self.lengths = sizes[order].repeat(room)[reverse]
-        self.mask = (1 << self.top) - 1
+        both = ((used[order] << 4) | sizes).astype(np.uint16).repeat(room).take(_reversal(self.top))
+        self.symbols, self.lengths = (both >> np.uint16(4)).view(np.int16), both.astype(np.uint8) & np.uint8(15)
 
     def read(self, bits: Bits) -> int:
         if self.single is not None:
@@ -87,10 +99,45 @@ def _reversal(n: int) -> np.ndarray:
     return reversed_bits(np.arange(1 << n), n)
 
 
-@lru_cache(maxsize=256)
-def _length_code(lengths: bytes) -> tuple[int | None, int, bytes, bytes]:
-    code = PrefixCode(np.frombuffer(lengths, np.uint8))
-    return code.single, code.top, *((b"", b"") if code.single is not None else (code.symbols.astype(np.uint8).tobytes(), code.lengths.tobytes()))
+class LengthSteps(dict):
+    """By the 12 bits that follow: the code lengths that whole signs in them give, their bits, and how many signs they are.
+
+    It ends before a sign that repeats the last length, and before one whose bits aren't all there.
+    """
+
+    def __init__(self, code: PrefixCode) -> None:
+        super().__init__()
+        self.code = code
+
+    def sign(self, ahead: int) -> tuple[int, int, int]:
+        """The first sign, how often it stands and its bits."""
+        code = self.code
+        i = ahead & ((1 << code.top) - 1)
+        s, n = (code.single, 0) if code.single is not None else (int(code.symbols[i]), int(code.lengths[i]))
+        if s < 16:
+            return s, 1, n
+        extra, least = ((2, 3), (3, 3), (7, 11))[s - 16]
+        return s, least + ((ahead >> n) & ((1 << extra) - 1)), n + extra
+
+    def __missing__(self, ahead: int) -> tuple[bytes, int, int]:
+        out, used, signs = b"", 0, 0
+        while self.code.single is None:
+            s, times, n = self.sign(ahead >> used)
+            if s == 16 or used + n > 12:
+                break
+            out, used, signs = out + (bytes((s,)) if s < 16 else bytes(times)), used + n, signs + 1
+        self[ahead] = out, used, signs
+        return self[ahead]
+
+
+@lru_cache(maxsize=16)
+def _length_code(lengths: bytes) -> LengthSteps:
+    return LengthSteps(PrefixCode(np.frombuffer(lengths, np.uint8)))
+
+
+@cache
+def _reversals() -> list[int]:
+    return _reversal(15).tolist()
 
 
 @lru_cache(maxsize=256)
@@ -101,6 +148,9 @@ def _code_of_one(symbol: int) -> PrefixCode:
 def read_code(bits: Bits, size: int) -> PrefixCode:
     data = bits.data
     ahead = int.from_bytes(data[bits.at >> 3 : (bits.at >> 3) + 9], "little") >> (bits.at & 7)
+    if ahead & 7 == 5:  # one symbol of 8 bits
+        bits.at += 11
+        return _code_of_one(ahead >> 3 & 255)
     if ahead & 1:
         wide = 8 if ahead & 4 else 1
         first = ahead >> 3 & ((1 << wide) - 1)
@@ -115,34 +165,23 @@ def read_code(bits: Bits, size: int) -> PrefixCode:
     for i, s in enumerate(_LENGTH_ORDER[:stored]):
         of_lengths[s] = ahead >> (5 + 3 * i) & 7
     bits.at += 5 + 3 * stored
-    single, top, symbols, sizes = _length_code(bytes(of_lengths))
+    steps = _length_code(bytes(of_lengths))
     left = size
     if bits(1):
         left = 2 + bits(2 + 2 * bits(3))
-    out, last, at, mask = bytearray(), 8, bits.at, (1 << top) - 1
+    out, at = bytearray(), bits.at
     while len(out) < size and left:
-        ahead = int.from_bytes(data[at >> 3 : (at >> 3) + 15], "little") >> (at & 7)
-        for _ in range(min(left, 8)):  # 8 signs have 112 bits at most
-            left -= 1
-            if single is None:
-                i = ahead & mask
-                s, n = symbols[i], sizes[i]
-            else:
-                s, n = single, 0
-            if s < 16:
-                out.append(s)
-                if s:
-                    last = s
-            else:
-                extra, least, value = ((2, 3, last), (3, 3, 0), (7, 11, 0))[s - 16]
-                out += bytes((value,)) * (least + ((ahead >> n) & ((1 << extra) - 1)))
-                n += extra
-                if len(out) >= size:
-                    at += n
-                    break
+        ahead = int.from_bytes(data[at >> 3 : (at >> 3) + 25], "little") >> (at & 7)
+        for _ in range(15):  # 15 steps have 14 bits at most
+            part, n, signs = steps[ahead & 4095]
+            if not signs or signs > left or len(out) + len(part) > size:
+                s, times, n = steps.sign(ahead)
+                signs, part = 1, bytes((s if s < 16 else 0 if s > 16 else next((x for x in reversed(out) if x), 8),)) * times
+            out += part
+            left -= signs
             ahead >>= n
             at += n
-            if len(out) == size:
+            if len(out) >= size or not left:
                 break
     bits.at = at
     if len(out) > size:
@@ -162,6 +201,15 @@ _EXTRA = np.array([0, 0, 0, 0, *[(s - 2) >> 1 for s in range(4, 40)]], dtype=np.
 _BASE = np.array([1, 2, 3, 4, *[((2 + (s & 1)) << ((s - 2) >> 1)) + 1 for s in range(4, 40)]], dtype=np.int64)
 
 
+_EIGHT = np.resize(np.arange(8, dtype=np.uint32), 1 << 17)
+
+
+@lru_cache(maxsize=256)
+def _near_distances(width: int) -> np.ndarray:
+    """The distances of the 120 shortest distance codes."""
+    return np.maximum(1, _NEAR_X + _NEAR_Y * width)
+
+
 def _followed(src: np.ndarray) -> np.ndarray:
     """Where each place of ``src`` leads to in the end; places lead back or to themselves."""
     while True:
@@ -180,73 +228,74 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
     g, r, b, a, d = codes
     begin = bits.at >> 3
     data = bits.data[begin : begin + n * 8 + 8]
-    window = np.ndarray(len(data), "<u4", data + b"\0\0\0", 0, 1).astype(np.int64)  # 32 bits from every byte
-    ahead = (window[:, None] >> np.arange(8)).ravel()  # 25 bits from every bit
+    window = np.ndarray(len(data), "<u4", data + b"\0\0\0", 0, 1)  # 32 bits from every byte
+    ahead = window.repeat(8)
+    ahead >>= _EIGHT[: len(ahead)] if len(ahead) <= len(_EIGHT) else np.resize(_EIGHT, len(ahead))  # 25 bits from every bit
     total = len(ahead)
     inside = lambda p: np.minimum(p, total - 1)
 
     def look(code: PrefixCode, p: np.ndarray | slice) -> tuple[np.ndarray | int, np.ndarray | int]:
         if code.single is not None:
             return code.single, 0
-        i = ahead[p] & code.mask
+        i = (ahead[p] & np.uint32(code.mask)).astype(np.intp)
         return code.symbols.take(i), code.lengths.take(i)
 
-    symbol, size = look(g, slice(None))
-    step = size.astype(np.int64)
-    place = np.arange(total)
+    index = (ahead & np.uint32(g.mask)).astype(np.intp)
+    literals = g.symbols.max() < 256
+    size = (g.lengths if literals else g.lengths | ((g.symbols > 255) & ((g.symbols < 280) if cache_bits else True)).view(np.uint8) << np.uint8(4)).take(index)  # 16 more for a copy
+    copies = np.zeros(0, np.int64) if literals else (size > 15).nonzero()[0]
+    size[copies] &= np.uint8(15)
+    step, place = size, np.arange(total)
     if any(c.single is None for c in (r, b, a)):
-        at = place + step
+        at = place + size
         for c in (r, b, a):
             if c.single is None:
-                at = at + c.lengths.take(ahead.take(at, mode="clip") & c.mask)
-        step = np.where(symbol < 256, at - place, step)
-    copies = ((symbol > 255) & (symbol < 280) if cache_bits else symbol > 255).nonzero()[0] if g.symbols.max() >= 256 else np.zeros(0, np.int64)
-
-    def distance(q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Symbols of distances, where their extra bits begin, and those of the lengths."""
-        lengths_at = q + size[q]
-        at = inside(lengths_at + _EXTRA[symbol[q] - 256])
-        s, taken = look(d, at)
-        return (s if d.single is None else np.full(len(q), s)), at + taken, lengths_at
-
-    if len(copies):
-        s, at, _ = distance(copies)
-        step[copies] = at + _EXTRA[s] - copies
+                at = at + c.lengths.take(ahead.take(at, mode="clip") & np.uint32(c.mask))
+        step = np.where(g.symbols.take(index) < 256, at - place, size)
     following = np.empty(total + 1, dtype=np.int64)
     np.add(place, step, out=following[:-1])
-    np.minimum(following[:-1], total, out=following[:-1])
+    if len(copies):
+        sort = g.symbols.take(index[copies]).astype(np.int64) - 256
+        lengths_at = copies + size[copies]
+        distance_at = inside(lengths_at + _EXTRA[sort])
+        s, taken = look(d, distance_at)
+        s = s.astype(np.int64) if d.single is None else np.full(len(copies), s)
+        distance_at = distance_at + taken
+        following[copies] = distance_at + _EXTRA[s]
     following[-1] = total
+    np.minimum(following[-80:], total, out=following[-80:])  # no token has more bits than 15 + 10 + 15 + 18 or 4 * 15
     far = following
-    for _ in range(4):
+    for _ in range(3):
         far = far.take(far)
-    leads, walk, p = memoryview(far), [], bits.at & 7
-    for _ in range(-(-n // 16)):
-        walk.append(p)
+    tokens = np.full((8, -(-n // 8)), total)
+    leads, walk, p = memoryview(far), memoryview(tokens[0]), bits.at & 7
+    for i in range(len(walk)):
+        walk[i] = p
         p = leads[p]
-    tokens = np.empty((16, len(walk)), dtype=np.int64)
-    tokens[0] = walk
-    for i in range(1, 16):
-        following.take(tokens[i - 1], out=tokens[i])
+        if p == total:
+            break
+    for i in range(1, 8):
+        tokens[i] = following.take(tokens[i - 1])
     tokens = tokens.T.ravel()
     tokens = tokens[: int(tokens.searchsorted(total))]  # places past the end are ``total`` itself
-    kinds = symbol[tokens].astype(np.int64)
-    copied = (kinds >= 256) & (kinds < 280)
+    kinds = g.symbols.take(index.take(tokens))
+    copied = (kinds >= 256) & (kinds < 280) if cache_bits else kinds > 255
     long = np.ones(len(tokens), dtype=np.int64)
     field = lambda at, extra: ahead.take(at, mode="clip") & ((np.int64(1) << extra) - 1)
     if copied.any():
-        q = tokens[copied]
-        s, at, lengths_at = distance(q)
-        long[copied] = _BASE[kinds[copied] - 256] + field(lengths_at, _EXTRA[kinds[copied] - 256])
-        back = _BASE[s] + field(at, _EXTRA[s])
+        met = copies.searchsorted(tokens[copied])
+        sort, s = sort[met], s[met]
+        long[copied] = _BASE[sort] + field(lengths_at[met], _EXTRA[sort])
+        back = _BASE[s] + field(distance_at[met], _EXTRA[s])
     ends = long.cumsum()
     used = int(ends.searchsorted(n)) + 1
     if used > len(ends) or ends[used - 1] != n:
         raise ValueError("the pixels end early or a back-reference leaves the image")
     tokens, kinds, copied, long, ends = tokens[:used], kinds[:used], copied[:used], long[:used], ends[:used]
-    end = int(tokens[-1]) + int(step[tokens[-1]])
+    end = int(following[tokens[-1]])
     first = ends - long
 
-    out, src = np.zeros(n, dtype=np.uint32), np.arange(n)
+    out = np.zeros(n, dtype=np.uint32)
     plain = kinds < 256
     at = tokens[plain]
     colour = kinds[plain].astype(np.uint32) << np.uint32(8)
@@ -261,23 +310,25 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
     out[first[plain]] = colour
     if copied.any():
         back = back[: int(copied.sum())]
-        near = np.maximum(1, _NEAR_X + _NEAR_Y * width)
+        near = _near_distances(width)
         back = np.where(back > 120, back - 120, near[np.minimum(back, 120) - 1])
         if (back > first[copied]).any():
             raise ValueError("a back-reference leaves the image")
-        if 16 * len(back) < n and (kinds < 280).all():  # few copies are made one by one
-            for begin, times, far_back in zip(first[copied].tolist(), long[copied].tolist(), back.tolist(), strict=True):
-                if far_back == 1:
-                    out[begin : begin + times] = out[begin - 1]
-                elif far_back >= times:
-                    out[begin : begin + times] = out[begin - far_back : begin - far_back + times]
+        if not cache_bits:  # nothing else is looked up, so copies are made one by one
+            made = memoryview(out).cast("B")
+            for at, times, far_back in zip((4 * first[copied]).tolist(), (4 * long[copied]).tolist(), (4 * back).tolist(), strict=True):
+                if far_back >= times:
+                    made[at : at + times] = made[at - far_back : at - far_back + times]
                 else:
-                    out[begin : begin + times] = np.concatenate([out[begin - far_back : begin]] * -(-times // far_back))[:times]
+                    made[at : at + times] = (bytes(made[at - far_back : at]) * -(-times // far_back))[:times]
             bits.at += end - (bits.at & 7)
             return out
+        src = np.arange(n)
         times = long[copied]
         places = (first[copied] - times.cumsum() + times).repeat(times) + np.arange(times.sum())
         src[places] = places - back.repeat(times)
+    else:
+        src = np.arange(n)
     cached = kinds >= 280
     if cached.any():
         slot = np.zeros(n, dtype=np.uint16)  # which sorts fast
@@ -330,8 +381,19 @@ def _greens(bits: Bits, codes: list[PrefixCode], n: int, width: int) -> np.ndarr
     return np.frombuffer(bytes(out), np.uint8)
 
 
+#: An image without a cache whose five codes have one symbol of 8 bits each, and the bits that say so.
+_ALL_ONES = 1 | sum(7 << (1 + 11 * i) for i in range(5))
+_ONE_COLOUR = sum(5 << (1 + 11 * i) for i in range(5))
+
+
 def _pixels(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
     """An entropy-coded image: literals, back-references and colour cache entries, as a flat array of ARGB."""
+    byte = bits.at >> 3
+    ahead = int.from_bytes(bits.data[byte : byte + 8], "little") >> (bits.at & 7)
+    if not main and ahead & _ALL_ONES == _ONE_COLOUR:  # five codes of one symbol and no cache
+        g, r, b, a = (ahead >> i & 255 for i in (4, 15, 26, 37))
+        bits.at += 56
+        return np.full(width * height, (a << 24) | (r << 16) | (g << 8) | b, dtype=np.uint32)
     cache_bits = bits(4) if bits(1) else 0
     cache = [0] * (1 << cache_bits) if cache_bits else []
     groups, meta, meta_bits, across = 1, None, 0, 0
@@ -415,6 +477,7 @@ def _guess(mode: int, l: list[int], t: list[int], tr: list[int], tl: list[int])
     return [255, 0, 0, 0]
 
 
+_8, _255 = np.uint32(8), np.uint32(255)
 _LOW, _HIGH = np.uint32(0x00FF00FF), np.uint32(0xFF00FF00)
 
 
@@ -427,24 +490,30 @@ def _minus(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (((x | _HIGH) - (y & _LOW)) & _LOW) | (((x | _LOW) - (y & _HIGH)) & _HIGH)
 
 
+def _differences(x: np.ndarray) -> np.ndarray:
+    """ARGB numbers, each but the first less the one before, channel by channel."""
+    samples = np.ascontiguousarray(x).view(np.uint8)
+    return (samples[4:] - samples[:-4]).view(np.uint32)
+
+
 def _summed(x: np.ndarray) -> np.ndarray:
     """Running sums of ARGB numbers."""
-    return np.cumsum(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 4), axis=0, dtype=np.uint8).view(np.uint32).ravel()
+    return np.add.accumulate(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 4), axis=0, dtype=np.uint8).view(np.uint32).ravel()
 
 
 def predicted(image: np.ndarray, modes: np.ndarray, size_bits: int, invert: bool) -> np.ndarray:
     """Undo (or do) the predictor transform on an array of height x width ARGB numbers."""
     height, width = image.shape
-    kinds = (modes >> 8) & 0xF
+    kinds = (modes >> _8) & np.uint32(0xF)
     kinds[kinds > 13] = 0
     if not kinds.any():  # only borders have neighbours for their prediction
-        out = image.copy()
-        out[1:, 1:] = (_plus if invert else _minus)(image[1:, 1:], np.uint32(_OPAQUE))
-        out[:1, :1] = (_plus if invert else _minus)(image[:1, :1], np.uint32(_OPAQUE))
         if invert:
+            out = image + np.uint32(_OPAQUE)  # alpha has the highest bits, so nothing is carried
+            out[0, 1:], out[1:, 0] = image[0, 1:], image[1:, 0]
             out[0], out[:, 0] = _summed(out[0]), _summed(out[:, 0])
         else:
-            out[0, 1:], out[1:, 0] = _minus(image[0, 1:], image[0, :-1]), _minus(image[1:, 0], image[:-1, 0])
+            out = image - np.uint32(_OPAQUE)
+            out[0, 1:], out[1:, 0] = _differences(image[0]), _differences(image[:, 0])
         return out
     if kinds.max() > 4:
         return _predicted_one_by_one(image, kinds, size_bits, invert)
@@ -555,18 +624,14 @@ def decode(file: bytes) -> np.ndarray:
     return out
 
 
-def code_lengths(counts: np.ndarray, most: int = 15) -> np.ndarray:
-    """Lengths of a complete prefix code for the symbols that occur; rare symbols weigh more until none is too long."""
-    out = np.zeros(len(counts), dtype=np.uint8)
-    used = counts.nonzero()[0]
-    if len(used) <= 1:
-        used = np.array([0, 1 if not len(used) else max(1, int(used[0]))]) if not len(used) or used[0] else np.array([0, 1])
-    weights = counts[used].astype(np.int64)
+def _depths(weights: list[int], most: int) -> list[int]:
+    """Lengths of a complete prefix code for two symbols or more; rare symbols weigh more until none is too long."""
+    n = len(weights)
     while True:
-        order = weights.argsort(kind="stable")
-        n = len(used)
-        most_of_all = int(weights.sum()) + 1  # marks where leaves and joined ones end
-        leaves, inner, above = [*weights[order].tolist(), most_of_all], [most_of_all] * n, [0] * (2 * n - 1)  # leaves by weight, then what joins two, in the order of making
+        order = sorted(range(n), key=weights.__getitem__)
+        ranked = [weights[i] for i in order]
+        most_of_all = sum(ranked) + 1  # marks where leaves and joined ones end
+        leaves, inner, above = [*ranked, most_of_all], [most_of_all] * n, [0] * (2 * n - 1)  # leaves by weight, then what joins two, in the order of making
         i = j = 0
         for k in range(n - 1):
             if leaves[i] <= inner[j]:
@@ -585,19 +650,37 @@ def code_lengths(counts: np.ndarray, most: int = 15) -> np.ndarray:
         for k in range(2 * n - 3, -1, -1):
             depth[k] = depth[above[k]] + 1
         if max(depth[:n]) <= most:
-            out[used[order]] = depth[:n]
+            out = [0] * n
+            for i, d in zip(order, depth, strict=False):
+                out[i] = d
             return out
-        weights = (weights >> 1) + 1
+        weights = [(x >> 1) + 1 for x in weights]
+
+
+def code_lengths(counts: np.ndarray, most: int = 15) -> np.ndarray:
+    """Lengths of a complete prefix code for the symbols that occur, two at least."""
+    out = np.zeros(len(counts), dtype=np.uint8)
+    used = counts.nonzero()[0]
+    if len(used) <= 1:
+        used = np.array([0, 1 if not len(used) else max(1, int(used[0]))]) if not len(used) or used[0] else np.array([0, 1])
+    out[used] = _depths(counts[used].tolist(), most)
+    return out
+
+
+def _canonical(sizes: list[int]) -> list[int]:
+    """The canonical codes of symbols in order, by their lengths, in the order in which their bits are stored."""
+    out, code, reverse = [0] * len(sizes), 0, _reversals()
+    for i in sorted(range(len(sizes)), key=sizes.__getitem__):
+        out[i] = reverse[code]
+        code += 1 << (15 - sizes[i])  # each code's share of the 15-bit space, whose start is the code
+    return out
 
 
 def codes_of(lengths: np.ndarray) -> np.ndarray:
     """The canonical codes in the order in which their bits are stored."""
     used = lengths.nonzero()[0]
-    used = used[lengths[used].argsort(kind="stable")]
-    sizes = lengths[used].astype(np.int64)
-    room = 1 << (15 - sizes)  # each code's share of the 15-bit space, whose start is the code
     out = np.zeros(len(lengths), dtype=np.int64)
-    out[used] = _reversal(15)[room.cumsum() - room]
+    out[used] = _canonical(lengths[used].tolist())
     return out
 
 
@@ -611,27 +694,34 @@ class BitWriter:
 
     def lengths(self, lengths: np.ndarray) -> None:
         """A normal code.  Lengths up to 12 take four bits; the others and the signs for 3 or more zeros take five."""
-        self(0, 1)
-        self(15, 4)
-        for s in _LENGTH_ORDER:
-            self(4 if s < 13 else 5, 3)
-        self(0, 1)
-        parts, last, used = [], 0, lengths.nonzero()[0]
-        for i, n in zip([*used.tolist(), len(lengths)], [*lengths[used].tolist(), 0], strict=True):
-            zeros, last = i - last, i + 1
-            while zeros >= 3:
-                part = min(zeros, 138)
-                parts.append(f"{part - 11:07b}{_SIGNS[18]}" if part >= 11 else f"{part - 3:03b}{_SIGNS[17]}")
-                zeros -= part
-            parts.append((_SIGNS[n] if n else "") + "0000" * zeros)
-        bits = "".join(reversed(parts))
+        used = lengths.nonzero()[0]
+        self.signs(used.tolist(), lengths[used].tolist(), len(lengths))
+
+    def signs(self, used: list[int], sizes: list[int], symbols: int) -> None:
+        """The same for ``symbols`` symbols, of which ``used`` have lengths other than 0."""
+        self(*_LENGTHS_HEAD)
+        gaps = [i - j - 1 for i, j in zip([*used, symbols], [-1, *used], strict=True)]
+        bits = "".join(reversed(list(map(_sign_after, gaps, [*sizes, 0]))))
         self(int(bits or "0", 2), len(bits))
 
 
+#: A normal code, and the lengths of its code of lengths; as many signs as there are symbols.
+_LENGTHS_HEAD = 15 << 1 | sum((4 if s < 13 else 5) << (5 + 3 * i) for i, s in enumerate(_LENGTH_ORDER)), 63
 #: The codes of the lengths and signs in ``BitWriter.lengths``, last bit first: 0000 to 1100, then 11010 to 11111.
 _SIGNS = tuple((f"{i:04b}" if i < 13 else f"{i + 13:05b}")[::-1] for i in range(19))
 
 
+@cache
+def _sign_after(zeros: int, n: int) -> str:
+    """The bits of ``zeros`` lengths of 0, then of a length (0: none), last bit first."""
+    parts = []
+    while zeros >= 3:
+        part = min(zeros, 138)
+        parts.append(f"{part - 11:07b}{_SIGNS[18]}" if part >= 11 else f"{part - 3:03b}{_SIGNS[17]}")
+        zeros -= part
+    return (_SIGNS[n] if n else "") + "0000" * zeros + "".join(reversed(parts))
+
+
 def _prefix_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, extra bits and their values of lengths or distance codes from 1."""
     symbol = np.searchsorted(_BASE, v, side="right") - 1
@@ -640,10 +730,15 @@ def _prefix_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _matches(px: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(place, pixels, distance) of copies of earlier pixels, from left to right, none overlapping the next."""
-    h = px.astype(np.uint64)
     n, wide = len(px) - least + 1, 1
     if n < 2:
         return []
+    alone = px & np.uint32(0xFFFF00FF)
+    if least == 8 and (alone == alone[0]).all():  # only green changes, so 8 pixels are a number, and its product a hash that none shares
+        h = np.ndarray(n, "<u8", np.ascontiguousarray(px).view(np.uint8)[1::4].tobytes(), 0, 1) * np.uint64(0x9E3779B97F4A7C15)
+        wide = least
+    else:
+        h = px.astype(np.uint64)
     while wide < least:  # a hash of ``least`` pixels, a power of two, from each place
         h = h[:-wide] * np.uint64(0x9E3779B97F4A7C15) + h[wide:] * np.uint64(0xD6E8FEB86659FD93) + (h[wide:] >> np.uint64(29))
         wide *= 2
@@ -653,13 +748,15 @@ def _matches(px: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     same = ranked[1:] == ranked[:-1]
     if not same.any():
         return []
-    back = np.zeros(n + 1, dtype=np.int64)
-    back[order[1:][same]] = order[1:][same] - order[:-1][same]
+    back, later = np.zeros(n + 1, dtype=np.int64), order[1:][same]
+    back[later] = later - order[:-1][same]
     turns = (back[1:] != back[:-1]).nonzero()[0] + 1  # stretches of one distance; the first pixel is no copy
-    found, at = [], 0
-    for begin, end, distance in zip(turns[:-1].tolist(), turns[1:].tolist(), back[turns[:-1]].tolist(), strict=True):
+    places, distances, found, at = turns.tolist(), back[turns].tolist(), [], 0
+    for begin, end, distance in zip(places, places[1:], distances, strict=False):
         if distance:
-            begin, end = max(begin, at), end + least - 1
+            end += least - 1
+            if begin < at:
+                begin = at
             if end - begin >= least:
                 found.append((begin, end - begin, distance))
                 at = end
@@ -669,32 +766,26 @@ def _matches(px: np.ndarray, least: int) -> list[tuple[int, int, int]]:
 _NOTHING = np.zeros(280 + (1 << 11), np.uint64), np.zeros(280 + (1 << 11), np.int64)
 
 
-@cache
-def _only(symbol: int) -> np.ndarray:
-    return np.bincount([symbol], minlength=256)
-
-
 def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bits: int = 0, least: int = 0) -> bytes:
     """Append an entropy-coded image: literals, cache entries and back-references of ``least`` pixels or more.
 
     Returns all bytes of ``w`` with the image, of which ``w`` itself gets the codes alone if it is the main one.
     """
     n = len(px)
-    if not main and (px == px[0]).all():
-        w(0, 1)  # no cache
-        for s in (8, 16, 0, 24):
-            w(0b101 | (int(px[0]) >> s & 255) << 3, 11)
-        w(0b101, 11)
+    if not main and (n == 1 or (px == px[0]).all()):
+        p = int(px[0])
+        w(_ONE_COLOUR | (p >> 8 & 255) << 4 | (p >> 16 & 255) << 15 | (p & 255) << 26 | (p >> 24) << 37, 56)
         return b""
     found = _matches(px, least) if least else []
+    literal = np.ones(n, dtype=bool)
     if found:
-        at, length, back = (np.array(x, dtype=np.int64) for x in zip(*found, strict=True))
-        places = (at - length.cumsum() + length).repeat(length) + np.arange(length.sum())
-        if (px[places] != px[places - back.repeat(length)]).any():  # two hashes met
+        raw = px.tobytes()
+        if any(raw[4 * i : 4 * (i + k)] != raw[4 * (i - d) : 4 * (i - d + k)] for i, k, d in found):  # two hashes met
             found = []
-    literal = np.ones(n, dtype=bool)
     if found:
-        literal[places] = False
+        for i, k, _ in found:
+            literal[i : i + k] = False
+        at, length, back = np.array(found, dtype=np.int64).T
         if length.max() > 4096:  # no copy is longer than that
             parts = -(-length // 4096)
             number = np.arange(parts.sum()) - (parts.cumsum() - parts).repeat(parts)
@@ -707,25 +798,26 @@ def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bit
         hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (px[order[1:]] == px[order[:-1]])
     where = literal.nonzero()[0]
     value = px[where]
-    green = ((value >> np.uint32(8)) & np.uint32(255)).astype(np.int64)
+    green = ((value >> _8) & _255).astype(np.int64)
     plain: np.ndarray | slice = slice(None)
     if hit is not None:
         plain = ~hit[where]
         green = np.where(plain, green, 280 + slot[where].astype(np.int64))
     alone = px & np.uint32(0xFFFF00FF)
     rest: list[np.ndarray] = []
-    alphabets = [np.bincount(green, minlength=280 + (1 << cache_bits if cache_bits else 0))]
+    # how often each symbol occurs, or the only one
+    alphabets: list[np.ndarray | int] = [np.bincount(green, minlength=280 + (1 << cache_bits if cache_bits else 0))]
     if (alone == alone[0]).all():  # only green changes
-        alphabets += [_only(int(alone[0]) >> s & 255) for s in (16, 0, 24)]
+        alphabets += [int(alone[0]) >> s & 255 for s in (16, 0, 24)]
     else:
         rest = [((value >> np.uint32(s)) & np.uint32(255)).astype(np.int64) for s in (16, 0, 24)]
         alphabets += [np.bincount(x[plain], minlength=256) for x in rest]
-    alphabets.append(_only(0)[:40])
+    alphabets.append(0)
     if found:
         near = _near_codes(width)
-        codes = np.where(back < len(near), near[np.minimum(back, len(near) - 1)], back + 120)
+        distances = np.where(back < len(near), near[np.minimum(back, len(near) - 1)], back + 120)
         ls, lx, lv = _prefix_of(length)
-        ds, dx, dv = _prefix_of(codes)
+        ds, dx, dv = _prefix_of(distances)
         alphabets[0] = alphabets[0] + np.bincount(256 + ls, minlength=len(alphabets[0]))
         alphabets[4] = np.bincount(ds, minlength=40)
     w(1 if cache_bits else 0, 1)
@@ -735,14 +827,18 @@ def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bit
         w(0, 1)  # one group of codes
     made = []
     for counts in alphabets:
-        used = counts.nonzero()[0]
-        if len(used) <= 1 and (not len(used) or used[0] < 256):  # one symbol, which takes no bits
-            w(0b101 | (int(used[0]) if len(used) else 0) << 3, 11)
+        used = counts if isinstance(counts, int) else counts.nonzero()[0]
+        if isinstance(used, int) or len(used) <= 1 and (not len(used) or used[0] < 256):  # one symbol, which takes no bits
+            w(0b101 | (used if isinstance(used, int) else int(used[0]) if len(used) else 0) << 3, 11)
             made.append(_NOTHING)
-        else:
-            lengths = code_lengths(counts, 12 if main and len(made) < 4 else 9)  # short codes keep the reader's tables small
-            w.lengths(lengths)
-            made.append((codes_of(lengths).astype(np.uint64), lengths.astype(np.int64)))
+            continue
+        if len(used) == 1:
+            used = np.append(0, used)
+        sizes = _depths(counts[used].tolist(), 12 if main and len(made) < 4 else 9)  # short codes keep the reader's tables small
+        w.signs(used.tolist(), sizes, len(counts))
+        codes, lengths = np.zeros(len(counts), np.uint64), np.zeros(len(counts), np.int64)
+        codes[used], lengths[used] = np.array(_canonical(sizes), np.uint64), np.array(sizes, np.int64)
+        made.append((codes, lengths))
     token, size = made[0][0][green], made[0][1][green]
     for (code, length_of), x in zip(made[1:4], rest, strict=False):
         if length_of.any():
@@ -757,8 +853,11 @@ def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bit
         order = np.concatenate([where, at]).argsort(kind="stable")
         token, size = np.concatenate([token, copy])[order], np.concatenate([size, wide])[order]
     if not main:
+        value, bits = 0, 0
         for v, k in zip(token.tolist(), size.tolist(), strict=True):
-            w(v, k)
+            value |= v << bits
+            bits += k
+        w(value, bits)
         return b""
     return _joined(w, token, size)
 
@@ -766,7 +865,7 @@ def _write_image(w: BitWriter, px: np.ndarray, width: int, main: bool, cache_bit
 @cache
 def _near_codes(width: int) -> np.ndarray:
     """By distance, the shortest distance code for it."""
-    reach = np.maximum(1, _NEAR_X + _NEAR_Y * width)
+    reach = _near_distances(width)
     out = np.arange(reach.max() + 1) + 120
     for code in range(120, 0, -1):
         out[reach[code - 1]] = code
@@ -775,11 +874,19 @@ def _near_codes(width: int) -> np.ndarray:
 
 def _joined(w: BitWriter, token: np.ndarray, size: np.ndarray) -> bytes:
     """The bits of ``w``, then tokens of up to 60 bits, as bytes."""
-    head = np.unpackbits(np.frombuffer(w.value.to_bytes(-(-w.size // 8), "little"), np.uint8), bitorder="little")[: w.size]
     ends = size.cumsum()
-    inner = np.arange(ends[-1]) - (ends - size).repeat(size)
-    bits = (token.repeat(size) >> inner.astype(np.uint64)).astype(np.uint8) & np.uint8(1)
-    return np.packbits(np.concatenate([head, bits]), bitorder="little").tobytes()
+    at = ends - size + w.size
+    total, word, shift = w.size + int(ends[-1]), at >> 6, (at & 63).astype(np.uint64)
+    new = np.ones(len(word), dtype=bool)
+    np.not_equal(word[1:], word[:-1], out=new[1:])
+    firsts = new.nonzero()[0]  # of each word of 64 bits, none of which a token can skip
+    lasts = np.append(firsts[1:], len(word)) - 1
+    begin, n = w.size >> 6, len(firsts)
+    out = np.zeros(begin + n + 1, dtype="<u8")
+    out[begin : begin + n] = np.bitwise_or.reduceat(token << shift, firsts)
+    out[begin + 1 :] |= (token[lasts] >> np.uint64(1)) >> (np.uint64(63) - shift[lasts])  # what the next word has of it
+    out[: begin + 1] |= np.frombuffer(w.value.to_bytes(8 * begin + 8, "little"), "<u8")
+    return out.tobytes()[: -(-total // 8)]
 
 
 def _by_tile(on: np.ndarray, size_bits: int) -> np.ndarray:
@@ -805,16 +912,16 @@ def encode_pixels(image: np.ndarray, palette: bool, size_bits: int = 4, cache_bi
     """
     height, width = image.shape
     w = BitWriter()
-    w(0x2F, 8)
-    w(width - 1, 14)
-    w(height - 1, 14)
-    w(int((image < np.uint32(_OPAQUE)).any()), 1)
-    w(0, 3)
+    greens = palette and bool((image & np.uint32(0xFFFF00FF) == np.uint32(_OPAQUE)).all())
+    alpha = not greens and bool((image < np.uint32(_OPAQUE)).any())
+    w(0x2F | (width - 1) << 8 | (height - 1) << 22 | alpha << 36, 40)
     if palette:
-        if (image & np.uint32(0xFFFF00FF) == np.uint32(_OPAQUE)).all():
-            green = (image >> np.uint32(8)) & np.uint32(255)
-            there = np.bincount(green.ravel(), minlength=256) > 0
-            colours, index = np.flatnonzero(there).astype(np.uint32) << np.uint32(8), (np.cumsum(there) - 1).astype(np.uint32)[green]
+        if greens:
+            green = ((image >> _8) & _255).astype(np.int64)
+            colours = np.bincount(green.ravel(), minlength=256).nonzero()[0]
+            rank = np.zeros(256, np.uint32)
+            rank[colours] = np.arange(len(colours))
+            colours, index = colours.astype(np.uint32) << _8, rank.take(green)
         else:
             colours, index = np.unique(image, return_inverse=True)
             index = index.reshape(height, width).astype(np.uint32)
@@ -822,7 +929,7 @@ def encode_pixels(image: np.ndarray, palette: bool, size_bits: int = 4, cache_bi
         pack = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
         w(0b111, 3)
         w(n - 1, 8)
-        _write_image(w, _minus(colours, np.append(np.uint32(0), colours[:-1])), n, False)
+        _write_image(w, np.concatenate([colours[:1], _differences(colours)]), n, False)
         if pack:
             each, inner = 8 >> pack, -(-width >> pack)
             index = np.pad(index, ((0, 0), (0, (inner << pack) - width))).reshape(height, inner, 1 << pack)
@@ -836,8 +943,12 @@ def encode_pixels(image: np.ndarray, palette: bool, size_bits: int = 4, cache_bi
         _write_image(w, factors.ravel(), factors.shape[1], False)
         image = cross_coloured(image, factors, size_bits, False)
     left, top = np.zeros(image.shape, bool), np.zeros(image.shape, bool)
-    left[:, 1:], top[1:] = image[:, 1:] == image[:, :-1], image[1:] == image[:-1]
-    modes = np.where(_by_tile(top, size_bits), np.uint32(2 << 8), np.where(_by_tile(left, size_bits), np.uint32(1 << 8), np.uint32(0))) | np.uint32(_OPAQUE)
+    np.equal(image[:, 1:], image[:, :-1], out=left[:, 1:])
+    np.equal(image[1:], image[:-1], out=top[1:])
+    up, back = _by_tile(top, size_bits), _by_tile(left, size_bits)
+    modes = np.full(up.shape, np.uint32(_OPAQUE))
+    if up.any() or back.any():
+        modes |= np.where(up, np.uint32(2 << 8), np.where(back, np.uint32(1 << 8), np.uint32(0)))
     w(0b001, 3)
     w(size_bits - 2, 3)
     _write_image(w, modes.ravel(), modes.shape[1], False)

@@ -3,6 +3,7 @@ import os
 import re
 import string
 import struct
+import sys
 import zlib
 from fractions import Fraction
 
@@ -621,6 +622,74 @@ def test_webp_pixels_of_a_column(spark):
     assert (out[1].width, out[1].height, out[1].argb[5]) == (16, 8, 0xFF000500) and out[2].argb is None
 
 
+def test_media_take_few_steps():
+    """Calls a text, which are most of the cost of small images: 1,640 before codes, copies and constant images took fewer, 1,190 since."""
+    words = np.random.default_rng(2).choice(["spark", "table", "shuffle", "of", "a", "rows,", "window", "Join", "and", "\n"], 6000)
+    payloads = [webp.padded(" ".join(words[i : i + 40 + i // 12]).encode()) for i in range(0, 4000, 100)]
+    again = lambda: [b"".join(webp.stored_samples(i).tobytes() for i in webp.stored_images(webp.store_bytes(p))) for p in payloads]
+    assert again() == payloads  # which fills all tables
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        again()
+    finally:
+        sys.setprofile(None)
+    assert calls / len(payloads) < 1300
+
+
+def test_code_lengths_by_all_signs():
+    """Lengths written with repeats of the last one, both kinds of runs of zeros and a number of signs."""
+    rng = np.random.default_rng(5)
+    for turn in range(60):
+        size = (40, 256, 280, 280 + 1024)[turn % 4]
+        counts = rng.integers(0, 3, size) * rng.integers(1, 2 + 40 * (turn % 3), size) * (np.arange(size) // (3 + turn) % 2)
+        counts[:2] += 1
+        lengths = webp.code_lengths(counts)
+        signs, i, last = [], 0, 8
+        while i < size:
+            run = next((k for k in range(1, size - i) if lengths[i + k] != lengths[i]), size - i)
+            if not lengths[i] and run >= 3:
+                run = min(run, 138)
+                signs.append((18, run - 11, 7) if run >= 11 else (17, run - 3, 3))
+            elif lengths[i] == last and run >= 3:
+                run = min(run, 6)
+                signs.append((16, run - 3, 2))
+            else:
+                run, last = 1, int(lengths[i]) or last
+                signs.append((int(lengths[i]), 0, 0))
+            i += run
+        of_signs = webp.code_lengths(np.bincount([s for s, _, _ in signs], minlength=19), 7)
+        codes, w = webp.codes_of(of_signs), webp.BitWriter()
+        w(0, 1)
+        w(15, 4)
+        for s in webp._LENGTH_ORDER:
+            w(int(of_signs[s]), 3)
+        if turn % 2:
+            w(1, 1)
+            w(7, 3)
+            w(len(signs) - 2, 16)
+        else:
+            w(0, 1)
+        for s, extra, k in signs:
+            w(int(codes[s]), int(of_signs[s]))
+            w(extra, k)
+        bits = webp.Bits(w.value.to_bytes(w.size // 8 + 1, "little"))
+        found, wanted = webp.read_code(bits, size), webp.PrefixCode(lengths)
+        assert bits.at == w.size
+        assert (found.symbols == wanted.symbols).all() and (found.lengths == wanted.lengths).all()
+        used = lengths.nonzero()[0]
+        at = webp.codes_of(lengths)[used]
+        assert (wanted.symbols[at] == used).all() and (wanted.lengths[at] == lengths[used]).all()
+    for bad in ([1, 1, 1], [1, 2], [1, 1, *[5] * 30], [2] * 3, [6] * 60):
+        with pytest.raises(ValueError):
+            webp.PrefixCode(np.array(bad, dtype=np.uint8))
+
+
 # ---- URL filter
 
 
