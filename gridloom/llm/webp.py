@@ -252,8 +252,8 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
             if c.single is None:
                 at = at + c.lengths.take(ahead.take(at, mode="clip") & np.uint32(c.mask))
         step = np.where(g.symbols.take(index) < 256, at - place, size)
-    following = np.empty(total + 1, dtype=np.int64)
-    np.add(place, step, out=following[:-1])
+    following = np.arange(total + 64)  # places past the end lead to themselves; no token has more bits than 4 * 15, or 15 + 10 + 15 + 18
+    np.add(place, step, out=following[:total])
     if len(copies):
         sort = g.symbols.take(index[copies]).astype(np.int64) - 256
         lengths_at = copies + size[copies]
@@ -262,8 +262,6 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
         s = s.astype(np.int64) if d.single is None else np.full(len(copies), s)
         distance_at = distance_at + taken
         following[copies] = distance_at + _EXTRA[s]
-    following[-1] = total
-    np.minimum(following[-80:], total, out=following[-80:])  # no token has more bits than 15 + 10 + 15 + 18 or 4 * 15
     far = following
     for _ in range(3):
         far = far.take(far)
@@ -272,12 +270,12 @@ def _run(bits: Bits, codes: list[PrefixCode], n: int, width: int, cache_bits: in
     for i in range(len(walk)):
         walk[i] = p
         p = leads[p]
-        if p == total:
+        if p >= total:
             break
     for i in range(1, 8):
         tokens[i] = following.take(tokens[i - 1])
     tokens = tokens.T.ravel()
-    tokens = tokens[: int(tokens.searchsorted(total))]  # places past the end are ``total`` itself
+    tokens = tokens[: int(tokens.searchsorted(total))]  # the others are past the end
     kinds = g.symbols.take(index.take(tokens))
     copied = (kinds >= 256) & (kinds < 280) if cache_bits else kinds > 255
     long = np.ones(len(tokens), dtype=np.int64)

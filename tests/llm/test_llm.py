@@ -642,6 +642,19 @@ def test_media_take_few_steps():
     assert calls / len(payloads) < 1300
 
 
+def test_media_that_end_inside_their_last_token():
+    words = np.random.default_rng(1).choice(["spark ", "table ", "shuffle ", "of ", "a "], 4000)
+    for text in ("".join(words)[:4000], "".join(words), "".join(chr(32 + i * i % 90) for i in range(9000))):
+        for more in range(40):
+            good = webp.store_bytes(webp.padded((text + "xyz"[more % 3] * more).encode()))
+            size = int.from_bytes(good[16:20], "little")
+            cut = bytearray(good[: 20 + size - 1])
+            cut += b"\0" * (len(cut) & 1)
+            cut[4:8], cut[16:20] = (len(cut) - 8).to_bytes(4, "little"), (size - 1).to_bytes(4, "little")
+            with pytest.raises(ValueError):
+                list(webp.stored_images(bytes(cut)))
+
+
 def test_code_lengths_by_all_signs():
     """Lengths written with repeats of the last one, both kinds of runs of zeros and a number of signs."""
     rng = np.random.default_rng(5)
