@@ -19,7 +19,8 @@ def event_pages(spark: SparkSession, d: str) -> DataFrame:
     """folder, name and text of a page file for each user and 5,000 event numbers.
 
     Folders begin with an underscore.  A line is an event; some lack fields, some have no number for a width, some are of another
-    level or have no text; the pages of some users have another header.
+    level or have no text; the pages of some users have another header.  Pages of one number, one with the other header, are two
+    files: that one's name has a zero before the number.
     """
     e = spark.read.parquet(f"{d}/events.parquet").filter("user_id is not null and event_id is not null")
     n = F.col("event_id")
@@ -32,7 +33,7 @@ def event_pages(spark: SparkSession, d: str) -> DataFrame:
     head = F.when(F.col("odd"), "level\ttext").otherwise("\t".join(HEADER))
     extent = "1\t1\t0\t0\t0\t0\t0\t0\t1000\t1400\t-1\t"
     body = F.concat_ws("\n", head, F.lit(extent), F.array_join(F.transform("l", lambda x: x["line"]), "\n"))
-    return pages.select(F.concat(F.lit("_f"), "g").alias("folder"), F.concat(F.lit("page"), "page", F.lit("_result.tsv")).alias("name"), body.alias("text"))
+    return pages.select(F.concat(F.lit("_f"), "g").alias("folder"), F.concat(F.lit("page"), F.when(F.col("odd"), "0").otherwise(""), "page", F.lit("_result.tsv")).alias("name"), body.alias("text"))
 
 
 def written(pages: DataFrame) -> str:
