@@ -23,3 +23,8 @@ def shared_numbers(spark, tmp_path_factory):
 def test_pages_of_one_number_with_different_headers(spark, shared_numbers):
     a, b = both(spark, tsvpages.tsv_pages, tsvpages.ORACLE_SQL["tsv_pages"], shared_numbers)
     assert a == b
+
+
+def test_review_of_pages_of_one_number(spark, shared_numbers):
+    a, b = both(spark, tsvpages.tsv_review, tsvpages.ORACLE_SQL["tsv_review"], shared_numbers)
+    assert a == b
