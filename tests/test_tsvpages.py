@@ -28,3 +28,8 @@ def test_pages_of_one_number_with_different_headers(spark, shared_numbers):
 def test_review_of_pages_of_one_number(spark, shared_numbers):
     a, b = both(spark, tsvpages.tsv_review, tsvpages.ORACLE_SQL["tsv_review"], shared_numbers)
     assert a == b
+
+
+def test_words_of_pages_of_one_number(spark, shared_numbers):
+    a, b = both(spark, tsvpages.tsv_words, tsvpages.ORACLE_SQL["tsv_words"], shared_numbers)
+    assert a == b
