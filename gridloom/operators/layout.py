@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import traceback
 from bisect import insort
 from collections.abc import Iterator, Sequence
@@ -149,42 +150,49 @@ def row_gaps(tokens: DataFrame, keys: Sequence[str], row: str = "row", typical:
     return gaps.select(*keys, row, (F.col("r") + t * F.lit(0.2)).alias("lo"), (F.col("_next") - t * F.lit(0.2)).alias("hi"))
 
 
-def needed_support(n_rows: Column, support: float) -> Column:
-    return F.greatest(F.lit(2), F.ceil(n_rows * F.lit(float(support)))).cast("long")
-
-
-def allowed_crossings(n_rows: Column) -> Column:
-    return F.greatest(F.lit(1), (n_rows * F.lit(0.15)).cast("int")).cast("long")
+def free_stretches(row: np.ndarray, x: np.ndarray, r: np.ndarray, typical: np.ndarray, n_rows: int, support: float) -> tuple[np.ndarray, ...]:
+    """lo, hi, support and crossing of one block's stretches; its words come row by row, in the order of ``along_row``."""
+    same = row[1:] == row[:-1]
+    gap = np.flatnonzero(same & (x[1:] - r[:-1] >= typical[:-1]))
+    ends, at = np.unique(np.concatenate([r[gap] + typical[gap] * 0.2, x[gap + 1] - typical[gap] * 0.2]), return_inverse=True)
+    # gaps of one row never overlap, so the rows around a stretch are a running sum over gap ends
+    around = np.cumsum(np.bincount(at, np.repeat([1, -1], len(gap)), len(ends)).astype(np.int64))[:-1]
+    free = np.flatnonzero(around >= max(2, math.ceil(n_rows * support)))
+    middle = (ends[free] + ends[free + 1]) / 2
+    wide = r > x
+    row, x, r = row[wide], x[wide], r[wide]
+    begins = np.ones(len(x), bool)
+    if len(free) and np.any((row[1:] == row[:-1]) & (x[1:] < r[:-1])):  # words that overlap are one
+        for own in np.split(np.arange(len(row)), np.flatnonzero(row[1:] != row[:-1]) + 1):
+            begins[own[1:]] = x[own[1:]] >= np.maximum.accumulate(r[own])[:-1]
+    begins = np.flatnonzero(begins)
+    left, right = x[begins].astype(float), (np.maximum.reduceat(r, begins) if len(begins) else r).astype(float)
+    crossing = np.searchsorted(np.sort(left), middle, "left") - np.searchsorted(np.sort(right), middle, "right")
+    few = crossing <= max(1, int(n_rows * 0.15))
+    return ends[free][few], ends[free + 1][few], around[free][few], crossing[few]
 
 
 def gutter_segments(tokens: DataFrame, keys: Sequence[str], row: str = "row", support: float = 0.30, typical: Column | None = None) -> DataFrame:
     """Stretches between neighbouring gap ends that enough rows leave free: keys, lo, hi, support, crossing.
 
-    Gaps of one row never overlap, so the rows around a stretch are a running sum over gap ends; rows with a
-    word across its middle are another, over the edges of the row's words after overlapping ones are joined.
-    Neither needs a join of stretches with gaps or words.
+    Numbers alone of one block's words are gathered in a task and sorted there.  Aggregates and windows over words would each hold on to memory
+    that the others of their task need.
     """
-    keys = list(keys)
-    block = Window.partitionBy(*keys)
-    rows = tokens.groupBy(*keys).agg(F.count_distinct(row).alias("n_rows"))
-    gaps = row_gaps(tokens, keys, row, typical)
-    edges = gaps.select(*keys, F.explode(F.array(F.struct(F.col("lo").alias("at"), F.lit(1).alias("d")), F.struct(F.col("hi").alias("at"), F.lit(-1).alias("d")))).alias("e"))
-    steps = edges.groupBy(*keys, F.col("e.at").alias("lo")).agg(F.sum("e.d").alias("d"))
-    along = block.orderBy("lo")
-    steps = steps.withColumns({"hi": F.lead("lo").over(along), "support": F.sum("d").over(along.rowsBetween(Window.unboundedPreceding, 0))}).filter("hi is not null")
-    free = steps.join(rows, keys).filter(F.col("support") >= needed_support(F.col("n_rows"), support))
-
-    reach = Window.partitionBy(*keys, row).orderBy(*along_row(tokens))
-    islands = tokens.withColumn("_far", F.max("r").over(reach.rowsBetween(Window.unboundedPreceding, -1)))
-    islands = islands.withColumn("_i", F.sum((F.col("_far").isNull() | (F.col("x") >= F.col("_far"))).cast("int")).over(reach.rowsBetween(Window.unboundedPreceding, 0)))
-    islands = islands.groupBy(*keys, row, "_i").agg(F.min("x").cast("double").alias("x"), F.max("r").cast("double").alias("r"))
-    none = F.lit(None).cast("double")
-    word_edges = islands.select(*keys, F.explode(F.array(F.struct(F.col("x").alias("at"), F.lit(2).alias("kind"), F.lit(1).alias("d")), F.struct(F.col("r").alias("at"), F.lit(0).alias("kind"), F.lit(-1).alias("d")))).alias("e")).select(*keys, "e.*", none.alias("lo"), none.alias("hi"), F.lit(None).cast("long").alias("support"), F.lit(None).cast("long").alias("n_rows"))
-    middles = free.select(*keys, ((F.col("lo") + F.col("hi")) / 2).alias("at"), F.lit(1).alias("kind"), F.lit(0).alias("d"), "lo", "hi", "support", "n_rows")
-    # at one place, words end before and begin after a middle: neither lies across it
-    crossing = F.sum("d").over(block.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0))
-    both = word_edges.unionByName(middles).withColumn("crossing", crossing)
-    return both.filter((F.col("kind") == 1) & (F.col("crossing") <= allowed_crossings(F.col("n_rows")))).select(*keys, "lo", "hi", "support", "crossing")
+    keys, order = list(keys), along_row(tokens)
+    n = len(keys)
+    words = tokens.filter(" and ".join(f"`{k}` is not null" for k in keys)).select(*keys, F.col(row).alias("_row"), *order, "r", (F.lit(32.0) if typical is None else typical).cast("double").alias("_t"))
+    schema = StructType([f for f in tokens.select(*keys).schema.fields]).add("lo", "double").add("hi", "double").add("support", "long").add("crossing", "long")
+
+    def stretches(block: pa.Table) -> pa.Table:
+        names = block.column(n).combine_chunks().dictionary_encode()
+        words = {c: block.column(c).to_numpy() for c in (*order, "r", "_t")}
+        line = names.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        by = np.lexsort((*(words[c] for c in reversed(order)), line))
+        found = free_stretches(line[by], words["x"][by], words["r"][by], words["_t"][by], len(names.dictionary), support)
+        key = [pa.repeat(block.column(i)[0], len(found[0])) for i in range(n)]
+        return pa.Table.from_arrays([*key, *[pa.array(c) for c in found]], [*keys, "lo", "hi", "support", "crossing"])
+
+    return words.groupBy(*keys).applyInArrow(stretches, schema)
 
 
 def merge_segments(segments: DataFrame, keys: Sequence[str], max_cols: int = 20, typical: Column | None = None) -> DataFrame:

@@ -15,10 +15,10 @@ def text_tokens(docs: DataFrame) -> DataFrame:
     """doc_id, row and seq (from 0), token_id, text, box, conf and noise of every word of every line.
 
     Words are what single spaces part; the place of a word follows from the characters before it.  Everything
-    after this is keyed by doc_id, so words are dealt by it once.
+    after this is keyed by doc_id, so texts are dealt by it once, before they are words.
     """
-    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("row", "line"))
-    words = lines.select("doc_id", "row", F.posexplode(F.split("line", " ")).alias("seq", "text")).repartition("doc_id")
+    lines = docs.repartition("doc_id").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("row", "line"))
+    words = lines.select("doc_id", "row", F.posexplode(F.split("line", " ")).alias("seq", "text"))
     before = Window.partitionBy("doc_id", "row").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     size = F.char_length("text")
     placed = words.withColumn("x", (F.coalesce(F.sum(size + 1).over(before), F.lit(0)) * CHARACTER).cast("long")).filter(F.trim("text") != "")
