@@ -1,7 +1,9 @@
-"""Text grids at any size: no hash table has a group for each word or line, as it wouldn't give its memory back to the sorts of its task."""
+"""Text grids at any size: no hash table has a group for each word, as it wouldn't give its memory back to the sorts of its task."""
 
 import re
 
+import pytest
+
 from gridloom.operators import layout
 from gridloom.plans import catalogue
 
@@ -24,3 +26,8 @@ def test_words_of_no_width_lie_across_nothing(spark):
     tokens = spark.createDataFrame([(1, r, i, x, e) for r, row in enumerate(rows) for i, (x, e) in enumerate(row)], "k int, row int, seq int, x int, r int")
     got = {(r.lo, r.hi, r.crossing) for r in layout.gutter_segments(tokens, ["k"]).collect()}
     assert {c for *_, c in got} == {0} and min(lo for lo, *_ in got) >= 106.4 and max(hi for _, hi, _ in got) <= 293.6
+
+
+@pytest.mark.parametrize("name", ["tg_wide"])
+def test_no_hash_table_has_words(spark, name):
+    assert hashed(catalogue.QUERIES[name](spark, FOLDER)) <= {"doc_id", "doc_id, _run", "doc_id, row"}
