@@ -28,6 +28,6 @@ def test_words_of_no_width_lie_across_nothing(spark):
     assert {c for *_, c in got} == {0} and min(lo for lo, *_ in got) >= 106.4 and max(hi for _, hi, _ in got) <= 293.6
 
 
-@pytest.mark.parametrize("name", ["tg_wide", "tg_cells", "tg_assign", "tg_crossing", "block_flags", "review"])
+@pytest.mark.parametrize("name", ["tg_wide", "tg_cells", "tg_assign", "tg_crossing", "block_flags", "review", "tg_cuts"])
 def test_no_hash_table_has_words(spark, name):
     assert hashed(catalogue.QUERIES[name](spark, FOLDER)) <= {"doc_id", "doc_id, _run", "doc_id, row"}
