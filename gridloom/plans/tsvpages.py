@@ -1,15 +1,19 @@
-"""Page files that Spark makes of the events, and what the library reads from them again."""
+"""Page files that Spark makes of the events, in archives, and what the library reads from them again."""
 
 from __future__ import annotations
 
+import tarfile
 import uuid
 from collections.abc import Iterator
+from io import BytesIO
+from itertools import chain, count, groupby, islice
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.sources.files import joined, write_file
+from gridloom.sources.files import ARCHIVE, joined, whole_file
 from gridloom.sources.pages import PageSource
 from gridloom.sources.store import shared_dir
 from gridloom.sources.tsv import HEADER, Words, parsed_words, read_words, with_uid
@@ -36,17 +40,38 @@ def event_pages(spark: SparkSession, d: str) -> DataFrame:
     return pages.select(F.concat(F.lit("_f"), "g").alias("folder"), F.concat(F.lit("page"), F.when(F.col("odd"), "0").otherwise(""), "page", F.lit("_result.tsv")).alias("name"), body.alias("text"))
 
 
+#: Pages of an archive at most.
+ARCHIVE_PAGES = 10_000
+
+
 def written(pages: DataFrame) -> str:
-    """The folder that the pages are written to, one by one, by the tasks that have them."""
+    """The folder that the pages are written to, in archives, by the tasks that have them.
+
+    A file for each page would take a block of the disk and an entry of its file system, of which there are millions, not tens of millions.  A task
+    that runs again writes the same archives, as its pages are in order.
+    """
     root = f"{shared_dir(pages.sparkSession)}/pages-{uuid.uuid4().hex}"
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            for folder, name, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                write_file(joined(joined(root, folder), name), text.encode())
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
-
-    pages.select("folder", "name", "text").mapInArrow(write, "n long").agg(F.sum("n")).collect()
+        rows = (row for batch in parts for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
+        task, n = TaskContext.get().partitionId(), 0
+        for folder, own in groupby(rows, lambda row: row[0]):
+            for k in count():
+                some = islice(own, ARCHIVE_PAGES)
+                one = next(some, None)
+                if one is None:
+                    break
+                with whole_file(joined(joined(root, folder), f"{task:05d}-{k:05d}{ARCHIVE}")) as f, tarfile.open(fileobj=f, mode="w|gz", compresslevel=3) as archive:
+                    for _, name, text in chain([one], some):
+                        data = text.encode()
+                        info = tarfile.TarInfo(name)
+                        info.size = len(data)
+                        archive.addfile(info, BytesIO(data))
+                        archive.members.clear()
+                        n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    pages.select("folder", "name", "text").sortWithinPartitions("folder", "name").mapInArrow(write, "n long").agg(F.sum("n")).collect()
     return root
 
 

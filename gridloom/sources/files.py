@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import tarfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -20,8 +21,10 @@ from pyspark.sql.types import StructType
 
 from gridloom.sources.store import kept
 
-#: What one task hands on at a time, in bytes.
-PORTION = 1 << 26
+#: What one task hands on at a time, in bytes and rows.
+PORTION, PORTION_ROWS = 1 << 26, 10_000
+#: How the name of a file ends that holds files of its folder, one after the other, as a gzipped tar.
+ARCHIVE = ".pages.tar.gz"
 
 
 def local(path: str) -> str | None:
@@ -67,6 +70,21 @@ def content(path: str) -> bytes | None:
         return f.read()
 
 
+def members(path: str) -> Iterator[tuple[str, bytes]]:
+    """(name, bytes) of the files in an archive, read once from its beginning to its end."""
+    own = local(path)
+    if own is not None:
+        stream = open(own, "rb")
+    else:
+        system, inner = fs.FileSystem.from_uri(path)
+        stream = system.open_input_stream(inner, compression=None)
+    with stream, tarfile.open(fileobj=stream, mode="r|gz") as archive:
+        while (m := archive.next()) is not None:
+            if m.isfile():
+                yield m.name.rsplit("/", 1)[-1], archive.extractfile(m).read()
+            archive.members.clear()
+
+
 @contextmanager
 def whole_file(path: str) -> Iterator:
     """A stream to a file that has its name once it is whole, so a task that runs again replaces it."""
@@ -128,40 +146,58 @@ def _names(folder: str, rows: list[tuple[str, bool]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([folder] * len(rows), pa.string()), pa.array([n for n, _ in rows], pa.string()), pa.array([i for _, i in rows], pa.bool_())], ["folder", "name", "inner"])
 
 
-def opened(rows: DataFrame, path: str, parse: Callable[[bytes], str | None], value: str = "value") -> DataFrame:
+def texts(path: str | None, parse: Callable[[bytes], str | None], inside: bool = False) -> Iterator[tuple[str, bool, str | None, str | None]]:
+    """(name in its archive, found, text, error) of the file at a path, with ``inside`` of each file in an archive.  An archive that breaks off ends with an error without a name."""
+
+    def one(data: bytes) -> tuple[str | None, str | None]:
+        try:
+            return parse(data), None
+        except Exception as e:
+            return None, str(e) or type(e).__name__
+
+    try:
+        if inside and path and path.endswith(ARCHIVE):
+            for name, data in members(path):
+                yield name, True, *one(data)
+            return
+        data = content(path) if path else None
+        yield "", data is not None, *(one(data) if data is not None else (None, None))
+    except Exception as e:
+        yield "", True, None, str(e) or type(e).__name__
+
+
+def opened(rows: DataFrame, path: str, parse: Callable[[bytes], str | None], value: str = "value", inside: str | None = None) -> DataFrame:
     """``rows`` with found, ``value`` (what ``parse`` makes of the file at ``path``) and error.
 
     A file that isn't there isn't found and has neither value nor error; one that can't be read or parsed is found and
     has an error, its kind and its message.  Exactly these files are opened, each where its row is; rows are dealt evenly first.
+    With ``inside``, the column of names, an archive gives a row for each file in it, named there.
     """
     schema = StructType([*rows.schema.fields]).add("found", "boolean").add(value, "string").add("error", "string")
     names = [f.name for f in schema.fields]
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            begin, out, held = 0, [], 0
-            at = batch.schema.get_field_index(path)
-            for i, name in enumerate(batch.column(at).to_pylist()):
-                found, text, error = True, None, None
-                try:
-                    data = content(name) if name else None
-                    found = data is not None
-                    text = parse(data) if found else None
-                except Exception as e:
-                    error = str(e) or type(e).__name__
-                out.append((found, text, error))
-                held += len(text or "")
-                if held > PORTION:
-                    yield _with(batch.slice(begin, i + 1 - begin), out, names)
-                    begin, out, held = i + 1, [], 0
-            yield _with(batch.slice(begin), out, names)
+            out, held = [], 0
+            for i, name in enumerate(batch.column(batch.schema.get_field_index(path)).to_pylist()):
+                archive = bool(inside and name and name.endswith(ARCHIVE))
+                for own, *rest in texts(name, parse, archive):
+                    out.append((i, own if archive else None, *rest))
+                    held += len(rest[1] or "")
+                    if held > PORTION or len(out) == PORTION_ROWS:
+                        yield _with(batch, out, names, inside)
+                        out, held = [], 0
+            yield _with(batch, out, names, inside)
 
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4).mapInArrow(read, schema)
 
 
-def _with(batch: pa.RecordBatch, out: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*out, strict=True)) or [(), (), ()]
-    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(columns[0], pa.bool_()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string())], names)
+def _with(batch: pa.RecordBatch, out: list[tuple], names: list[str], inside: str | None) -> pa.RecordBatch:
+    at, own, found, text, error = list(zip(*out, strict=True)) or [()] * 5
+    kept = dict(zip(batch.schema.names, batch.take(pa.array(at, pa.int64())).columns, strict=True))
+    if inside:
+        kept[inside] = pa.array([old if new is None else new for old, new in zip(kept[inside].to_pylist(), own, strict=True)], pa.string())
+    return pa.RecordBatch.from_arrays([*kept.values(), pa.array(found, pa.bool_()), pa.array(text, pa.string()), pa.array(error, pa.string())], names)
 
 
 def decoded(data: bytes) -> str:

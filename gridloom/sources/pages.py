@@ -19,12 +19,14 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from gridloom.sources.files import content, decoded, joined, local, names_in, write_file
+from gridloom.sources.files import ARCHIVE, PORTION, PORTION_ROWS, content, decoded, joined, local, names_in, texts, write_file
 
 SCHEMA = "folder string, name string, path string, value string, error string"
 NAME = r"page.*_result\.tsv"
 #: Files and bytes of a partition at most, but for a single file.
 GROUP_FILES, GROUP_BYTES = 4096, 1 << 26
+#: An archive counts as so many times its bytes, as tasks unpack it.
+PACKED = 32
 
 
 @dataclass
@@ -33,7 +35,7 @@ class Group(InputPartition):
 
 
 def walked(root: str) -> Iterator[tuple[str, int]]:
-    """(path, bytes) of all page files below a folder, by name."""
+    """(path, bytes) of all page files and archives of them below a folder, by name."""
     top = local(root)
     folders = [os.path.abspath(top) if top is not None else root]
     while folders:
@@ -42,9 +44,9 @@ def walked(root: str) -> Iterator[tuple[str, int]]:
             path = joined(folder, name)
             if inner:
                 folders.append(path)
-            elif re.fullmatch(NAME, name):
+            elif re.fullmatch(NAME, name) or name.endswith(ARCHIVE):
                 own = local(path)
-                yield path, os.path.getsize(own) if own is not None and os.path.exists(own) else 0
+                yield path, (os.path.getsize(own) if own is not None and os.path.exists(own) else 0) * (PACKED if name.endswith(ARCHIVE) else 1)
 
 
 def grouped(files: list[tuple[str, int]], most: int) -> list[Group]:
@@ -61,15 +63,23 @@ def grouped(files: list[tuple[str, int]], most: int) -> list[Group]:
 
 
 def read_group(group: Group) -> Iterator[pa.RecordBatch]:
+    """A row for each page file, those in archives as well; an archive that breaks off ends with an error without a name."""
+    names, rows, held = ["folder", "name", "path", "value", "error"], [], 0
     for path in group.paths:
-        value, error = None, None
-        try:
-            data = content(path)
-            value, error = (None, "the file is gone") if data is None else (decoded(data), None)
-        except Exception as e:
-            error = str(e) or type(e).__name__
         folder, name = path.rsplit("/", 1)
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.string()) for x in (folder, name, path, value, error)], ["folder", "name", "path", "value", "error"])
+        for own, found, value, error in texts(path, decoded, True):
+            if name.endswith(ARCHIVE):
+                if own and not re.fullmatch(NAME, own):
+                    continue
+                rows.append((folder, own, path, value, error))
+            else:
+                rows.append((folder, name, path, value, error if found else "the file is gone"))
+            held += len(value or "")
+            if held > PORTION or len(rows) == PORTION_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names)
+                rows, held = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names)
 
 
 class PageSource(DataSource):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import folder_uid, is_noise, strip
-from gridloom.sources.files import decoded, listed, opened
+from gridloom.sources.files import ARCHIVE, decoded, listed, opened
 from gridloom.sources.store import kept
 
 # The header that every file must have.
@@ -29,12 +29,13 @@ class Words:
 
 
 NAME = r"page.*_result\.tsv"
+ARCHIVED = r".*" + ARCHIVE.replace(".", r"\.")
 PAGE = ["document", "folder_uid", "page"]
 
 
 def _files(spark: SparkSession, root: str) -> DataFrame:
-    """folder, folder_uid, name and path of all files below a folder that are named like pages; none is opened."""
-    return with_uid(listed(spark, root, NAME))
+    """folder, folder_uid, name and path of all files below a folder that are named like pages or archives of them; none is opened."""
+    return with_uid(listed(spark, root, rf"{NAME}|{ARCHIVED}"))
 
 
 def with_uid(files: DataFrame) -> DataFrame:
@@ -42,12 +43,12 @@ def with_uid(files: DataFrame) -> DataFrame:
 
 
 def page_folders(spark: SparkSession, root: str) -> DataFrame:
-    """folder and folder_uid of all folders with files named ``page*_result.tsv`` below a folder, each once; no file is opened."""
+    """folder and folder_uid of all folders with files named ``page*_result.tsv``, or archives of such, below a folder, each once; no file is opened."""
     return _files(spark, root).select("folder", "folder_uid").distinct()
 
 
 def read_words(spark: SparkSession, root: str, folders: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = kept) -> Words:
-    """All ``page<digits>_result.tsv`` files below a folder, or of those in ``folders`` (folder_uid).
+    """All ``page<digits>_result.tsv`` files below a folder, or of those in ``folders`` (folder_uid); archives (``*.pages.tar.gz``) hold files of their folder.
 
     A page is named by document (its folder's name), folder_uid and page number.  A file that can't be read, or has another header, is
     one ``tsv_error`` in review; a line that can't be parsed is one ``bad_tsv_line`` there ("line: why").  Lines
@@ -57,13 +58,15 @@ def read_words(spark: SparkSession, root: str, folders: DataFrame | None = None,
     files = _files(spark, root)
     if folders is not None:
         files = files.join(folders, "folder_uid", "left_semi")
-    return parsed_words(opened(files.filter(F.col("name").rlike(r"\Apage\d+_result\.tsv\z")), "path", decoded), keep)
+    wanted = r"\Apage\d+_result\.tsv\z"
+    read = opened(files.filter(F.col("name").rlike(rf"{wanted}|\A{ARCHIVED}\z")), "path", decoded, inside="name")
+    return parsed_words(read.filter(F.col("name").rlike(wanted) | (F.col("name") == "")), keep)
 
 
 def parsed_words(files: DataFrame, keep: Callable[[DataFrame], DataFrame] = kept) -> Words:
     """Words, pages and review of files: folder, folder_uid, name, value (the whole text) and error."""
     files = keep(files.select(
-        F.element_at(F.split("folder", "/"), -1).alias("document"), "folder_uid", F.regexp_extract("name", r"\d+", 0).cast("long").alias("page"), "error",
+        F.element_at(F.split("folder", "/"), -1).alias("document"), "folder_uid", F.regexp_extract("name", r"\d+", 0).try_cast("long").alias("page"), "error",
         F.split(F.regexp_replace(F.coalesce("value", F.lit("")), r"\A\x{FEFF}|(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n").alias("lines"),
     ))
     page = PAGE

@@ -1,10 +1,14 @@
 """Page files made of events: what happens with many of them."""
 
+import os
+
 import pytest
 from compare import both
 from pyspark.sql import functions as F
 
 from gridloom.plans import tsvpages
+from gridloom.sources import tsv
+from gridloom.sources.files import local
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -33,3 +37,13 @@ def test_review_of_pages_of_one_number(spark, shared_numbers):
 def test_words_of_pages_of_one_number(spark, shared_numbers):
     a, b = both(spark, tsvpages.tsv_words, tsvpages.ORACLE_SQL["tsv_words"], shared_numbers)
     assert a == b
+
+
+def test_pages_are_held_in_archives(spark, shared_numbers, monkeypatch):
+    """As many files as folders and tasks give, not one for each page; archives of two pages give the same."""
+    pages = tsvpages.event_pages(spark, shared_numbers)
+    count = lambda root: sum(len(names) for _, _, names in os.walk(local(root)))
+    assert count(tsvpages.written(pages)) < pages.count() / 2
+    monkeypatch.setattr(tsvpages, "ARCHIVE_PAGES", 2)
+    a, b = both(spark, tsvpages.tsv_words, tsvpages.ORACLE_SQL["tsv_words"], shared_numbers)
+    assert a == b
