@@ -47,3 +47,18 @@ def test_pages_are_held_in_archives(spark, shared_numbers, monkeypatch):
     monkeypatch.setattr(tsvpages, "ARCHIVE_PAGES", 2)
     a, b = both(spark, tsvpages.tsv_words, tsvpages.ORACLE_SQL["tsv_words"], shared_numbers)
     assert a == b
+
+
+def test_an_archive_that_breaks_off_is_a_review_row(spark, tmp_path):
+    pages = spark.createDataFrame([("_f1", f"page{i}_result.tsv", "\t".join(tsv.HEADER) + f"\n5\t1\t1\t1\t1\t1\t0\t0\t9\t9\t90\tw{i}") for i in range(2000)], "folder string, name string, text string")
+    root = local(tsvpages.written(pages.coalesce(1)))
+    (name,) = os.listdir(f"{root}/_f1")
+    whole = open(f"{root}/_f1/{name}", "rb").read()
+    os.makedirs(tmp_path / "_f1")
+    (tmp_path / "_f1" / name).write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "_f1" / "page5000_result.tsv").write_text("\t".join(tsv.HEADER))
+    words = tsv.read_words(spark, str(tmp_path))
+    read = {r.page for r in words.pages.collect()}
+    assert 5000 in read and 1 < len(read) < 2001
+    assert [(r.document, r.page, r.code) for r in words.review.collect()] == [("_f1", None, "tsv_error")]
+    assert {r.document for r in words.tokens.collect()} == {"_f1"}
