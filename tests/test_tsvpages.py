@@ -62,3 +62,9 @@ def test_an_archive_that_breaks_off_is_a_review_row(spark, tmp_path):
     assert 5000 in read and 1 < len(read) < 2001
     assert [(r.document, r.page, r.code) for r in words.review.collect()] == [("_f1", None, "tsv_error")]
     assert {r.document for r in words.tokens.collect()} == {"_f1"}
+
+
+def test_extents_from_small_archives(spark, shared_numbers, monkeypatch):
+    monkeypatch.setattr(tsvpages, "ARCHIVE_PAGES", 3)
+    a, b = both(spark, tsvpages.tsv_pages, tsvpages.ORACLE_SQL["tsv_pages"], shared_numbers)
+    assert a == b
